@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import chat, htmltext, qda, secrets, urlrules
+from lexmill.llm import ann, chat, decontam, htmltext, minhash, mixing, qda, secrets, substring, urlrules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,29 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document in a mix of equal shares of the sources."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs).select("doc_id", "source", "block", "place", "slot")
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the repeats of 13 words of earlier ones."""
+    return substring.digest(substring.repeated_spans(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document among near copies, by four-word shingles."""
+    out = minhash.link_components(table(spark, sf_dir, "documents"), shingle=4)
+    return out.withColumnRenamed("id", "doc_id")
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each document holds an item of the benchmark, and which."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.flag(docs, table(spark, sf_dir, "benchmark"), keep_text=False).select("doc_id", "contaminated", "item_id", "share")
+
+
 #: Host words that label a URL as one to block, for mining; a fixed list.
 SEEDS = ("ads", "bets", "casino", "pills", "spam")
 #: Explicit rules, host/path and verdict; fixed values.
@@ -106,6 +129,11 @@ FROM parts p LEFT JOIN ruled r ON p.page_id = r.page_id LEFT JOIN hit h ON p.pag
 """
 
 
+def op7_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every vector whose id is divisible by 50."""
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def _joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
@@ -155,7 +183,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_source_mix": op2_source_mix,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_near_dedup": op4_near_dedup,
+    "op5_decontamination": op5_decontamination,
     "op6_url_rules": op6_url_rules,
+    "op7_vector_search": op7_vector_search,
     "op8_secret_scan": op8_secret_scan,
     "op9_main_text": op9_main_text,
     "op10_quality": op10_quality,
