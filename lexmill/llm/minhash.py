@@ -5,18 +5,16 @@ so ``bands * rows`` values cost half as many hash evaluations.  The signature is
 bands; documents that agree in a band meet in its bucket.
 
 Candidates become links only after an exact check on the whole shingle sets, and links
-become components by alternating stars.  No bucket is gathered in one task, and no bucket
-is expanded into pairs:
+become components by alternating stars.  No bucket is gathered in one task, and none is
+expanded into pairs:
 
 1. Documents with equal shingle sets form a class, of which the smallest id stands for all.
 2. Every member of a bucket is checked against the bucket's smallest member, its pivot.
    The smallest pivot of a member comes first; others follow if that leaves them apart.
-3. While a bucket still holds members outside the pivot's component, the next few of them
-   (4, then 32, 256, ...) are checked against the members of other components, but for
-   those that the triangle inequality of the Jaccard distance excludes given the distances
-   to the pivot.  Members only ever move into the pivot's component, so each is taken up
-   once, and the loop ends with every possible link in the bucket checked, excluded or
-   made superfluous by others.
+3. In a bucket that still holds several components, those outside the largest one are
+   compared with all its members, blocks against blocks in separate tasks, which return
+   links only where they join components.  So every possible link of a bucket is checked,
+   or lies inside a component.
 
 A link of similarity s is missed only if no band agrees, with probability
 (1 - s^rows)^bands: at 0.8 about 3 in a million for 5 rows and 32 bands.
@@ -41,7 +39,7 @@ from lexmill.llm import blobs, components, scratch, words
 
 U64 = np.uint64
 ROWS, BANDS = 5, 32
-#: Members of a bucket's work group: a pivot's candidates are spread over groups of about this size.
+#: Rows of a task's block: a pivot's candidates, and the members of a bucket, are dealt over blocks of about this size.
 GROUP = 512
 
 
@@ -150,11 +148,11 @@ class _Links:
         if self.tested is not None:
             pairs = pairs.join(self.tested.select("pivot", "other"), ["pivot", "other"], "left_anti")
         new = scratch.save(_checked(pairs, self.texts, self.shingle))
-        edges = new.where(F.col("inter") * 100 >= F.col("total") * self.percent).select("pivot", "other").toDF("u", "v")
         self.tested = new if self.tested is None else scratch.save(self.tested.union(new))
+        self.merge(new.where(F.col("inter") * 100 >= F.col("total") * self.percent).select("pivot", "other").toDF("u", "v"))
+
+    def merge(self, edges: DataFrame) -> None:
         if self.found is not None:
-            if edges.isEmpty():
-                return
             edges = edges.union(self.found.where("id <> component"))
         self.found = scratch.save(components.components(edges))
 
@@ -175,26 +173,65 @@ def _resolved(buckets: DataFrame, texts: DataFrame, shingle: int, percent: int)
     links.test(star.groupBy(F.col("id").alias("other")).agg(F.min("pivot").alias("pivot")).select("pivot", "other"))
     links.test(links.away(buckets).select("pivot", F.col("id").alias("other")).distinct())
     away = links.away(buckets)
-    if away.isEmpty():
-        return links.found
-    # what is left: all distances to the pivots of these buckets, for the triangle inequality
-    buckets = scratch.save(buckets.join(away.select("bucket").distinct(), "bucket", "left_semi"))
-    star = buckets.where("id <> pivot")
-    links.test(star.select("pivot", F.col("id").alias("other")).distinct())
-    distance = links.tested.select("pivot", F.col("other").alias("id"), (1 - F.col("inter") / F.col("total")).alias("far"))
-    star = scratch.save(star.join(distance, ["pivot", "id"]))
-    reach, wide, done = 1 - percent / 100 + 1e-9, 4, None
-    while True:
-        away = links.away(buckets)
-        if done is not None:
-            away = away.join(done, "bucket", "left").where("last is null or id > last").drop("last")
-        away = away.withColumn("rank", F.expr("row_number() over (partition by bucket order by id)")).where(F.col("rank") <= wide)
-        away = scratch.save(away.join(star.select("bucket", "id", "far"), ["bucket", "id"]))
-        if away.isEmpty():
-            return links.found
-        taken = away.select("bucket", F.col("id").alias("q"), F.col("id_comp").alias("q_comp"), F.col("far").alias("q_far"))
-        pairs = links.label(star, "id").join(taken, "bucket").where((F.col("id_comp") != F.col("q_comp")) & (F.abs(F.col("far") - F.col("q_far")) <= reach))
-        links.test(pairs.select(F.least("id", "q").alias("pivot"), F.greatest("id", "q").alias("other")).distinct())
-        last = away.groupBy("bucket").agg(F.max("id").alias("last"))
-        done = scratch.save(last if done is None else last.union(done).groupBy("bucket").agg(F.max("last").alias("last")))
-        wide *= 8
+    if not away.isEmpty():
+        open_buckets = scratch.save(links.label(buckets.join(away.select("bucket").distinct(), "bucket", "left_semi").select("bucket", "id"), "id"))
+        links.merge(_block_links(open_buckets, texts, shingle, percent))
+    return links.found
+
+
+def _block_links(members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (u, v) that join components inside buckets, of (bucket, id, id_comp).
+
+    Those outside a bucket's largest component are compared with all members.  Both are cut
+    into blocks, and a task compares a block with a block; it returns only as many links as
+    it joins components.
+    """
+    parts = members.groupBy("bucket", "id_comp").agg(F.count(F.lit(1)).alias("n"))
+    size = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", (-F.col("id_comp")).alias("c"))).alias("main"))
+    blocks = lambda n: F.ceil(n / GROUP).cast("int")
+    size = size.select("bucket", (-F.col("main.c")).alias("main"), blocks(F.col("n")).alias("all_blocks"), blocks(F.col("n") - F.col("main.n")).alias("out_blocks"))
+    rows = members.join(size, "bucket").join(texts, "id")
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    inner = rows.select("bucket", own("all_blocks").alias("a"), each("out_blocks").alias("b"), "id", "id_comp", F.lit(False).alias("outer"), "text")
+    outer = rows.where("id_comp <> main").select("bucket", each("all_blocks").alias("a"), own("out_blocks").alias("b"), "id", "id_comp", F.lit(True).alias("outer"), "text")
+    return inner.union(outer).groupBy("bucket", "a", "b").applyInArrow(lambda t: _compare(t, shingle, percent), "u long, v long")
+
+
+def _compare(t: pa.Table, shingle: int, percent: int) -> pa.Table:
+    """The links between a block's outer rows and its others that join components."""
+    ids, comps, outer = t["id"].to_numpy(), t["id_comp"].to_numpy(), t["outer"].to_numpy(zero_copy_only=False)
+    sets, where = words.shingles(t["text"], shingle)
+    sizes = np.diff(where)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(sets, kind="stable")
+    first = blobs.runs(sets[order])
+    count = np.diff(np.append(first, len(sets)))
+    code = np.repeat(np.cumsum(count > 1) - 1, count)  # numbers of shingles that stand in several rows
+    shared = np.repeat(count > 1, count)
+    row, code = row[order][shared], code[shared]
+    place = np.where(outer, np.cumsum(outer), np.cumsum(~outer)) - 1
+    inter = np.zeros((int(outer.sum()), int((~outer).sum())), np.float32)
+    for lo in range(0, int(code[-1]) + 1 if len(code) else 0, 4096):
+        a, b = np.searchsorted(code, [lo, lo + 4096])
+        left, right = np.zeros((inter.shape[0], 4096), np.float32), np.zeros((inter.shape[1], 4096), np.float32)
+        of, at = row[a:b], code[a:b] - lo
+        left[place[of[outer[of]]], at[outer[of]]] = 1
+        right[place[of[~outer[of]]], at[~outer[of]]] = 1
+        inter += left @ right.T
+    total = sizes[outer][:, None] + sizes[~outer][None] - inter
+    hit = (inter * 100 >= total * percent) & (comps[outer][:, None] != comps[~outer][None])
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while parent.setdefault(c, c) != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    found = []
+    for i, j in zip(*np.nonzero(hit), strict=True):
+        a, b = root(int(comps[outer][i])), root(int(comps[~outer][j]))
+        if a != b:
+            parent[a] = b
+            found.append((int(ids[outer][i]), int(ids[~outer][j])))
+    return pa.table({"u": pa.array([x for x, _ in found], pa.int64()), "v": pa.array([x for _, x in found], pa.int64())})
