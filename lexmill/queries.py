@@ -1,4 +1,11 @@
-"""Registered queries of the core library and their SQL twins."""
+"""Registered queries of the core library and their SQL twins.
+
+The library's own tables are small, so each operator is put to the given tables:
+``pages`` stand for fetched pages, ``documents`` for sections, ``conversations`` for
+training samples, ``benchmark`` for expected answers, ``orders`` and ``lineitem`` for
+transactions.  Where a text has to speak of rules or rates, it is built from columns, in
+the same way on both sides.
+"""
 
 from __future__ import annotations
 
@@ -7,19 +14,770 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.functions import extract as X
+from lexmill.functions import scoring as S
+from lexmill.functions import text as T
+from lexmill.operators import capture, profile, quality, rules, split
+from lexmill.plans import evaluate, gold, guidance, legal, rates, saft
+from lexmill.sources import catalog, html, seeds
+from lexmill.streaming import events as windows
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+FLAGSHIP = "eval_grade"
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a function as the query of its name, with its SQL twin."""
+
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- texts and profiles ----------------------------------------------------------------
+
+
+@query(r"""
+WITH h AS (SELECT doc_id, sha256(trim(regexp_replace(lower(text), '[ \t\n\x0B\f\r]+', ' ', 'g'))) AS sha256,
+  len(list_filter(string_split_regex(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> ''))::INT AS token_count FROM documents WHERE text <> '')
+SELECT doc_id, sha256, token_count, doc_id > min(doc_id) OVER (PARTITION BY sha256) AS repeated FROM h
+""")
+def doc_stable_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical hashes, and whether an earlier document has the same."""
+    docs = table(spark, sf_dir, "documents").where("text <> ''")
+    own = docs.select("doc_id", T.stable_hash("text", canonical=True).alias("sha256"), T.token_count("text").alias("token_count"))
+    first = own.groupBy("sha256").agg(F.min("doc_id").alias("first"))
+    return own.join(first, "sha256").select("doc_id", "sha256", "token_count", (F.col("doc_id") > F.col("first")).alias("repeated"))
 
+
+@query(r"""
+WITH d AS (SELECT lang, length(text) AS c, len(list_filter(string_split_regex(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> ''))::INT AS t FROM documents)
+SELECT lang, count(*) AS n, sum(c)::BIGINT AS chars_sum, avg(c) AS chars_avg, min(c)::INT AS chars_min, max(c)::INT AS chars_max,
+  sum(t)::BIGINT AS tokens_sum, avg(t) AS tokens_avg, min(t) AS tokens_min, max(t) AS tokens_max FROM d GROUP BY lang
+""")
 def doc_text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts and sizes of documents by language."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("lang", "text")
-    size = F.length("text")
-    return docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(size).cast("long").alias("chars"), F.min(size).alias("shortest"), F.max(size).alias("longest"))
+    """Sizes of documents by language."""
+    return profile.text_sizes(table(spark, sf_dir, "documents"), "text", "lang")
+
+
+@query("""
+SELECT 'lang' AS field, coalesce(lang, 'unknown') AS value, count(*) AS n FROM documents GROUP BY ALL
+UNION ALL SELECT 'source', coalesce(source, 'unknown'), count(*) FROM documents GROUP BY ALL
+""")
+def doc_profile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequencies of languages and sources in one pass."""
+    return profile.counts(table(spark, sf_dir, "documents"), "lang", "source")
+
+
+@query("SELECT source AS value, count(*) AS n, count(*) * 100.0 / sum(count(*)) OVER () AS percent FROM documents GROUP BY source")
+def doc_share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of sources."""
+    return profile.shares(table(spark, sf_dir, "documents"), "source")
+
+
+@query(r"""
+WITH top AS (SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(lower(text), '[ \t\n\x0B\f\r]+')) AS word FROM documents)
+  WHERE word <> '' GROUP BY word ORDER BY n DESC, word LIMIT 20)
+SELECT word, n FROM top WHERE length(word) > 2
+""")
+def word_freq_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longer of the twenty most frequent words."""
+    return profile.frequent_words(table(spark, sf_dir, "documents"), "text", 20, 2)
+
+
+@query("""
+WITH s AS (SELECT CASE WHEN doc_id % 4 = 0 THEN '§ ' || doc_id WHEN doc_id % 4 = 1 THEN 'KAPITTEL_' || doc_id WHEN doc_id % 4 = 2 THEN 'Artikkel ' || doc_id ELSE lang END AS id FROM documents)
+SELECT CASE WHEN contains(id, '§') THEN 'paragraph' WHEN contains(upper(id), 'KAPITTEL') THEN 'chapter' WHEN contains(upper(id), 'ARTIKKEL') THEN 'article' ELSE 'other' END AS pattern, count(*) AS n
+FROM s GROUP BY pattern
+""")
+def section_id_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of section ids."""
+    k, name = F.col("doc_id") % 4, F.col("doc_id").cast("string")
+    ids = T.first_match([(k == 0, F.concat(F.lit("§ "), name)), (k == 1, F.concat(F.lit("KAPITTEL_"), name)), (k == 2, F.concat(F.lit("Artikkel "), name))], F.col("lang"))
+    return table(spark, sf_dir, "documents").groupBy(X.section_pattern(ids).alias("pattern")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT doc_id, lang FROM documents WHERE contains(lower(text), 'license')")
+def search_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that speak of a licence."""
+    return profile.search(table(spark, sf_dir, "documents"), "LICENSE").select("doc_id", "lang")
+
+
+@query("""
+WITH h AS (SELECT doc_id, text, position('license' IN lower(text)) AS p FROM documents WHERE contains(lower(text), 'license'))
+SELECT doc_id, p::INT AS "at", substr(text, greatest(p - 40, 1), p - greatest(p - 40, 1) + 7 + 40) AS context FROM h
+""")
+def search_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where they do, with what stands around it."""
+    return profile.search_context(table(spark, sf_dir, "documents"), "license").select("doc_id", "at", "context")
+
+
+@query("SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 10")
+def head_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten documents; the limit is what the operator does."""
+    return profile.head(table(spark, sf_dir, "documents").select("doc_id", "lang"), ["doc_id"], 10)
+
+
+# --- sources and pages -----------------------------------------------------------------
+
+_SOURCES_SQL = r"""
+WITH s AS (SELECT 'page_' || page_id AS source_id, page_id AS ord, url,
+  regexp_extract(url, '://([^/?#]+)', 1) AS publisher, regexp_extract(url, '://[^/]+/([a-z]{2})/', 1) AS domain FROM pages)
+"""
+
+
+def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("page_"), F.col("page_id").cast("string")).alias("source_id"),
+        F.col("page_id").alias("ord"),
+        "url",
+        F.regexp_extract("url", "://([^/?#]+)", 1).alias("publisher"),
+        F.regexp_extract("url", "://[^/]+/([a-z]{2})/", 1).alias("domain"),
+    )
+
+
+@query(_SOURCES_SQL + "SELECT source_id, publisher, domain FROM s WHERE lower(domain) = 'en'")
+def source_filter_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.by_domain(_sources(spark, sf_dir), "EN").select("source_id", "publisher", "domain")
+
+
+@query(_SOURCES_SQL + "SELECT source_id, publisher FROM s WHERE contains(lower(source_id), 'page_1')")
+def source_filter_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.by_id_pattern(_sources(spark, sf_dir), "PAGE_1").select("source_id", "publisher")
+
+
+@query(_SOURCES_SQL + "SELECT publisher, max(ord) AS ord, arg_max(source_id, ord) AS source_id FROM s WHERE publisher <> '' GROUP BY publisher")
+def source_lookup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last page of each host."""
+    return catalog.lookup(_sources(spark, sf_dir), "publisher", "ord").select("publisher", "ord", "source_id")
+
+
+@query(_SOURCES_SQL + "SELECT source_id, url FROM s WHERE source_id = 'page_7'")
+def source_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.by_id(_sources(spark, sf_dir), "page_7").select("source_id", "url")
+
+
+@query("""
+SELECT CASE WHEN page_id % 3 = 0 THEN 'legal' WHEN page_id % 3 = 1 THEN 'rates' WHEN page_id % 2 = 0 THEN 'amelding_overview' ELSE 'saft' END AS plan, count(*) AS n FROM pages GROUP BY plan
+""")
+def source_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many sources go to each plan."""
+    k = F.col("page_id")
+    named = table(spark, sf_dir, "pages").select(
+        T.first_match([(k % 3 == 0, "law"), (k % 3 == 1, "rates")], "guidance").alias("source_type"),
+        F.when(k % 2 == 0, "amelding_overview_x").otherwise("saft_v1").alias("source_id"),
+    )
+    return named.groupBy(catalog.route().alias("plan")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT page_id, regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+') AS valid, sha256(html) AS sha256 FROM pages")
+def page_url_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid URLs, and hashes of contents."""
+    return table(spark, sf_dir, "pages").select("page_id", T.is_url("url").alias("valid"), T.sha256_bytes(F.col("html").cast("binary")).alias("sha256"))
+
+
+_DECODED = "replace(replace(replace(replace(replace({}, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', '''')"
+
+
+@query(rf"""
+WITH t AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>', '', 'g'), '<!--.*?-->', '', 'g') AS h FROM pages)
+SELECT page_id, md5(trim(regexp_replace(replace({_DECODED.format("regexp_replace(h, '<[^>]+>', '', 'g')")}, '&amp;', '&'), '\s+', ' ', 'g'))) AS text_md5 FROM t
+""")
+def page_text_stripped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain text of pages, by patterns."""
+    return table(spark, sf_dir, "pages").select("page_id", F.md5(T.html_text("html").cast("binary")).alias("text_md5"))
+
 
+@query("SELECT tag, count(*) AS n FROM (SELECT unnest(regexp_extract_all(html, '<([a-z][a-z0-9]*)', 1)) AS tag FROM pages) GROUP BY tag")
+def page_dom_tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each element occurs in the trees of all pages."""
+    nodes = html.html_nodes(table(spark, sf_dir, "pages").select("page_id", "html"))
+    return nodes.where("tag <> '[document]'").groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
-_DOC_TEXT_STATS = """
-SELECT lang, count(*) AS n, sum(length(text))::BIGINT AS chars, min(length(text)) AS shortest, max(length(text)) AS longest
-FROM documents GROUP BY lang
+
+@query(r"""
+WITH a AS (SELECT page_id, regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS a FROM pages),
+b AS (SELECT page_id, trim(regexp_extract(a, '<h1>(.*?)</h1>', 1)) AS heading,
+  list_filter(list_transform(string_split_regex(regexp_replace(regexp_replace(a, '(?s)^.*</h1>', ''), '</?b>', '', 'g'), '</?(p|br)>'), lambda x: trim(x)), lambda x: x <> '') AS parts FROM a)
+SELECT page_id, replace(replace(replace(replace(replace(heading, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&') AS heading,
+  md5(replace(replace(replace(replace(replace(array_to_string(parts, ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&')) AS text_md5
+FROM b
+""")
+def page_heading_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headings of pages with what follows them."""
+    blocks = html.html_blocks(table(spark, sf_dir, "pages").select("page_id", "html")).where("kind = 'heading'")
+    return blocks.select("page_id", "heading", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+_LAW_PAGE = "concat('<h1 class=\"title\">Lov ', page_id, ' - Lovdata</h1><div class=\"kapittel\"><h2>Kapittel ', page_id % 9 + 1, '. Satser</h2>', '<div class=\"paragraf\" id=\"PARAGRAF_', page_id % 9 + 1, '-1\"><h3>§ ', page_id % 9 + 1, '-1. Omfang</h3><p>Loven gjelder ', regexp_extract(url, '://([^/?#]+)', 1), ' og andre.</p></div>', '<div class=\"paragraf\"><h3>§ ', page_id % 9 + 1, '-2. Unntak (Opphevet)</h3><p>Opphevet ved lov, ikr. ', page_id % 28 + 1, ' juni 2020.</p></div></div>')"
+
+
+@query(r"""
+SELECT page_id, 'PARAGRAF_' || (page_id % 9 + 1) || '-1' AS section_id, 'Kapittel ' || (page_id % 9 + 1) || ' PARAGRAF_' || (page_id % 9 + 1) || '-1' AS path,
+  '§ ' || (page_id % 9 + 1) || '-1. Omfang' AS heading, '§ ' || (page_id % 9 + 1) || '-1. Omfang Loven gjelder ' || regexp_extract(url, '://([^/?#]+)', 1) || ' og andre.' AS text_plain,
+  'Lov ' || page_id AS law_title, (page_id % 9 + 1)::VARCHAR AS chapter_no, false AS repealed, NULL AS repeal_date FROM pages
+UNION ALL
+SELECT page_id, '§ ' || (page_id % 9 + 1) || '-2', 'Kapittel ' || (page_id % 9 + 1) || ' § ' || (page_id % 9 + 1) || '-2', '§ ' || (page_id % 9 + 1) || '-2. Unntak (Opphevet)',
+  '§ ' || (page_id % 9 + 1) || '-2. Unntak (Opphevet) Opphevet ved lov, ikr. ' || (page_id % 28 + 1) || ' juni 2020.',
+  'Lov ' || page_id, (page_id % 9 + 1)::VARCHAR, true, '2020-06-' || lpad((page_id % 28 + 1)::VARCHAR, 2, '0') FROM pages
+""")
+def page_dom_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Law sections of pages built from the pages' numbers and hosts, through the tree and the legal plan."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.expr(_LAW_PAGE).alias("html"))
+    found = legal.sections(html.html_blocks(pages), ["page_id"], {"source_id": "page_id"})
+    return found.select("page_id", "section_id", "path", "heading", "text_plain", "law_title", "chapter_no", "repealed", "repeal_date")
+
+
+_RATE_PAGE = "concat('<main><table><tr><th>Type</th><th>Prosent</th></tr><tr><td>Næringsmidler</td><td>', page_id % 20 + 5, ' %</td></tr><tr><td>Persontransport, unntatt taxi</td><td>', page_id % 9 + 1, ',5 %</td><td>01.0', page_id % 9 + 1, '.2024</td></tr></table><p class=\"mva\">Alminnelig: ', page_id % 30, ' prosent er ', page_id % 30, ' %</p></main>')"
+
+
+@query(r"""
+SELECT page_id, 'reduced' AS kind, (page_id % 20 + 5) || ' %' AS value, (page_id % 20 + 5)::DOUBLE AS percentage, 'food_products' AS category, NULL AS valid_from, 0 AS n_exceptions FROM pages
+UNION ALL SELECT page_id, 'reduced', (page_id % 9 + 1) || '.5%', (page_id % 9 + 1) + 0.5, 'transport_entertainment', '2024-0' || (page_id % 9 + 1) || '-01', 1 FROM pages
+UNION ALL SELECT page_id, 'standard', (page_id % 30) || ' %', (page_id % 30)::DOUBLE, 'general_goods_services', NULL, 0 FROM pages
+""")
+def page_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VAT rates of pages built from the pages' numbers, through the tree and the rates plan."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.expr(_RATE_PAGE).alias("html"))
+    found = rates.rates(html.html_blocks(pages))
+    return found.select("page_id", "kind", "value", "percentage", "category", "valid_from", F.size("exceptions").alias("n_exceptions"))
+
+
+_SPEC_PAGE = "concat('<main><h2>Header overskrift</h2><p>x</p><h2>saft.Node', page_id, ' date</h2><p>Feltet må ha dato. Hvis tom, valider format: ISO.</p><table><tr><th>Element</th><th>Type</th><th>Kardinalitet</th><th>Beskrivelse</th></tr><tr><td>auditfile.El', page_id % 7, '</td><td>date</td><td>0-1</td><td>Saft element krever ', page_id % 5, '.</td></tr></table></main>')"
+
+
+@query(r"""
+SELECT page_id, 'Node' || page_id AS node_path, '1' AS cardinality, 'date' AS data_type, 'ISO' AS format, 2 AS n_rules, 'medium' AS priority, 'medium' AS complexity FROM pages
+UNION ALL SELECT page_id, 'El' || (page_id % 7), '0..1', 'date', 'ISO 8601', 0, 'medium', 'low' FROM pages
+""")
+def page_spec_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Specification nodes of headings and tables of pages built from the pages' numbers."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.expr(_SPEC_PAGE).alias("html"))
+    found = saft.page_nodes(html.html_blocks(pages))
+    return found.select("page_id", "node_path", "cardinality", "data_type", "format", F.size("validation_rules").alias("n_rules"), "priority", "complexity")
+
+
+_GUIDE_PAGE = "concat('<main><h2>Levering</h2><p>Du må levere hver måned innen frist ', page_id % 28, '.</p><div>A-melding<ul><li>kort</li><li>Arbeidsgiver må rapportere lønn ', page_id % 5, '</li></ul></div></main>')"
+
+
+@query(r"""
+SELECT page_id, 'amelding_heading_001' AS rule_id, 'submission_deadlines' AS category, 'Levering' AS title, 2 AS n_requirements, 'low' AS priority FROM pages
+UNION ALL SELECT page_id, 'amelding_list_001', 'employer_obligations', 'Regel 2: Arbeidsgiver må rapportere lønn ' || (page_id % 5) || '...', 1, 'low' FROM pages
+""")
+def page_guidance_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reporting rules of headings and lists of pages built from the pages' numbers."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.expr(_GUIDE_PAGE).alias("html"))
+    found = guidance.overview_rules(html.html_blocks(pages), ["page_id"])
+    return found.select("page_id", "rule_id", "category", "title", F.size("requirements").alias("n_requirements"), "priority")
+
+
+@query(r"""
+SELECT page_id, 'Header.El' || (page_id % 7) AS node_path, '0..*' AS cardinality, 'decimal' AS data_type, 'Max length: ' || (page_id % 50 + 1) AS detail FROM pages
+""")
+def document_text_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of document texts built from the pages' numbers."""
+    docs = table(spark, sf_dir, "pages").select("page_id", F.expr("concat('El', page_id % 7, ' (0,*): Amount of at most ', page_id % 50 + 1, ' characters')").alias("text"))
+    found = saft.text_nodes(docs, prefix=F.lit("Header"))
+    return found.select("page_id", "node_path", "cardinality", "data_type", F.get("technical_details", F.lit(0)).alias("detail"))
+
+
+# --- quality ---------------------------------------------------------------------------
+
+_RECORDS_SQL = """
+WITH r AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '' WHEN doc_id % 5 = 1 THEN 'no url' ELSE 'https://x.org/' || doc_id END AS source_url,
+  CASE WHEN doc_id % 7 = 0 THEN 'zz' ELSE sha256(text) END AS sha256, CASE WHEN lang = 'en' THEN 'tax' WHEN lang = 'de' THEN NULL ELSE lang END AS domain, source AS publisher FROM documents)
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"doc_text_stats": doc_text_stats}
-ORACLES: dict[str, str] = {"doc_text_stats": _DOC_TEXT_STATS}
-FLAGSHIP = "doc_text_stats"
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, lang = F.col("doc_id"), F.col("lang")
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        T.first_match([(k % 5 == 0, ""), (k % 5 == 1, "no url")], F.concat(F.lit("https://x.org/"), k.cast("string"))).alias("source_url"),
+        F.when(k % 7 == 0, "zz").otherwise(T.stable_hash("text")).alias("sha256"),
+        F.when(lang == "en", "tax").when(lang == "de", F.lit(None)).otherwise(lang).alias("domain"),
+        F.col("source").alias("publisher"),
+    )
+
+
+_ISSUES_SQL = (
+    _RECORDS_SQL
+    + """, i AS (SELECT count(*) AS records, (count(*) FILTER (coalesce(source_url, '') = '') + count(*) FILTER (coalesce(sha256, '') = '') + count(*) FILTER (coalesce(domain, '') = '') + count(*) FILTER (coalesce(publisher, '') = ''))::BIGINT AS missing,
+  count(*) FILTER (source_url <> '' AND NOT regexp_matches(source_url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+')) AS bad_urls,
+  count(*) FILTER (sha256 <> '' AND NOT regexp_matches(sha256, '^[a-f0-9]{64}$')) AS bad_hashes,
+  count(*) FILTER (domain <> '' AND domain NOT IN ('tax', 'accounting', 'reporting')) AS bad_domains FROM r)
+"""
+)
+
+
+@query(_ISSUES_SQL + "SELECT * FROM i")
+def quality_issue_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.issue_counts(_records(spark, sf_dir))
+
+
+@query(_ISSUES_SQL + ", n AS (SELECT records, least(missing, 5) + (bad_urls > 0)::INT + (bad_hashes > 0)::INT + (bad_domains > 0)::INT AS k FROM i) SELECT k = 0 AS is_valid, round(greatest(0.0, 10 - k / (records * 2.0) * 10), 2) AS quality_score, k::INT AS n_issues, records AS total_records FROM n")
+def quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.assess(_records(spark, sf_dir), "doc_id")
+    return out.select("is_valid", "quality_score", F.size("issues").alias("n_issues"), "total_records")
+
+
+@query(_RECORDS_SQL + "SELECT doc_id AS ord, field FROM (SELECT doc_id, unnest(['source_url', 'sha256', 'domain', 'publisher']) AS field, unnest([source_url, sha256, domain, publisher]) AS v, unnest([0, 1, 2, 3]) AS i FROM r) WHERE coalesce(v, '') = '' ORDER BY doc_id, i LIMIT 5")
+def quality_missing_first5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.first_missing(_records(spark, sf_dir), "doc_id")
+
+
+@query(
+    _RECORDS_SQL
+    + """, c AS (SELECT count(*) AS total, count(*) FILTER (source_url <> '') AS a, count(*) FILTER (sha256 <> '') AS b, count(*) FILTER (domain <> '') AS c, count(*) FILTER (doc_id <> 0) AS d FROM r)
+SELECT unnest(['source_url', 'sha256', 'domain', 'doc_id']) AS field, unnest([a, b, c, d]) AS filled, total, unnest([a, b, c, d]) * 100.0 / total AS percent FROM c"""
+)
+def completeness_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.completeness(_records(spark, sf_dir), "source_url", "sha256", "domain", "doc_id")
+
+
+@query("SELECT md5(text) AS key, count(*) AS n FROM documents GROUP BY key HAVING count(*) > 1")
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keyed = table(spark, sf_dir, "documents").select(F.md5(F.col("text").cast("binary")).alias("key"))
+    return quality.duplicate_keys(keyed, "key")
+
+
+@query("SELECT n_nationkey FROM nation EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal > 8000")
+def coverage_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations without a rich supplier."""
+    return quality.uncovered(table(spark, sf_dir, "nation").select("n_nationkey"), table(spark, sf_dir, "supplier").where("s_acctbal > 8000").select("s_nationkey"))
+
+
+@query("SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
+def dangling_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without a label."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return quality.dangling(docs, table(spark, sf_dir, "labels"), {"doc_id": "doc_id"})
+
+
+@query("""
+SELECT doc_id, array_to_string(list_filter([CASE WHEN length(text) < 50 THEN 'Text too short: ' || length(text) || ' chars (min: 50)' END, CASE WHEN doc_id % 5 = 0 THEN 'Missing source URL' END,
+  CASE WHEN doc_id % 11 = 0 THEN 'Missing required field: domain' END], lambda x: x IS NOT NULL), '; ') AS issues FROM documents
+""")
+def section_quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id")
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("text_plain"), F.when(k % 5 == 0, "").otherwise("u").alias("source_url"), F.lit("l").alias("law_id"), F.lit("s").alias("section_id"), F.when(k % 11 == 0, "").otherwise("tax").alias("domain"), F.lit("law").alias("source_type"))
+    return rows.select("doc_id", F.array_join(quality.section_issues(rows), "; ").alias("issues"))
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (length(role) > 0 AND role IN ('system', 'user', 'assistant') AND length(text) > 0) AS valid, count(*) FILTER (NOT (length(role) > 0 AND role IN ('system', 'user', 'assistant') AND length(text) > 0)) AS invalid FROM conversations")
+def schema_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages against their declared schema."""
+    from lexmill import schemas
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.col("text").alias("content"))
+    return quality.validate(rows, schemas.constraints("GoldMessage"), "conv_id").select("total", "valid", "invalid")
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (quality = 1) AS processed, count(*) FILTER (quality <> 1) AS failed, count(*) FILTER (quality = 1) / count(*) * 100.0 AS success_rate FROM labels")
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capture.counters(table(spark, sf_dir, "labels"), "quality = 1")
+
+
+# --- extraction ------------------------------------------------------------------------
+
+_RULE_TEXT = "concat('Feltet ', source, ' må ha ', n_chars, ' tegn. Dersom ', lang, ' mangler, skal ', source, ' kontroller verdien. Format: ', lang, '. ', source, ' til ', lang, ' → x', n_chars % 5, '. Krever id. For eksempel ', lang)"
+
+
+def _rule_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.expr(_RULE_TEXT).alias("t"))
+
+
+@query(rf"""
+WITH d AS (SELECT doc_id, lower({_RULE_TEXT}) AS t FROM documents), e AS (SELECT doc_id, list_concat(regexp_extract_all(t, 'må\s+([^.]*)', 1), regexp_extract_all(t, 'skal\s+([^.]*)', 1), regexp_extract_all(t, 'påkrevd\s+([^.]*)', 1), regexp_extract_all(t, 'obligatorisk\s+([^.]*)', 1), regexp_extract_all(t, 'krav\s+([^.]*)', 1)) AS r,
+  list_concat(regexp_extract_all(t, 'hvis\s+([^.]*)', 1), regexp_extract_all(t, 'dersom\s+([^.]*)', 1), regexp_extract_all(t, 'når\s+([^.]*)', 1), regexp_extract_all(t, 'regel\s*:?\s*([^.]*)', 1), regexp_extract_all(t, 'krav\s*:?\s*([^.]*)', 1)) AS b,
+  list_concat(regexp_extract_all(t, 'eksempel\s*:?\s*([^.]*)', 1), regexp_extract_all(t, 'for eksempel\s*:?\s*([^.]*)', 1), regexp_extract_all(t, 'f\.eks\.\s*([^.]*)', 1)) AS x,
+  list_concat(regexp_extract_all(t, 'avhenger\s+av\s+([^.]*)', 1), regexp_extract_all(t, 'krever\s+([^.]*)', 1), regexp_extract_all(t, 'må\s+ha\s+([^.]*)', 1), regexp_extract_all(t, 'forutsetter\s+([^.]*)', 1)) AS d FROM d)
+SELECT doc_id, array_to_string(list_transform(r, lambda v: trim(v)), '|') AS requirements, array_to_string(list_transform(b, lambda v: trim(v)), '|') AS business_rules, array_to_string(list_transform(x, lambda v: trim(v)), '|') AS examples, array_to_string(list_transform(d, lambda v: trim(v)), '|') AS dependencies FROM e
+""")
+def regex_requirements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _rule_texts(spark, sf_dir)
+    joined = lambda c, name: F.array_join(c, "|").alias(name)
+    return rows.select("doc_id", joined(X.requirements("t"), "requirements"), joined(X.business_rules("t"), "business_rules"), joined(X.examples("t"), "examples"), joined(X.dependencies("t"), "dependencies"))
+
+
+@query(r"SELECT doc_id, lang AS target, 'x' || (n_chars % 5) AS arrow_target FROM documents")
+def regex_field_mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the text's mappings, those of the source and of the language."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.expr("concat('Feltene: ', source, ' til ', lang, '. ', lang, ' → x', n_chars % 5)").alias("t"))
+    found = rows.withColumn("m", X.field_mappings("t"))
+    return found.select("doc_id", F.element_at("m", F.col("source")).alias("target"), F.element_at("m", F.col("lang")).alias("arrow_target"))
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, concat('Se § ', doc_id % 9, '-', doc_id % 4, ' og § ', doc_id % 3, '-1 i Merverdiavgifts-loven, lov-2009-06-19-', doc_id % 60) AS t FROM documents)
+SELECT doc_id, array_to_string(list_sort(list_distinct(list_concat(regexp_extract_all(t, 'lov-\d{4}-\d{2}-\d{2}-\d+'), regexp_extract_all(t, '§\s*\d+-\d+'), regexp_extract_all(t, '[A-ZÆØÅ][a-zæøå]*-loven')))), '|') AS citations,
+  regexp_matches('[' || t || ']', '\[§\s*[\d-]+\s+[^\]]+\]') AS cited FROM d
+""")
+def citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.expr("concat('Se § ', doc_id % 9, '-', doc_id % 4, ' og § ', doc_id % 3, '-1 i Merverdiavgifts-loven, lov-2009-06-19-', doc_id % 60)")
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(T.citations(t), "|").alias("citations"), T.has_citation(F.concat(F.lit("["), t, F.lit("]"))).alias("cited"))
+
+
+_CATEGORY_SQL = """
+CASE WHEN regexp_matches(t, 'næringsmidler|mat|food|kjøtt|fisk|grønnsaker') THEN 'food_products' WHEN regexp_matches(t, 'vann|avløp|water|sewage|drikkevann') THEN 'water_services'
+  WHEN regexp_matches(t, 'persontransport|kinobilletter|utleie|transport|kino|idrett|fornøyelse') THEN 'transport_entertainment' WHEN regexp_matches(t, 'alminnelig|standard|generell|hoved') THEN 'general_goods_services'
+  WHEN regexp_matches(t, 'null|zero|fritatt|unntatt') THEN 'exempt_goods_services' ELSE 'general_goods_services' END
+"""
+
+
+@query(f"SELECT p_partkey, {_CATEGORY_SQL} AS category, CASE WHEN {_CATEGORY_SQL} IN ('food_products', 'water_services', 'transport_entertainment') THEN 'reduced' WHEN {_CATEGORY_SQL} = 'exempt_goods_services' THEN 'zero' ELSE 'standard' END AS kind FROM (SELECT p_partkey, lower(p_name || ' ' || p_type) AS t FROM part)")
+def keyword_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.concat_ws(" ", "p_name", "p_type")
+    return table(spark, sf_dir, "part").select("p_partkey", X.rate_category(t).alias("category"), X.rate_kind(t).alias("kind"))
+
+
+@query("""
+WITH d AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'MainHeader' WHEN doc_id % 4 = 1 THEN 'Optional' ELSE source END AS p, CASE WHEN doc_id % 3 = 0 THEN 'Beregn sum' WHEN doc_id % 3 = 1 THEN 'Sjekk dato' ELSE lang END AS t FROM documents)
+SELECT doc_id, CASE WHEN regexp_matches(lower(p), 'header|hoved|main|root') THEN 'high' WHEN regexp_matches(lower(p), 'optional|valgfri') THEN 'low' ELSE 'medium' END AS priority,
+  CASE WHEN regexp_matches(lower(t), 'beregn|kalkuler|formel|regel|logikk') THEN 'high' WHEN regexp_matches(lower(t), 'valider|kontroller|sjekk') THEN 'medium' ELSE 'low' END AS complexity FROM d
+""")
+def priority_complexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id")
+    path, text = T.first_match([(k % 4 == 0, "MainHeader"), (k % 4 == 1, "Optional")], F.col("source")), T.first_match([(k % 3 == 0, "Beregn sum"), (k % 3 == 1, "Sjekk dato")], F.col("lang"))
+    return table(spark, sf_dir, "documents").select("doc_id", X.path_priority(path).alias("priority"), X.text_complexity(text).alias("complexity"))
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, concat(CASE WHEN doc_id % 2 = 0 THEN 'Varer unntatt ' || lang || '. ' ELSE '' END, CASE WHEN doc_id % 3 = 0 THEN 'Alkohol. ' ELSE '' END, '* merk ', source, '.') AS t FROM documents)
+SELECT doc_id, array_to_string(list_filter([CASE WHEN doc_id % 2 = 0 THEN lang END, CASE WHEN doc_id % 3 = 0 THEN 'Alkoholholdige drikkevarer har høyere sats' END], lambda x: x IS NOT NULL), '|') AS exceptions, 'merk ' || source AS notes FROM d JOIN documents USING (doc_id)
+""")
+def exceptions_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.expr("concat(if(doc_id % 2 = 0, concat('Varer unntatt ', lang, '. '), ''), if(doc_id % 3 = 0, 'Alkohol. ', ''), '* merk ', source, '.')")
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(X.rate_exceptions(t), "|").alias("exceptions"), X.rate_notes(t).alias("notes"))
+
+
+@query(r"""
+WITH d AS (SELECT l_orderkey, l_linenumber, 'Sats ' || CAST(round(l_discount * 100) AS INT) || ',' || l_linenumber || ' % fra 0' || l_linenumber || '.02.2024' AS t FROM lineitem)
+SELECT l_orderkey, l_linenumber, replace(regexp_extract(t, '(\d+[,\s]*\d*)\s*%', 1), ',', '.')::DOUBLE AS percent, '2024-02-0' || l_linenumber AS valid_from FROM d
+""")
+def percent_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.expr("concat('Sats ', cast(round(l_discount * 100) as int), ',', l_linenumber, ' % fra 0', l_linenumber, '.02.2024')")
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", X.percent(t).alias("percent"), T.validity_dates(F.array(t))["valid_from"].alias("valid_from"))
+
+
+@query("""
+SELECT event_id, CASE event_id % 6 WHEN 0 THEN '0..1' WHEN 1 THEN '1' WHEN 2 THEN '1..*' WHEN 3 THEN '0..*' WHEN 4 THEN '1' ELSE event_type END AS cardinality,
+  CASE event_id % 6 WHEN 0 THEN '1..1' WHEN 1 THEN '1..1' WHEN 2 THEN '1..*' WHEN 3 THEN '1..1' WHEN 4 THEN '1..1' ELSE '1..1' END AS in_document FROM events
+""")
+def cardinality_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("event_id") % 6
+    c = T.first_match([(k == 0, "valgfri"), (k == 1, " 1..1 "), (k == 2, "1+"), (k == 3, "zero or more"), (k == 4, "")], F.col("event_type"))
+    return table(spark, sf_dir, "events").select("event_id", X.cardinality(c).alias("cardinality"), X.document_cardinality(c).alias("in_document"))
+
+
+@query("""
+WITH d AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'en tekst' WHEN 1 THEN 'et tall' WHEN 2 THEN 'desimal' WHEN 3 THEN 'dato' WHEN 4 THEN 'bool' ELSE 'annet' END AS t FROM documents)
+SELECT doc_id, CASE t WHEN 'et tall' THEN 'integer' WHEN 'desimal' THEN 'decimal' WHEN 'dato' THEN 'date' WHEN 'bool' THEN 'boolean' ELSE 'string' END AS data_type,
+  CASE t WHEN 'et tall' THEN 'Integer' WHEN 'desimal' THEN 'Decimal' WHEN 'dato' THEN 'ISO 8601' ELSE 'String' END AS format FROM d
+""")
+def datatype_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.expr("element_at(array('en tekst', 'et tall', 'desimal', 'dato', 'bool', 'annet'), cast(doc_id % 6 + 1 as int))")
+    return table(spark, sf_dir, "documents").select("doc_id", X.data_type(t).alias("data_type"), X.type_format(X.data_type(t)).alias("format"))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'i dag' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS iso FROM orders
+""")
+def norwegian_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long dates, written out from orders' dates and read again."""
+    names = F.array(*(F.lit(m) for m in ("januar", "februar", "mars", "april", "mai", "juni", "juli", "august", "september", "oktober", "november", "desember")))
+    day = F.col("o_orderdate")
+    written = F.concat_ws(" ", F.dayofmonth(day).cast("string"), F.element_at(names, F.month(day)), F.year(day).cast("string"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", T.norwegian_date(F.when(F.col("o_orderkey") % 5 == 0, "i dag").otherwise(written)).alias("iso"))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS valid_from, CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d') END AS valid_to FROM orders
+""")
+def validity_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates of table cells; those that begin with the year aren't read."""
+    k, first, last = F.col("o_orderkey") % 3, F.col("o_orderdate"), F.col("o_orderdate") + F.expr("interval 30 days")
+    cells = F.array(F.lit("25 %"), F.when(k == 2, F.date_format(first, "yyyy-MM-dd")).otherwise(F.date_format(first, "dd.MM.yyyy")), F.when(k == 0, F.date_format(last, "d/M/yyyy")).otherwise("-"))
+    found = T.validity_dates(cells)
+    return table(spark, sf_dir, "orders").select("o_orderkey", found["valid_from"].alias("valid_from"), found["valid_to"].alias("valid_to"))
+
+
+@query("""
+SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN source WHEN 1 THEN lang || ' ' || source WHEN 2 THEN 'Om regnskap for ' || lang ELSE NULL END AS term FROM documents
+""")
+def term_from_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    heading = F.expr("case doc_id % 4 when 0 then concat('§ 3-', doc_id % 30, '. ', source) when 1 then concat('Kapittel 4 ', lang, ' ', source) when 2 then concat('Om regnskap for ', lang) else lang end")
+    return table(spark, sf_dir, "documents").select("doc_id", T.term(heading).alias("term"))
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, text, substr(text, 1, 200) AS head FROM documents), k AS (SELECT *, regexp_replace(head, '(?s)\.[^.]*$', '') AS kept FROM d)
+SELECT doc_id, CASE WHEN length(text) <= 200 THEN text WHEN kept <> '' THEN kept || '.' ELSE head || '...' END AS answer FROM k
+""")
+def truncate_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", T.truncated("text", 50).alias("answer"))
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, text, substr(text, 1, 200) AS head FROM documents), k AS (SELECT *, CASE WHEN regexp_matches(head, '[. ]') THEN length(regexp_extract(head, '(?s)^(.*)[. ]', 1)) ELSE -1 END AS p FROM d)
+SELECT doc_id, CASE WHEN length(text) <= 200 THEN text WHEN p > 140 THEN substr(head, 1, p + 1) || '...' ELSE head || '...' END AS preview FROM k
+""")
+def text_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", T.preview("text").alias("preview"))
+
+
+# --- VAT, samples and splits -------------------------------------------------------------
+
+
+@query("SELECT o_orderkey, round(o_totalprice / 1.25, 2) AS net, round(o_totalprice - o_totalprice / 1.25, 2) AS vat FROM orders")
+def vat_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = S.vat("o_totalprice", F.lit(25.0))
+    return table(spark, sf_dir, "orders").select("o_orderkey", parts["net"].alias("net"), parts["vat"].alias("vat"))
+
+
+@query(r"""
+WITH o AS (SELECT o_orderkey, o_orderpriority, round(o_totalprice) AS amount FROM orders)
+SELECT o_orderkey, 'Kontering:' || chr(10) || '- Konto: 6300 (' || o_orderpriority || ')' || chr(10) || '- MVA-kode: HIGH' || chr(10) || '- MVA-sats: 25.0%' || chr(10) || printf('- Beløp eksl. MVA: %.2f kr', round(amount / 1.25, 2)) || chr(10)
+  || printf('- MVA-beløp: %.2f kr', round(amount - amount / 1.25, 2)) || chr(10) || printf('- Totalt: %.2f kr', amount) || chr(10) || chr(10) || '[Regel ' || o_orderkey || ']' AS posting FROM o
+""")
+def posting_proposal_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = gold.posting_text(F.lit("6300"), F.col("o_orderpriority"), F.lit("HIGH"), F.lit(25.0), F.round("o_totalprice"), F.concat(F.lit("Regel "), F.col("o_orderkey").cast("string")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.alias("posting"))
+
+
+_SPLIT_SQL = """
+WITH fam AS (SELECT DISTINCT lang || '_' || source AS family FROM documents), r AS (SELECT family, row_number() OVER (ORDER BY md5('42:' || family), family) AS rk, count(*) OVER () AS n FROM fam),
+s AS (SELECT family, CASE WHEN rk <= floor(n::DOUBLE * 0.8) THEN 'train' ELSE 'val' END AS split FROM r), d AS (SELECT doc_id, family, split FROM (SELECT doc_id, lang || '_' || source AS family FROM documents) JOIN s USING (family))
+"""
+
+
+def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("_", "lang", "source").alias("family"))
+    return split.family_split(docs, "family").select("doc_id", "family", "split")
+
+
+@query(_SPLIT_SQL + "SELECT doc_id, family, split FROM d")
+def family_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split(spark, sf_dir)
+
+
+@query(_SPLIT_SQL + "SELECT count(*) AS leaking FROM (SELECT family FROM d GROUP BY family HAVING count(DISTINCT split) > 1)")
+def family_split_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many families leak; none should."""
+    return split.leaks(_split(spark, sf_dir), "family").agg(F.count(F.lit(1)).alias("leaking"))
+
+
+@query(_SPLIT_SQL + "SELECT split, count(*) AS samples, count(DISTINCT family) AS families FROM d GROUP BY split")
+def split_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.split_stats(_split(spark, sf_dir), "family")
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, source, lang, text FROM documents WHERE length(text) BETWEEN 100 AND 3000 AND NOT regexp_matches(lower(text), 'søknad|klage|vedtak|frist|innlevering|kontrollopplysninger|straff|overtredelse')),
+k AS (SELECT *, substr(text, 1, 1000) AS head, regexp_replace(substr(text, 1, 1000), '(?s)\.[^.]*$', '') AS kept FROM d),
+a AS (SELECT *, CASE WHEN length(text) <= 1000 THEN text WHEN kept <> '' THEN kept || '.' ELSE head || '...' END AS t, '[§ ' || doc_id || '-1 Lov ' || lang || ']' AS c FROM k)
+SELECT source || '_§ ' || doc_id || '-1' AS source_id, CASE WHEN ends_with(t, c) THEN t ELSE t || ' ' || c END AS answer, source || '_chapter_' || lang AS family_key, 3 AS n_messages FROM a
+""")
+def glossary_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions about documents as law sections."""
+    name = F.concat(F.lit("§ "), F.col("doc_id").cast("string"), F.lit("-1"))
+    sections = table(spark, sf_dir, "documents").select(F.col("source").alias("law_id"), name.alias("section_id"), name.alias("section_label"), F.concat(name, F.lit(". Om "), "lang").alias("heading"), F.col("text").alias("text_plain"), F.concat(F.lit("Lov "), "lang").alias("law_title"), F.col("lang").alias("chapter_no"))
+    out = gold.tax_glossary(sections)
+    return out.select(F.get("metadata.source_ids", F.lit(0)).alias("source_id"), F.get("messages", F.lit(2))["content"].alias("answer"), F.col("metadata.family_key").alias("family_key"), F.size("messages").alias("n_messages"))
+
+
+@query("""
+WITH p AS (SELECT 'expense_part_' || p_partkey AS rule_id FROM part), a AS (SELECT rule_id, unnest([500, 750, 1000, 1200, 1500, 1800, 2000, 2500, 3000, 3500, 4000, 5000, 7500, 10000, 15000]) AS amount FROM p),
+r AS (SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY md5('42:' || rule_id || ':' || amount), amount) - 1 AS i FROM a), v AS (SELECT rule_id, amount, i * 2 + j AS rk, CASE WHEN j = 0 THEN 'Kontorrekvisita ' || amount || ' kr' ELSE 'Kontormateriale' END AS description FROM r, (VALUES (0), (1)) t(j))
+SELECT rule_id, amount::INT AS amount, description FROM v WHERE rk < 15
+""")
+def rule_variations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variations of a rule for each part."""
+    actions = F.array(*(F.struct(F.lit(k).alias("type"), F.lit(v).alias("value")) for k, v in (("set_account", '"6300"'), ("set_vat_rate", "25.0"), ("set_vat_code", '"HIGH"'))))
+    made = table(spark, sf_dir, "part").select(F.concat(F.lit("expense_part_"), F.col("p_partkey").cast("string")).alias("rule_id"), F.col("p_name").alias("rule_name"), F.lit(True).alias("is_active"), actions.alias("actions"), F.array(F.lit("s")).alias("source_ids"), F.array().cast("array<string>").alias("citations"))
+    return gold.rule_variations(made).select("rule_id", "amount", "description")
+
+
+@query(r"SELECT o_orderkey, 'Ordre ' || o_orderkey || ' (' || o_orderpriority || '): {ukjent} ' || o_orderkey AS filled FROM orders")
+def conversation_template_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = F.create_map(F.lit("key"), F.col("o_orderkey").cast("string"), F.lit("priority"), F.col("o_orderpriority"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", gold.filled_template(F.lit("Ordre {key} ({priority}): {ukjent} {key}"), values).alias("filled"))
+
+
+@query("""
+WITH c AS (SELECT conv_id, count(*) AS n, arg_min(role, turn) AS first, count(*) FILTER (length(coalesce(text, '')) = 0) AS empty FROM conversations GROUP BY conv_id)
+SELECT conv_id, n >= 2 AND first = 'system' AND empty = 0 AS valid FROM c
+""")
+def chat_sample_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations that make valid samples."""
+    return _chats(spark, sf_dir).select("conv_id", (F.size(gold.sample_errors(F.col("messages"), F.col("metadata"))) == 0).alias("valid"))
+
+
+def _chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    chats = rows.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))), lambda m: F.struct(m["role"].alias("role"), m["text"].alias("content"))).alias("messages"))
+    return chats.withColumn("metadata", F.struct(F.lit("tax").alias("domain"), F.lit("conversation").alias("task"), F.array(F.lit("x")).alias("source_ids")))
+
+
+@query("SELECT conv_id, coalesce(arg_min(text, turn) FILTER (role = 'user'), '') AS question FROM conversations GROUP BY conv_id")
+def first_user_question(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _chats(spark, sf_dir).select("conv_id", evaluate.question(F.col("messages")).alias("question"))
+
+
+@query("SELECT 42 AS accounts, 30 AS rules, 0 AS dangling, 28 AS eligible, 25 AS families")
+def seed_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds of the seed tables."""
+    accounts, rows = seeds.accounts(spark), seeds.business_rules(spark)
+    able = gold.eligible_rules(rows)
+    one = lambda df, name: df.agg(F.count(F.lit(1)).cast("int").alias(name))
+    out = one(accounts.select("account_id").distinct(), "accounts")
+    for part in (one(rows.select("rule_id").distinct(), "rules"), one(quality.unknown_accounts(rows, accounts), "dangling"), one(able, "eligible"), one(able.select(X.rule_family("rule_id")).distinct(), "families")):
+        out = out.join(F.broadcast(part))  # each a single row
+    return out
+
+
+@query("SELECT 420 AS samples, 25 AS families, 15 AS most")
+def seed_rule_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posting proposals of the seed rules."""
+    samples = gold.rule_samples(seeds.business_rules(spark)).withColumn("rule", F.get("metadata.rule_ids", F.lit(0)))
+    per = samples.groupBy("rule").agg(F.count(F.lit(1)).alias("n"), F.first("metadata.family_key").alias("family"))
+    return per.agg(F.sum("n").cast("int").alias("samples"), F.count_distinct("family").cast("int").alias("families"), F.max("n").cast("int").alias("most"))
+
+
+# --- evaluation ------------------------------------------------------------------------
+
+_EVAL_SQL = r"""
+WITH b AS (SELECT item_id, text FROM benchmark), p AS (SELECT item_id, text AS expected, CASE WHEN item_id % 3 = 0 THEN text || ' [§ 1-1 Lov om avgift]' WHEN item_id % 3 = 1 THEN text ELSE substr(text, 1, 40) END AS predicted, [substr(text, 1, 5), 'zzz'] AS kw FROM b),
+w AS (SELECT *, list_distinct(list_filter(string_split_regex(lower(predicted), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) AS x, list_distinct(list_filter(string_split_regex(lower(expected), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) AS y,
+  len(list_filter(string_split_regex(predicted, '[ \t\n\x0B\f\r]+'), lambda x: x <> ''))::INT AS token_count FROM p),
+s AS (SELECT item_id, expected, predicted, CASE WHEN len(x) = 0 OR len(y) = 0 THEN 0.0 ELSE len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y))) END AS accuracy, CASE WHEN regexp_matches(predicted, '\[§\s*[\d-]+\s+[^\]]+\]') THEN 1.0 ELSE 0.0 END AS citation,
+  CASE WHEN token_count BETWEEN 100 AND 250 THEN 1.0 WHEN token_count BETWEEN 50 AND 99 OR token_count BETWEEN 251 AND 300 THEN 0.8 ELSE 0.5 END AS length, token_count,
+  len(list_filter(kw, lambda k: contains(lower(predicted), lower(k)))) / 2.0 AS keywords FROM w),
+g AS (SELECT *, accuracy * 0.5 + citation * 0.25 + length * 0.15 + keywords * 0.10 AS overall, CASE WHEN item_id % 2 = 0 THEN 'tax' ELSE 'accounting' END AS domain, CASE WHEN item_id % 4 < 2 THEN 'glossary_define' ELSE 'conversation' END AS task FROM s),
+r AS (SELECT *, CASE WHEN overall >= 0.90 THEN 'pass' WHEN overall >= 0.75 THEN 'acceptable' ELSE 'fail' END AS status FROM g)
+"""
+
+
+def _graded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, t = F.col("item_id"), F.col("text")
+    said = F.when(k % 3 == 0, F.concat(t, F.lit(" [§ 1-1 Lov om avgift]"))).when(k % 3 == 1, t).otherwise(F.substring(t, 1, 40))
+    rows = table(spark, sf_dir, "benchmark").select("item_id", t.alias("expected"), said.alias("predicted"), F.array(F.substring(t, 1, 5), F.lit("zzz")).alias("kw"), F.when(k % 2 == 0, "tax").otherwise("accounting").alias("domain"), F.when(k % 4 < 2, "glossary_define").otherwise("conversation").alias("task"))
+    return rows.select("item_id", F.col("item_id").alias("sample_no"), "domain", "task", S.grade("predicted", "expected", "kw").alias("s")).select("item_id", "sample_no", "domain", "task", "s.*")
+
+
+@query(_EVAL_SQL + "SELECT item_id, accuracy, citation, length, token_count, keywords, overall, status FROM r")
+def eval_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _graded(spark, sf_dir).select("item_id", "accuracy", "citation", "length", "token_count", "keywords", "overall", "status")
+
+
+@query(_EVAL_SQL + "SELECT count(*) AS count, avg(overall) AS overall_score, avg(accuracy) AS accuracy, avg(citation) AS citation_coverage, avg(token_count) AS avg_length_tokens, avg((status = 'pass')::INT) AS pass_rate FROM r")
+def eval_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.metrics(_graded(spark, sf_dir)).where("task is null and domain is null").drop("task", "domain")
+
+
+@query(_EVAL_SQL + "SELECT task, domain, count(*) AS count, avg(overall) AS overall_score, avg(accuracy) AS accuracy, avg(citation) AS citation_coverage, avg(token_count) AS avg_length_tokens, avg((status = 'pass')::INT) AS pass_rate FROM r GROUP BY GROUPING SETS ((task), (domain), ())")
+def eval_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.metrics(_graded(spark, sf_dir))
+
+
+@query(_EVAL_SQL + "SELECT item_id, overall FROM r WHERE status = 'fail' ORDER BY item_id LIMIT 5")
+def eval_failed_first5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.failed(_graded(spark, sf_dir), 5).select("item_id", "overall")
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, list_distinct(list_filter(string_split_regex(lower(text), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) AS x, list_distinct(list_filter(string_split_regex(lower(lead_text), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) AS y
+  FROM (SELECT doc_id, text, substr(text, 1, 120) AS lead_text FROM documents))
+SELECT doc_id, CASE WHEN len(x) = 0 OR len(y) = 0 THEN 0.0 ELSE len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y))) END AS similarity FROM d
+""")
+def eval_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word overlap of each document with its own beginning."""
+    return table(spark, sf_dir, "documents").select("doc_id", S.jaccard("text", F.substring("text", 1, 120)).alias("similarity"))
+
+
+@query("SELECT doc_id, ((contains(lower(text), 'the'))::INT + (contains(lower(text), 'der'))::INT + (contains(lower(text), 'que'))::INT) / 3.0 AS share FROM documents")
+def eval_keyword_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", S.keyword_share("text", F.array(F.lit("The"), F.lit("der"), F.lit("QUE"))).alias("share"))
+
+
+# --- capture, rules and events -----------------------------------------------------------
+
+
+@query("""
+WITH old AS (SELECT page_id, sha256(html) AS h FROM pages WHERE page_id % 4 <> 0), new AS (SELECT page_id, sha256(CASE WHEN page_id % 4 = 1 THEN html || ' ' ELSE html END) AS sha256 FROM pages)
+SELECT n.page_id, n.sha256, o.h IS NULL OR o.h <> n.sha256 AS changed FROM new n LEFT JOIN old o ON n.page_id = o.page_id
+""")
+def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which pages are new or changed between two snapshots."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    before = capture.fingerprints(pages.where("page_id % 4 <> 0").select("page_id", F.col("html").cast("binary").alias("content")), "page_id")
+    after = pages.select("page_id", F.when(F.col("page_id") % 4 == 1, F.concat("html", F.lit(" "))).otherwise(F.col("html")).cast("binary").alias("content"))
+    return capture.changed(capture.fingerprints(after, "page_id"), before, "page_id").select("page_id", "sha256", "changed")
+
+
+@query("SELECT source, max(doc_id) AS doc_id, arg_max(n_chars, doc_id) AS n_chars FROM documents GROUP BY source")
+def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capture.latest(table(spark, sf_dir, "documents").select("source", "doc_id", "n_chars"), "source", "doc_id")
+
+
+@query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")
+def events_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.tumbling(table(spark, sf_dir, "events"))
+
+
+@query("""
+WITH w AS (SELECT unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS window_start, event_type, value FROM events)
+SELECT window_start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM w GROUP BY ALL
+""")
+def events_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.sliding(table(spark, sf_dir, "events"))
+
+
+@query("""
+WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events),
+s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n, round(sum(value), 6) AS total FROM s GROUP BY user_id, k
+""")
+def events_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.sessions(table(spark, sf_dir, "events"))
+
+
+@query("SELECT count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events)")
+def events_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.deduplicated(table(spark, sf_dir, "events"), "user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+SELECT event_id, last_value(CASE WHEN event_id % 3 = 0 THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_seen FROM events
+""")
+def events_asof_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.last_before(table(spark, sf_dir, "events"), "event_id % 3 = 0", "value").select("event_id", "last_seen")
+
+
+@query("""
+WITH t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'hotel' WHEN o_orderkey % 3 = 1 THEN 'food' ELSE 'other' END AS category, CASE WHEN o_orderkey % 2 = 0 THEN 'NO' ELSE 'SE' END AS country, CASE WHEN o_orderkey % 5 = 0 THEN 'travel' END AS context FROM orders)
+SELECT o_orderkey, CASE WHEN category = 'hotel' AND country = 'NO' THEN 'expense_hotel_no_001' WHEN category = 'food' AND context = 'travel' THEN 'expense_food_travel_001' END AS rule_id,
+  CASE WHEN category = 'hotel' AND country = 'NO' THEN '7140' WHEN category = 'food' AND context = 'travel' THEN '7160' END AS account, CASE WHEN category = 'hotel' AND country = 'NO' THEN 12.0 WHEN category = 'food' AND context = 'travel' THEN 15.0 END AS vat_rate FROM t
+""")
+def rule_engine_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two rules on hotels and food that orders, as expenses, can meet."""
+    k = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.lit("expense").alias("transaction_type"),
+        T.first_match([(k % 3 == 0, "hotel"), (k % 3 == 1, "food")], "other").alias("category"),
+        F.when(k % 2 == 0, "NO").otherwise("SE").alias("country"),
+        F.when(k % 5 == 0, "travel").alias("context"),
+    )
+    own = gold.rules_as_rows(seeds.business_rules(spark).where(F.col("rule_id").isin("expense_hotel_no_001", "expense_food_travel_001")))
+    return rules.match(rows, own).select("o_orderkey", "rule_id", "account", "vat_rate")
