@@ -92,7 +92,7 @@ def bronze_pages(spark: SparkSession, settings: Settings, sources: DataFrame) ->
 
 def silver_tables(pages: DataFrame) -> dict[str, DataFrame]:
     """The silver tables of pages with catalogue columns, ``content`` and ``page_sha256``."""
-    routed = catalog.with_defaults(pages).withColumns({"plan": catalog.route(), "html": F.decode("content", F.lit("UTF-8"))}).where("content is not null and plan is not null")
+    routed = catalog.with_defaults(pages).withColumns({"plan": catalog.route(), "html": F.decode("content", "UTF-8")}).where("content is not null and plan is not null")
     meta = ["source_id", "title", "url", "version", "jurisdiction", "effective_from", "effective_to", "domain", "source_type", "publisher", "crawl_freq", "plan", "page_sha256"]
     blocks = html_blocks(routed.select(*(c for c in meta if c in routed.columns), "html"))
     plain = blocks.drop("title", "version", "jurisdiction", "effective_from", "effective_to", "domain", "source_type", "publisher", "crawl_freq")
