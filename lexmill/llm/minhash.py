@@ -67,7 +67,7 @@ def signatures(sets: np.ndarray, where: np.ndarray, values: int, seed: int = 1)
 
 def _profile(batches: Iterator[pa.RecordBatch], shingle: int, rows: int, bands: int) -> Iterator[pa.RecordBatch]:
     """Of each document: size and 128-bit digest of its shingle set, and a hash for each band."""
-    for batch in batches:
+    for batch in words.sliced(batches, 1):
         sets, where = words.shingles(batch.column(1), shingle)
         sizes = np.diff(where)
         digests = []
@@ -201,6 +201,7 @@ def _block_links(members: DataFrame, texts: DataFrame, shingle: int, percent: in
 def _compare(t: pa.Table, shingle: int, percent: int) -> pa.Table:
     """The links between a block's outer rows and its others that join components."""
     ids, comps, outer = t["id"].to_numpy(), t["id_comp"].to_numpy(), t["outer"].to_numpy(zero_copy_only=False)
+    own, other = np.flatnonzero(outer), np.flatnonzero(~outer)
     sets, where = words.shingles(t["text"], shingle)
     sizes = np.diff(where)
     row = np.repeat(np.arange(len(sizes)), sizes)
@@ -211,7 +212,7 @@ def _compare(t: pa.Table, shingle: int, percent: int) -> pa.Table:
     shared = np.repeat(count > 1, count)
     row, code = row[order][shared], code[shared]
     place = np.where(outer, np.cumsum(outer), np.cumsum(~outer)) - 1
-    inter = np.zeros((int(outer.sum()), int((~outer).sum())), np.float32)
+    inter = np.zeros((len(own), len(other)), np.float32)
     for lo in range(0, int(code[-1]) + 1 if len(code) else 0, 4096):
         a, b = np.searchsorted(code, [lo, lo + 4096])
         left, right = np.zeros((inter.shape[0], 4096), np.float32), np.zeros((inter.shape[1], 4096), np.float32)
@@ -219,8 +220,8 @@ def _compare(t: pa.Table, shingle: int, percent: int) -> pa.Table:
         left[place[of[outer[of]]], at[outer[of]]] = 1
         right[place[of[~outer[of]]], at[~outer[of]]] = 1
         inter += left @ right.T
-    total = sizes[outer][:, None] + sizes[~outer][None] - inter
-    hit = (inter * 100 >= total * percent) & (comps[outer][:, None] != comps[~outer][None])
+    total = sizes[own][:, None] + sizes[other][None] - inter
+    hit = (inter * 100 >= total * percent) & (comps[own][:, None] != comps[other][None])
     parent: dict[int, int] = {}
 
     def root(c: int) -> int:
@@ -230,8 +231,8 @@ def _compare(t: pa.Table, shingle: int, percent: int) -> pa.Table:
 
     found = []
     for i, j in zip(*np.nonzero(hit), strict=True):
-        a, b = root(int(comps[outer][i])), root(int(comps[~outer][j]))
+        a, b = root(int(comps[own[i]])), root(int(comps[other[j]]))
         if a != b:
             parent[a] = b
-            found.append((int(ids[outer][i]), int(ids[~outer][j])))
+            found.append((int(ids[own[i]]), int(ids[other[j]])))
     return pa.table({"u": pa.array([x for x, _ in found], pa.int64()), "v": pa.array([x for _, x in found], pa.int64())})

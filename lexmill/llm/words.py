@@ -67,6 +67,17 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def sliced(batches: Iterator[pa.RecordBatch], at: int, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the texts of column ``at`` have about ``size`` bytes in each; a longer text is alone.
+
+    Arrays over all words of a batch then have a bounded size, however many rows Arrow batches have.
+    """
+    for batch in batches:
+        _, offsets = text_bytes(batch.column(at))
+        for lo, hi in _pieces(offsets, size):
+            yield batch.slice(lo, hi - lo)
+
+
 def bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of each word; no word reaches over the end of a text."""
     if not len(raw):
