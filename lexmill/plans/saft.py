@@ -119,7 +119,7 @@ _PIPES = r"(?Udm)(\w+(?:\.\w+)*)\s*\|\s*([0-9*.,]+)\s*\|\s*(.+?)(?=\n\w|\n\n|$)"
 def _found(text: Column, pattern: str, part: int) -> Column:
     groups = [F.regexp_extract_all(text, F.lit(pattern), F.lit(i)) for i in (1, 2, 3)]
     zipped = F.arrays_zip(*(g.alias(n) for g, n in zip(groups, "abc", strict=True)))
-    return F.transform(zipped, lambda m, i: F.struct(F.lit(part).alias("part"), i.alias("i"), m["a"].alias("path"), m["b"].alias("said"), m["c"].alias("text")))
+    return F.transform(zipped, lambda m, i: F.struct(F.lit(part).alias("part"), i.alias("i"), m["a"].alias("__path"), m["b"].alias("__said"), m["c"].alias("__text")))
 
 
 def _occurs(attributes: Column) -> Column:
@@ -129,19 +129,19 @@ def _occurs(attributes: Column) -> Column:
 
 
 def _document_nodes(rows: DataFrame, kept: list[str], version: str) -> DataFrame:
-    """(part, i, path, said, text, typed) as nodes; paths of one character are dropped."""
-    path = F.trim("path")
-    text = F.trim(filled("text"))
-    rows = rows.where(F.length(path) >= 2).withColumns({"path": path, "description": F.when(text == "", F.concat(F.lit("SAF-T element: "), path)).otherwise(text)})
-    typed = F.when(filled("typed") == "", X.document_data_type("description")).otherwise(F.col("typed"))
+    """(part, i, __path, __said, __text, __typed) as nodes; paths of one character are dropped."""
+    path = F.trim("__path")
+    text = F.trim(filled("__text"))
+    rows = rows.where(F.length(path) >= 2).withColumns({"__path": path, "description": F.when(text == "", F.concat(F.lit("SAF-T element: "), path)).otherwise(text)})
+    typed = F.when(filled("__typed") == "", X.document_data_type("description")).otherwise(F.col("__typed"))
     return rows.select(
         *kept,
         "part",
         F.col("i").alias("ord"),
         F.lit("SAF-T").alias("spec"),
         F.lit(version).alias("version"),
-        F.col("path").alias("node_path"),
-        X.document_cardinality("said").alias("cardinality"),
+        F.col("__path").alias("node_path"),
+        X.document_cardinality("__said").alias("cardinality"),
         "description",
         typed.alias("data_type"),
         X.document_type_format(typed).alias("format"),
@@ -159,9 +159,9 @@ def text_nodes(docs: DataFrame, text: str = "text", prefix: Column | None = None
     before = prefix if prefix is not None else F.lit("")
     own = filled(text)
     rows = docs.select(*kept, before.alias("__prefix"), F.explode(F.concat(_found(own, _ELEMENT, 0), _found(own, _MARKUP, 1), _found(own, _PIPES, 2))).alias("m")).select(*kept, "__prefix", "m.*")
-    path = F.when((F.col("__prefix") != "") & ~F.col("path").startswith(F.col("__prefix")), F.concat("__prefix", F.lit("."), "path")).otherwise(F.col("path"))
-    said = F.when(F.col("part") == 1, _occurs(F.col("said"))).otherwise(F.trim("said"))
-    return _document_nodes(rows.withColumns({"path": path, "said": said, "typed": F.lit("")}), kept, version)
+    path = F.when((F.col("__prefix") != "") & ~F.col("__path").startswith(F.col("__prefix")), F.concat("__prefix", F.lit("."), "__path")).otherwise(F.col("__path"))
+    said = F.when(F.col("part") == 1, _occurs(F.col("__said"))).otherwise(F.trim("__said"))
+    return _document_nodes(rows.withColumns({"__path": path, "__said": said, "__typed": F.lit("")}), kept, version)
 
 
 # Key words of table headers, tried in this order; the last column of a kind counts.
@@ -179,8 +179,8 @@ def table_nodes(docs: DataFrame, tables: str = "tables", version: str = "1.30")
         at = F.array_max(F.transform("kinds", lambda k, i: F.when(k == name, i)))
         return F.trim(filled(F.get("cells", at)))
 
-    rows = rows.select(*kept, "part", "i", cell("path").alias("path"), X.table_cardinality(cell("said")).alias("said"), cell("text").alias("text"), cell("typed").alias("typed"))
-    return _document_nodes(rows.where(~F.lower("path").isin("element", "structure") & ~F.col("path").startswith("<")), kept, version)
+    rows = rows.select(*kept, "part", "i", cell("path").alias("__path"), X.table_cardinality(cell("said")).alias("__said"), cell("text").alias("__text"), cell("typed").alias("__typed"))
+    return _document_nodes(rows.where(~F.lower("__path").isin("element", "structure") & ~F.col("__path").startswith("<")), kept, version)
 
 
 def document_nodes(docs: DataFrame, key: str, name: str, prefixes: dict[str, str], version: str = "1.30") -> DataFrame:

@@ -13,7 +13,7 @@ from lexmill.sources.files import exists
 
 def arriving_files(spark: SparkSession, folder: str, pattern: str = "*.html") -> DataFrame:
     """(source_id, url, content, error) of files as they arrive; a source's id is the file's name."""
-    files = spark.readStream.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", pattern).load(folder)
     name = F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1)
     return files.select(name.alias("source_id"), F.col("path").alias("url"), "content", F.lit(None).cast("string").alias("error"))
 
