@@ -174,8 +174,12 @@ def shingles(column: pa.Array | pa.ChunkedArray, length: int, lower: bool = True
             up, _ = _power(int(size))
             own[of] = mix((block * up[:size]).sum(axis=1, dtype=U64) + U64(size))
         found, text = np.concatenate([found, own]), np.concatenate([text, short])
-    order = np.lexsort((found, text))
-    found, text = found[order], text[order]
+    if len(short):
+        order = np.argsort(text, kind="stable")
+        found, text = found[order], text[order]
+    where = np.searchsorted(text, np.arange(len(sizes) + 1))
+    for a, b in zip(where[:-1].tolist(), where[1:].tolist(), strict=True):
+        found[a:b].sort()
     first = np.ones(len(found), bool)
     first[1:] = (found[1:] != found[:-1]) | (text[1:] != text[:-1])
     found, text = found[first], text[first]
