@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from lexmill.llm import words
 
-FEATURES = ("log_words", "word_length", "upper", "digit", "exclaim", "symbol", "punctuation", "accent", "distinct_words", "distinct_triples", "line_words", "distinct_lines")
+FEATURES = ("log_words", "word_length", "upper", "digit", "exclaim", "symbol", "punctuation", "accent", "distinct_words", "distinct_triples", "line_words")
 
 # Classes of bytes: 0 other, 1 upper, 2 digit, 3 exclaim, 4 symbol, 5 punctuation, 6 line feed, 7 part of a longer character.
 _CLASS = np.zeros(256, np.int64)
@@ -43,13 +43,15 @@ _CLASS[0x0A] = 6
 _CLASS[0x80:] = 7
 
 
-def _distinct(hashes: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
-    """The number of distinct hashes of each text."""
-    order = np.lexsort((hashes, text))
-    hashes, text = hashes[order], text[order]
-    first = np.ones(len(hashes), bool)
-    first[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
-    return np.bincount(text[first], minlength=n)
+def _distinct(hashes: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """The number of distinct hashes of each text; sorts the hashes in place."""
+    out = np.zeros(len(where) - 1)
+    for i, (a, b) in enumerate(zip(where[:-1].tolist(), where[1:].tolist(), strict=True)):
+        if b > a:
+            own = hashes[a:b]
+            own.sort()
+            out[i] = 1 + np.count_nonzero(own[1:] != own[:-1])
+    return out
 
 
 def features(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -57,19 +59,12 @@ def features(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     raw, offsets = words.text_bytes(column)
     n = len(offsets) - 1
     counts = np.zeros((n, 8))
-    line_counts, line_kinds = np.zeros(n), np.zeros(n)
     for i in range(n):
-        piece = raw[offsets[i] : offsets[i + 1]]
-        counts[i] = np.bincount(_CLASS[piece], minlength=8)
-        if len(piece):
-            lines = [x for x in piece.tobytes().split(b"\n") if x.strip()]
-            line_counts[i], line_kinds[i] = len(lines), len(set(lines))
+        counts[i] = np.bincount(_CLASS[raw[offsets[i] : offsets[i + 1]]], minlength=8)
     hashes, where = words.tokens(column)
     sizes = np.diff(where).astype(float)
-    text = np.repeat(np.arange(n), np.diff(where))
     triples, starts = words.windows(hashes, where, 3)
-    own = text[starts] if len(starts) else np.zeros(0, np.int64)
-    n_triples = np.bincount(own, minlength=n)
+    edges = np.searchsorted(starts, where)
     size = np.diff(offsets).astype(float)
     rate = lambda k: np.log((counts[:, k] + 0.5) / (size + 20))
     part = lambda a, b: np.log((b - a + 0.5) / (b + 20))
@@ -77,11 +72,10 @@ def features(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
         np.log1p(sizes),
         np.log((size + 5) / (sizes + 1)),
         *(rate(k) for k in (1, 2, 3, 4, 5, 7)),
-        part(_distinct(hashes, text, n), sizes),
-        part(_distinct(triples, own, n), n_triples),
-        np.log1p(sizes / np.maximum(1, line_counts)),
-        part(line_kinds, line_counts),
+        part(_distinct(triples, edges), np.diff(edges)),
+        np.log1p(sizes / (counts[:, 6] + 1)),
     ]
+    columns.insert(8, part(_distinct(hashes, where), sizes))  # last, as it sorts the hashes
     return np.stack(columns, axis=1)
 
 
@@ -104,12 +98,12 @@ class Model:
 
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in words.sliced(batches, 1):
         x = features(batch.column(1))
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x[:, i]) for i in range(x.shape[1]))], names=["id", *FEATURES])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", to_pooled: float = 0.2, to_identity: float = 0.02, unpaired: Column | None = None) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", to_pooled: float = 0.35, to_identity: float = 0.02, unpaired: Column | None = None) -> Model:
     """Fits the model to the labelled documents; ``unpaired`` selects label rows to leave out.
 
     ``to_pooled`` is the weight of the pooled covariance in that of a class, ``to_identity``
@@ -150,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
 
 
 def _scores(batches: Iterator[pa.RecordBatch], at: int, model: Model, dropped: bool) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in words.sliced(batches, at):
         out = pa.array(model.score(features(batch.column(at))), pa.float64())
         rest = [c for i, c in enumerate(batch.columns) if not (dropped and i == at)]
         yield pa.RecordBatch.from_arrays([*rest, out], names=[*(f"c{i}" for i in range(len(rest))), "score"])
