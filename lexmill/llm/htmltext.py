@@ -34,6 +34,9 @@ REGION = frozenset("article main section div body td".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 #: Words of a class or id that mark what isn't content.
 MARKS = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer header masthead menu nav navbar navigation newsletter notice notices pager pagination popup modal promo promoted related replies reply respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
+#: Of them, those that count for an article too: each comment may be one.
+COMMENTS = frozenset("comment comments reply replies respond disqus".split())
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "option": ("select",)}
 _WORDS = re.compile(r"[A-Za-z]+|\d+")
@@ -67,6 +70,11 @@ class _Lines(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.seen += 1
+        if tag == "body" or tag in BLOCK and tag != "br":
+            for i, (name, *_) in enumerate(self.open):
+                if name == "head":  # that wasn't closed
+                    self._pop_to(i)
+                    break
         if tag in BLOCK:
             self._flush()
             if tag != "br":
@@ -88,12 +96,15 @@ class _Lines(HTMLParser):
     def _marked(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in ASIDE:
             return not (tag == "header" and any(x[0] == "article" for x in self.open))
-        if tag in ("html", "body", "article", "main"):
+        if tag in ("html", "body", "main"):
             return False
+        marks = COMMENTS if tag == "article" else MARKS
         for name, value in attrs:
             if name in ("hidden", "inert") or name == "role" and value in ROLES or name == "aria-hidden" and value == "true":
                 return True
-            if name in ("class", "id") and value and any(w.lower() in MARKS for w in _WORDS.findall(value)):
+            if name == "style" and value and _HIDDEN.search(value):
+                return True
+            if name in ("class", "id") and value and any(w.lower() in marks for w in _WORDS.findall(value)):
                 return True
         return False
 

@@ -163,7 +163,7 @@ WITH article AS (
   SELECT page_id, url, string_split_regex(regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?b>', '', 'g'), '</?(p|h1|br)>') AS blocks FROM pages
 ), text AS (
   SELECT page_id, url, array_to_string(list_filter(list_transform(blocks, lambda x: trim(regexp_replace(
-    replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&'), '[\t\n\f\r ]+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS text FROM article
+    regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(x, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#x27;', ''''), '&amp;?', '&', 'g'), '[\t\n\f\r ]+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS text FROM article
 )
 SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM text
 """

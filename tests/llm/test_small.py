@@ -423,6 +423,7 @@ def test_secret_tables(spark):
         ("<article><h1>T</h1><p><b>One<br><p>Two  &lt;\n x</article><footer>f</footer>", "T\nOne\nTwo < x"),
         ("<body><header>h</header><div class='sidebar'>s</div><main><p>Long enough text of the page</p><form>f</form><p>b</p></main><div id='comments'>c</div></body>", "Long enough text of the page\nb"),
         ("<article><script>if(a<b)</script><style>x</style><p>ok</p><aside>no</aside><div class='cookie-notice'>c</div><div class='header'>h</div></article>", "ok"),
+        ("<head><title>t</title><p>no head end</p><article class='comment'>c</article><p style='display: none'>h</p>", "no head end"),
         ("<div class=ad>buy</div><article>a<div>b</div>c</article>", "a\nb\nc"),
         ("<article><p>x</p></article></article></p><p>late</p>", "x"),
         ("<body><div><p>one one one one</p><p>two two two two</p></div><div class='menu'><a>m</a></div></body>", "one one one one\ntwo two two two"),
