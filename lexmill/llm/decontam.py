@@ -125,8 +125,8 @@ def _summed(rows: np.ndarray, stride: np.ndarray, n: int) -> np.ndarray:
 
 
 def _sequences(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Of each batch one row: how many passages, and its restricted sequence by stride."""
-    for batch in batches:
+    """Of each slice one row: how many strides, and its restricted sequence by stride."""
+    for batch in words.sliced(batches, 0):
         term, position, doc, sizes = _restricted(batch.column(0), vocabulary)
         stride, first = _strides(position, doc, sizes)
         yield pa.RecordBatch.from_arrays(
@@ -291,7 +291,7 @@ def _search(column: pa.Array, model: Model) -> list[tuple[int, float] | None]:
 
 
 def _flags(batches: Iterator[pa.RecordBatch], at: int, models: list[Model], kept: list[int]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in words.sliced(batches, at):
         best: list[tuple[int, float] | None] = [None] * batch.num_rows
         for model in models:
             for i, found in enumerate(_search(batch.column(at), model)):
