@@ -19,7 +19,7 @@ from lexmill.llm import scratch
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("v", "u")).toDF("u", "v")
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small(edges: DataFrame) -> DataFrame:
@@ -32,13 +32,11 @@ def _small(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(id, component) of every vertex of an edge between different vertices; component is the least id."""
     a, b = F.col(u), F.col(v)
-    now = scratch.save(edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    mark = None
-    while True:
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen[0] == 0 or seen == mark:
-            break
-        mark = seen
-        now = scratch.save(_small(_large(now)))
+    mark = (F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
+    now, seen = scratch.save_counted(edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), *mark)
+    before = None
+    while seen[0] and seen != before:
+        before = seen
+        now, seen = scratch.save_counted(_small(_large(now)), *mark)
     stars = now.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return stars.union(now.select("v", "v").distinct()).toDF("id", "component")

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _OWN: dict[str, list[str]] = {}
 
@@ -36,6 +36,13 @@ def save(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def save_counted(df: DataFrame, *measures: Column) -> tuple[DataFrame, tuple]:
+    """As ``save``, with the values of aggregates over the table, taken while it is written."""
+    seen = Observation()
+    saved = save(df.observe(seen, *measures))
+    return saved, tuple(seen.get.values())
+
+
 def release(spark: SparkSession) -> None:
     """Deletes the scratch tables of this application; call it once results are written."""
     jvm = spark.sparkContext._jvm
