@@ -190,14 +190,15 @@ def search(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
     """(query_id, rank, vec_id, score) of the k nearest of each row whose id is divisible by ``modulus``."""
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where("id is not null and v is not null")
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(FIT).toArrow()
+    total = rows.count()
+    sample = _sampled(rows, FIT, total, 0).toArrow()
     raw, fits = _matrix(sample["v"])
     width = raw.shape[1]
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not fits.any():
         return empty
     tree = fit_tree(_units(_scaled(raw[fits])), leaf_size)
-    visits = _calibrated(rows, tree, width, k, modulus, recall)
+    visits = _calibrated(rows, _sampled(rows.where(F.col("id") % modulus == 0), CALIBRATE, total / modulus, 1), tree, width, k, recall)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,13 +229,20 @@ def search(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
     return near.withColumn("rank", best.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _calibrated(rows: DataFrame, tree: Tree, width: int, k: int, modulus: int, recall: float) -> int:
+def _sampled(rows: DataFrame, n: int, total: float, salt: int) -> DataFrame:
+    """The ``n`` rows of about ``total`` with the smallest hashes; a share that surely holds them is cut out first, so that tasks send few."""
+    key = F.xxhash64("id", F.lit(salt))
+    share = int(min(1.0, (1.2 * n + 100) / max(total, 1)) * (1 << 40))
+    return rows.where(F.pmod(key, F.lit(1 << 40)) < share).orderBy(F.pmod(key, F.lit(1 << 40)), "id").limit(n)
+
+
+def _calibrated(rows: DataFrame, asked: DataFrame, tree: Tree, width: int, k: int, recall: float) -> int:
     """The number of leaves to visit, so that the calibration queries find the wanted share of their neighbours among all rows."""
-    asked = rows.where(F.col("id") % modulus == 0).orderBy(F.xxhash64("id", F.lit(1)), "id").limit(CALIBRATE).toArrow()
-    raw, fits = _matrix(asked["v"], width)
+    found_rows = asked.toArrow()
+    raw, fits = _matrix(found_rows["v"], width)
     if not fits.any():
         return 1
-    ids, queries = asked["id"].to_numpy()[fits], _scaled(raw[fits])
+    ids, queries = found_rows["id"].to_numpy()[fits], _scaled(raw[fits])
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
