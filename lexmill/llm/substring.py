@@ -32,6 +32,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,17 +49,14 @@ class _Chunk:
     """The documents of a chunk, in an order that every pass repeats."""
 
     def __init__(self, table: pa.Table, window: int, ranges: int) -> None:
-        table = table.combine_chunks()
-        ids = table["id"].to_pylist()
-        texts = table["text"].to_pylist()
-        order = sorted(range(table.num_rows), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i] is None, texts[i] or ""))
-        self.table = table.take(pa.array(order, pa.int64()))
-        self.ids = np.array([ids[i] if ids[i] is not None else 0 for i in order], np.int64)
-        self.known = np.array([ids[i] is not None for i in order], bool)
+        order = pc.sort_indices(table, sort_keys=[("id", "ascending"), ("text", "ascending")], null_placement="at_end")
+        table = table.take(order).combine_chunks()
+        self.texts = table["text"]
+        self.ids = table["id"].fill_null(0).to_numpy()
+        self.known = table["id"].is_valid().to_numpy()
         self.number = table["chunk"][0].as_py()
         self.window, self.block, self.ranges = window, (window + 1) // 2, ranges
-        hashes, self.where = words.tokens(pa.chunked_array([pa.array([texts[i] for i in order], pa.large_string())]))
-        self.hashes = hashes
+        self.hashes, self.where = words.tokens(self.texts)
 
     def probes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash, start, whether it is an index block) of each rolling block-sized window."""
@@ -80,7 +78,8 @@ def _rows(rows: list[tuple]) -> pa.Table:
 
 def _unique_probes(chunk: _Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     found, starts, aligned = chunk.probes()
-    key = np.sort(found | aligned.astype(U64))
+    key = found | aligned.astype(U64)
+    key.sort()
     first = blobs.runs(key >> U64(1))
     last = np.append(first[1:], len(key)) - 1 if len(key) else first
     indexed = (key[last] & U64(1)).astype(bool)
@@ -206,7 +205,7 @@ def _apply(texts: pa.Table, answers: pa.Table, window: int, ranges: int) -> pa.T
         turn = np.flatnonzero(np.diff(gone[a:b].astype(np.int8), prepend=0, append=0))
         spans.append([{"start": s, "end": e} for s, e in turn.reshape(-1, 2).tolist()])
     ids = pa.array([i if k else None for i, k in zip(chunk.ids.tolist(), chunk.known, strict=True)], pa.int64())
-    return pa.table([ids, chunk.table["text"].combine_chunks().cast(pa.string()), pa.array(np.diff(chunk.where), pa.int64()), pa.array(spans, _RESULT.field("removed").type)], schema=_RESULT)
+    return pa.table([ids, chunk.texts.combine_chunks().cast(pa.string()), pa.array(np.diff(chunk.where), pa.int64()), pa.array(spans, _RESULT.field("removed").type)], schema=_RESULT)
 
 
 def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 13, chunks_per_partition: int = 2) -> DataFrame:
