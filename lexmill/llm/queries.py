@@ -74,9 +74,9 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether each document holds an item of the benchmark, and which."""
+    """Of all documents those that hold an item of the benchmark, with the item and the share of it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decontam.flag(docs, table(spark, sf_dir, "benchmark"), keep_text=False).select("doc_id", "contaminated", "item_id", "share")
+    return decontam.flag(docs, table(spark, sf_dir, "benchmark"), keep_text=False).where("contaminated").select("doc_id", "contaminated", "item_id", "share")
 
 
 #: Host words that label a URL as one to block, for mining; a fixed list.

@@ -79,6 +79,21 @@ def test_near_dedup_query(spark, texts):
         assert (r["n_shingles"], r["component_id"], r["kept"]) == (len(sets[i]), roots[i], roots[i] == i)
 
 
+def test_decontamination_query(spark, texts):
+    items = {i: SPLIT.findall((t or "").lower()) for i, t in duckdb.sql(f"select item_id, text from '{DATA}/benchmark.parquet'").fetchall()}
+    grams: dict[tuple, set] = {}
+    for i, w in items.items():
+        for k in range(len(w) - 7):
+            grams.setdefault(tuple(w[k : k + 8]), set()).add(i)
+    want = {}
+    for i, t in texts.items():
+        w = SPLIT.findall((t or "").lower())
+        if found := set().union(*(grams.get(tuple(w[k : k + 8]), set()) for k in range(len(w) - 7))):
+            want[i] = found
+    got = {r["doc_id"]: r["item_id"] for r in queries.op5_decontamination(spark, str(DATA)).collect()}
+    assert set(got) == set(want) and all(got[i] in want[i] for i in got)
+
+
 def test_vector_query(spark):
     rows = duckdb.sql(f"select vec_id, embedding from '{DATA}/embeddings.parquet'").fetchall()
     ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
