@@ -21,7 +21,10 @@ GATE = 0.90
 
 
 def load(spark: SparkSession, pattern: str) -> DataFrame:
-    """The samples of all matching files, in order, with ``sample_no`` from 0; lines that aren't JSON are skipped."""
+    """The samples of all matching files, in order, with ``sample_no`` from 0; lines that aren't JSON are skipped.
+
+    The numbers need all samples in one order; evaluation sets are made by hand and small.
+    """
     lines = json_lines(spark, pattern, T.StructType.fromDDL(SAMPLE), numbered=True).where("not bad")
     return lines.withColumn("sample_no", F.expr("row_number() over (order by file, line) - 1")).select("sample_no", "row.*")
 

@@ -6,8 +6,6 @@ hashes of keys, so they don't depend on partitions or on when they are made.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -154,11 +152,6 @@ def filled_template(shape: Column, values: Column) -> Column:
     return F.aggregate(F.map_entries(values), shape, lambda text, e: F.replace(text, F.concat(F.lit("{"), e["key"], F.lit("}")), e["value"]))
 
 
-def _by_hash(n: int | Column, seed: int, *salt: Column) -> Column:
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *(s.cast("string") for s in salt)).cast("binary"))
-    return F.conv(F.substring(digest, 1, 7), 16, 10).cast("int") % (F.lit(n) if isinstance(n, int) else n)
-
-
 def conversations(templates: DataFrame, rules: DataFrame, per_template: int = 250, seed: int = 42) -> DataFrame:
     """Conversations from each template, with rules and values picked by hash.
 
@@ -244,7 +237,3 @@ def sample_errors(messages: Column, metadata: Column) -> Column:
 def rules_as_rows(rules: DataFrame) -> list:
     """The seed table of rules on the driver, for the rule engine."""
     return rules.orderBy("priority", "rule_id").collect()
-
-
-def as_json(value: object) -> str:
-    return json.dumps(value, ensure_ascii=False)

@@ -50,11 +50,10 @@ def rates(blocks: DataFrame, iso_dates: bool = False, skip_headers: bool = True)
         rows = rows.where(~header_like(F.get("cells", F.lit(0))))
     cell = X.rate_of_cells("cells")
     tables = _rates(rows, kept, cell["percent_text"], cell["percent"], cell["description"], validity_dates("cells", iso_dates), 0)
-    context = lambda c: X.percent_context(c)
     texts = blocks.where("kind = 'rate_block'").where(any_of("text", "%", "prosent", "sats", "merverdiavgift"))
-    texts = _rates(texts, kept, X.percent_text("text"), X.percent("text"), context("text"), None, 1)
+    texts = _rates(texts, kept, X.percent_text("text"), X.percent("text"), X.percent_context("text"), None, 1)
     links = blocks.where("kind = 'rate_link' and context is not null").where(any_of("text", "sats", "rate", "mva"))
-    links = _rates(links, kept, X.percent_text("context"), X.percent("context"), context("context"), None, 2)
+    links = _rates(links, kept, X.percent_text("context"), X.percent("context"), X.percent_context("context"), None, 2)
     return tables.unionByName(texts).unionByName(links)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import extract as X
-from lexmill.functions.text import any_of, filled, first_match, found_all
+from lexmill.functions.text import any_of, filled, first_match
 from lexmill.plans.rates import _BLOCK_COLUMNS
 
 IDENTIFIER = "([a-zA-Z_][a-zA-Z0-9_.]*)"

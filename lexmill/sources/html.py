@@ -265,7 +265,7 @@ def _lists(main: Node) -> Iterator[dict]:
         parent = owner.above("div", "section", "article")
         context = parent.text() if parent else ""
         for i, item in enumerate(owner.find("li")):
-            yield _row("list_item", item, part=i, text=item.text(), context=context) | {"ord": owner.pre * 100_000 + i if owner.pre < 20_000 else item.pre}
+            yield _row("list_item", item, part=i, text=item.text(), context=context) | {"ord": owner.pre}
 
 
 def _headings(main: Node) -> Iterator[dict]:

@@ -5,7 +5,6 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill.functions.extract import PERCENT  # noqa: F401
 from lexmill.plans import gold, guidance, legal, rates, saft
 from lexmill.sources import html, pdf, seeds
 
