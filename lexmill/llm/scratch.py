@@ -13,18 +13,19 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _OWN: dict[str, list[str]] = {}
+_LOCAL: dict[str, str] = {}
 
 
 def folder(spark: SparkSession) -> str:
     """The shared folder for scratch tables."""
-    if found := spark.conf.get("spark.checkpoint.dir", None):
+    if found := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
         return found.rstrip("/")
-    master = spark.sparkContext.master
+    master, app = spark.sparkContext.master, spark.sparkContext.applicationId
     if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    made = "file://" + tempfile.mkdtemp(prefix="lexmill-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if app not in _LOCAL:
+        _LOCAL[app] = "file://" + tempfile.mkdtemp(prefix="lexmill-")
+    return _LOCAL[app]
 
 
 def save(df: DataFrame) -> DataFrame:

@@ -471,3 +471,20 @@ def test_scratch_needs_a_shared_folder(spark):
     scratch.release(spark)
     with pytest.raises(Exception, match="(?i)path"):
         spark.read.parquet(saved.inputFiles()[0])
+
+
+class _Session:
+    """What ``scratch.folder`` asks of a session."""
+
+    def __init__(self, master, conf=None, checkpoint=None):
+        self.conf = {"spark.checkpoint.dir": conf} if conf else {}
+        self.sparkContext = type("C", (), {"master": master, "applicationId": f"{master}-x", "getCheckpointDir": lambda _: checkpoint})()
+
+
+def test_scratch_folders():
+    assert scratch.folder(_Session("yarn", "hdfs://a/b/")) == "hdfs://a/b" and scratch.folder(_Session("yarn", None, "hdfs://c")) == "hdfs://c"
+    own = scratch.folder(_Session("local[2]"))
+    assert own.startswith("file:") and scratch.folder(_Session("local[2]")) == own
+    for master in ("local-cluster[3,2,1024]", "yarn"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            scratch.folder(_Session(master))
