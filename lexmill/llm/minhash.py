@@ -140,21 +140,21 @@ class _Links:
 
     def __init__(self, texts: DataFrame, shingle: int, percent: int) -> None:
         self.texts, self.shingle, self.percent = texts, shingle, percent
-        self.tested: DataFrame | None = None
+        self.tested: list[DataFrame] = []
         self.found: DataFrame | None = None
 
     def test(self, pairs: DataFrame) -> None:
         """Tests the (pivot, other) that weren't tested yet."""
-        if self.tested is not None:
-            pairs = pairs.join(self.tested.select("pivot", "other"), ["pivot", "other"], "left_anti")
-        new = scratch.save(_checked(pairs, self.texts, self.shingle))
-        self.tested = new if self.tested is None else scratch.save(self.tested.union(new))
+        for known in self.tested:
+            pairs = pairs.join(known.select("pivot", "other"), ["pivot", "other"], "left_anti")
+        new = scratch.save(_checked(pairs, self.texts, self.shingle), narrow=True)
+        self.tested.append(new)
         self.merge(new.where(F.col("inter") * 100 >= F.col("total") * self.percent).select("pivot", "other").toDF("u", "v"))
 
     def merge(self, edges: DataFrame) -> None:
         if self.found is not None:
             edges = edges.union(self.found.where("id <> component"))
-        self.found = scratch.save(components.components(edges))
+        self.found = components.components(edges)
 
     def label(self, df: DataFrame, column: str) -> DataFrame:
         own = self.found.toDF(column, f"{column}_comp")

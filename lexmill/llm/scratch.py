@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
+FEW = 16
 _OWN: dict[str, list[str]] = {}
 _LOCAL: dict[str, str] = {}
 
@@ -28,9 +29,15 @@ def folder(spark: SparkSession) -> str:
     return _LOCAL[app]
 
 
-def save(df: DataFrame) -> DataFrame:
-    """Writes ``df`` to the shared folder and returns a reader of the written table."""
+def save(df: DataFrame, narrow: bool = False) -> DataFrame:
+    """Writes ``df`` to the shared folder and returns a reader of the written table.
+
+    Of a table with ``narrow`` rows, such as edges, a file holds what up to ``FEW`` shuffle
+    partitions have made, so that short rounds don't spend their time on creating files.
+    """
     spark = df.sparkSession
+    if narrow:
+        df = df.repartition(max(1, partitions(spark) // FEW))
     path = f"{folder(spark)}/lexmill-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _OWN.setdefault(spark.sparkContext.applicationId, []).append(path)
@@ -38,9 +45,9 @@ def save(df: DataFrame) -> DataFrame:
 
 
 def save_counted(df: DataFrame, *measures: Column) -> tuple[DataFrame, tuple]:
-    """As ``save``, with the values of aggregates over the table, taken while it is written."""
+    """As ``save`` of narrow rows, with the values of aggregates over the table, taken while it is written."""
     seen = Observation()
-    saved = save(df.observe(seen, *measures))
+    saved = save(df.observe(seen, *measures), narrow=True)
     return saved, tuple(seen.get.values())
 
 
