@@ -209,8 +209,8 @@ def page_dom_tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH a AS (SELECT page_id, regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS a FROM pages),
 b AS (SELECT page_id, trim(regexp_extract(a, '<h1>(.*?)</h1>', 1)) AS heading,
   list_filter(list_transform(string_split_regex(regexp_replace(regexp_replace(a, '(?s)^.*</h1>', ''), '</?b>', '', 'g'), '</?(p|br)>'), lambda x: trim(x)), lambda x: x <> '') AS parts FROM a)
-SELECT page_id, replace(replace(replace(replace(replace(heading, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&') AS heading,
-  md5(replace(replace(replace(replace(replace(array_to_string(parts, ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&')) AS text_md5
+SELECT page_id, regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(heading, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#x27;', ''''), '&amp;?', '&', 'g') AS heading,
+  md5(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(array_to_string(parts, ' '), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#x27;', ''''), '&amp;?', '&', 'g')) AS text_md5
 FROM b
 """)
 def page_heading_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
