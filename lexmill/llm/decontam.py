@@ -5,8 +5,10 @@ of all passages of the corpus, and of the benchmark itself, make a matrix whose
 right singular vectors come from a distributed randomised SVD: every task multiplies its
 rows by a random matrix and the result by their transpose, and the partial products are
 summed by blocks of terms.  Passages and items are projected onto these vectors; an item
-whose cosine with a passage is high is a candidate.  A candidate counts only if the longest
-common subsequence of the item's words and the words around the passage is long enough, or
+whose cosine with a passage is high is a candidate.  Cosines miss items whose words are all
+frequent, and short items among many other words, so each place where enough of an item's
+rarest words stand close together is a candidate too: a common subsequence that counts can't
+do without them, so none is missed.  A candidate counts only if the longest common subsequence of the item's words and the words around the passage is long enough, or
 somewhat shorter with the item's answer (its last sentence) there word by word.
 
 Words outside the benchmark can't be part of a common subsequence, so the restricted
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +46,13 @@ WEIGHT = 4.0
 COMMON = 0.02
 #: A candidate has this cosine, and holds this part of the item's weight, at least.
 COSINE, PART = 0.6, 0.5
+#: Of the words that a match needs, this share is looked for among the item's rarest; any share finds all, a greater one has fewer false candidates.
+RARE = 0.5
 #: The shares of an item that the common subsequence has to reach, without and with the answer.
 SHARE, SHARE_WITH_ANSWER = 0.75, 0.6
 SHORT = 8
 _BLOCK = 512
+_HITS = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -59,9 +65,20 @@ class Items:
     answers: tuple[np.ndarray, ...]
 
 
+@dataclass(frozen=True)
+class Anchors:
+    """The rarest words of each item: ``need`` of them stand within ``span`` words wherever the item is found."""
+
+    start: np.ndarray  # of each term its first place in owner, and the end
+    owner: np.ndarray
+    need: np.ndarray
+    span: np.ndarray
+
+
 @dataclass(frozen=True)
 class Model:
     items: Items
+    anchors: Anchors
     basis: np.ndarray  # terms x rank, times idf
     latent: np.ndarray  # a unit row per item passage
     size: np.ndarray  # its length before
@@ -187,6 +204,65 @@ def _item_strides(items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return term, stride, first, np.repeat(np.arange(len(sizes)), np.diff(first))
 
 
+def _reach(size: int) -> int:
+    """The words among which an item's common subsequence is looked for."""
+    return size if size < SHORT else size + max(4, size // 4)
+
+
+def _anchors(items: Items, df: np.ndarray) -> Anchors:
+    """With ``least`` of n words in common, at least m - (n - least) of any m of them are."""
+    terms, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    need, span = np.ones(len(items.ids), np.int64), np.ones(len(items.ids), np.int64)
+    for i, own in enumerate(items.sequences):
+        n = len(own)
+        if not n:
+            continue
+        least = n if n < SHORT else int(np.ceil(SHARE_WITH_ANSWER * n - 1e-9))
+        distinct, count = np.unique(own, return_counts=True)
+        order = np.argsort(df[distinct], kind="stable")
+        held = np.cumsum(count[order])
+        cut = int(np.searchsorted(held, n - least + int(np.ceil(RARE * least))))
+        need[i], span[i] = held[cut] - (n - least), _reach(n)
+        terms.append(distinct[order[: cut + 1]])
+        owners.append(np.full(cut + 1, i))
+    term, owner = np.concatenate(terms), np.concatenate(owners)
+    order = np.argsort(term, kind="stable")
+    return Anchors(np.searchsorted(term[order], np.arange(len(df) + 1)), owner[order], need, span)
+
+
+def _anchored(anchors: Anchors, term: np.ndarray, position: np.ndarray, doc: np.ndarray, sizes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(passage, item) wherever enough rare words of an item stand close together."""
+    gap = int(anchors.span.max(initial=0)) + 1
+    offset = np.concatenate([[0], np.cumsum(sizes + gap)])  # no window reaches into the next document
+    count = anchors.start[term + 1] - anchors.start[term]
+    some = np.flatnonzero(count)
+    term, place, count = term[some], position[some] + offset[doc[some]], count[some]
+    ends = np.cumsum(count)
+    lo = 0
+    while lo < len(term):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _HITS, "right")))
+        back = int(np.searchsorted(place, place[lo] - gap))  # what began before is seen whole
+        own = count[back:hi]
+        at = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+        item = anchors.owner[np.repeat(anchors.start[term[back:hi]], own) + at]
+        hit = np.sort(item * offset[-1] + np.repeat(place[back:hi], own))
+        item, where = hit // offset[-1], hit % offset[-1]
+        last = np.arange(len(hit)) + anchors.need[item] - 1
+        inside = last < len(hit)
+        inside[inside] = hit[last[inside]] - hit[inside] < anchors.span[item[inside]]
+        item, where, last = item[inside], where[inside], where[np.minimum(last[inside], len(hit) - 1)]
+        d = np.searchsorted(offset, where, "right") - 1
+        # the window begins after last - span, and no later than the first
+        a = np.maximum(last - anchors.span[item] + 1 - offset[d], 0) // STRIDE + first[d]
+        b = (where - offset[d]) // STRIDE + first[d]
+        if len(item):
+            n = b - a + 1
+            passage = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            for pair in np.unique(passage * len(anchors.need) + np.repeat(item, n)).tolist():
+                yield divmod(pair, len(anchors.need))
+        lo = hi
+
+
 def fit(docs: DataFrame, items: list[tuple[int, str]], text: str = "text", rank: int = RANK, seed: int = 11) -> Model:
     """The latent space of a slice of the benchmark and the whole corpus."""
     read = _read(items)
@@ -215,7 +291,7 @@ def fit(docs: DataFrame, items: list[tuple[int, str]], text: str = "text", rank:
     latent = _summed(basis[term], stride, int(first[-1]))
     size = np.linalg.norm(latent, axis=1)
     keep = size > 1e-6
-    return Model(read, basis, latent[keep] / size[keep, None], size[keep], owner[keep])
+    return Model(read, _anchors(read, df), basis, latent[keep] / size[keep, None], size[keep], owner[keep])
 
 
 def common_subsequence(masks: dict[int, int], size: int, sequence: list[int]) -> int:
@@ -237,13 +313,13 @@ def _holds(sequence: list[int], positions: list[int], run: list[int]) -> bool:
 def _share(item: np.ndarray, answer: np.ndarray, masks: dict[int, int], term: np.ndarray, position: np.ndarray, start: int) -> float:
     """The share of the item found near the passage; 0 if that isn't enough."""
     size = len(item)
-    around, best, answered = position.searchsorted([start - size, start + 2 * STRIDE + size]), 0, False
+    reach = _reach(size)
+    around, best, answered = position.searchsorted([start - size, start + 2 * STRIDE + reach]), 0, False
     sequence, places = term[around[0] : around[1]].tolist(), position[around[0] : around[1]]
     if size < SHORT:
         return float(_holds(sequence, places.tolist(), item.tolist()))
     if common_subsequence(masks, size, sequence) < SHARE_WITH_ANSWER * size:
         return 0.0
-    reach = size + max(4, size // 4)
     for lo in range(start - size, start + 2 * STRIDE, max(1, size // 8)):
         a, b = places.searchsorted([lo, lo + reach])
         if b - a >= SHARE_WITH_ANSWER * size and (found := common_subsequence(masks, size, sequence[a:b])) > best:
@@ -254,39 +330,46 @@ def _share(item: np.ndarray, answer: np.ndarray, masks: dict[int, int], term: np
     return share if share >= SHARE or answered else 0.0
 
 
+def _near(model: Model, term: np.ndarray, stride: np.ndarray, strides: int) -> Iterator[tuple[int, int]]:
+    """(passage, item) wherever the cosine is high."""
+    strong = np.flatnonzero((model.basis[term] != 0).any(axis=1)) if len(term) else np.zeros(0, np.int64)
+    if not len(strong) or not len(model.latent):
+        return
+    passages = _summed(model.basis[term[strong]], stride[strong], strides)
+    size = np.linalg.norm(passages, axis=1)
+    for lo in range(0, len(passages), 1 << 14):
+        some = np.flatnonzero(size[lo : lo + (1 << 14)] > 1e-6) + lo
+        near = (passages[some] / size[some, None]) @ model.latent.T
+        hits = (near >= COSINE) & (near * size[some, None] >= PART * model.size)
+        for row, column_no in zip(*np.nonzero(hits), strict=True):
+            yield int(some[row]), int(model.owner[column_no])
+
+
 def _search(column: pa.Array, model: Model) -> list[tuple[int, float] | None]:
     """Of each text the item found in it with the greatest share, if any."""
     items = model.items
     term, position, doc, sizes = _restricted(column, items.vocabulary)
     stride, first = _strides(position, doc, sizes)
     out: list[tuple[int, float] | None] = [None] * len(sizes)
-    strong = np.flatnonzero((model.basis[term] != 0).any(axis=1)) if len(term) else np.zeros(0, np.int64)
-    if not len(strong) or not len(model.latent):
-        return out
-    passages = _summed(model.basis[term[strong]], stride[strong], int(first[-1]))
-    size = np.linalg.norm(passages, axis=1)
     masks: dict[int, dict[int, int]] = {}
     seen = set()
     cut = np.searchsorted(doc, np.arange(len(sizes) + 1))
-    for lo in range(0, len(passages), 1 << 14):
-        some = np.flatnonzero(size[lo : lo + (1 << 14)] > 1e-6) + lo
-        near = (passages[some] / size[some, None]) @ model.latent.T
-        hits = (near >= COSINE) & (near * size[some, None] >= PART * model.size)
-        for row, column_no in zip(*np.nonzero(hits), strict=True):
-            at, item = int(some[row]), int(model.owner[column_no])
-            if (at, item) in seen:
-                continue
-            seen.add((at, item))
-            d = int(np.searchsorted(first, at, "right")) - 1
-            own = items.sequences[item]
-            if item not in masks:
-                masks[item] = {}
-                for i, t in enumerate(own.tolist()):
-                    masks[item][t] = masks[item].get(t, 0) | 1 << i
-            a, b = cut[d], cut[d + 1]
-            share = _share(own, items.answers[item], masks[item], term[a:b], position[a:b], (at - int(first[d])) * STRIDE)
-            if share and (out[d] is None or (-share, items.ids[item]) < (-out[d][1], out[d][0])):
-                out[d] = (items.ids[item], share)
+    for at, item in chain(_near(model, term, stride, int(first[-1])), _anchored(model.anchors, term, position, doc, sizes, first)):
+        if (at, item) in seen:
+            continue
+        seen.add((at, item))
+        d = int(np.searchsorted(first, at, "right")) - 1
+        if out[d] is not None and (-1.0, items.ids[item]) >= (-out[d][1], out[d][0]):  # can't be better
+            continue
+        own = items.sequences[item]
+        if item not in masks:
+            masks[item] = {}
+            for i, t in enumerate(own.tolist()):
+                masks[item][t] = masks[item].get(t, 0) | 1 << i
+        a, b = cut[d], cut[d + 1]
+        share = _share(own, items.answers[item], masks[item], term[a:b], position[a:b], (at - int(first[d])) * STRIDE)
+        if share and (out[d] is None or (-share, items.ids[item]) < (-out[d][1], out[d][0])):
+            out[d] = (items.ids[item], share)
     return out
 
 

@@ -293,6 +293,15 @@ def test_decontamination(spark):
     assert decontam.flag(docs(spark, rows).limit(0), bench).count() == 0
 
 
+def test_decontamination_by_an_item_in_a_third_of_all_documents(spark):
+    rng = random.Random(8)
+    some = lambda n: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+    items = [(i, some(25)) for i in range(20)]
+    rows = [(i, f"{some(150)} {items[0][1]} {some(90)}" if i % 3 == 0 else some(260)) for i in range(240)]
+    got = decontam.flag(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r["doc_id"]: (r["item_id"], r["share"]) for r in got.where("contaminated").collect()} == {i: (0, 1.0) for i in range(0, 240, 3)}
+
+
 def test_benchmark_in_slices(spark, monkeypatch):
     rng = random.Random(6)
     items = [(i, " ".join(f"v{rng.randrange(3000)}" for _ in range(30))) for i in range(12)]
