@@ -302,6 +302,15 @@ def test_decontamination_by_an_item_in_a_third_of_all_documents(spark):
     assert {r["doc_id"]: (r["item_id"], r["share"]) for r in got.where("contaminated").collect()} == {i: (0, 1.0) for i in range(0, 240, 3)}
 
 
+def test_decontamination_by_items_of_every_length(spark):
+    rng = random.Random(9)
+    some = lambda n: " ".join(f"w{int(rng.paretovariate(0.4)) % 9000}" for _ in range(n))
+    items = [(i, some(3 + i % 57)) for i in range(decontam.ITEMS)]
+    rows = [(i, f"{some(rng.randrange(200))} {items[i * 3][1]} {some(rng.randrange(200))}") for i in range(600)]
+    got = decontam.flag(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r["doc_id"] for r in got.where("share = 1").collect()} == set(range(600))
+
+
 def test_benchmark_in_slices(spark, monkeypatch):
     rng = random.Random(6)
     items = [(i, " ".join(f"v{rng.randrange(3000)}" for _ in range(30))) for i in range(12)]
