@@ -5,9 +5,10 @@ source's j-th block (from 1) is released at slot floor((j - 1) / w) and due by s
 ceil(j / w); earliest deadline first then gives each slot to one source, and at any time
 every source has had its share of the slots to less than one block.
 
-Weights are taken as quotas of a frame of ``FRAME`` slots.  The schedule of a frame then
-repeats, so the slot of any block follows from its number by arithmetic, and no task or
-driver walks through all blocks.  When a source has no blocks left, a new phase begins
+Weights are exact fractions (a float is the decimal it is written as).  Their least common
+denominator is the frame after which the schedule repeats, so the slot of any block follows
+from its number by arithmetic; only where the frame is longer than a phase does the driver
+walk through all blocks of the phase.  When a source has no blocks left, a new phase begins
 with the weights of the others in proportion, so that every document is placed once.
 
 Numbering needs no source in one task: documents are numbered inside hash buckets of their
@@ -23,18 +24,28 @@ column are replaced.
 from __future__ import annotations
 
 import heapq
+import math
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm import scratch
 
-FRAME = 1_000
 BLOCK = 16
 
 
-def quotas(weights: dict[str, float], frame: int = FRAME) -> dict[str, int]:
+def exact(weights: dict[str, float]) -> dict[str, int]:
+    """Whole numbers in the proportion of the weights."""
+    parts = {s: Fraction(repr(float(w))) for s, w in weights.items()}
+    common = math.lcm(*(x.denominator for x in parts.values()))
+    whole = {s: int(x * common) for s, x in parts.items()}
+    least = math.gcd(*whole.values())
+    return {s: x // least for s, x in whole.items()}
+
+
+def quotas(weights: dict[str, float], frame: int) -> dict[str, int]:
     """Slots of a frame for each source, by largest remainders, at least one."""
     frame = max(frame, 2 * len(weights))
     total = sum(weights.values())
@@ -50,8 +61,11 @@ def quotas(weights: dict[str, float], frame: int = FRAME) -> dict[str, int]:
     return out
 
 
-def schedule(quota: dict[str, int]) -> dict[str, list[int]]:
-    """The slots of a frame that each source gets, by earliest deadline first among the released blocks."""
+def schedule(quota: dict[str, int], left: dict[str, int] | None = None) -> dict[str, list[int]]:
+    """The slots of a frame that each source gets, by earliest deadline first among the released blocks.
+
+    With ``left`` it ends before the first slot that a source has no block for.
+    """
     frame = sum(quota.values())
     release = lambda s, j: (j - 1) * frame // quota[s]
     deadline = lambda s, j: -(-j * frame // quota[s])
@@ -66,6 +80,8 @@ def schedule(quota: dict[str, int]) -> dict[str, list[int]]:
         due, s, j = heapq.heappop(ready)
         if t >= due:
             raise AssertionError("a block missed its deadline")
+        if left is not None and j > left[s]:
+            break
         slots[s].append(t)
         if j < quota[s]:
             heapq.heappush(waiting, (release(s, j + 1), s, j + 1))
@@ -85,16 +101,22 @@ class Phase:
     taken: dict[str, int]
 
 
-def phases(blocks: dict[str, int], weights: dict[str, float] | None = None, frame: int = FRAME) -> list[Phase]:
-    """The phases that place all blocks of all sources; there are no more of them than sources."""
+def phases(blocks: dict[str, int], weights: dict[str, float] | None = None, frame: int | None = None) -> list[Phase]:
+    """The phases that place all blocks of all sources; there are no more of them than sources.
+
+    With ``frame`` weights are rounded to quotas of so many slots.
+    """
     given = {s: 1.0 for s in blocks} if weights is None else {s: weights.get(s, 0.0) for s in blocks}
     left, used, start, out = {s: n for s, n in blocks.items() if n > 0}, dict.fromkeys(blocks, 0), 0, []
     while left:
         own = {s: given[s] for s in left if given[s] > 0} or dict.fromkeys(left, 1.0)
-        slots = schedule(quotas(own, frame))
+        quota = quotas(own, frame) if frame else exact(own)
+        slots = schedule(quota, left)
         size = sum(map(len, slots.values()))
         # the phase ends at the first slot that a source has no block for
-        length = min(left[s] // len(slots[s]) * size + slots[s][left[s] % len(slots[s])] for s in own)
+        length = size
+        if size == sum(quota.values()):
+            length = min(left[s] // len(slots[s]) * size + slots[s][left[s] % len(slots[s])] for s in own)
         taken = {s: length // size * len(x) + sum(t < length % size for t in x) for s, x in slots.items()}
         out.append(Phase(len(out), start, length, size, slots, {s: used[s] for s in own}, taken))
         start += length
@@ -106,7 +128,7 @@ def phases(blocks: dict[str, int], weights: dict[str, float] | None = None, fram
     return out
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, id: str = "doc_id", source: str = "source", block: int = BLOCK, frame: int = FRAME) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, id: str = "doc_id", source: str = "source", block: int = BLOCK, frame: int | None = None) -> DataFrame:
     """Adds ``block`` (its number in the source), ``place`` (in the block) and ``slot`` (of the block in the mix).
 
     Without ``weights`` all sources weigh the same.  Sorting by slot and place gives the mix.
@@ -121,7 +143,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, id: str = "doc
     before = F.expr("sum(__n) over (partition by __source order by __bucket rows between unbounded preceding and 1 preceding)")
     offsets = counts.select("__source", "__bucket", F.coalesce(before, F.lit(0)).alias("__before"))
     supply = {r["__source"]: -(-r["n"] // block) for r in counts.groupBy("__source").agg(F.sum("__n").alias("n")).collect()}
-    plan = [(s, p.number, p.first[s], p.first[s] + p.taken[s], p.start, p.frame, p.slots[s]) for p in phases(supply, weights, frame) for s in p.slots]
+    plan = [(s, p.number, p.first[s], p.first[s] + p.taken[s], p.start, p.frame, p.slots[s]) for p in phases(supply, weights, frame) for s in p.slots if p.taken[s]]
     schema = "__source string, phase int, first long, until long, start long, frame long, slots array<long>"
     order = ", ".join(["xxhash64(`%s`)" % id, f"`{id}`", "xxhash64(%s)" % ", ".join(f"`{c}`" for c in names if not docs.schema[c].dataType.typeName().startswith("map"))])
     ranked = keyed.withColumn("__rank", F.expr(f"row_number() over (partition by __source, __bucket order by {order})"))

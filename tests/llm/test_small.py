@@ -132,6 +132,18 @@ def test_phases_place_every_block_once(blocks, odd):
     assert sorted((s, b) for _, s, b in seen) == sorted((s, b) for s, n in blocks.items() for b in range(n))
 
 
+@pytest.mark.parametrize("weights", [dict.fromkeys("abc", 1), dict.fromkeys("abcdef", 0.5), {"a": 0.6, "b": 0.3995, "c": 0.0005}, {"a": 1 / 3, "b": 0.123456789, "c": 0.7}])
+def test_many_frames_keep_to_the_given_weights(weights):
+    blocks = {s: int(9000 * w) + 5 for s, w in weights.items()}
+    phase = mixing.phases(blocks, weights)[0]
+    at = {phase.start + i // len(own) * phase.frame + own[i % len(own)]: s for s, own in phase.slots.items() for i in range(phase.taken[s])}
+    assert sorted(at) == list(range(phase.length)) and phase.length > 5000
+    seen, total = dict.fromkeys(weights, 0), sum(weights.values())
+    for t in range(phase.length):
+        seen[at[t]] += 1
+        assert all(abs(n - (t + 1) * weights[s] / total) < 1 for s, n in seen.items())
+
+
 def test_mix_keeps_rows(spark):
     rows = [(i % 50, "x", None if i % 7 == 0 else f"s{i % 3}") for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("slot", F.lit("mine"))
