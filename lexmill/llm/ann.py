@@ -5,7 +5,8 @@ assigned to a leaf.  A query walks the tree best bin first: a priority queue hol
 nodes seen so far by the distance of their centre, the nearest is opened next, and leaves
 come out in the order in which they are visited.  How many leaves a query visits is
 calibrated: for a bounded set of queries the exact neighbours among *all* vectors are
-found, and visits widen until the wanted share of them lies in visited leaves.
+found, and visits widen until the wanted share of them lies in visited leaves.  A query
+goes on beyond that number until the visited leaves hold as many candidates as it asks for.
 
 Leaves are dealt over tasks in blocks of vectors, by a hash, so a leaf that holds a third of
 all vectors is spread; a query goes to each block of its leaves, and blocks' best are merged.
@@ -204,20 +205,36 @@ def search(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
         for batch in batches:
             ids, (x, fit) = batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1), width)
             ids, x = ids[fit], _scaled(x[fit])
-            unit = _units(x)
-            leaf = tree.assign(unit)
-            asks = [[]] * len(ids)
-            for i in np.flatnonzero(ids % modulus == 0):
-                walk = tree.walk(unit[i])
-                asks[i] = [leaf_no for _, leaf_no in zip(range(visits), walk, strict=False)]
+            leaf = tree.assign(_units(x))
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, width), pa.int32()), pa.array(x.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), flat, pa.array(leaf, pa.int32()), pa.array(asks, pa.list_(pa.int32()))], names=["id", "v", "leaf", "asks"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), flat, pa.array(leaf, pa.int32())], names=["id", "v", "leaf"])
 
-    dealt = scratch.save(rows.mapInArrow(deal, "id long, v array<double>, leaf int, asks array<int>"))
-    sizes = dealt.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = scratch.save(rows.mapInArrow(deal, "id long, v array<double>, leaf int"))
+    counts = dealt.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+    held = np.zeros(tree.leaves, np.int64)
+    for row in counts.collect():  # at most LEAVES rows
+        held[row["leaf"]] = row["n"]
+    sizes = counts.select("leaf", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            asks = []
+            for unit, own in zip(_units(_matrix(batch.column(1), width)[0]), batch.column(2).to_pylist(), strict=True):
+                asks.append([])
+                there = 0
+                for leaf_no in tree.walk(unit):
+                    if len(asks[-1]) >= visits and there >= k + own:
+                        break
+                    asks[-1].append(leaf_no)
+                    there += held[leaf_no]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(asks, pa.list_(pa.int32()))], names=["id", "v", "asks"])
+
+    queries = dealt.where(F.col("id") % modulus == 0).select("id", "v")
+    # rows of the query's own id are no candidates
+    queries = queries.join(queries.groupBy("id").agg(F.count(F.lit(1)).alias("own")), "id").mapInArrow(ask, "id long, v array<double>, asks array<int>")
     there = dealt.join(F.broadcast(sizes), "leaf")  # at most LEAVES rows
     there = there.select("leaf", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "id", "v", F.lit(False).alias("asked"))
-    asked = dealt.select("id", "v", F.explode("asks").alias("leaf")).join(F.broadcast(sizes), "leaf")
+    asked = queries.select("id", "v", F.explode("asks").alias("leaf")).join(F.broadcast(sizes), "leaf")
     asked = asked.select("leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "v", F.lit(True).alias("asked"))
 
     def block(t: pa.Table) -> pa.Table:

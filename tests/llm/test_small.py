@@ -396,6 +396,16 @@ def test_vector_search(spark):
     assert ann.search(df.limit(0)).count() == 0 and ann.search(df.where("vec_id = 1000")).count() == 0
 
 
+def test_vector_search_of_outliers_among_copies(spark):
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(90, 64)), 100, axis=0)[rng.permutation(9000)]
+    outliers = rng.choice(900, 9, replace=False) * 10
+    x[outliers] = rng.normal(size=(9, 64))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(int(outliers[0]), (x[outliers[0]] * i).tolist()) for i in range(2, 9)]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), modulus=10).where("vec_id <> query_id").groupBy("query_id").count().collect()
+    assert {r["query_id"]: r["count"] for r in got} == dict.fromkeys(range(0, 9000, 10), 5)
+
+
 # --- secrets -----------------------------------------------------------------------------
 
 
