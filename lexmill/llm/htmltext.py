@@ -1,22 +1,38 @@
 """HTML extraction (operator 9): the main text of a page.
 
 A page is read as a stream of standard-library parser events and cut into lines, one for
-each block of text.  Each line has a text-to-tag ratio.  The ratios, smoothed by a
-Gaussian, are clustered by a threshold into content and other lines; the content lines
-select the region of the page, that is the article, the main part or the smallest
-container that holds nearly all of their text.  The text is every line of the region that
-stands outside menus, headers, footers, sidebars, notices, adverts, forms and comments,
-also a short one with a low ratio.
+each block of text.  Each line has a text-to-tag ratio: the characters outside links for
+each tag since the line before.  The ratios, smoothed by a Gaussian, are clustered by a
+threshold into content and other lines, and the content cluster selects what is kept:
+
+* the region: all articles that hold content lines, or the main part, or the smallest
+  container that holds every content line (articles and main part come first if they hold
+  at least ``share`` of the content text);
+* inside the region, runs of lines that are links and nothing else, outside the cluster, are
+  menus and go;
+* a container whose class or id merely contains a word for something beside the content
+  (``related-work``) goes only if none of its lines is in the cluster.
+
+Other lines of the region stay, also short ones with a low ratio, but for those in elements
+that the markup itself names as something else: menus, headers, footers, sidebars, notices,
+adverts, forms, comments, and what isn't shown.
+
+Time is linear in the length of a page, however deep or broken it is.
 
 Defined results: a null or empty page gives the empty text, as does one without text;
 broken markup is read leniently (a block's start ends an open paragraph, unclosed inline
-tags end with their block, stray end tags are skipped); repeated rows each give a row.
+tags end with their block, stray end tags are skipped); white space, also a no-break space,
+becomes one space; pages of any length are read whole; repeated rows each give a row; an
+empty table gives no rows; a column of the input named as the output column is replaced.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
+from html import unescape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -25,57 +41,83 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexmill.llm import words
+
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 SKIP = frozenset("head title script style noscript template textarea select option button svg math iframe object canvas audio video".split())
 ASIDE = frozenset("nav header footer aside form dialog menu search".split())
 REGION = frozenset("article main section div body td".split())
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 #: Words of a class or id that mark what isn't content.
 MARKS = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer header masthead menu nav navbar navigation newsletter notice notices pager pagination popup modal promo promoted related replies reply respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
-#: Of them, those that count for an article too: each comment may be one.
+#: Words beside them that leave the mark as it is.
+NEUTRAL = frozenset("area bar block bottom box card container content form global group head inner item items left link links list main overlay page panel post posts right row section site slot top unit wrap wrapper zone".split())
+#: Of the marks, those that count for an article too: each comment may be one.
 COMMENTS = frozenset("comment comments reply replies respond disqus".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "option": ("select",)}
-_WORDS = re.compile(r"[A-Za-z]+|\d+")
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _WHITE = re.compile(r"\s+")
+_COMMENT_END = re.compile(r"--!?>")
+_OPENER = re.compile(r"<[A-Za-z/!?]")
+#: So many lines of nothing but links, one after another, are a menu.
+MENU = 3
+
+
+@dataclass(frozen=True, slots=True)
+class Line:
+    text: str
+    tags: int  # since the line before
+    linked: int  # characters of links
+    container: int
+    aside: bool
+    hint: int  # the outermost container with a doubtful mark, or -1
 
 
 class _Lines(HTMLParser):
-    """Cuts a page into lines of text, each with its tags, containers and whether it stands aside."""
+    """Cuts a page into lines of text."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool, bool]] = []  # tag, container, aside, skipped
+        self.open: list[tuple[str, int, bool, bool, int]] = []  # tag, container, aside, skipped, hint
+        self.at: dict[str, list[int]] = defaultdict(list)  # where in it each tag is
+        self.blocks: list[int] = []  # and the blocks
         self.parents, self.tags = [-1], ["html"]
-        self.lines: list[tuple[str, int, int, bool]] = []  # text, tags, container, aside
+        self.lines: list[Line] = []
         self.parts: list[str] = []
-        self.seen = 0
+        self.seen = self.linked = self.hints = 0
 
-    def _state(self) -> tuple[int, bool, bool]:
-        return self.open[-1][1:] if self.open else (0, False, False)
+    def _state(self) -> tuple[int, bool, bool, int]:
+        return self.open[-1][1:] if self.open else (0, False, False, -1)
 
     def _flush(self) -> None:
         if self.parts:
             if text := _WHITE.sub(" ", "".join(self.parts)).strip():
-                container, aside, _ = self._state()
-                self.lines.append((text, self.seen, container, aside))
+                container, aside, _, hint = self._state()
+                self.lines.append(Line(text, self.seen, min(self.linked, len(text)), container, aside, hint))
                 self.seen = 0
-            self.parts = []
+            self.parts, self.linked = [], 0
+
+    def _last(self, *tags: str) -> int:
+        """The place of the innermost open one of the tags, or -1."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
 
     def _pop_to(self, depth: int) -> None:
-        del self.open[depth:]
+        while len(self.open) > depth:
+            tag = self.open.pop()[0]
+            self.at[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.seen += 1
-        if tag == "body" or tag in BLOCK and tag != "br":
-            for i, (name, *_) in enumerate(self.open):
-                if name == "head":  # that wasn't closed
-                    self._pop_to(i)
-                    break
         if tag in BLOCK:
+            if tag != "br" and (head := self._last("head")) >= 0:  # that wasn't closed
+                self._pop_to(head)
             self._flush()
             if tag != "br":
                 self._close_open("p", ("button", "table", "td", "th"))
@@ -83,39 +125,47 @@ class _Lines(HTMLParser):
                     self._close_open(other, _SCOPE[tag])
         if tag in VOID:
             return
-        container, aside, skipped = self._state()
-        if tag in ASIDE or tag in SKIP or attrs:
-            aside = aside or self._marked(tag, attrs)
+        container, aside, skipped, hint = self._state()
+        if not aside and (tag in ASIDE or attrs):
+            mark = self._mark(tag, attrs)
+            aside = mark == "named"
+            if mark == "doubtful" and hint < 0:
+                hint, self.hints = self.hints, self.hints + 1
         skipped = skipped or tag in SKIP
         if tag in REGION:
             self.parents.append(container)
             self.tags.append("main" if tag == "main" or dict(attrs).get("role") == "main" else tag)
             container = len(self.parents) - 1
-        self.open.append((tag, container, aside, skipped))
-
-    def _marked(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if tag in ASIDE:
-            return not (tag == "header" and any(x[0] == "article" for x in self.open))
-        if tag in ("html", "body", "main"):
-            return False
-        marks = COMMENTS if tag == "article" else MARKS
+        self.at[tag].append(len(self.open))
+        if tag in BLOCK:
+            self.blocks.append(len(self.open))
+        self.open.append((tag, container, aside, skipped, hint))
+
+    def _mark(self, tag: str, attrs: list[tuple[str, str | None]]) -> str | None:
+        """Whether the markup names the element as something beside the content, or may do so."""
+        if tag in ASIDE and not (tag == "header" and self.at.get("article")):
+            return "named"
         for name, value in attrs:
-            if name in ("hidden", "inert") or name == "role" and value in ROLES or name == "aria-hidden" and value == "true":
-                return True
-            if name == "style" and value and _HIDDEN.search(value):
-                return True
-            if name in ("class", "id") and value and any(w.lower() in marks for w in _WORDS.findall(value)):
-                return True
-        return False
+            if name in ("hidden", "inert") or name == "role" and value in ROLES or name == "aria-hidden" and value == "true" or name == "style" and value and _HIDDEN.search(value):
+                return None if tag in ("html", "body", "main") else "named"
+        if tag in ("html", "body", "main") or tag in HEADING:
+            return None
+        marks, doubtful = COMMENTS if tag == "article" else MARKS, False
+        for name, value in attrs:
+            if value and (name == "class" or name == "id" and tag in BLOCK and tag != "p"):
+                for token in value.split():
+                    own = [w.lower() for w in _WORDS.findall(token)]
+                    if any(w in marks for w in own):
+                        if all(w in MARKS or w in NEUTRAL or w.isdigit() for w in own):
+                            return "named"
+                        doubtful = tag in BLOCK and tag != "p"
+        return "doubtful" if doubtful else None
 
     def _close_open(self, tag: str, scope: tuple[str, ...]) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            name = self.open[i][0]
-            if name == tag:
-                self._pop_to(i)
-                return
-            if name in scope or name in REGION:
-                return
+        """Ends the innermost open ``tag``, unless a scope or container began inside it."""
+        at = self._last(tag)
+        if at >= 0 and at > self._last(*scope, *(REGION - {tag})):
+            self._pop_to(at)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # in HTML the slash is ignored, but in drawings
@@ -126,20 +176,40 @@ class _Lines(HTMLParser):
         self.seen += 1
         if tag in BLOCK:
             self._flush()
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self._pop_to(i)
-                return
-            if tag not in BLOCK and self.open[i][0] in BLOCK:  # an inline end tag doesn't leave its block
-                return
+        at = self._last(tag)
+        # an inline end tag doesn't leave its block
+        if at >= 0 and (tag in BLOCK or not self.blocks or at > self.blocks[-1]):
+            self._pop_to(at)
 
     def handle_data(self, data: str) -> None:
         if not self._state()[2]:
             self.parts.append(data)
+            if self.at.get("a"):
+                self.linked += len(data.strip())
+
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        """The end of a comment; of one that never ends only the opener is skipped."""
+        if i < self.unended:
+            if end := _COMMENT_END.search(self.rawdata, i + 4):
+                return end.end()
+            self.unended = i
+        return i + 4
 
-    def done(self) -> None:
+    def parse_html_declaration(self, i: int) -> int:
+        """The end of a declaration or marked section, whatever stands in it."""
+        return self.rawdata.find(">", i) + 1
+
+    def read(self, html: str) -> list[Line]:
+        """The lines of a whole page."""
+        # what begins after the last > never ends: without it no search runs to the end of the page twice
+        cut = html.rfind(">") + 1
+        self.unended = len(html)
+        self.feed(html[:cut])
         self.close()
+        if not self.cdata_elem:
+            self.handle_data(unescape(_OPENER.split(html[cut:], maxsplit=1)[0]))
         self._flush()
+        return self.lines
 
 
 def _smooth(x: np.ndarray, sigma: float) -> np.ndarray:
@@ -150,50 +220,66 @@ def _smooth(x: np.ndarray, sigma: float) -> np.ndarray:
     return full / np.convolve(np.ones(len(x)), kernel)[reach : reach + len(x)]
 
 
-def content_lines(lines: list[tuple[str, int, int, bool]], sigma: float, threshold: float) -> np.ndarray:
+def content_lines(lines: list[Line], sigma: float, threshold: float) -> np.ndarray:
     """Which lines the smoothed text-to-tag ratios put into the content cluster."""
-    ratio = np.array([0.0 if aside else len(text) / max(1, tags) for text, tags, _, aside in lines])
+    ratio = np.array([0.0 if x.aside else (len(x.text) - x.linked) / max(1, x.tags) for x in lines])
     smooth = _smooth(ratio, sigma)
     return (smooth >= threshold * smooth.std()) & (ratio > 0)
 
 
-def extract(html: str | None, sigma: float = 1.0, threshold: float = 1.0, share: float = 0.9) -> str:
-    """The main text of a page, one block a line.
+def _regions(page: _Lines, content: np.ndarray, share: float) -> set[int]:
+    """The containers whose lines are the region."""
+    weight = np.zeros(len(page.parents))
+    for line, kept in zip(page.lines, content, strict=True):
+        weight[line.container] += len(line.text) * bool(kept)
+    for i in range(len(weight) - 1, 0, -1):
+        weight[page.parents[i]] += weight[i]
+    outer = [False] * len(weight)  # inside an article already
+    for i in range(1, len(weight)):
+        outer[i] = outer[page.parents[i]] or page.tags[page.parents[i]] == "article"
+    articles = {i for i, tag in enumerate(page.tags) if tag == "article" and not outer[i] and weight[i] > 0}
+    main = max((i for i, tag in enumerate(page.tags) if tag == "main"), key=lambda i: weight[i], default=None)
+    for found in (articles, {main} if main is not None else set()):
+        if found and sum(weight[i] for i in found) >= share * weight[0]:
+            return found
+    return {max(i for i in range(len(weight)) if weight[i] >= weight[0])}
+
+
+def _menus(lines: list[Line], content: np.ndarray) -> set[int]:
+    """The lines of runs of nothing but links, outside the content cluster."""
+    out: set[int] = set()
+    run: list[int] = []
+    for i, (line, kept) in enumerate(zip(lines, content, strict=True)):
+        if not kept and line.linked >= len(line.text) and (not run or lines[run[-1]].container == line.container):
+            run.append(i)
+            continue
+        out.update(run if len(run) >= MENU else ())
+        run = []
+    return out | set(run if len(run) >= MENU else ())
+
 
-    The region is the article or main part that holds most content text; without either,
-    the smallest container with at least ``share`` of the content text.
-    """
+def extract(html: str | None, sigma: float = 1.0, threshold: float = 1.0, share: float = 0.1) -> str:
+    """The main text of a page, one block a line."""
     if not html:
         return ""
     page = _Lines()
-    page.feed(html)
-    page.done()
-    lines = page.lines
+    lines = page.read(html)
     if not lines:
         return ""
     content = content_lines(lines, sigma, threshold)
     if not content.any():
-        content = np.array([not aside for *_, aside in lines])
-    weight = np.zeros(len(page.parents))
-    for (text, _, container, _), kept in zip(lines, content, strict=True):
-        weight[container] += len(text) * bool(kept)
-    for i in range(len(weight) - 1, 0, -1):
-        weight[page.parents[i]] += weight[i]
-    named = [i for i, tag in enumerate(page.tags) if tag in ("article", "main") and weight[i] > 0]
-    if named:
-        region = max(named, key=lambda i: (weight[i], page.tags[i] == "article", i))
-        whole = [i for i in named if page.tags[i] == "article" and weight[i] == weight[region]]
-        region = max(whole, default=region)
-    else:
-        region = max((i for i in range(len(weight)) if weight[i] >= share * weight[0]), default=0)
+        content = np.array([not x.aside for x in lines])
+    region = _regions(page, content, share)
     inside = [False] * len(page.parents)
     for i in range(len(inside)):
-        inside[i] = i == region or i > 0 and inside[page.parents[i]]
-    return "\n".join(text for text, _, container, aside in lines if inside[container] and not aside)
+        inside[i] = i in region or i > 0 and inside[page.parents[i]]
+    menus = _menus(lines, content)
+    meant = {x.hint for x, kept in zip(lines, content, strict=True) if kept}
+    return "\n".join(x.text for i, x in enumerate(lines) if inside[x.container] and not x.aside and i not in menus and (x.hint < 0 or x.hint in meant))
 
 
 def _texts(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in words.sliced(batches, at):
         out = pa.array([extract(x) for x in batch.column(at).to_pylist()], pa.string())
         rest = [c for i, c in enumerate(batch.columns) if i != at]
         yield pa.RecordBatch.from_arrays([*rest, out], names=[*(f"c{i}" for i in range(len(rest))), "text"])

@@ -7,6 +7,7 @@ import hashlib
 import json
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -453,6 +454,42 @@ def test_secret_tables(spark):
 # --- HTML --------------------------------------------------------------------------------
 
 
+_WORDY = " ".join(["A sentence of the story that is long enough to be read as content."] * 3)
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        # slugs that hold a word for something else, and names that are one
+        (f"<article><h2 id='social-history'>Social history</h2><p>{_WORDY}</p><section id='related-work'><h2>Related work</h2><p>{_WORDY}</p></section></article>", f"Social history\n{_WORDY}\nRelated work\n{_WORDY}"),
+        (f"<article><p>{_WORDY}</p><p class='share-price'>Shares: 12</p><div class='related-box'><a>x</a></div><div class='promoHead-xyz'><a>y</a></div></article>", f"{_WORDY}\nShares: 12"),
+        # two articles, teasers beside them, a later part of the body
+        (f"<main><article><p>{_WORDY}</p></article><article><p>{_WORDY}</p></article><article><a>t</a></article></main>", f"{_WORDY}\n{_WORDY}"),
+        (f"<div><p>{_WORDY}</p></div><div><p>{_WORDY}</p></div><div class='menu'><a>m</a></div>", f"{_WORDY}\n{_WORDY}"),
+        (f"<article><section><section><p>{_WORDY}</p></section></section><p>end</p></article>", f"{_WORDY}\nend"),
+        # a list of links without a name; one link is a source
+        (f"<div><ul><li><a>one</a><li><a>two</a><li><a>three</a></ul><p>{_WORDY}</p><p><a>source</a></p></div>", f"{_WORDY}\nsource"),
+        ("<p>a<![foo bar]]><p>b<!x y><p>c<!--d--!>e<!-- f", "a\nb\nce"),
+    ],
+)
+def test_main_text_by_ratio(html, text):
+    assert htmltext.extract(html) == text
+
+
+def test_ratios_decide(monkeypatch):
+    page = f"<div><ul><li><a>one</a><li><a>two</a><li><a>three</a></ul></div><div><p>{_WORDY}</p><p>short</p></div><div><p>Copyright</p></div>"
+    assert htmltext.extract(page) == f"{_WORDY}\nshort"
+    monkeypatch.setattr(htmltext, "content_lines", lambda lines, *_: np.ones(len(lines), bool))
+    assert htmltext.extract(page) == f"one\ntwo\nthree\n{_WORDY}\nshort\nCopyright"
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<span>", "<p>x", "<", "<!--", "<![CDATA[", "<a href='", "</", "<li><ul><b>", "<article><header>", "&#", "<script>"])
+def test_hostile_pages_take_linear_time(unit):
+    began = time.process_time()
+    htmltext.extract(unit * 100_000 + ">")
+    assert time.process_time() - began < 10
+
+
 @pytest.mark.parametrize(
     "html, text",
     [
