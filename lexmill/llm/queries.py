@@ -80,7 +80,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Host words that label a URL as one to block, for mining; a fixed list.
-SEEDS = ("ads", "bets", "casino", "pills", "spam")
+SEEDS = ("ads", "adult", "bets", "casino", "pills", "spam")
 #: Explicit rules, host/path and verdict; fixed values.
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 SUPPORT, CONFIDENCE = 0.001, 0.8
@@ -89,12 +89,14 @@ SUPPORT, CONFIDENCE = 0.001, 0.8
 def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL; the mined rules come from all URLs, labelled by the words of their hosts.
 
-    The label table has no URLs, so the labels are those of the seed words.  The rules
-    mined from them go further than the words, to whatever tokens imply the label.
+    The label table has no URLs, so a URL is labelled by seed words in its host.  These
+    words are left out of the mining: rules are made of the other tokens that imply the
+    label, and a URL that holds them is blocked also without a seed word.
     """
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     words = F.regexp_extract_all(urlrules.host(F.col("url")), F.lit("[a-z0-9]+"), 0)
-    mined = urlrules.mine(pages.select("url", F.arrays_overlap(words, F.array(*map(F.lit, SEEDS))).alias("label")), support=SUPPORT, confidence=CONFIDENCE)
+    labelled = pages.select("url", F.arrays_overlap(words, F.array(*map(F.lit, SEEDS))).alias("label"))
+    mined = urlrules.mine(labelled, support=SUPPORT, confidence=CONFIDENCE, without=[f"h:{x}" for x in SEEDS])
     return urlrules.judge(pages, mined, RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
@@ -109,13 +111,14 @@ WITH cut AS (
     list_transform(regexp_extract_all(host, '[a-z0-9]+'), lambda x: 'h:' || x)
     || list_transform(regexp_extract_all(translate(path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^/.]+'), lambda x: 'p:' || regexp_replace(x, '[0-9]+', '0', 'g'))
     || list_transform(regexp_extract_all(query, '(?:^|&)([^=&]+)', 1), lambda x: 'q:' || x)) AS items,
-    list_has_any(regexp_extract_all(host, '[a-z0-9]+'), ['ads', 'bets', 'casino', 'pills', 'spam']) AS label FROM parts
-), single AS (SELECT page_id, label, unnest(items) AS a FROM tokens
-), least AS (SELECT ceil(0.001 * count(*)) AS n FROM tokens
+    list_has_any(regexp_extract_all(host, '[a-z0-9]+'), ['ads', 'adult', 'bets', 'casino', 'pills', 'spam']) AS label FROM parts WHERE host IS NOT NULL
+), single AS (
+  SELECT * FROM (SELECT page_id, label, unnest(items) AS a FROM tokens) WHERE a NOT IN ('h:ads', 'h:adult', 'h:bets', 'h:casino', 'h:pills', 'h:spam')
+), least AS (SELECT greatest(2, ceil(0.001 * count(*))) AS n FROM pages
 ), pair AS (SELECT x.page_id, x.label, x.a, y.a AS b FROM single x JOIN single y ON x.page_id = y.page_id AND x.a <= y.a
 ), good AS (
   SELECT a, b FROM pair GROUP BY a, b
-  HAVING count(*) FILTER (label) >= greatest(1, (SELECT n FROM least)) AND count(*) FILTER (label) >= 0.8 * count(*)
+  HAVING count(*) FILTER (label) >= (SELECT n FROM least) AND count(*) FILTER (label) >= 0.8 * count(*)
 ), hit AS (SELECT DISTINCT page_id FROM pair JOIN good USING (a, b)
 ), rules(rule, name, start, said) AS (
   VALUES ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'), ('example.org/en/1', 'example.org', '/en/1', 'block'),

@@ -348,7 +348,7 @@ def test_url_parts(spark, url, host, path):
 def test_url_rules(spark):
     rules = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/es/9", "allow"))
     rows = [("http://a.example.org/es/1",), ("http://example.org/es/99",), ("http://badexample.org/es/",), ("http://org/",), ("http://x.com/casino",), (None,), ("http://x.org",)]
-    mined = [(("p:casino",), 1.0, 0.1)]
+    mined = urlrules.Rules(((("p:casino",), 1.0, 0.1),), ((("p:casino",),),))
     got = {r["url"]: (r["rule"], r["verdict"]) for r in urlrules.judge(spark.createDataFrame(rows, "url string").withColumn("rule", F.lit("mine")), mined, rules).collect()}
     assert got["http://a.example.org/es/1"] == ("example.org/es/", "block") and got["http://example.org/es/99"] == ("example.org/es/9", "allow")
     assert got["http://badexample.org/es/"] == ("org/", "allow") and got["http://org/"] == ("org/", "allow")
@@ -359,10 +359,29 @@ def test_mined_rules(spark):
     rows = [(f"http://h{i % 7}.com/{'win/now' if i % 10 == 0 else 'a'}/{i}?id=1", i % 10 == 0) for i in range(200)] + [(None, True), ("http://x", None)]
     labelled = spark.createDataFrame(rows, "url string, label boolean")
     found = urlrules.mine(labelled, support=0.01, confidence=0.9)
-    assert {r for r, *_ in found} == {("p:now",), ("p:win",)}
-    assert urlrules.mine(labelled.where("not label")) == [] and urlrules.mine(labelled.limit(0)) == []
-    pair = spark.createDataFrame([(f"http://{a}.{b}/", a == b == "x") for a in "xyz" for b in "xyz" for _ in range(5)], "url string, label boolean")
-    assert urlrules.mine(pair, support=0.01, confidence=0.9) == [] or all(len(r) == 1 for r, *_ in urlrules.mine(pair))
+    assert {r for r, *_ in found.rules} == {("p:now",), ("p:win",)}
+    assert {r for r, *_ in urlrules.mine(labelled, support=0.01, confidence=0.9, without=["p:now"]).rules} == {("p:win",)}
+    assert urlrules.mine(labelled.where("not label")).rules == () and urlrules.mine(labelled.limit(0)).rules == ()
+
+
+def test_mined_pairs(spark):
+    # neither token of the pair implies the label alone; a long row has more tokens than a transaction
+    rest = "/".join(f"k{i}" for i in "abcdefghijklmno")
+    pair = [(f"http://{a}.{b}.q/{rest if long else ''}", (a, b) == ("x", "w")) for a, b in (("x", "w"), ("x", "v"), ("u", "w")) for long in (0, 1) for _ in range(5)]
+    df = spark.createDataFrame(pair, "url string, label boolean")
+    found = urlrules.mine(df, support=0.01, confidence=0.9)
+    assert found.rules == ((("h:w", "h:x"), 1.0, 1 / 3),)
+    judged = urlrules.judge(df, found).collect()
+    assert all(r["verdict"] == ("block" if r["label"] else "allow") for r in judged)
+
+
+def test_mining_long_urls(spark):
+    long = "http://h.com/?" + "&".join(f"key{chr(97 + i // 26)}{chr(97 + i % 26)}=1" for i in range(60))
+    rows = [(long, True)] * 3 + [(long, False)] * 3 + [(f"http://x{i}.org/a", False) for i in range(194)] + [("http://bad.com/" + "x/" * 50_000, None)]
+    began = time.time()
+    df = spark.createDataFrame(rows, "url string, label boolean")
+    assert urlrules.mine(df, confidence=0.8).rules == () and len(urlrules.mine(df, confidence=0.4).rules) >= 60
+    assert time.time() - began < 60 and urlrules.judge(df.withColumns({"token": F.lit(1), "items": F.lit(2)}), urlrules.Rules()).count() == 201
 
 
 # --- vector search -----------------------------------------------------------------------
