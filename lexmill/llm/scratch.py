@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 FEW = 16
 _OWN: dict[str, list[str]] = {}
@@ -29,15 +30,17 @@ def folder(spark: SparkSession) -> str:
     return _LOCAL[app]
 
 
-def save(df: DataFrame, narrow: bool = False) -> DataFrame:
-    """Writes ``df`` to the shared folder and returns a reader of the written table.
+def few(df: DataFrame) -> DataFrame:
+    """``df``, of narrow rows such as edges, in fewer partitions: each has what up to ``FEW`` shuffle partitions have made.
 
-    Of a table with ``narrow`` rows, such as edges, a file holds what up to ``FEW`` shuffle
-    partitions have made, so that short rounds don't spend their time on creating files.
+    Short rounds then don't spend their time on creating files.
     """
+    return df.repartition(max(1, partitions(df.sparkSession) // FEW))
+
+
+def save(df: DataFrame) -> DataFrame:
+    """Writes ``df`` to the shared folder and returns a reader of the written table."""
     spark = df.sparkSession
-    if narrow:
-        df = df.repartition(max(1, partitions(spark) // FEW))
     path = f"{folder(spark)}/lexmill-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _OWN.setdefault(spark.sparkContext.applicationId, []).append(path)
@@ -45,12 +48,29 @@ def save(df: DataFrame, narrow: bool = False) -> DataFrame:
 
 
 def save_counted(df: DataFrame, *measures: Column) -> tuple[DataFrame, tuple]:
-    """As ``save`` of narrow rows, with the values of aggregates over the table, taken while it is written."""
+    """As ``save``, with the values of aggregates over the table, taken while it is written."""
     seen = Observation()
-    saved = save(df.observe(seen, *measures), narrow=True)
+    saved = save(df.observe(seen, *measures))
     return saved, tuple(seen.get.values())
 
 
+#: A key with more than this part of all rows is hot.
+HOT = 1_000
+
+
+def look_up(rows: DataFrame, key: str, found: DataFrame, n: str, total: float) -> DataFrame:
+    """Inner join of ``rows`` with ``found``, which has a row per key and the number ``n`` of its rows among ``total``.
+
+    Hot keys are looked up in a broadcast, which the bound on their number keeps small: no
+    more than ``HOT`` keys have more than total / HOT rows each.  So no task of the join by
+    key gets more than that of one key.
+    """
+    limit, columns = total / HOT, rows.columns
+    hot, cold = found.where(F.col(n) > limit), found.where(F.col(n) <= limit)
+    marked = rows.join(F.broadcast(hot), key, "left")
+    return marked.where(F.col(n).isNotNull()).unionByName(marked.where(F.col(n).isNull()).select(columns).join(cold, key))
+
+
 def release(spark: SparkSession) -> None:
     """Deletes the scratch tables of this application; call it once results are written."""
     jvm = spark.sparkContext._jvm
@@ -63,3 +83,11 @@ def release(spark: SparkSession) -> None:
 def partitions(spark: SparkSession) -> int:
     """The number of shuffle partitions that the session is tuned to."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def file_bytes(df: DataFrame) -> int:
+    """The size of the files that a plain read of files has, by the optimizer's statistics; 0 of anything else."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter") and plan.children().size() == 1:
+        plan = plan.children().head()
+    return int(str(plan.stats().sizeInBytes())) if plan.nodeName().startswith("Relation") or plan.nodeName() == "LogicalRelation" else 0

@@ -9,26 +9,31 @@ with a smaller id; every word under a repeat goes.  Windows are judged on the in
    go to the range of the hash space that their hash falls in.  An anchor is a probe that
    meets an equal block, or a block that meets an equal probe.
 2. *Extend.*  Only windows that hold an anchor can be repeats.  They, and nothing else of
-   the corpus, go by their own 64-bit hash to their range, which finds the smallest
-   document of each.  Windows of a greater document are repeats; overlapping ones join
+   the corpus, go by their own hash to their range, which finds the smallest document of each.  Windows of a greater document are repeats; overlapping ones join
    into maximal repeats.
 
 Documents stay in chunks, one exchange of the texts that all passes reuse.  A chunk and a
 range exchange one message (see ``blobs``), where a hash occurs once: a passage shared by
 a third of all documents costs a range as many entries as there are chunks at most.
 
-Equality of windows is that of their hashes: 64 bits besides those that tell the range.
+Equality of windows is that of two independent 64-bit hashes of their words, the first of
+which tells the range.
+
+Chunks are cut so that one has a bounded number of bytes, as far as the size of the input is
+known, and by the session's shuffle partitions otherwise.
 
 Defined results: a null or empty text has no words; a document with fewer words than the
-window loses none; rows with a null id lose none and take none from others; rows of equal
-id take nothing from each other; every input row gives a row.  Columns beside the named
-ones are ignored.
+window loses none; texts of any length are read whole; rows with a null id lose none and
+take none from others; rows of equal id take nothing from each other; every input row gives
+a row, so an empty table gives none.  Columns beside the named ones, whatever their names,
+are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -50,13 +55,14 @@ class _Chunk:
 
     def __init__(self, table: pa.Table, window: int, ranges: int) -> None:
         order = pc.sort_indices(table, sort_keys=[("id", "ascending"), ("text", "ascending")], null_placement="at_end")
-        table = table.take(order).combine_chunks()
+        # offsets of 64 bits: the texts of a chunk may exceed those of 32
+        table = table.set_column(table.schema.get_field_index("text"), "text", table["text"].cast(pa.large_string())).take(order).combine_chunks()
         self.texts = table["text"]
         self.ids = table["id"].fill_null(0).to_numpy()
         self.known = table["id"].is_valid().to_numpy()
         self.number = table["chunk"][0].as_py()
         self.window, self.block, self.ranges = window, (window + 1) // 2, ranges
-        self.hashes, self.where = words.tokens(self.texts)
+        self.hashes, self.where, self.others = words.tokens(self.texts, second=True)
 
     def probes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash, start, whether it is an index block) of each rolling block-sized window."""
@@ -122,29 +128,56 @@ def _candidates(chunk: _Chunk, answers: list[dict]) -> np.ndarray:
     return (seen[span : span + n] - seen[:n]) > 0
 
 
-def _wide(chunk: _Chunk, candidate: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start, document) of the candidate windows."""
+@dataclass(frozen=True)
+class _Windows:
+    """Candidate windows, ordered by their two hashes."""
+
+    starts: np.ndarray
+    ids: np.ndarray  # of the documents
+    first: np.ndarray  # where each run of equal windows begins
+    hashes: np.ndarray  # of each run
+    others: np.ndarray
+    least: np.ndarray  # the smallest document of each run
+
+
+def _wide(chunk: _Chunk, candidate: np.ndarray) -> _Windows:
     found, starts = words.windows(chunk.hashes, chunk.where, chunk.window)
     if len(candidate):
         keep = candidate[starts]
         found, starts = found[keep], starts[keep]
     doc = np.searchsorted(chunk.where, starts, "right") - 1
     keep = chunk.known[doc]
-    return found[keep], starts[keep], doc[keep]
+    found, starts, ids = found[keep], starts[keep], chunk.ids[doc[keep]]
+    other = words.beside(chunk.others, starts, chunk.window)
+    order = _sorted(found, other)
+    found, other, starts, ids = found[order], other[order], starts[order], ids[order]
+    first = _runs(found, other)
+    return _Windows(starts, ids, first, found[first], other[first], np.minimum.reduceat(ids, first) if len(first) else ids)
+
+
+def _sorted(hashes: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """The order by both; the second is looked at only where the first are equal."""
+    order = np.argsort(hashes, kind="stable")
+    a, b = hashes[order], others[order]
+    if (b[1:] < b[:-1])[a[1:] == a[:-1]].any():
+        order = np.lexsort((others, hashes))
+    return order
+
+
+def _runs(hashes: np.ndarray, others: np.ndarray) -> np.ndarray:
+    if not len(hashes):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (others[1:] != others[:-1])]))
 
 
 def _extend(texts: pa.Table, answers: pa.Table, window: int, ranges: int) -> pa.Table:
-    """Pass 2: the chunk's distinct candidate windows, each with its smallest document."""
+    """Pass 2: the chunk's distinct candidate windows, each with its second hash and its smallest document."""
     if not texts.num_rows:
         return _MESSAGE.empty_table()
     chunk = _Chunk(texts, window, ranges)
     candidate = _candidates(chunk, answers.to_pylist())
-    found, _, doc = _wide(chunk, candidate)
-    order = np.argsort(found, kind="stable")
-    found, least = found[order], chunk.ids[doc[order]]
-    first = blobs.runs(found)
-    found, least = found[first], least[first]
-    rows = chunk.messages(found, found, lambda a, b: blobs.pack_plain(least[a:b]))
+    own = _wide(chunk, candidate)
+    rows = chunk.messages(own.hashes, own.hashes, lambda a, b: blobs.pack_plain(np.concatenate([own.others[a:b], own.least[a:b].view(U64)])))
     return _rows([*rows, (_SELF, chunk.number, len(candidate), blobs.pack_bits(candidate), b"")])
 
 
@@ -154,17 +187,17 @@ def _smallest(table: pa.Table) -> pa.Table:
     out = [(r["rng"], r["chunk"], r["n"], r["codes"], b"") for r in rows if r["rng"] == _SELF]
     rows = [r for r in rows if r["rng"] != _SELF]
     if rows:
-        codes = [blobs.unpack(r["codes"], r["n"], U64) for r in rows]
-        least = [blobs.unpack_plain(r["extra"], r["n"], np.int64) for r in rows]
-        merged, ids = np.concatenate(codes), np.concatenate(least)
-        order = np.argsort(merged, kind="stable")
-        merged, ids = merged[order], ids[order]
-        first = blobs.runs(merged)
-        best = np.minimum.reduceat(ids, first)
-        merged = merged[first]
-        for r, c, own in zip(rows, codes, least, strict=True):
-            smaller = best[np.searchsorted(merged, c)] < own
-            out.append((r["rng"], r["chunk"], r["n"], blobs.pack_bits(smaller), b""))
+        hashes = np.concatenate([blobs.unpack(r["codes"], r["n"], U64) for r in rows])
+        extras = [blobs.unpack_plain(r["extra"], 2 * r["n"], U64) for r in rows]
+        others = np.concatenate([x[: len(x) // 2] for x in extras])
+        ids = np.concatenate([x[len(x) // 2 :] for x in extras]).view(np.int64)
+        order = _sorted(hashes, others)
+        first = _runs(hashes[order], others[order])
+        best = np.repeat(np.minimum.reduceat(ids[order], first), np.diff(np.append(first, len(ids))))
+        smaller = np.empty(len(ids), bool)
+        smaller[order] = best < ids[order]
+        cuts = np.cumsum([0] + [r["n"] for r in rows])
+        out += [(r["rng"], r["chunk"], r["n"], blobs.pack_bits(smaller[a:b]), b"") for r, a, b in zip(rows, cuts[:-1], cuts[1:], strict=True)]
     return _rows(out)
 
 
@@ -174,22 +207,17 @@ _RESULT = pa.schema([("id", pa.int64()), ("text", pa.string()), ("n_words", pa.i
 
 def _repeats(chunk: _Chunk, answers: list[dict]) -> np.ndarray:
     """Whether each word of the chunk lies under a repeat."""
-    own = next(r for r in answers if r["rng"] == _SELF)
-    found, starts, doc = _wide(chunk, blobs.unpack_bits(own["codes"], own["n"]))
-    order = np.argsort(found, kind="stable")
-    ordered = found[order]
-    first = blobs.runs(ordered)
-    distinct, ids = ordered[first], chunk.ids[doc[order]]
-    least = ids[first]
-    smaller = np.zeros(len(distinct), bool)
-    rng = blobs.range_of(distinct, chunk.ranges)
+    note = next(r for r in answers if r["rng"] == _SELF)
+    own = _wide(chunk, blobs.unpack_bits(note["codes"], note["n"]))
+    smaller = np.zeros(len(own.hashes), bool)
+    rng = blobs.range_of(own.hashes, chunk.ranges)
     for r in answers:
         if r["rng"] != _SELF:
             a, b = np.searchsorted(rng, [r["rng"], r["rng"] + 1])
             smaller[a:b] = blobs.unpack_bits(r["codes"], r["n"])
-    group = np.repeat(np.arange(len(distinct)), np.diff(np.append(first, len(ordered))))
-    repeat = smaller[group] | (ids > least[group])
-    at, size = starts[order][repeat], len(chunk.hashes) + 1
+    run = np.repeat(np.arange(len(own.hashes)), np.diff(np.append(own.first, len(own.starts))))
+    repeat = smaller[run] | (own.ids > own.least[run])
+    at, size = own.starts[repeat], len(chunk.hashes) + 1
     edge = np.bincount(at, minlength=size) - np.bincount(at + chunk.window, minlength=size)
     return np.cumsum(edge[:-1]) > 0
 
@@ -205,20 +233,27 @@ def _apply(texts: pa.Table, answers: pa.Table, window: int, ranges: int) -> pa.T
         turn = np.flatnonzero(np.diff(gone[a:b].astype(np.int8), prepend=0, append=0))
         spans.append([{"start": s, "end": e} for s, e in turn.reshape(-1, 2).tolist()])
     ids = pa.array([i if k else None for i, k in zip(chunk.ids.tolist(), chunk.known, strict=True)], pa.int64())
-    return pa.table([ids, chunk.texts.combine_chunks().cast(pa.string()), pa.array(np.diff(chunk.where), pa.int64()), pa.array(spans, _RESULT.field("removed").type)], schema=_RESULT)
+    whole = pa.table([ids, chunk.texts, pa.array(np.diff(chunk.where), pa.int64()), pa.array(spans, _RESULT.field("removed").type)], names=_RESULT.names)
+    _, offsets = words.text_bytes(chunk.texts)
+    return pa.concat_tables([whole.slice(a, b - a).cast(_RESULT) for a, b in words.pieces(offsets, 1 << 27)])
+
+
+#: Bytes of a chunk, about, as files have them: texts are some three times as long in memory.
+CHUNK_BYTES = 1 << 25
 
 
 def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 13, chunks_per_partition: int = 2) -> DataFrame:
     """A row (id, text, n_words, removed) per document; ``removed`` has the maximal repeats as word ranges.
 
-    ``chunks_per_partition`` times the session's shuffle partitions is the number of
-    chunks; a chunk and a range each have to fit a task's memory.
+    ``chunks_per_partition`` times the session's shuffle partitions is the least number of
+    chunks; tables of files larger than ``CHUNK_BYTES`` for each have more.
     """
     spark = docs.sparkSession
     parts = scratch.partitions(spark)
     ranges = min(parts, 1 << 16)
-    rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    chunk = F.pmod(F.xxhash64(F.coalesce(F.col("id"), F.xxhash64("text"))), F.lit(parts * chunks_per_partition)).cast("int")
+    rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    chunks = max(parts * chunks_per_partition, scratch.file_bytes(docs) // CHUNK_BYTES)
+    chunk = F.pmod(F.xxhash64(F.coalesce(F.col("id"), F.xxhash64("text"))), F.lit(chunks)).cast("int")
     texts = rows.withColumn("chunk", chunk).repartition(parts, "chunk")
     by_chunk = texts.groupBy("chunk")
     asked = by_chunk.applyInArrow(lambda t: _ask(t, window, ranges), _MESSAGE_SQL)

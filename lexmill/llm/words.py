@@ -4,9 +4,11 @@ A word is a maximal run of bytes other than space, tab, line feed, vertical tab,
 feed and carriage return; that is ``[^\\x20\\x09-\\x0D]+`` over code points, as UTF-8 has
 these bytes only as themselves.
 
-Hashes are polynomials over Z/2^64 with random byte values, finished by a mixing step.
-They are computed from prefix sums, so a word or a window of words costs a few array
-operations whatever its length.
+A word's hash adds up its eight-byte parts, each mixed with a key of its place, so no
+pattern of letters makes two words alike.  A window's hash is a polynomial over Z/2^64 of
+its words' hashes, computed from prefix sums.  Where 64 bits are too few, a second, independent
+hash goes beside the first (``tokens`` with ``second``, ``beside``); ``shingles`` with
+``exact`` tells shingles apart by their words.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C17  # odd, 3 mod 4: base - 1 has one factor 2 only
+_OTHER_BASE = 0xD1B54A32D192ED03
 _STEP = 1 << 21  # bytes hashed at a time, so that the arrays stay in the cache
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -35,7 +38,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
+#: Parts of a word that are hashed for all words at once.
+_FEW = 8
+_KEYS = mix(np.arange(1, 2 * _FEW + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
+_OTHER_KEYS = mix(_KEYS ^ U64(0xD6E8FEB86659FD93))
+_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -74,7 +81,7 @@ def sliced(batches: Iterator[pa.RecordBatch], at: int, size: int = 1 << 22) -> I
     """
     for batch in batches:
         _, offsets = text_bytes(batch.column(at))
-        for lo, hi in _pieces(offsets, size):
+        for lo, hi in pieces(offsets, size):
             yield batch.slice(lo, hi - lo)
 
 
@@ -94,7 +101,7 @@ def bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.flatnonzero(start), np.flatnonzero(end) + 1
 
 
-def _pieces(offsets: np.ndarray, step: int) -> Iterator[tuple[int, int]]:
+def pieces(offsets: np.ndarray, step: int) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``step`` bytes; a longer text is alone."""
     lo, n = 0, len(offsets) - 1
     while lo < n:
@@ -103,34 +110,79 @@ def _pieces(offsets: np.ndarray, step: int) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def hash_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes."""
+def hash_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray = _KEYS) -> np.ndarray:
+    """A 64-bit hash of each word's bytes; ``keys`` are two per place of a part."""
     if not len(starts):
         return np.zeros(0, U64)
-    up, down = _power(len(raw) + 1)
-    total = np.empty(len(raw) + 1, U64)
-    total[0] = 0
-    np.cumsum(_BYTE[raw] * up[: len(raw)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U64))
+    size = ends - starts
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    parts = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    out = _part(parts, starts, np.minimum(size, 8), keys[0], keys[1])
+    for place in range(1, _FEW):
+        at = np.flatnonzero(size > 8 * place)
+        out[at] += _part(parts, starts[at] + 8 * place, np.minimum(size[at] - 8 * place, 8), keys[2 * place], keys[2 * place + 1])
+    for word in np.flatnonzero(size > 8 * _FEW).tolist():  # a long one, in blocks of parts
+        for lo in range(_FEW, -(-int(size[word]) // 8), _STEP >> 3):
+            place = np.arange(lo, min(lo + (_STEP >> 3), -(-int(size[word]) // 8)))
+            own = mix(place.astype(U64)[:, None] + keys[:2])
+            out[word : word + 1] += _part(parts, starts[word] + 8 * place, np.minimum(size[word] - 8 * place, 8), own[:, 0], own[:, 1]).sum(dtype=U64)
+    return mix(out + size.astype(U64))
 
 
-def tokens(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def _part(parts: np.ndarray, at: np.ndarray, size: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    value = np.ascontiguousarray(parts[at]).view("<u8")[:, 0] & _MASK[size]
+    return mix((value ^ low) + high)
+
+
+def tokens(column: pa.Array | pa.ChunkedArray, lower: bool = False, second: bool = False) -> tuple[np.ndarray, ...]:
     """The word hashes of all texts, one after another, and the n + 1 word offsets.
 
-    With ``lower``, A-Z are lower-cased first.
+    With ``lower``, A-Z are lower-cased first; with ``second``, independent hashes come third.
     """
     raw, offsets = text_bytes(column)
-    parts, counts = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
-    for lo, hi in _pieces(offsets, _STEP):
+    parts, others, counts = [np.zeros(0, U64)], [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+    for lo, hi in pieces(offsets, _STEP):
         piece = raw[offsets[lo] : offsets[hi]]
         piece = _LOWER[piece] if lower else piece
         at = offsets[lo : hi + 1] - offsets[lo]
         starts, ends = bounds(piece, at)
         parts.append(hash_words(piece, starts, ends))
+        if second:
+            others.append(hash_words(piece, starts, ends, _OTHER_KEYS))
         counts.append(np.diff(np.searchsorted(starts, at)))
     where = np.zeros(len(offsets), np.int64)
     np.cumsum(np.concatenate(counts), out=where[1:])
-    return np.concatenate(parts), where
+    out = np.concatenate(parts), where
+    return (*out, np.concatenate(others)) if second else out
+
+
+def beside(hashes: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of the windows of ``length`` words at the given starts."""
+    out = np.empty(len(starts), U64)
+    power = [U64(pow(_OTHER_BASE, k, 1 << 64)) for k in range(length)]
+    for lo in range(0, len(starts), _STEP >> 3):
+        at = starts[lo : lo + (_STEP >> 3)]
+        total = np.zeros(len(at), U64)
+        for k in range(length):
+            total += hashes[at + k] * power[k]
+        out[lo : lo + len(at)] = mix(total)
+    return out
+
+
+def codes(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> np.ndarray:
+    """A number for each word of all texts, equal for equal words and for no others."""
+    raw, offsets = text_bytes(column)
+    raw = _LOWER[raw] if lower else raw
+    starts, ends = bounds(raw, offsets)
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    at = np.concatenate([[0], np.cumsum(ends - starts)])
+    edge = np.zeros(len(raw) + 1, np.int8)
+    edge[starts] += 1
+    edge[ends] -= 1
+    data = raw[np.cumsum(edge[:-1], dtype=np.int8).astype(bool)]
+    array = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)])
+    return array.dictionary_encode().indices.to_numpy().astype(np.int64)
 
 
 def windows(hashes: np.ndarray, where: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -155,11 +207,28 @@ def windows(hashes: np.ndarray, where: np.ndarray, length: int) -> tuple[np.ndar
     return mix(out[starts] + U64(length)), starts
 
 
-def shingles(column: pa.Array | pa.ChunkedArray, length: int, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def _told_apart(found: np.ndarray, first: np.ndarray, size: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Numbers instead of the hashes ``found`` of the runs of words that start at ``first``: equal for equal runs of ``code`` only."""
+    order = np.argsort(found, kind="stable")
+    at, size = first[order], size[order]
+    same = np.zeros(len(found), bool)
+    same[1:] = (found[order[1:]] == found[order[:-1]]) & (size[1:] == size[:-1])
+    mixed = same.copy()
+    for k in range(int(size.max(initial=0))):
+        i = np.flatnonzero(mixed & (size > k))
+        mixed[i] = code[at[i] + k] == code[at[i - 1] + k]
+    if (same == mixed).all():  # hashes tell the same as words
+        return found
+    own: dict[tuple, int] = {}
+    return np.array([own.setdefault(tuple(code[a : a + n].tolist()), len(own)) for a, n in zip(first.tolist(), size[np.argsort(order)].tolist(), strict=True)], U64)
+
+
+def shingles(column: pa.Array | pa.ChunkedArray, length: int, lower: bool = True, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles of each text, sorted, and the n + 1 offsets.
 
     A text with fewer words than ``length`` has its whole sequence as its only shingle; a
-    text without words has none.
+    text without words has none.  With ``exact``, shingles of different words have different
+    numbers within the column, whatever their hashes.
     """
     hashes, where = tokens(column, lower)
     found, starts = windows(hashes, where, length)
@@ -174,6 +243,9 @@ def shingles(column: pa.Array | pa.ChunkedArray, length: int, lower: bool = True
             up, _ = _power(int(size))
             own[of] = mix((block * up[:size]).sum(axis=1, dtype=U64) + U64(size))
         found, text = np.concatenate([found, own]), np.concatenate([text, short])
+    if exact and len(found):
+        first = np.concatenate([starts, where[short]])
+        found = _told_apart(found, first, np.concatenate([np.full(len(starts), length), sizes[short]]), codes(column, lower))
     if len(short):
         order = np.argsort(text, kind="stable")
         found, text = found[order], text[order]

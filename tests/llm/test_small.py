@@ -191,6 +191,29 @@ def test_substring(spark):
     assert one["kept_text"] == "b"
 
 
+#: Words that polynomials modulo a power of two can't tell apart, whatever the base.
+MORSE = ["".join("ab"[(i.bit_count() + odd) % 2] for i in range(2048)) for odd in (0, 1)]
+
+
+def test_words_of_hostile_patterns_differ(spark):
+    hashes, _, others = words.tokens(pa.array([" ".join(MORSE)]), second=True)
+    assert hashes[0] != hashes[1] and others[0] != others[1]
+    rows = [(i, " ".join([*"abcdef", MORSE[i], *"ghijkl"])) for i in (0, 1)]
+    assert {r["n_removed"] for r in substring.digest(substring.repeated_spans(docs(spark, rows))).collect()} == {0}
+    assert {r["component_id"] for r in minhash.link_components(docs(spark, rows), shingle=4).collect()} == {0, 1}
+
+
+def test_windows_of_equal_hash_are_told_apart(monkeypatch):
+    two = pa.array(["a b c d e f", "a b x d e f", "q"])
+    monkeypatch.setattr(words, "hash_words", lambda raw, starts, ends, keys=None: np.ones(len(starts), np.uint64))
+    sets, where = words.shingles(two, 3, exact=True)
+    assert np.diff(where).tolist() == [4, 4, 1] and len(set(sets.tolist())) == 8  # both have d e f
+    assert words.shingles(two, 3)[1].tolist() == [0, 1, 2, 3]
+    a, b = np.array([5, 5, 5, 7], np.uint64), np.array([2, 1, 2, 0], np.uint64)
+    order = substring._sorted(a, b)
+    assert substring._runs(a[order], b[order]).tolist() == [0, 1, 3]
+
+
 # --- near dedup --------------------------------------------------------------------------
 
 
