@@ -4,8 +4,8 @@ Contraction: each task joins the vertices that its own edges connect, and links
 least.  Large star: every vertex links its greater neighbours to the least of its
 neighbourhood.  Small star: it links its smaller neighbours, and itself, to their least.  All
 leave the components as they are and drive the edges towards stars around each component's
-least vertex; the number of rounds grows with the logarithm of the graph's size, and few
-edges, which fit one task, need no more than one.  Each round is a minimum per vertex, summed
+least vertex; the number of rounds grows with the logarithm of the graph's size, and what one
+task contracts needs none.  Each round is a minimum per vertex, summed
 up before the shuffle, and a join in which hot vertices are broadcast; edges stay distributed,
 and each round is written to the shared folder.
 
@@ -55,10 +55,10 @@ def _large(edges: DataFrame, total: int) -> DataFrame:
     return scratch.look_up(both.where("v > u"), "u", least, "n", 2 * total).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small(edges: DataFrame, total: int) -> DataFrame:
-    """``edges`` have u > v."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-    moved = scratch.look_up(edges, "u", least, "n", total).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+def _small(edges: DataFrame) -> DataFrame:
+    """``edges`` have u > v; a vertex has no more of them than tasks that contracted."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v")))
 
 
@@ -66,8 +66,8 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(id, component) of every vertex of an edge between different vertices; component is the least id."""
     now, seen = _contracted(edges.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u <> v"))
     before = None
-    while seen[0] and seen != before:
+    while scratch.few_partitions(now.sparkSession) > 1 and seen[0] and seen != before:
         before = seen
-        now, seen = _contracted(_small(_large(now, seen[0]), seen[0]))
+        now, seen = _contracted(_small(_large(now, seen[0])))
     stars = now.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return stars.union(now.select("v", "v").distinct()).toDF("id", "component")

@@ -44,8 +44,8 @@ from lexmill.llm import blobs, components, scratch, words
 
 U64 = np.uint64
 ROWS, BANDS = 5, 32
-#: A task's block: a pivot's candidates, and the members of a bucket, are dealt over blocks of about so many rows and bytes.
-GROUP, GROUP_BYTES = 512, 1 << 24
+#: A pivot's candidates, and the members of a bucket, are dealt over blocks of about so many rows, and bytes.
+STAR, GROUP, GROUP_BYTES = 128, 512, 1 << 24
 
 
 def signatures(sets: np.ndarray, where: np.ndarray, values: int, seed: int = 1) -> np.ndarray:
@@ -108,15 +108,14 @@ def _check(pairs: pa.Table, shingle: int) -> pa.Table:
     return pa.table({"pivot": pivot, "other": pa.array([ids[i] for i in keep], pa.int64()), "inter": pa.array(inter[keep].astype(np.int64)), "total": pa.array(union[keep].astype(np.int64))})
 
 
-def _blocks(n: Column, size: Column) -> Column:
-    return F.greatest(F.ceil(n / GROUP), F.ceil(size / GROUP_BYTES)).cast("int")
+def _blocks(n: Column, size: Column, rows: int = GROUP) -> Column:
+    return F.greatest(F.ceil(n / rows), F.ceil(size / GROUP_BYTES)).cast("int")
 
 
-def _checked(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
-    """(pivot, other, inter, total) of each (pivot, other, bytes); a pivot's pairs are dealt over blocks."""
-    pairs, seen = scratch.save_counted(scratch.few(pairs), F.count(F.lit(1)).alias("n"))
-    count = pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).select("pivot", "n", _blocks(F.col("n"), F.col("bytes")).alias("groups"))
-    dealt = scratch.look_up(pairs.select("pivot", "other"), "pivot", count, "n", seen[0]).withColumn("grp", F.pmod(F.xxhash64("other"), F.col("groups")).cast("int"))
+def _checked(pairs: DataFrame, total: int, texts: DataFrame, shingle: int) -> DataFrame:
+    """(pivot, other, inter, total) of each of the ``total`` (pivot, other, bytes); a pivot's pairs are dealt over blocks."""
+    count = pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).select("pivot", "n", _blocks(F.col("n"), F.col("bytes"), STAR).alias("groups"))
+    dealt = scratch.look_up(pairs.select("pivot", "other"), "pivot", count, "n", total).withColumn("grp", F.pmod(F.xxhash64("other"), F.col("groups")).cast("int"))
     others = dealt.join(texts.withColumnRenamed("id", "other"), "other").select("pivot", "grp", "other", "text")
     pivots = count.join(texts.withColumnRenamed("id", "pivot"), "pivot").select("pivot", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("grp"), F.lit(None).cast("long").alias("other"), "text")
     return others.union(pivots).groupBy("pivot", "grp").applyInArrow(lambda t: _check(t, shingle), "pivot long, other long, inter long, total long")
@@ -171,7 +170,10 @@ class _Links:
         """Tests the (pivot, other, bytes) that weren't tested yet."""
         for known in self.tested:
             pairs = pairs.join(known.select("pivot", "other"), ["pivot", "other"], "left_anti")
-        new = scratch.save(scratch.few(_checked(pairs, self.texts, self.shingle)))
+        pairs, seen = scratch.save_counted(scratch.few(pairs), F.count(F.lit(1)).alias("n"))
+        if self.found is not None and not seen[0]:
+            return
+        new = scratch.save(scratch.few(_checked(pairs, seen[0], self.texts, self.shingle)))
         self.tested.append(new)
         self.merge(new.where(F.col("inter") * 100 >= F.col("total") * self.percent).select("pivot", "other").toDF("u", "v"))
 

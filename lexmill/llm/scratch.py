@@ -35,7 +35,11 @@ def few(df: DataFrame) -> DataFrame:
 
     Short rounds then don't spend their time on creating files.
     """
-    return df.repartition(max(1, partitions(df.sparkSession) // FEW))
+    return df.repartition(few_partitions(df.sparkSession))
+
+
+def few_partitions(spark: SparkSession) -> int:
+    return max(1, partitions(spark) // FEW)
 
 
 def save(df: DataFrame) -> DataFrame:
@@ -54,21 +58,23 @@ def save_counted(df: DataFrame, *measures: Column) -> tuple[DataFrame, tuple]:
     return saved, tuple(seen.get.values())
 
 
-#: A key with more than this part of all rows is hot.
-HOT = 1_000
-
-
 def look_up(rows: DataFrame, key: str, found: DataFrame, n: str, total: float) -> DataFrame:
     """Inner join of ``rows`` with ``found``, which has a row per key and the number ``n`` of its rows among ``total``.
 
-    Hot keys are looked up in a broadcast, which the bound on their number keeps small: no
-    more than ``HOT`` keys have more than total / HOT rows each.  So no task of the join by
-    key gets more than that of one key.
+    A key with more rows than a partition has on average is hot.  There are no more of them
+    than partitions, so they are looked up in a small broadcast; rows that are found there
+    are dealt evenly in the join of the others by key.
     """
-    limit, columns = total / HOT, rows.columns
-    hot, cold = found.where(F.col(n) > limit), found.where(F.col(n) <= limit)
+    names = [c for c in found.columns if c != key]
+    limit = total / partitions(rows.sparkSession)
+    hot = found.where(F.col(n) > limit).select(key, *(F.col(c).alias(f"__hot_{c}") for c in names))
+    cold = found.where(F.col(n) <= limit).select(F.col(key).alias("__key"), F.lit(False).alias("__hot"), *(F.col(c).alias(f"__cold_{c}") for c in names))
     marked = rows.join(F.broadcast(hot), key, "left")
-    return marked.where(F.col(n).isNotNull()).unionByName(marked.where(F.col(n).isNull()).select(columns).join(cold, key))
+    is_hot = F.col(f"__hot_{n}").isNotNull()
+    dealt = F.xxhash64(*rows.columns).cast("string").cast(rows.schema[key].dataType)
+    marked = marked.withColumn("__hot", is_hot).withColumn("__key", F.when(is_hot, dealt).otherwise(F.col(key)))
+    out = marked.join(cold, ["__key", "__hot"], "left").where(is_hot | F.col(f"__cold_{n}").isNotNull())
+    return out.select(*rows.columns, *(F.coalesce(f"__hot_{c}", f"__cold_{c}").alias(c) for c in names))
 
 
 def release(spark: SparkSession) -> None:

@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 U64 = np.uint64
@@ -175,14 +176,18 @@ def codes(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> np.ndarray
     raw = _LOWER[raw] if lower else raw
     starts, ends = bounds(raw, offsets)
     if not len(starts):
-        return np.zeros(0, np.int64)
-    at = np.concatenate([[0], np.cumsum(ends - starts)])
-    edge = np.zeros(len(raw) + 1, np.int8)
-    edge[starts] += 1
-    edge[ends] -= 1
-    data = raw[np.cumsum(edge[:-1], dtype=np.int8).astype(bool)]
-    array = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)])
-    return array.dictionary_encode().indices.to_numpy().astype(np.int64)
+        return np.zeros(0, U64)
+    size = ends - starts
+    parts = np.lib.stride_tricks.sliding_window_view(np.concatenate([raw, np.zeros(8, np.uint8)]), 8)
+    # a short word is its own number; others are numbered, with a first byte that UTF-8 doesn't have
+    out = np.ascontiguousarray(parts[starts]).view("<u8")[:, 0] & _MASK[np.minimum(size, 8)]
+    long = np.flatnonzero((size > 8) | (raw[ends - 1] == 0))
+    if len(long):
+        at = np.concatenate([[0], np.cumsum(size[long])])
+        data = raw[np.repeat(starts[long] - at[:-1], size[long]) + np.arange(at[-1])]
+        array = pa.Array.from_buffers(pa.large_binary(), len(long), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)])
+        out[long] = array.dictionary_encode().indices.to_numpy().astype(U64) | U64(0xFF << 56)
+    return out
 
 
 def windows(hashes: np.ndarray, where: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -209,18 +214,17 @@ def windows(hashes: np.ndarray, where: np.ndarray, length: int) -> tuple[np.ndar
 
 def _told_apart(found: np.ndarray, first: np.ndarray, size: np.ndarray, code: np.ndarray) -> np.ndarray:
     """Numbers instead of the hashes ``found`` of the runs of words that start at ``first``: equal for equal runs of ``code`` only."""
-    order = np.argsort(found, kind="stable")
-    at, size = first[order], size[order]
-    same = np.zeros(len(found), bool)
-    same[1:] = (found[order[1:]] == found[order[:-1]]) & (size[1:] == size[:-1])
-    mixed = same.copy()
+    run, distinct = pd.factorize(found)
+    model = np.empty(len(distinct), np.int64)  # of each hash the first place it is found at
+    model[run[::-1]] = np.arange(len(found))[::-1]
+    model = model[run]
+    alike = size == size[model]
     for k in range(int(size.max(initial=0))):
-        i = np.flatnonzero(mixed & (size > k))
-        mixed[i] = code[at[i] + k] == code[at[i - 1] + k]
-    if (same == mixed).all():  # hashes tell the same as words
+        alike &= (size <= k) | (code[np.minimum(first + k, len(code) - 1)] == code[np.minimum(first[model] + k, len(code) - 1)])
+    if alike.all():  # hashes tell the same as words
         return found
     own: dict[tuple, int] = {}
-    return np.array([own.setdefault(tuple(code[a : a + n].tolist()), len(own)) for a, n in zip(first.tolist(), size[np.argsort(order)].tolist(), strict=True)], U64)
+    return np.array([own.setdefault(tuple(code[a : a + n].tolist()), len(own)) for a, n in zip(first.tolist(), size.tolist(), strict=True)], U64)
 
 
 def shingles(column: pa.Array | pa.ChunkedArray, length: int, lower: bool = True, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
