@@ -1,39 +1,47 @@
 """Mixing sources to target weights (operator 2): Pfair scheduling of blocks.
 
-The documents of a source, in the order of a hash, are cut into blocks.  With weight w, the
-source's j-th block (from 1) is released at slot floor((j - 1) / w) and due by slot
-ceil(j / w); earliest deadline first then gives each slot to one source, and at any time
+The documents of a source, in the order of a hash of their ids, are cut into blocks.  With
+weight w, the source's j-th block (from 1) is released at slot floor((j - 1) / w) and due by
+slot ceil(j / w); earliest deadline first then gives each slot to one source, and at any time
 every source has had its share of the slots to less than one block.
 
 Weights are exact fractions (a float is the decimal it is written as).  Their least common
 denominator is the frame after which the schedule repeats, so the slot of any block follows
-from its number by arithmetic; only where the frame is longer than a phase does the driver
-walk through all blocks of the phase.  When a source has no blocks left, a new phase begins
-with the weights of the others in proportion, so that every document is placed once.
+from its number by arithmetic if the frame is short; a longer schedule is written out, a run
+of slots at a time.  When a source has no blocks left, a new phase begins with the weights of
+the others in proportion, so that every document is placed once.
 
-Numbering needs no source in one task: documents are numbered inside hash buckets of their
-source, and the buckets' counts are summed up.
+The schedule is made by one task out of one row a source, and streamed to a table: all it
+holds is a heap with an entry a source, and a run of slots.  Documents are numbered inside
+ranges of their hash, whose counts are summed up, so no source is numbered in one task; each
+range of a source is joined with the part of the schedule that it needs, where it already is
+after the numbering, so the rows move once.
 
 Defined results: a null source counts as the empty one; a source without a weight, or of
 weight zero, comes after all others, by equal shares; a weight for a source without documents
 is ignored; rows of equal id are placed next to each other as ordered by their other
-columns' hash; an empty table gives no rows; columns of the input named as an output
-column are replaced.
+columns' hash; rows without an id are placed by that hash; texts of any length are only moved;
+an empty table gives no rows; columns of the input named as an output column are replaced,
+and any other name is kept.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from dataclasses import dataclass
+from collections.abc import Iterator
 from fractions import Fraction
+from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm import scratch
 
 BLOCK = 16
+#: Slots that are written out at once, and the longest frame that is repeated by arithmetic.
+RUN = 8_192
 
 
 def exact(weights: dict[str, float]) -> dict[str, int]:
@@ -45,112 +53,109 @@ def exact(weights: dict[str, float]) -> dict[str, int]:
     return {s: x // least for s, x in whole.items()}
 
 
-def quotas(weights: dict[str, float], frame: int) -> dict[str, int]:
-    """Slots of a frame for each source, by largest remainders, at least one."""
-    frame = max(frame, 2 * len(weights))
-    total = sum(weights.values())
-    exact = {s: w / total * frame for s, w in weights.items()}
-    out = {s: max(1, int(x)) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (out[s] - exact[s], s)):
-        if sum(out.values()) >= frame:
-            break
-        out[s] += 1
-    while (over := sum(out.values()) - frame) > 0:
-        s = max(out, key=lambda s: (out[s], s))
-        out[s] -= min(over, out[s] - 1)
-    return out
-
-
-def schedule(quota: dict[str, int], left: dict[str, int] | None = None) -> dict[str, list[int]]:
-    """The slots of a frame that each source gets, by earliest deadline first among the released blocks.
-
-    With ``left`` it ends before the first slot that a source has no block for.
-    """
+def earliest_deadline_first(quota: dict[str, int]) -> Iterator[str]:
+    """The source of each slot, without an end."""
     frame = sum(quota.values())
-    release = lambda s, j: (j - 1) * frame // quota[s]
-    deadline = lambda s, j: -(-j * frame // quota[s])
-    waiting = [(release(s, 1), s, 1) for s in quota]
-    heapq.heapify(waiting)
-    ready: list[tuple[int, str, int]] = []
-    slots: dict[str, list[int]] = {s: [] for s in quota}
-    for t in range(frame):
+    waiting = [(0, s, 1) for s in sorted(quota)]  # by release
+    ready: list[tuple[int, str, int]] = []  # by deadline
+    t = 0
+    while True:
         while waiting and waiting[0][0] <= t:
             _, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (deadline(s, j), s, j))
+            heapq.heappush(ready, (-(-j * frame // quota[s]), s, j))
         due, s, j = heapq.heappop(ready)
         if t >= due:
             raise AssertionError("a block missed its deadline")
-        if left is not None and j > left[s]:
-            break
-        slots[s].append(t)
-        if j < quota[s]:
-            heapq.heappush(waiting, (release(s, j + 1), s, j + 1))
-    return slots
+        yield s
+        heapq.heappush(waiting, (j * frame // quota[s], s, j + 1))
+        t += 1
 
 
-@dataclass(frozen=True)
-class Phase:
-    """From ``start`` on, source s gets slot start + (i // k) * frame + slots[s][i % k] for the i-th of its next blocks."""
+class Part(NamedTuple):
+    """The i-th block of a source from ``first`` on, before ``until``, gets slot start + (i // k) * frame + slots[i % k]."""
 
-    number: int
+    source: str
+    first: int
+    until: int
     start: int
-    length: int
     frame: int
-    slots: dict[str, list[int]]
-    first: dict[str, int]
-    taken: dict[str, int]
-
+    slots: list[int]
 
-def phases(blocks: dict[str, int], weights: dict[str, float] | None = None, frame: int | None = None) -> list[Phase]:
-    """The phases that place all blocks of all sources; there are no more of them than sources.
 
-    With ``frame`` weights are rounded to quotas of so many slots.
-    """
+def parts(blocks: dict[str, int], weights: dict[str, float] | None = None, run: int = RUN) -> Iterator[Part]:
+    """The schedule of all blocks of all sources."""
     given = {s: 1.0 for s in blocks} if weights is None else {s: weights.get(s, 0.0) for s in blocks}
-    left, used, start, out = {s: n for s, n in blocks.items() if n > 0}, dict.fromkeys(blocks, 0), 0, []
+    left, used, start = {s: n for s, n in blocks.items() if n > 0}, dict.fromkeys(blocks, 0), 0
     while left:
-        own = {s: given[s] for s in left if given[s] > 0} or dict.fromkeys(left, 1.0)
-        quota = quotas(own, frame) if frame else exact(own)
-        slots = schedule(quota, left)
-        size = sum(map(len, slots.values()))
-        # the phase ends at the first slot that a source has no block for
-        length = size
-        if size == sum(quota.values()):
-            length = min(left[s] // len(slots[s]) * size + slots[s][left[s] % len(slots[s])] for s in own)
-        taken = {s: length // size * len(x) + sum(t < length % size for t in x) for s, x in slots.items()}
-        out.append(Phase(len(out), start, length, size, slots, {s: used[s] for s in own}, taken))
-        start += length
-        for s, n in taken.items():
-            used[s] += n
-            left[s] -= n
-            if not left[s]:
-                del left[s]
-    return out
-
-
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, id: str = "doc_id", source: str = "source", block: int = BLOCK, frame: int | None = None) -> DataFrame:
+        quota = exact({s: given[s] for s in left if given[s] > 0} or dict.fromkeys(left, 1.0))
+        frame, t = sum(quota.values()), 0
+        size = min(frame, run)
+        slots: dict[str, list[int]] = {}
+        for s in earliest_deadline_first(quota):
+            dry = len(slots.get(s, ())) >= left[s]
+            if not dry:
+                slots.setdefault(s, []).append(t)
+                t += 1
+                if t < size:
+                    continue
+            length = t
+            if size == frame and not dry:  # repeats, up to the first slot that a source has no block for
+                length, dry = min(left[x] // len(own) * frame + own[left[x] % len(own)] for x, own in slots.items()), True
+            for x, own in slots.items():
+                if taken := length // t * len(own) + sum(i < length % t for i in own):
+                    yield Part(x, used[x], used[x] + taken, start, t, own)
+                used[x] += taken
+                left[x] -= taken
+            start += length
+            if dry:
+                break
+            slots, t = {}, 0
+        left = {s: n for s, n in left.items() if n}
+
+
+_PART = pa.schema([("source", pa.string()), ("first", pa.int64()), ("until", pa.int64()), ("start", pa.int64()), ("frame", pa.int64()), ("slots", pa.list_(pa.int64()))])
+_PART_SQL = "source string, first long, until long, start long, frame long, slots array<long>"
+
+
+def _scheduled(batches: Iterator[pa.RecordBatch], weights: dict[str, float] | None) -> Iterator[pa.RecordBatch]:
+    blocks = {s: n for batch in batches for s, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)}
+    held: list[Part] = []
+    for part in parts(blocks, weights):
+        held.append(part)
+        if sum(len(x.slots) for x in held) >= RUN:
+            yield pa.RecordBatch.from_pylist([x._asdict() for x in held], _PART)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_pylist([x._asdict() for x in held], _PART)
+
+
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, id: str = "doc_id", source: str = "source", block: int = BLOCK) -> DataFrame:
     """Adds ``block`` (its number in the source), ``place`` (in the block) and ``slot`` (of the block in the mix).
 
     Without ``weights`` all sources weigh the same.  Sorting by slot and place gives the mix.
     """
-    spark = docs.sparkSession
     names = [c for c in docs.columns if c not in ("block", "place", "slot")]
-    buckets = scratch.partitions(spark)
-    key = F.coalesce(F.col(f"`{source}`").cast("string"), F.lit(""))
-    bucket = F.pmod(F.xxhash64(f"`{id}`"), F.lit(buckets))
-    keyed = docs.select(*(F.col(f"`{c}`") for c in names), key.alias("__source"), bucket.alias("__bucket"))
-    counts = keyed.groupBy("__source", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    before = F.expr("sum(__n) over (partition by __source order by __bucket rows between unbounded preceding and 1 preceding)")
-    offsets = counts.select("__source", "__bucket", F.coalesce(before, F.lit(0)).alias("__before"))
-    supply = {r["__source"]: -(-r["n"] // block) for r in counts.groupBy("__source").agg(F.sum("__n").alias("n")).collect()}
-    plan = [(s, p.number, p.first[s], p.first[s] + p.taken[s], p.start, p.frame, p.slots[s]) for p in phases(supply, weights, frame) for s in p.slots if p.taken[s]]
-    schema = "__source string, phase int, first long, until long, start long, frame long, slots array<long>"
-    order = ", ".join(["xxhash64(`%s`)" % id, f"`{id}`", "xxhash64(%s)" % ", ".join(f"`{c}`" for c in names if not docs.schema[c].dataType.typeName().startswith("map"))])
-    ranked = keyed.withColumn("__rank", F.expr(f"row_number() over (partition by __source, __bucket order by {order})"))
-    ranked = ranked.join(offsets, ["__source", "__bucket"]).withColumn("__rank", F.col("__rank") + F.col("__before") - 1)
-    ranked = ranked.withColumn("block", F.floor(F.col("__rank") / block)).withColumn("place", (F.col("__rank") % block).cast("int"))
-    # a row for each source and phase it takes part in
-    placed = ranked.join(F.broadcast(spark.createDataFrame(plan, schema)), "__source").where("block >= first and block < until")
-    step = F.col("block") - F.col("first")
+    columns = [f"c{i}" for i in range(len(names))]
+    ranges = scratch.partitions(docs.sparkSession)
+    rows = docs.select(*(F.col(f"`{c}`") for c in names)).toDF(*columns)
+    own = F.xxhash64(*(c for c in columns if "map" not in rows.schema[c].dataType.simpleString()))
+    order = F.coalesce(F.md5(F.col(columns[names.index(id)]).cast("string").cast("binary")), F.md5(own.cast("string").cast("binary")))
+    rows = rows.select("*", F.coalesce(F.col(columns[names.index(source)]).cast("string"), F.lit("")).alias("key"), order.alias("hash"), own.alias("tie"))
+    number = F.conv(F.substring("hash", 1, 8), 16, 10).cast("long")
+    rows = rows.withColumn("rng", F.floor(number * ranges / (1 << 32)).cast("int"))
+    counts = scratch.save(rows.groupBy("key", "rng").agg(F.count(F.lit(1)).alias("n")))
+    supply = counts.groupBy("key").agg(F.ceil(F.sum("n") / block).cast("long").alias("blocks"))
+    # one row a source, into one task
+    plan = scratch.save(supply.coalesce(1).mapInArrow(lambda it: _scheduled(it, weights), _PART_SQL))
+    before = F.expr("sum(n) over (partition by key order by rng rows between unbounded preceding and 1 preceding)")
+    offsets = counts.select("key", "rng", "n", F.coalesce(before, F.lit(0)).alias("before"))
+    low, high = F.floor(F.col("before") / block), F.floor((F.col("before") + F.col("n") - 1) / block)
+    needed = offsets.join(plan, (F.col("key") == F.col("source")) & (F.col("first") <= high) & (F.col("until") > low))
+    needed = needed.select(F.col("key").alias("of"), F.col("rng").alias("at"), "before", "first", "until", "start", "frame", "slots")
+    ranked = rows.withColumn("rank", F.expr("row_number() over (partition by key, rng order by hash, c%d, tie)" % names.index(id)))
+    index = F.floor((F.col("rank") + F.col("before") - 1) / block)
+    placed = ranked.join(needed, (F.col("key") == F.col("of")) & (F.col("rng") == F.col("at")) & (index >= F.col("first")) & (index < F.col("until")))
+    step = index - F.col("first")
     slot = F.col("start") + F.floor(step / F.size("slots")) * F.col("frame") + F.get("slots", (step % F.size("slots")).cast("int"))
-    return placed.select(*(F.col(f"`{c}`") for c in names), "block", "place", slot.alias("slot"))
+    place = ((F.col("rank") + F.col("before") - 1) % block).cast("int")
+    return placed.select(*(F.col(c).alias(n) for c, n in zip(columns, names, strict=True)), index.alias("block"), place.alias("place"), slot.alias("slot"))

@@ -62,6 +62,27 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "source", "block", "place", "slot")
 
 
+#: In a phase of k sources, every source has one slot in k, by name; it ends where a source has no block left.
+_OP2_SQL = r"""
+WITH RECURSIVE numbered AS (
+  SELECT doc_id, source, coalesce(source, '') AS s, row_number() OVER (PARTITION BY coalesce(source, '') ORDER BY md5(doc_id::VARCHAR), doc_id) - 1 AS i FROM documents
+), supply AS (SELECT s, max(i) // 16 + 1 AS n FROM numbered GROUP BY s
+), phase(start, k, length, names, before, after) AS (
+  SELECT 0::BIGINT, 0, 0::BIGINT, list(s ORDER BY s), list_transform(list(n ORDER BY s), lambda x: 0::BIGINT), list(n ORDER BY s) FROM supply
+  UNION ALL
+  SELECT start, len(names), length, names, after, left_over FROM (
+    SELECT start, names, after, length, list_transform(after, lambda x, i: x - length // len(names) - (i - 1 < length % len(names))::BIGINT) AS left_over FROM (
+      SELECT start + length AS start, list_filter(names, lambda x, i: after[i] > 0) AS names, list_filter(after, lambda x: x > 0) AS after,
+        list_min(list_transform(list_filter(after, lambda x: x > 0), lambda x, i: x * len(list_filter(after, lambda y: y > 0)) + i - 1)) AS length
+      FROM phase WHERE list_sum(after) > 0))
+), placed AS (
+  SELECT start, k, unnest(names) AS s, unnest(list_transform(names, lambda x, i: i - 1)) AS turn, unnest(before) AS before, unnest(after) AS after FROM phase WHERE k > 0
+)
+SELECT doc_id, source, i // 16 AS block, (i % 16)::INT AS place, start + (i // 16 - n + before) * k + turn AS slot
+FROM numbered JOIN supply USING (s) JOIN placed USING (s) WHERE i // 16 >= n - before AND i // 16 < n - after
+"""
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the repeats of 13 words of earlier ones."""
     return substring.digest(substring.repeated_spans(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
@@ -196,4 +217,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_main_text": op9_main_text,
     "op10_quality": op10_quality,
 }
-ORACLES: dict[str, str] = {"op1_chat_format": _OP1_SQL, "op6_url_rules": _OP6_SQL, "op9_main_text": _OP9_SQL}
+ORACLES: dict[str, str] = {"op1_chat_format": _OP1_SQL, "op2_source_mix": _OP2_SQL, "op6_url_rules": _OP6_SQL, "op9_main_text": _OP9_SQL}

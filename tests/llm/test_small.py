@@ -9,6 +9,7 @@ import random
 import re
 import time
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -106,43 +107,60 @@ def test_chat_round_trip(spark, text):
 # --- mixing ------------------------------------------------------------------------------
 
 
-@QUICK
-@given(st.dictionaries(st.text("abcd", min_size=1, max_size=2), st.floats(0.01, 5), min_size=1, max_size=8))
-def test_schedule_deviates_less_than_a_block(weights):
-    quota = mixing.quotas(weights, 200)
-    frame = sum(quota.values())
-    slots = mixing.schedule(quota)
-    assert sorted(t for s in slots.values() for t in s) == list(range(frame))
-    for s, own in slots.items():
-        for t in range(frame + 1):
-            assert abs(sum(x < t for x in own) - t * quota[s] / frame) < 1
+def slots_of(blocks, weights, run=mixing.RUN):
+    """(source, number) of the block in each slot."""
+    out = {}
+    for p in mixing.parts(blocks, weights, run):
+        for i in range(p.until - p.first):
+            slot = p.start + i // len(p.slots) * p.frame + p.slots[i % len(p.slots)]
+            assert slot not in out
+            out[slot] = (p.source, p.first + i)
+    assert sorted(out) == list(range(sum(blocks.values())))
+    assert sorted(out.values()) == sorted((s, b) for s, n in blocks.items() for b in range(n))
+    return out
+
+
+def plain_slots(blocks, weights):
+    """Earliest deadline first over all released blocks, slot by slot, by fractions."""
+    left, out, used = {s: n for s, n in blocks.items() if n}, [], dict.fromkeys(blocks, 0)
+    while left:
+        own = {s: Fraction(repr(float(weights.get(s, 0)))) for s in left if weights.get(s, 0) > 0} or dict.fromkeys(left, Fraction(1))
+        total, t, done = sum(own.values()), 0, dict.fromkeys(own, 0)
+        while True:
+            ready = [(-(-(done[s] + 1) * total // w), s) for s, w in own.items() if done[s] * total // w <= t]
+            s = min(ready)[1]
+            if done[s] == left[s]:
+                break
+            out.append((s, used[s] + done[s]))
+            done[s] += 1
+            t += 1
+        for s, n in done.items():
+            used[s] += n
+            left[s] -= n
+            if not left[s]:
+                del left[s]
+    return dict(enumerate(out))
 
 
 @QUICK
-@given(st.dictionaries(st.text("abcd", min_size=1, max_size=2), st.integers(0, 40), min_size=1, max_size=5), st.integers(0, 3))
-def test_phases_place_every_block_once(blocks, odd):
-    weights = {s: float(i % 3 + odd) for i, s in enumerate(sorted(blocks))}
-    seen = []
-    for p in mixing.phases(blocks, weights, 50):
-        for s, own in p.slots.items():
-            for i in range(p.taken[s]):
-                t = (i // len(own)) * p.frame + own[i % len(own)]
-                assert t < p.length
-                seen.append((p.start + t, s, p.first[s] + i))
-    assert sorted(t for t, *_ in seen) == list(range(sum(blocks.values())))
-    assert sorted((s, b) for _, s, b in seen) == sorted((s, b) for s, n in blocks.items() for b in range(n))
-
-
-@pytest.mark.parametrize("weights", [dict.fromkeys("abc", 1), dict.fromkeys("abcdef", 0.5), {"a": 0.6, "b": 0.3995, "c": 0.0005}, {"a": 1 / 3, "b": 0.123456789, "c": 0.7}])
-def test_many_frames_keep_to_the_given_weights(weights):
-    blocks = {s: int(9000 * w) + 5 for s, w in weights.items()}
-    phase = mixing.phases(blocks, weights)[0]
-    at = {phase.start + i // len(own) * phase.frame + own[i % len(own)]: s for s, own in phase.slots.items() for i in range(phase.taken[s])}
-    assert sorted(at) == list(range(phase.length)) and phase.length > 5000
-    seen, total = dict.fromkeys(weights, 0), sum(weights.values())
-    for t in range(phase.length):
-        seen[at[t]] += 1
-        assert all(abs(n - (t + 1) * weights[s] / total) < 1 for s, n in seen.items())
+@given(st.dictionaries(st.text("abcd", min_size=1, max_size=2), st.tuples(st.integers(0, 40), st.sampled_from([0, 1, 0.5, 0.25, 0.3, 1 / 3, 0.0001, 7])), min_size=1, max_size=5), st.sampled_from([1, 3, 10, 50, 5000]))
+def test_schedule_is_earliest_deadline_first(sources, run):
+    blocks, weights = {s: n for s, (n, _) in sources.items()}, {s: w for s, (_, w) in sources.items()}
+    assert slots_of(blocks, weights, run) == plain_slots(blocks, weights)
+
+
+@pytest.mark.parametrize("weights", [dict.fromkeys("abc", 1), dict.fromkeys("abcdef", 0.5), {"a": 0.6, "b": 0.3999, "c": 0.0001}, {"a": 1 / 3, "b": 0.123456789, "c": 0.7}])
+def test_deviation_stays_below_a_block(weights):
+    total = sum(Fraction(repr(float(w))) for w in weights.values())
+    blocks = {s: int(300_000 * w) + 5 for s, w in weights.items()}
+    share = {s: Fraction(repr(float(w))) / total for s, w in weights.items()}
+    seen, at = dict.fromkeys(weights, 0), slots_of(blocks, weights)
+    for t in range(250_000):
+        seen[at[t][0]] += 1
+        s = at[t][0]
+        # a source is furthest ahead just after its slot and furthest behind just before
+        assert seen[s] - (t + 1) * share[s] < 1 and seen[s] - 1 - t * share[s] > -1
+    assert all(abs(n - 250_000 * share[s]) < 1 for s, n in seen.items())
 
 
 def test_mix_keeps_rows(spark):
@@ -156,6 +174,18 @@ def test_mix_keeps_rows(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_mix_takes_any_names(spark):
+    rows = [(i % 40 if i % 9 else None, f"s{i % 3}") for i in range(200)]
+    clashes = ("start", "first", "until", "frame", "slots", "rank", "rng", "key", "hash", "n", "before", "c0", "of", "at", "a.b")
+    df = spark.createDataFrame(rows, "doc_id long, source string").withColumns({f"{c}" if "." not in c else "x": F.lit(7) for c in clashes}).withColumnRenamed("x", "a.b")
+    out = mixing.mix(df, {"s0": 0.2, "s1": 0.3, "s2": 1 / 3}, block=4)
+    assert out.columns == [*df.columns, "block", "place", "slot"]
+    got = out.select("doc_id", "source", "block", "place", "slot").collect()
+    blocks = {s: -(-sum(x == s for _, x in rows) // 4) for s in ("s0", "s1", "s2")}
+    assert {(r["slot"], (r["source"], r["block"])) for r in got} == set(plain_slots(blocks, {"s0": 0.2, "s1": 0.3, "s2": 1 / 3}).items())
+    assert len(got) == 200 and len({(r["slot"], r["place"]) for r in got}) == 200
+
+
 # --- substring dedup ---------------------------------------------------------------------
 
 
