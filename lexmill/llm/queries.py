@@ -176,6 +176,28 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The base kinds; a text split by a pattern tells where its matches are.  SQL has no checksums, so
+#: it knows none of the kinds that are checked: where texts hold them, tests compare instead.
+_OP8_SQL = r"""
+WITH kinds(kind, rank, pattern, secret, least) AS (
+  VALUES ('assign', 0, '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+', '^[^:=]*[:=]\x20*["'']?', 6),
+    ('access', 1, 'AKIA[A-Z0-9]+', '^', 20), ('hex', 2, '[0-9a-f]+', '^', 24)
+), cut AS (
+  SELECT doc_id, kind, rank, least, secret, string_split_regex(text, pattern) AS between, regexp_extract_all(text, pattern) AS hits
+  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents), kinds
+), placed AS (
+  SELECT doc_id, kind, rank, least, secret, unnest(hits) AS hit, unnest(list_transform(hits, lambda x, i: list_sum(list_transform(between[:i], lambda y: length(y))) + coalesce(list_sum(list_transform(hits[:i - 1], lambda y: length(y))), 0)))::BIGINT AS start FROM cut
+), span AS (
+  SELECT doc_id, kind, rank, start, kind || ':' || start || ':' || (start + length(hit)) AS span FROM placed WHERE length(regexp_replace(hit, secret, '')) >= least
+), found AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex, string_agg(span, ',' ORDER BY start, rank) AS spans
+  FROM span GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN found f ON d.doc_id = f.doc_id
+"""
+
+
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -217,4 +239,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_main_text": op9_main_text,
     "op10_quality": op10_quality,
 }
-ORACLES: dict[str, str] = {"op1_chat_format": _OP1_SQL, "op2_source_mix": _OP2_SQL, "op6_url_rules": _OP6_SQL, "op9_main_text": _OP9_SQL}
+ORACLES: dict[str, str] = {"op1_chat_format": _OP1_SQL, "op2_source_mix": _OP2_SQL, "op6_url_rules": _OP6_SQL, "op8_secret_scan": _OP8_SQL, "op9_main_text": _OP9_SQL}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from pathlib import Path
 
 import duckdb
@@ -109,6 +110,33 @@ def test_vector_query(spark):
     assert hit >= 0.9 * 5 * len(got)
 
 
+def test_secret_query(spark, tmp_path):
+    """The query against plain patterns, also over texts that hold every kind."""
+    good = "ghp_" + "a" * 30
+    crc, tail = zlib.crc32(b"a" * 30), ""
+    for _ in range(6):
+        crc, digit = divmod(crc, 62)
+        tail = secrets._B62[digit] + tail
+    rows = [(1, f'x {good}{tail} token = "{"0a" * 20}"'), (2, None), (3, ""), (4, "AKIA" + "A" * 16 + " passwd: hunter2 é secret=12345"), (4, "passKword token: abcdefg"), (None, "API_KEY='k1234567'")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    patterns = {
+        "assign": (r"""(?ia)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+        "access": ("AKIA[A-Z0-9]+", 0, 20),
+        "hex": ("[0-9a-f]+", 0, 24),
+    }
+    for folder in (DATA, tmp_path):
+        got = queries.op8_secret_scan(spark, str(folder)).collect()
+        given = duckdb.sql(f"select doc_id, text from read_parquet('{folder}/documents.parquet{'' if folder == DATA else '/*.parquet'}')").fetchall()
+        want = []
+        for i, t in given:
+            base = [(kind, *m.span()) for kind, (p, group, least) in patterns.items() for m in re.finditer(p, t or "") if len(m[group]) >= least]
+            base.sort(key=lambda x: (x[1], list(patterns).index(x[0])))
+            count = [sum(x[0] == kind for x in base) for kind in patterns]
+            want.append((i, *count, hashlib.sha256(",".join(":".join(map(str, x)) for x in base).encode()).hexdigest()))
+        assert sorted((tuple(r)[:5] for r in got), key=repr) == sorted(want, key=repr)
+    assert {r["doc_id"]: r["spans"] for r in got}[1].startswith("forge:2:42,hex:6:37,assign:43:")
+
+
 def test_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
     got = queries.op10_quality(spark, str(DATA)).join(labels, "doc_id").where("held_out").collect()
