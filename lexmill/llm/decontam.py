@@ -5,31 +5,41 @@ of all passages of the corpus, and of the benchmark itself, make a matrix whose
 right singular vectors come from a distributed randomised SVD: every task multiplies its
 rows by a random matrix and the result by their transpose, and the partial products are
 summed by blocks of terms.  Passages and items are projected onto these vectors; an item
-whose cosine with a passage is high is a candidate.  Cosines miss items whose words are all
-frequent, and short items among many other words, so each place where enough of an item's
-rarest words stand close together is a candidate too: a common subsequence that counts can't
-do without them, so none is missed.  A candidate counts only if the longest common subsequence of the item's words and the words around the passage is long enough, or
-somewhat shorter with the item's answer (its last sentence) there word by word.
+whose cosine with a passage is high is a candidate, and counts as a paraphrase if the longest
+common subsequence of the item's words and the words around the passage has ``PARAPHRASE`` of
+the item.
+
+Cosines miss items whose words are all frequent, and short items among many other words.  So
+each place where enough of an item's rarest words stand close together is a candidate too, of
+which more is asked: ``SHARE`` of the item in the common subsequence, or
+``SHARE_WITH_ANSWER`` with the item's answer (its last sentence) there word by word.  Such a
+subsequence can't do without these words, so no verbatim item is missed.
 
 Words outside the benchmark can't be part of a common subsequence, so the restricted
-sequences give it exactly.  A benchmark is taken ``ITEMS`` items at a time, so what is held
-and sent to tasks is bounded: the model of a slice has at most ``TERMS`` terms (rows of
-``RANK`` floats); a slice with more is cut further.  Counts and the SVD cover all documents.
-
-Defined results: null and empty texts are clean; null and empty items match nothing; an
-item shorter than ``SHORT`` words matches only as a whole run of words; of several items the
-one with the greatest share, then the smallest id, is named; every input row gives a row;
-columns of the input named as an output column are replaced.
+sequences give it exactly.  A benchmark is taken in slices of ``ITEMS`` items, each with its
+own model of at most ``TERMS`` terms (rows of ``RANK`` floats); a slice with more is cut
+further.  ``SLICES`` models at most are on the driver, or sent to tasks, at a time: a larger
+benchmark is taken in several passes, between which the documents are written.  Counts and
+the SVD cover all documents.
+
+Defined results: null and empty texts are clean; texts of any length are read whole; null and
+empty items, and items without an id, match nothing; repeated items are one; an item shorter
+than ``SHORT`` words matches only as a whole run of words, one shorter than ``LOOSE`` not as
+a paraphrase; of several items the one with the greatest share, then the smallest id, is
+named; every input row gives a row, repeated ones alike; empty tables give no rows, or clean
+ones; columns of the input named as an output column are replaced, and any other name is kept.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from functools import partial
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +49,7 @@ from lexmill.llm import blobs, scratch, words
 U64 = np.uint64
 #: A passage has two strides of words.
 STRIDE = 32
-ITEMS, TERMS, RANK, OVERSAMPLE = 2_000, 60_000, 64, 8
+ITEMS, TERMS, RANK, OVERSAMPLE, SLICES = 2_000, 60_000, 64, 8, 4
 #: How much the benchmark weighs in the matrix against the whole corpus, so that its directions lead.
 WEIGHT = 4.0
 #: Terms in more than this share of the strides have no weight in the retrieval (they do count in subsequences).
@@ -50,7 +60,9 @@ COSINE, PART = 0.6, 0.5
 RARE = 0.5
 #: The shares of an item that the common subsequence has to reach, without and with the answer.
 SHARE, SHARE_WITH_ANSWER = 0.75, 0.6
-SHORT = 8
+#: The share that is enough where the cosine is high.
+PARAPHRASE = 0.5
+SHORT, LOOSE = 8, 16
 _BLOCK = 512
 _HITS = 1 << 22
 
@@ -86,7 +98,7 @@ class Model:
 
 
 def _slices(benchmark: DataFrame, id: str, text: str) -> Iterator[list[tuple[int, str]]]:
-    rows = benchmark.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("id is not null and trim(text) <> ''")
+    rows = benchmark.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).where("id is not null and trim(text) <> ''").distinct()
     held, size = [], 0
     for row in rows.orderBy("id", "text").toLocalIterator():
         n = len(row["text"].split())
@@ -112,9 +124,8 @@ def _read(items: list[tuple[int, str]]) -> Items:
     return Items(tuple(i for i, _ in items), vocabulary, tuple(sequences), tuple(last))
 
 
-def _restricted(column: pa.Array, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _restricted(hashes: np.ndarray, where: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(term, position, document) of each word that is a term, and the number of words of each document."""
-    hashes, where = words.tokens(column, lower=True)
     door = np.zeros(1 << 16, bool)
     door[vocabulary & U64(0xFFFF)] = True
     some = np.flatnonzero(door[hashes & U64(0xFFFF)])
@@ -141,40 +152,60 @@ def _summed(rows: np.ndarray, stride: np.ndarray, n: int) -> np.ndarray:
     return out[:-1] + out[1:]
 
 
-def _sequences(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Of each slice one row: how many strides, and its restricted sequence by stride."""
+def _sequences(batches: Iterator[pa.RecordBatch], vocabularies: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Of each batch a row for each slice: how many strides, and its restricted sequence by stride."""
     for batch in words.sliced(batches, 0):
-        term, position, doc, sizes = _restricted(batch.column(0), vocabulary)
-        stride, first = _strides(position, doc, sizes)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([int(first[-1])], pa.int64()), pa.array([len(term)], pa.int64()), pa.array([blobs.pack_plain(term.astype(np.uint32))], pa.binary()), pa.array([blobs.pack(stride.astype(np.uint32))], pa.binary())],
-            names=["strides", "n", "terms", "at"],
-        )
-
-
-def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        hashes, where = words.tokens(batch.column(0), lower=True)
+        for number, vocabulary in enumerate(vocabularies):
+            term, position, doc, sizes = _restricted(hashes, where, vocabulary)
+            stride, first = _strides(position, doc, sizes)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([number], pa.int32()),
+                    pa.array([int(first[-1])], pa.int64()),
+                    pa.array([len(term)], pa.int64()),
+                    pa.array([blobs.pack_plain(term.astype(np.uint32))], pa.binary()),
+                    pa.array([blobs.pack(stride.astype(np.uint32))], pa.binary()),
+                ],
+                names=["slice", "strides", "n", "terms", "at"],
+            )
+
+
+def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     for batch in batches:
         for row in batch.to_pylist():
-            yield row["strides"], blobs.unpack_plain(row["terms"], row["n"], np.uint32).astype(np.int64), blobs.unpack(row["at"], row["n"], np.uint32).astype(np.int64)
+            yield row["slice"], row["strides"], blobs.unpack_plain(row["terms"], row["n"], np.uint32).astype(np.int64), blobs.unpack(row["at"], row["n"], np.uint32).astype(np.int64)
 
 
-def _document_counts(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(n, np.int64)
-    for strides, term, stride in _open(batches):
+def _document_counts(batches: Iterator[pa.RecordBatch], sizes: list[int]) -> Iterator[pa.RecordBatch]:
+    total = [np.zeros(n, np.int64) for n in sizes]
+    for number, _, term, stride in _open(batches):
+        n = sizes[number]
         pair = np.sort(stride * n + term)
-        total += np.bincount(pair[blobs.runs(pair)] % n, minlength=n)
-    some = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["term", "df"])
+        total[number] += np.bincount(pair[blobs.runs(pair)] % n, minlength=n)
+    for number, own in enumerate(total):
+        some = np.flatnonzero(own)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), number, np.int32)), pa.array(some), pa.array(own[some])], names=["slice", "term", "df"])
+
+
+def _products(batches: Iterator[pa.RecordBatch], idfs: list[np.ndarray], seed: int, width: int) -> Iterator[pa.RecordBatch]:
+    """The task's part of (transpose of A) A R for each slice, by blocks of terms."""
+    total: dict[int, np.ndarray] = {}
+    random: dict[int, np.ndarray] = {}
+    for number, strides, term, stride in _open(batches):
+        idf = idfs[number]
+        if number not in total:
+            random[number] = _random(seed, len(idf), width)
+            total[number] = np.zeros(random[number].shape)
+        keep = idf[term] > 0
+        total[number] += _product(term[keep], stride[keep], strides, idf, random[number])
+    for number, own in total.items():
+        for lo in range(0, len(own), _BLOCK):
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([lo // _BLOCK], pa.int32()), pa.array([own[lo : lo + _BLOCK].tobytes()], pa.binary())], names=["slice", "block", "part"])
 
 
-def _products(batches: Iterator[pa.RecordBatch], idf: np.ndarray, random: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The task's part of (transpose of A) A R, by blocks of terms."""
-    total = np.zeros(random.shape)
-    for strides, term, stride in _open(batches):
-        keep = idf[term] > 0
-        total += _product(term[keep], stride[keep], strides, idf, random)
-    for lo in range(0, len(total), _BLOCK):
-        yield pa.RecordBatch.from_arrays([pa.array([lo // _BLOCK], pa.int32()), pa.array([total[lo : lo + _BLOCK].tobytes()], pa.binary())], names=["block", "part"])
+def _random(seed: int, n: int, width: int) -> np.ndarray:
+    return np.random.default_rng(seed).standard_normal((n, min(width, n))).astype(np.float32)
 
 
 def _product(term: np.ndarray, stride: np.ndarray, strides: int, idf: np.ndarray, random: np.ndarray) -> np.ndarray:
@@ -192,7 +223,7 @@ def _product(term: np.ndarray, stride: np.ndarray, strides: int, idf: np.ndarray
 
 def _add(parts: pa.Table) -> pa.Table:
     total = sum(np.frombuffer(x) for x in parts["part"].to_pylist())
-    return pa.table({"block": pa.array([parts["block"][0].as_py()], pa.int32()), "part": pa.array([total.tobytes()], pa.binary())})
+    return pa.table({"slice": parts["slice"].slice(0, 1), "block": parts["block"].slice(0, 1), "part": pa.array([total.tobytes()], pa.binary())})
 
 
 def _item_strides(items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -263,28 +294,33 @@ def _anchored(anchors: Anchors, term: np.ndarray, position: np.ndarray, doc: np.
         lo = hi
 
 
-def fit(docs: DataFrame, items: list[tuple[int, str]], text: str = "text", rank: int = RANK, seed: int = 11) -> Model:
-    """The latent space of a slice of the benchmark and the whole corpus."""
-    read = _read(items)
-    n = len(read.vocabulary)
-    vocabulary = read.vocabulary
-    rows = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(lambda it: _sequences(it, vocabulary), "strides long, n long, terms binary, at binary")
-    rows = scratch.save(rows)
-    counted = rows.mapInArrow(lambda it: _document_counts(it, n), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
-    total = rows.agg(F.sum("strides")).first()[0] or 0
-    df = np.zeros(n)
-    df[counted["term"].to_numpy()] = counted["df"].to_numpy()
-    idf = np.log((total + 1) / (df + 1)) + 1e-3
-    idf[df > np.maximum(COMMON * total, 50)] = 0
-    width = min(rank + OVERSAMPLE, n)
-    random = np.random.default_rng(seed).standard_normal((n, width)).astype(np.float32)
-    summed = rows.mapInArrow(lambda it: _products(it, idf, random), "block int, part binary").groupBy("block").applyInArrow(_add, "block int, part binary").toArrow()
-    product = np.zeros((n, width))
+def fit(docs: DataFrame, slices: list[list[tuple[int, str]]], text: str = "text", rank: int = RANK, seed: int = 11) -> list[Model]:
+    """The latent spaces of some slices of the benchmark and the whole corpus, which is read once."""
+    reads = [_read(items) for items in slices]
+    vocabularies = [r.vocabulary for r in reads]
+    sizes = [len(v) for v in vocabularies]
+    column = docs.select(F.col(f"`{text}`").cast("string").alias("text"))
+    rows = scratch.save(column.mapInArrow(lambda it: _sequences(it, vocabularies), "slice int, strides long, n long, terms binary, at binary"))
+    counted = rows.mapInArrow(lambda it: _document_counts(it, sizes), "slice int, term long, df long").groupBy("slice", "term").agg(F.sum("df").alias("df")).toArrow()
+    total = rows.where("slice = 0").agg(F.sum("strides")).first()[0] or 0
+    dfs = [np.zeros(n) for n in sizes]
+    for number, df in enumerate(dfs):
+        own = counted.filter(pc.equal(counted["slice"], number))
+        df[own["term"].to_numpy()] = own["df"].to_numpy()
+    idfs = [np.where(df > np.maximum(COMMON * total, 50), 0, np.log((total + 1) / (df + 1)) + 1e-3) for df in dfs]
+    width = rank + OVERSAMPLE
+    summed = rows.mapInArrow(lambda it: _products(it, idfs, seed, width), "slice int, block int, part binary").groupBy("slice", "block").applyInArrow(_add, "slice int, block int, part binary").toArrow()
+    products = [np.zeros((n, min(width, n))) for n in sizes]
     for row in summed.to_pylist():
         lo = row["block"] * _BLOCK
-        product[lo : lo + _BLOCK] = np.frombuffer(row["part"]).reshape(-1, width)
+        own = products[row["slice"]]
+        own[lo : lo + _BLOCK] = np.frombuffer(row["part"]).reshape(-1, own.shape[1])
+    return [_model(read, df, idf, product, rank, seed) for read, df, idf, product in zip(reads, dfs, idfs, products, strict=True)]
+
+
+def _model(read: Items, df: np.ndarray, idf: np.ndarray, product: np.ndarray, rank: int, seed: int) -> Model:
     term, stride, first, owner = _item_strides(read)
-    own = _product(term, stride, int(first[-1]), idf, random)
+    own = _product(term, stride, int(first[-1]), idf, _random(seed, len(idf), rank + OVERSAMPLE))
     scale = WEIGHT * max(1.0, np.linalg.norm(product) / max(np.linalg.norm(own), 1e-12))
     left, _, _ = np.linalg.svd(product + own * scale, full_matrices=False)
     basis = (left[:, :rank] * idf[:, None]).astype(np.float32)
@@ -310,24 +346,26 @@ def _holds(sequence: list[int], positions: list[int], run: list[int]) -> bool:
     return any(sequence[i : i + n] == run and positions[i + n - 1] - positions[i] == n - 1 for i in range(len(sequence) - n + 1))
 
 
-def _share(item: np.ndarray, answer: np.ndarray, masks: dict[int, int], term: np.ndarray, position: np.ndarray, start: int) -> float:
-    """The share of the item found near the passage; 0 if that isn't enough."""
+def _share(item: np.ndarray, answer: np.ndarray, masks: dict[int, int], term: np.ndarray, position: np.ndarray, start: int, near: bool) -> float:
+    """The share of the item found around the passage, to which its cosine may be ``near``; 0 if that isn't enough."""
     size = len(item)
+    enough = PARAPHRASE if near and size >= LOOSE else SHARE
+    least = min(enough, SHARE_WITH_ANSWER) * size
     reach = _reach(size)
     around, best, answered = position.searchsorted([start - size, start + 2 * STRIDE + reach]), 0, False
     sequence, places = term[around[0] : around[1]].tolist(), position[around[0] : around[1]]
     if size < SHORT:
         return float(_holds(sequence, places.tolist(), item.tolist()))
-    if common_subsequence(masks, size, sequence) < SHARE_WITH_ANSWER * size:
+    if common_subsequence(masks, size, sequence) < least:
         return 0.0
     for lo in range(start - size, start + 2 * STRIDE, max(1, size // 8)):
         a, b = places.searchsorted([lo, lo + reach])
-        if b - a >= SHARE_WITH_ANSWER * size and (found := common_subsequence(masks, size, sequence[a:b])) > best:
+        if b - a >= least and (found := common_subsequence(masks, size, sequence[a:b])) > best:
             best = found
     share = best / size
-    if SHARE_WITH_ANSWER <= share < SHARE:
+    if SHARE_WITH_ANSWER <= share < enough:
         answered = len(answer) < size and len(answer) >= 4 and _holds(sequence, places.tolist(), answer.tolist())
-    return share if share >= SHARE or answered else 0.0
+    return share if share >= enough or answered else 0.0
 
 
 def _near(model: Model, term: np.ndarray, stride: np.ndarray, strides: int) -> Iterator[tuple[int, int]]:
@@ -345,16 +383,18 @@ def _near(model: Model, term: np.ndarray, stride: np.ndarray, strides: int) -> I
             yield int(some[row]), int(model.owner[column_no])
 
 
-def _search(column: pa.Array, model: Model) -> list[tuple[int, float] | None]:
+def _search(hashes: np.ndarray, offsets: np.ndarray, model: Model) -> list[tuple[int, float] | None]:
     """Of each text the item found in it with the greatest share, if any."""
     items = model.items
-    term, position, doc, sizes = _restricted(column, items.vocabulary)
+    term, position, doc, sizes = _restricted(hashes, offsets, items.vocabulary)
     stride, first = _strides(position, doc, sizes)
     out: list[tuple[int, float] | None] = [None] * len(sizes)
     masks: dict[int, dict[int, int]] = {}
     seen = set()
     cut = np.searchsorted(doc, np.arange(len(sizes) + 1))
-    for at, item in chain(_near(model, term, stride, int(first[-1])), _anchored(model.anchors, term, position, doc, sizes, first)):
+    near = ((at, item, True) for at, item in _near(model, term, stride, int(first[-1])))
+    anchored = ((at, item, False) for at, item in _anchored(model.anchors, term, position, doc, sizes, first))
+    for at, item, is_near in chain(near, anchored):
         if (at, item) in seen:
             continue
         seen.add((at, item))
@@ -367,31 +407,42 @@ def _search(column: pa.Array, model: Model) -> list[tuple[int, float] | None]:
             for i, t in enumerate(own.tolist()):
                 masks[item][t] = masks[item].get(t, 0) | 1 << i
         a, b = cut[d], cut[d + 1]
-        share = _share(own, items.answers[item], masks[item], term[a:b], position[a:b], (at - int(first[d])) * STRIDE)
+        share = _share(own, items.answers[item], masks[item], term[a:b], position[a:b], (at - int(first[d])) * STRIDE, is_near)
         if share and (out[d] is None or (-share, items.ids[item]) < (-out[d][1], out[d][0])):
             out[d] = (items.ids[item], share)
     return out
 
 
-def _flags(batches: Iterator[pa.RecordBatch], at: int, models: list[Model], kept: list[int]) -> Iterator[pa.RecordBatch]:
+def _better(found: tuple[int, float], best: tuple[int, float] | None) -> bool:
+    return best is None or (-found[1], found[0]) < (-best[1], best[0])
+
+
+def _flags(batches: Iterator[pa.RecordBatch], at: int, models: list[Model], dropped: bool) -> Iterator[pa.RecordBatch]:
+    """Rows end in an item and its share, which a better one replaces; the texts may be ``dropped``."""
     for batch in words.sliced(batches, at):
-        best: list[tuple[int, float] | None] = [None] * batch.num_rows
+        best = [(i, s) if i is not None else None for i, s in zip(batch.column(-2).to_pylist(), batch.column(-1).to_pylist(), strict=True)]
+        hashes, where = words.tokens(batch.column(at), lower=True)
         for model in models:
-            for i, found in enumerate(_search(batch.column(at), model)):
-                if found and (best[i] is None or (-found[1], found[0]) < (-best[i][1], best[i][0])):
+            for i, found in enumerate(_search(hashes, where, model)):
+                if found and _better(found, best[i]):
                     best[i] = found
-        columns = [batch.column(i) for i in kept]
+        columns = [c for i, c in enumerate(batch.columns[:-2]) if not (dropped and i == at)]
         columns += [pa.array([x[0] if x else None for x in best], pa.int64()), pa.array([x[1] if x else 0.0 for x in best], pa.float64())]
-        yield pa.RecordBatch.from_arrays(columns, names=[*(f"c{i}" for i in range(len(kept))), "item_id", "share"])
+        yield pa.RecordBatch.from_arrays(columns, names=[f"c{i}" for i in range(len(columns))])
 
 
 def flag(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", keep_text: bool = True) -> DataFrame:
     """Adds ``contaminated``, and ``item_id`` and ``share`` of the item found."""
     names = [c for c in docs.columns if c not in ("contaminated", "item_id", "share")]
-    docs = docs.select(*(F.col(f"`{c}`") for c in names))
     at = names.index(text)
+    out = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)), F.lit(None).cast("long").alias("item_id"), F.lit(0.0).alias("share"))
+    slices = _slices(benchmark, item_id, item_text)
+    some = list(islice(slices, SLICES))
+    while some:
+        models, later = fit(docs, some, text), list(islice(slices, SLICES))
+        dropped = not keep_text and not later
+        schema = T.StructType([f for i, f in enumerate(out.schema) if not (dropped and i == at)])
+        out = out.mapInArrow(partial(_flags, at=at, models=models, dropped=dropped), schema)
+        out, some = scratch.save(out) if later else out, later
     kept = [i for i in range(len(names)) if keep_text or i != at]
-    models = [fit(docs, items, text) for items in _slices(benchmark, item_id, item_text)]
-    schema = T.StructType([T.StructField(f"c{i}", docs.schema[k].dataType) for i, k in enumerate(kept)] + [T.StructField("item_id", T.LongType()), T.StructField("share", T.DoubleType())])
-    out = docs.mapInArrow(lambda it: _flags(it, at, models, kept), schema).toDF(*(names[k] for k in kept), "item_id", "share")
-    return out.withColumn("contaminated", F.col("item_id").isNotNull())
+    return out.select(*(F.col(f"c{i}").alias(names[i]) for i in kept), "item_id", "share", F.col("item_id").isNotNull().alias("contaminated"))

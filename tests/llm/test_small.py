@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import dataclasses
 import hashlib
 import json
 import random
@@ -368,6 +369,38 @@ def test_decontamination_by_an_item_in_a_third_of_all_documents(spark):
     assert {r["doc_id"]: (r["item_id"], r["share"]) for r in got.where("contaminated").collect()} == {i: (0, 1.0) for i in range(0, 240, 3)}
 
 
+@pytest.mark.parametrize("n", [60, 3_000])
+def test_decontamination_by_an_item_in_every_document(spark, n):
+    rng = random.Random(12)
+    common = ["the", "of", "and", "to", "in", "is"]
+    some = lambda k: " ".join(rng.choice(common) if rng.random() < 0.5 else f"w{rng.randrange(3000)}" for _ in range(k))
+    items = [(0, some(20)), (1, " ".join(rng.choices(common, k=24))), (2, some(40))]
+    rows = [(i, f"{some(60)} {items[0][1]} {some(30)} {items[1][1] if i % 5 == 0 else ''} {some(40)}") for i in range(n)]
+    got = decontam.flag(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["item_id"], r["share"]) for r in got.collect()} == {(0, 1.0)}
+    alone = decontam.flag(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items[1:], "item_id long, text string"))
+    assert {r["doc_id"] for r in alone.where("item_id = 1").collect()} == set(range(0, n, 5))
+
+
+def test_paraphrases_are_found_by_cosines(spark, monkeypatch):
+    rng = random.Random(3)
+    some = lambda k: [f"w{rng.randrange(4000)}" for _ in range(k)]
+    items = [(i, some(48)) for i in range(30)]
+    rows = []
+    for i, words_ in items:  # 45 words in every hundred replaced: no answer, no common 8-gram
+        text = list(words_)
+        for k in range(0, 48, 9):
+            text[k : k + 4] = some(4)
+        rows.append((i, " ".join(text)))
+    rows += [(i, " ".join(some(90))) for i in range(100, 200)]
+    docs_, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {r["doc_id"]: r["item_id"] for r in decontam.flag(docs_, bench).where("contaminated").collect()}
+    assert set(got) <= set(range(30)) and all(got[i] == i for i in got) and len(got) >= 27
+    real = decontam._model
+    monkeypatch.setattr(decontam, "_model", lambda *x: dataclasses.replace(real(*x), latent=np.zeros((0, 1)), owner=np.zeros(0, np.int64)))
+    assert decontam.flag(docs_, bench).where("contaminated").count() == 0
+
+
 def test_decontamination_by_items_of_every_length(spark):
     rng = random.Random(9)
     some = lambda n: " ".join(f"w{int(rng.paretovariate(0.4)) % 9000}" for _ in range(n))
@@ -382,8 +415,12 @@ def test_benchmark_in_slices(spark, monkeypatch):
     items = [(i, " ".join(f"v{rng.randrange(3000)}" for _ in range(30))) for i in range(12)]
     rows = [(i, "a " * 20 + t) for i, t in items] + [(50, "b " * 90)]
     monkeypatch.setattr(decontam, "ITEMS", 5)
-    got = decontam.flag(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
-    assert {r["doc_id"]: r["item_id"] for r in got.where("contaminated").collect()} == {i: i for i, _ in items}
+    for slices in (4, 1):
+        monkeypatch.setattr(decontam, "SLICES", slices)
+        for keep in (True, False):
+            got = decontam.flag(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), keep_text=keep)
+            assert {r["doc_id"]: r["item_id"] for r in got.where("contaminated").collect()} == {i: i for i, _ in items}
+            assert ("text" in got.columns) == keep and got.count() == 13
 
 
 # --- URL rules ---------------------------------------------------------------------------
