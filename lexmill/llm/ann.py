@@ -8,20 +8,24 @@ calibrated: for a bounded set of queries the exact neighbours among *all* vector
 found, and visits widen until the wanted share of them lies in visited leaves.  A query
 goes on beyond that number until the visited leaves hold as many candidates as it asks for.
 
-Leaves are dealt over tasks in blocks of vectors, by a hash, so a leaf that holds a third of
-all vectors is spread; a query goes to each block of its leaves, and blocks' best are merged.
-Scores are cosines in double precision of the original vectors.  Nothing that grows with the
-table is broadcast: the tree is at most ``LEAVES`` centres.
+The number of leaves grows with the table, to ``LEAVES``, so that a leaf has about ``LEAF``
+vectors; where most of a leaf's vectors are equal, it needs only the smallest ids of them, and
+the others are left out (no query can find more than k of them).  Leaves, and the queries that
+visit them, are dealt over tasks in blocks, by a hash; blocks' best are merged.  Scores are
+cosines in double precision of the original vectors.  Nothing that grows with the table
+without a bound is broadcast or collected: the tree is at most ``LEAVES`` centres.
 
 Defined results: vectors that are null, empty, zero, of another length than most of the
 sample, or that hold null or non-finite components take no part, neither as query nor as
 candidate; nor do rows with a null id; ties go to the smaller id; a query finds all
 candidates if there are fewer than asked for; rows of equal id are each a candidate, but
-never one of a query with that id; an empty table gives no rows.
+never one of a query with that id; columns beside the named ones, whatever their names, are
+ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,9 +38,9 @@ from pyspark.sql import functions as F
 from lexmill.llm import scratch
 
 #: Bounds: sampled vectors to fit on, queries to calibrate with, children of a node, leaves.
-FIT, CALIBRATE, BRANCH, LEAVES = 20_000, 100, 12, 1_024
-#: Vectors in a block of a leaf.
-BLOCK = 4_096
+FIT, CALIBRATE, BRANCH, LEAVES = 40_000, 100, 12, 4_096
+#: Vectors of a leaf, as far as the bound on leaves allows, and of a block of a leaf or of its queries.
+LEAF, BLOCK = 512, 4_096
 
 
 @dataclass(frozen=True)
@@ -187,10 +191,10 @@ def _search(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.n
     return parts
 
 
-def search(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k: int = 5, modulus: int = 50, recall: float = 0.97, leaf_size: int = 256) -> DataFrame:
+def search(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k: int = 5, modulus: int = 50, recall: float = 0.97, leaf_size: int = LEAF) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest of each row whose id is divisible by ``modulus``."""
     spark = vectors.sparkSession
-    rows = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where("id is not null and v is not null")
+    rows = vectors.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v")).where("id is not null and v is not null")
     total = rows.count()
     sample = _sampled(rows, FIT, total, 0).toArrow()
     raw, fits = _matrix(sample["v"])
@@ -198,7 +202,9 @@ def search(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not fits.any():
         return empty
-    tree = fit_tree(_units(_scaled(raw[fits])), leaf_size)
+    sampled = _units(_scaled(raw[fits]))
+    # a leaf of the sample stands for so many vectors of the table
+    tree = fit_tree(sampled, max(2, leaf_size * len(sampled) // max(total, 1)))
     visits = _calibrated(rows, _sampled(rows.where(F.col("id") % modulus == 0), CALIBRATE, total / modulus, 1), tree, width, k, recall)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,10 +213,15 @@ def search(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
             ids, x = ids[fit], _scaled(x[fit])
             leaf = tree.assign(_units(x))
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, width), pa.int32()), pa.array(x.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), flat, pa.array(leaf, pa.int32())], names=["id", "v", "leaf"])
-
-    dealt = scratch.save(rows.mapInArrow(deal, "id long, v array<double>, leaf int"))
-    counts = dealt.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+            digest = pa.array([hashlib.sha256(v.tobytes()).digest() for v in x + 0.0], pa.binary())  # + 0.0: one zero
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), flat, pa.array(leaf, pa.int32()), digest], names=["id", "v", "leaf", "digest"])
+
+    dealt = scratch.save(rows.mapInArrow(deal, "id long, v array<double>, leaf int, digest binary"))
+    # of equal vectors the k smallest ids and one for the query's own; of an id no more than k rows
+    own = dealt.withColumn("copy", F.expr("row_number() over (partition by digest, id order by leaf)")).where(F.col("copy") <= k)
+    there = own.withColumn("nth", F.expr("dense_rank() over (partition by digest order by id)")).where(F.col("nth") <= k + 1)
+    there = scratch.save(there.select("id", "v", "leaf"))
+    counts = there.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
     held = np.zeros(tree.leaves, np.int64)
     for row in counts.collect():  # at most LEAVES rows
         held[row["leaf"]] = row["n"]
@@ -232,16 +243,20 @@ def search(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
     queries = dealt.where(F.col("id") % modulus == 0).select("id", "v")
     # rows of the query's own id are no candidates
     queries = queries.join(queries.groupBy("id").agg(F.count(F.lit(1)).alias("own")), "id").mapInArrow(ask, "id long, v array<double>, asks array<int>")
-    there = dealt.join(F.broadcast(sizes), "leaf")  # at most LEAVES rows
-    there = there.select("leaf", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "id", "v", F.lit(False).alias("asked"))
-    asked = queries.select("id", "v", F.explode("asks").alias("leaf")).join(F.broadcast(sizes), "leaf")
-    asked = asked.select("leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "v", F.lit(True).alias("asked"))
+    queries = scratch.save(queries)
+    asked = queries.select(F.explode("asks").alias("leaf")).groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("asked_blocks"))
+    sizes = F.broadcast(sizes.join(asked, "leaf"))  # at most LEAVES rows
+    deal_out = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    there = there.join(sizes, "leaf").select("leaf", deal_out("blocks", 0).alias("block"), each("asked_blocks").alias("asks"), "id", "v", F.lit(False).alias("asked"))
+    asked = queries.select("id", "v", F.explode("asks").alias("leaf")).join(sizes, "leaf")
+    asked = asked.select("leaf", each("blocks").alias("block"), deal_out("asked_blocks", 1).alias("asks"), "id", "v", F.lit(True).alias("asked"))
 
     def block(t: pa.Table) -> pa.Table:
         ids, x, mark = t["id"].to_numpy(), _matrix(t["v"], width)[0], t["asked"].to_numpy(zero_copy_only=False)
         return _rows(_search(x[mark], ids[mark], x[~mark], ids[~mark], k))
 
-    near = there.unionByName(asked).groupBy("leaf", "block").applyInArrow(block, _FOUND)
+    near = there.unionByName(asked).groupBy("leaf", "block", "asks").applyInArrow(block, _FOUND)
     best = F.expr("row_number() over (partition by query_id order by score desc, vec_id)")
     return near.withColumn("rank", best.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
