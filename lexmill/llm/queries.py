@@ -88,12 +88,45 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.repeated_spans(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
 
 
+_OP3_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(list) AS word, generate_subscripts(list, 1) AS p FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS list FROM documents)
+), windows AS (
+  SELECT *, CASE WHEN count(*) OVER ahead = 13 THEN string_agg(word, ' ') OVER ahead END AS run FROM words
+  WINDOW ahead AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)
+), firsts AS (SELECT run, min(doc_id) AS least FROM windows WHERE run IS NOT NULL GROUP BY run
+), judged AS (
+  SELECT doc_id, p, word, max(coalesce(least < doc_id, false)::INT) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone
+  FROM windows LEFT JOIN firsts USING (run)
+), left_over AS (
+  SELECT doc_id, count(*) AS n_words, sum(gone)::BIGINT AS n_removed, coalesce(string_agg(word, ' ' ORDER BY p) FILTER (gone = 0), '') AS kept FROM judged GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM documents d LEFT JOIN left_over l ON d.doc_id = l.doc_id
+"""
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document among near copies, by four-word shingles."""
     out = minhash.link_components(table(spark, sf_dir, "documents"), shingle=4)
     return out.withColumnRenamed("id", "doc_id")
 
 
+_OP4_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)
+), both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a
+), least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM documents d JOIN least l ON d.doc_id = l.doc_id LEFT JOIN sizes s ON d.doc_id = s.doc_id
+"""
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of all documents those that hold an item of the benchmark, with the item and the share of it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -181,7 +214,7 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OP8_SQL = r"""
 WITH kinds(kind, rank, pattern, secret, least) AS (
   VALUES ('assign', 0, '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+', '^[^:=]*[:=]\x20*["'']?', 6),
-    ('access', 1, 'AKIA[A-Z0-9]+', '^', 20), ('hex', 2, '[0-9a-f]+', '^', 24)
+    ('access', 1, 'AKIA[A-Z0-9]{16,}', '^', 20), ('hex', 2, '[0-9a-f]{24,}', '^', 24)
 ), cut AS (
   SELECT doc_id, kind, rank, least, secret, string_split_regex(text, pattern) AS between, regexp_extract_all(text, pattern) AS hits
   FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents), kinds
@@ -239,4 +272,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_main_text": op9_main_text,
     "op10_quality": op10_quality,
 }
-ORACLES: dict[str, str] = {"op1_chat_format": _OP1_SQL, "op2_source_mix": _OP2_SQL, "op6_url_rules": _OP6_SQL, "op8_secret_scan": _OP8_SQL, "op9_main_text": _OP9_SQL}
+ORACLES: dict[str, str] = {"op1_chat_format": _OP1_SQL, "op2_source_mix": _OP2_SQL, "op3_substring_dedup": _OP3_SQL, "op4_near_dedup": _OP4_SQL, "op6_url_rules": _OP6_SQL, "op8_secret_scan": _OP8_SQL, "op9_main_text": _OP9_SQL}

@@ -99,15 +99,18 @@ def test_vector_query(spark):
     rows = duckdb.sql(f"select vec_id, embedding from '{DATA}/embeddings.parquet'").fetchall()
     ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
     u = x / np.linalg.norm(x, axis=1)[:, None]
-    got: dict[int, set] = {}
+    got: dict[int, list] = {}
     for r in queries.op7_vector_search(spark, str(DATA)).collect():
-        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
     hit = 0
     for k in np.flatnonzero(ids % 50 == 0):
+        found = sorted(got[int(ids[k])])
+        assert [r for r, *_ in found] == [1, 2, 3, 4, 5] and found == [(i + 1, *x[1:]) for i, x in enumerate(sorted(found, key=lambda x: (-x[2], x[1])))]
         d = u @ u[k]
+        assert all(v != ids[k] and abs(score - d[np.flatnonzero(ids == v)[0]]) < 1e-9 for _, v, score in found)
         d[k] = -9
-        hit += len(set(ids[np.lexsort((ids, -d))[:5]].tolist()) & got[int(ids[k])])
-    assert hit >= 0.9 * 5 * len(got)
+        hit += len(set(ids[np.lexsort((ids, -d))[:5]].tolist()) & {v for _, v, _ in found})
+    assert len(got) == (ids % 50 == 0).sum() and hit >= 0.9 * 5 * len(got)
 
 
 def test_secret_query(spark, tmp_path):
