@@ -48,16 +48,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 @query(r"""
-WITH h AS (SELECT doc_id, sha256(trim(regexp_replace(lower(text), '[ \t\n\x0B\f\r]+', ' ', 'g'))) AS sha256,
-  len(list_filter(string_split_regex(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> ''))::INT AS token_count FROM documents WHERE text <> '')
+WITH h AS (SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN '' ELSE sha256(trim(regexp_replace(lower(text), '[ \t\n\x0B\f\r]+', ' ', 'g'))) END AS sha256,
+  coalesce(len(list_filter(string_split_regex(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> '')), 0)::INT AS token_count FROM documents)
 SELECT doc_id, sha256, token_count, doc_id > min(doc_id) OVER (PARTITION BY sha256) AS repeated FROM h
 """)
 def doc_stable_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical hashes, and whether an earlier document has the same."""
-    docs = table(spark, sf_dir, "documents").where("text <> ''")
-    own = docs.select("doc_id", T.stable_hash("text", canonical=True).alias("sha256"), T.token_count("text").alias("token_count"))
-    first = own.groupBy("sha256").agg(F.min("doc_id").alias("first"))
-    return own.join(first, "sha256").select("doc_id", "sha256", "token_count", (F.col("doc_id") > F.col("first")).alias("repeated"))
+    own = table(spark, sf_dir, "documents").select("doc_id", T.stable_hash("text", canonical=True).alias("sha256"), T.token_count("text").alias("token_count"))
+    # only hashes that occur twice take part in the join
+    twice = own.groupBy("sha256").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sha256", "first")
+    return own.join(twice, "sha256", "left").select("doc_id", "sha256", "token_count", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).alias("repeated"))
 
 
 @query(r"""
@@ -657,7 +657,7 @@ def seed_rule_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- evaluation ------------------------------------------------------------------------
 
 _EVAL_SQL = r"""
-WITH b AS (SELECT item_id, text FROM benchmark), p AS (SELECT item_id, text AS expected, CASE WHEN item_id % 3 = 0 THEN text || ' [§ 1-1 Lov om avgift]' WHEN item_id % 3 = 1 THEN text ELSE substr(text, 1, 40) END AS predicted, [substr(text, 1, 5), 'zzz'] AS kw FROM b),
+WITH b AS (SELECT item_id, text FROM benchmark), p AS (SELECT item_id, text AS expected, CASE WHEN item_id % 3 = 0 THEN text || ' [§ 1-1 Lov om avgift]' WHEN item_id % 3 = 1 THEN text ELSE translate(text, 'eatno', '37140') END AS predicted, [substr(text, 1, 5), 'zzz'] AS kw FROM b),
 w AS (SELECT *, list_distinct(list_filter(string_split_regex(lower(predicted), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) AS x, list_distinct(list_filter(string_split_regex(lower(expected), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) AS y,
   len(list_filter(string_split_regex(predicted, '[ \t\n\x0B\f\r]+'), lambda x: x <> ''))::INT AS token_count FROM p),
 s AS (SELECT item_id, expected, predicted, CASE WHEN len(x) = 0 OR len(y) = 0 THEN 0.0 ELSE len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y))) END AS accuracy, CASE WHEN regexp_matches(predicted, '\[§\s*[\d-]+\s+[^\]]+\]') THEN 1.0 ELSE 0.0 END AS citation,
@@ -670,7 +670,7 @@ r AS (SELECT *, CASE WHEN overall >= 0.90 THEN 'pass' WHEN overall >= 0.75 THEN
 
 def _graded(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, t = F.col("item_id"), F.col("text")
-    said = F.when(k % 3 == 0, F.concat(t, F.lit(" [§ 1-1 Lov om avgift]"))).when(k % 3 == 1, t).otherwise(F.substring(t, 1, 40))
+    said = F.when(k % 3 == 0, F.concat(t, F.lit(" [§ 1-1 Lov om avgift]"))).when(k % 3 == 1, t).otherwise(F.translate(t, "eatno", "37140"))
     rows = table(spark, sf_dir, "benchmark").select("item_id", t.alias("expected"), said.alias("predicted"), F.array(F.substring(t, 1, 5), F.lit("zzz")).alias("kw"), F.when(k % 2 == 0, "tax").otherwise("accounting").alias("domain"), F.when(k % 4 < 2, "glossary_define").otherwise("conversation").alias("task"))
     return rows.select("item_id", F.col("item_id").alias("sample_no"), "domain", "task", S.grade("predicted", "expected", "kw").alias("s")).select("item_id", "sample_no", "domain", "task", "s.*")
 
@@ -696,13 +696,13 @@ def eval_failed_first5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-WITH d AS (SELECT doc_id, list_distinct(list_filter(string_split_regex(lower(text), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) AS x, list_distinct(list_filter(string_split_regex(lower(lead_text), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) AS y
-  FROM (SELECT doc_id, text, substr(text, 1, 120) AS lead_text FROM documents))
+WITH d AS (SELECT doc_id, list_distinct(list_filter(string_split_regex(lower(text), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) AS x, list_distinct(list_filter(string_split_regex(lower(other_text), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) AS y
+  FROM (SELECT doc_id, text, translate(text, 'eu', 'ou') AS other_text FROM documents))
 SELECT doc_id, CASE WHEN len(x) = 0 OR len(y) = 0 THEN 0.0 ELSE len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y))) END AS similarity FROM d
 """)
 def eval_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Word overlap of each document with its own beginning."""
-    return table(spark, sf_dir, "documents").select("doc_id", S.jaccard("text", F.substring("text", 1, 120)).alias("similarity"))
+    """Word overlap of each document with a version in which some words are spelled otherwise."""
+    return table(spark, sf_dir, "documents").select("doc_id", S.jaccard("text", F.translate("text", "eu", "ou")).alias("similarity"))
 
 
 @query("SELECT doc_id, ((contains(lower(text), 'the'))::INT + (contains(lower(text), 'der'))::INT + (contains(lower(text), 'que'))::INT) / 3.0 AS share FROM documents")
@@ -781,3 +781,6 @@ def rule_engine_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     own = gold.rules_as_rows(seeds.business_rules(spark).where(F.col("rule_id").isin("expense_hotel_no_001", "expense_food_travel_001")))
     return rules.match(rows, own).select("o_orderkey", "rule_id", "account", "vat_rate")
+
+
+from lexmill import job_queries  # noqa: E402, F401  registers its queries

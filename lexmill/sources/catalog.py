@@ -21,6 +21,11 @@ def load(spark: SparkSession, path: str) -> DataFrame:
     return found.select(*((F.col(c) if c in found.columns else F.lit(None)).cast("string").alias(c) for c in COLUMNS))
 
 
+def invalidate(spark: SparkSession, path: str) -> None:
+    """Forgets what the session holds of the catalogue's file, so that it's read anew."""
+    spark.catalog.refreshByPath(path)
+
+
 def with_defaults(sources: DataFrame) -> DataFrame:
     """Empty texts as null, then the defaults of a section's metadata."""
     return sources.withColumns({c: F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit(DEFAULTS.get(c))) for c in sources.columns if c in COLUMNS})
