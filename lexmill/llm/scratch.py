@@ -77,13 +77,24 @@ def look_up(rows: DataFrame, key: str, found: DataFrame, n: str, total: float) -
     return out.select(*rows.columns, *(F.coalesce(f"__hot_{c}", f"__cold_{c}").alias(c) for c in names))
 
 
-def release(spark: SparkSession) -> None:
-    """Deletes the scratch tables of this application; call it once results are written."""
+def written(spark: SparkSession) -> list[str]:
+    """The scratch tables of this application that weren't deleted."""
+    return list(_OWN.get(spark.sparkContext.applicationId, ()))
+
+
+def release(spark: SparkSession, before: list[str] | None = None, keep: DataFrame | None = None) -> None:
+    """Deletes the scratch tables of this application; call it once results are written.
+
+    Those written ``before`` stay, as does the table that ``keep`` reads.
+    """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _OWN.pop(spark.sparkContext.applicationId, []):
+    own = _OWN.get(spark.sparkContext.applicationId, [])
+    read = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for f in keep.inputFiles()} if keep is not None else set()
+    for path in [p for p in own if p not in (before or ()) and p.rsplit("/", 1)[-1] not in read]:
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(conf).delete(target, True)
+        own.remove(path)
 
 
 def partitions(spark: SparkSession) -> int:

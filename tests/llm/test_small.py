@@ -672,7 +672,12 @@ def test_quality(spark):
 def test_scratch_needs_a_shared_folder(spark):
     assert scratch.folder(spark) and scratch.partitions(spark) > 0
     saved = scratch.save(spark.range(3).toDF("x"))
-    assert saved.count() == 3
+    before = scratch.written(spark)
+    later, kept = scratch.save(spark.range(4).toDF("x")), scratch.save(spark.range(5).toDF("x"))
+    scratch.release(spark, before, kept)
+    assert saved.count() == 3 and kept.count() == 5 and len(scratch.written(spark)) == len(before) + 1
+    with pytest.raises(Exception, match="(?i)path|exist"):
+        later.count()
     scratch.release(spark)
     with pytest.raises(Exception, match="(?i)path"):
         spark.read.parquet(saved.inputFiles()[0])

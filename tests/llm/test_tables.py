@@ -201,3 +201,25 @@ def test_stages_take_nulls_and_empty_tables(spark, tmp_path):
         assert stage(spark, docs, str(tmp_path)).count() > 0
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
     assert minhash.link_components(docs).count() == 40
+
+
+def test_stages_take_repeats_clashes_and_long_texts(spark, tmp_path):
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{DATA}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(60)
+    long = F.concat(F.repeat(F.lit("eyJ<div>"), 100_000), F.lit(" "), F.repeat(F.lit("lorem ipsum "), 50_000))
+    docs = docs.unionByName(docs).unionByName(docs.limit(2).withColumns({"doc_id": F.lit(7_000_000_000), "text": long}))
+    clashes = ("id", "hash", "score", "predicted", "share", "item_id", "contaminated", "spans", "kept", "slot", "start", "key", "rng", "rank", "__own", "a b")
+    docs = docs.withColumns({c: F.lit("mine") for c in clashes})
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert set(docs.columns) <= set(out.columns) and out.count() > 0
+        if name != "mixing":
+            assert out.columns == docs.columns and out.where("`a b` <> 'mine' or score <> 'mine' or share <> 'mine'").count() == 0
+
+
+def test_near_dedup_of_rows_of_one_id(spark, tmp_path):
+    words_ = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words_)), (1, " ".join(words_)), (1, "another text of the same id that is like no other one"), (2, " ".join(words_[:59])), (0, "x " * 30), (None, " ".join(words_))]
+    out = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en")), "")
+    assert sorted((tuple(r)[:2] for r in out.collect()), key=repr) == sorted([rows[0], rows[2], rows[4], rows[5]], key=repr)
