@@ -17,9 +17,11 @@ The template is ``<|start|>role<|text|>text<|end|>`` for each message.  Control
 inside roles and texts, those of this template and of other common ones alike, are escaped
 by one more backslash after their first character, which ``unescaped`` takes away again.
 
-Defined results: a null text or role is empty; events of equal sequence are ordered by
-kind, role and text; a null conversation id is a conversation of its own; empty tables
-give empty tables; columns beside the named ones are ignored.  All of it is column
+Defined results: a null text or role is empty; texts of any length are taken whole; events of
+equal sequence are ordered by kind, role and text; repeated rows are events each, so a repeated
+message is one more message and a repeated delta appends twice; a null conversation id is a
+conversation of its own; empty tables give empty tables; columns beside the named ones,
+whatever their names, are ignored by ``fold`` and kept by ``render``.  All of it is column
 expressions; nothing leaves the JVM.
 """
 

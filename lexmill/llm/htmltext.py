@@ -11,7 +11,7 @@ threshold into content and other lines, and the content cluster selects what is
 * inside the region, runs of lines that are links and nothing else, outside the cluster, are
   menus and go;
 * a container whose class or id merely contains a word for something beside the content
-  (``related-work``) goes only if none of its lines is in the cluster.
+  (``related-work``) goes only if none of its lines is in the cluster by its own ratio.
 
 Other lines of the region stay, also short ones with a low ratio, but for those in elements
 that the markup itself names as something else: menus, headers, footers, sidebars, notices,
@@ -55,6 +55,8 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 MARKS = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer header masthead menu nav navbar navigation newsletter notice notices pager pagination popup modal promo promoted related replies reply respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
 #: Words beside them that leave the mark as it is.
 NEUTRAL = frozenset("area bar block bottom box card container content form global group head inner item items left link links list main overlay page panel post posts right row section site slot top unit wrap wrapper zone".split())
+#: Words beside which a header is that of the content.
+TITLED = frozenset("article entry post story content title".split())
 #: Of the marks, those that count for an article too: each comment may be one.
 COMMENTS = frozenset("comment comments reply replies respond disqus".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -155,7 +157,7 @@ class _Lines(HTMLParser):
             if value and (name == "class" or name == "id" and tag in BLOCK and tag != "p"):
                 for token in value.split():
                     own = [w.lower() for w in _WORDS.findall(token)]
-                    if any(w in marks for w in own):
+                    if any(w in marks and not (w == "header" and TITLED.intersection(own)) for w in own):
                         if all(w in MARKS or w in NEUTRAL or w.isdigit() for w in own):
                             return "named"
                         doubtful = tag in BLOCK and tag != "p"
@@ -220,9 +222,14 @@ def _smooth(x: np.ndarray, sigma: float) -> np.ndarray:
     return full / np.convolve(np.ones(len(x)), kernel)[reach : reach + len(x)]
 
 
+def ratios(lines: list[Line]) -> np.ndarray:
+    """Characters outside links for each tag."""
+    return np.array([0.0 if x.aside else (len(x.text) - x.linked) / max(1, x.tags) for x in lines])
+
+
 def content_lines(lines: list[Line], sigma: float, threshold: float) -> np.ndarray:
     """Which lines the smoothed text-to-tag ratios put into the content cluster."""
-    ratio = np.array([0.0 if x.aside else (len(x.text) - x.linked) / max(1, x.tags) for x in lines])
+    ratio = ratios(lines)
     smooth = _smooth(ratio, sigma)
     return (smooth >= threshold * smooth.std()) & (ratio > 0)
 
@@ -274,7 +281,9 @@ def extract(html: str | None, sigma: float = 1.0, threshold: float = 1.0, share:
     for i in range(len(inside)):
         inside[i] = i in region or i > 0 and inside[page.parents[i]]
     menus = _menus(lines, content)
-    meant = {x.hint for x, kept in zip(lines, content, strict=True) if kept}
+    # what a neighbour's ratio smooths up doesn't decide a doubtful mark
+    own = ratios(lines)
+    meant = {x.hint for x, kept, r in zip(lines, content, own, strict=True) if kept and r >= threshold * own.std()}
     return "\n".join(x.text for i, x in enumerate(lines) if inside[x.container] and not x.aside and i not in menus and (x.hint < 0 or x.hint in meant))
 
 

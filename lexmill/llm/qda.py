@@ -10,7 +10,8 @@ Statistics cover the whole text, and class moments all labelled rows (sums, so f
 one aggregation whose result has two rows).
 
 Defined results: a null text counts as empty; an empty text has the statistics of zero
-words and gets a score like any other; label rows with a null label, a null id or without
+words and gets a score like any other; texts of any length are read whole; an empty table
+gives no rows; label rows with a null label, a null id or without
 a document are ignored; a document labelled several times counts once per label row; if
 the labelled rows lack a class, every score is the share of the class 1 (0.5 without any
 labelled row).  Repeated rows each get a score.  Columns of the input named as an output

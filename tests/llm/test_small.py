@@ -96,6 +96,17 @@ def test_chat_folds(spark):
     assert got[None] == [("", "")] and got[2] == [("user", "same")] * 2
 
 
+def test_chat_takes_clashing_names_long_texts_and_repeats(spark):
+    long = "<|end|>[INST]" * 50_000
+    rows = [(1, 1, "message", 1, "user", "a"), (1, 1, "message", 1, "user", "a"), (1, 2, "message", 2, "assistant", long)]
+    events = spark.createDataFrame(rows, "conv_id long, seq long, kind string, message_id long, role string, text string").withColumns({c: F.lit("mine") for c in ("e", "es", "ix", "at", "cut", "ms", "cuts", "messages")})
+    folded = chat.fold(events)
+    assert [tuple(m) for m in folded.first()["messages"]] == [("user", "a"), ("user", "a"), ("assistant", long)]
+    out = chat.render(folded.withColumns({c: F.lit("mine") for c in ("head", "body", "spans", "learned")}))
+    one = out.select(chat.masked(F.col("formatted"), F.col("loss_spans")).alias("m"), "head", "spans").first()
+    assert one["m"] == long and one["head"] == one["spans"] == "mine"
+
+
 @pytest.mark.parametrize("text", ["<|end|>", r"<\|end|>", "</s>[INST] ok [/INST]", r"<\\/s> [\INST]", "<|start|>user<|text|>x<|end|>", "", "日本 é", "<<|<|"])
 def test_chat_round_trip(spark, text):
     made = spark.createDataFrame([(1, [("assistant", text), ("us<|er", "u"), ("assistant", text)])], "conv_id long, messages array<struct<role:string,text:string>>")
@@ -598,6 +609,7 @@ _WORDY = " ".join(["A sentence of the story that is long enough to be read as co
         # a list of links without a name; one link is a source
         (f"<div><ul><li><a>one</a><li><a>two</a><li><a>three</a></ul><p>{_WORDY}</p><p><a>source</a></p></div>", f"{_WORDY}\nsource"),
         ("<p>a<![foo bar]]><p>b<!x y><p>c<!--d--!>e<!-- f", "a\nb\nce"),
+        (f"<article><div class='entry-header'><h1>T</h1></div><p>{_WORDY}</p><div class='share-buttons'>Tweet</div></article>", f"T\n{_WORDY}"),
     ],
 )
 def test_main_text_by_ratio(html, text):
