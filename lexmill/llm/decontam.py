@@ -4,7 +4,8 @@ Documents are read as overlapping passages.  Over the terms of the benchmark, TF
 of all passages of the corpus, and of the benchmark itself, make a matrix whose leading
 right singular vectors come from a distributed randomised SVD: every task multiplies its
 rows by a random matrix and the result by their transpose, and the partial products are
-summed by blocks of terms.  Passages and items are projected onto these vectors; an item
+summed by blocks of terms, in lanes first; in a second pass the rows are projected onto an
+orthonormal basis of the sum, and the small matrix of their products is decomposed.  Passages and items are projected onto these vectors; an item
 whose cosine with a passage is high is a candidate, and counts as a paraphrase if the longest
 common subsequence of the item's words and the words around the passage has ``PARAPHRASE`` of
 the item.
@@ -40,6 +41,7 @@ from itertools import chain, islice
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,7 +65,8 @@ SHARE, SHARE_WITH_ANSWER = 0.75, 0.6
 #: The share that is enough where the cosine is high.
 PARAPHRASE = 0.5
 SHORT, LOOSE = 8, 16
-_BLOCK = 512
+#: Rows of a sum in a part, and groups of tasks whose parts are added up first.
+_BLOCK, LANES = 512, 64
 _HITS = 1 << 22
 
 
@@ -200,8 +203,36 @@ def _products(batches: Iterator[pa.RecordBatch], idfs: list[np.ndarray], seed: i
         keep = idf[term] > 0
         total[number] += _product(term[keep], stride[keep], strides, idf, random[number])
     for number, own in total.items():
-        for lo in range(0, len(own), _BLOCK):
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([lo // _BLOCK], pa.int32()), pa.array([own[lo : lo + _BLOCK].tobytes()], pa.binary())], names=["slice", "block", "part"])
+        yield from _parts(number, own)
+
+
+def _parts(number: int, total: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A task's part of a sum, by blocks of rows; its lane tells which tasks are added up first."""
+    context = TaskContext.get()
+    lane = context.partitionId() % LANES if context else 0
+    for lo in range(0, len(total), _BLOCK):
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int32()) for x in (number, lo // _BLOCK, lane)] + [pa.array([total[lo : lo + _BLOCK].tobytes()], pa.binary())], names=["slice", "block", "lane", "part"])
+
+
+def _grams(batches: Iterator[pa.RecordBatch], bases: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The task's part of the products of the passages, projected onto each slice's basis."""
+    total = [np.zeros((b.shape[1], b.shape[1])) for b in bases]
+    for number, strides, term, stride in _open(batches):
+        passages = _summed(bases[number][term], stride, strides)
+        total[number] += passages.T @ passages
+    for number, own in enumerate(total):
+        yield from _parts(number, own)
+
+
+def _added(parts: DataFrame, shapes: list[tuple[int, int]]) -> list[np.ndarray]:
+    """The sums of the tasks' parts, of a slice each."""
+    for keys in (("slice", "block", "lane"), ("slice", "block")):
+        parts = parts.groupBy(*keys).applyInArrow(_add, "slice int, block int, lane int, part binary")
+    out = [np.zeros(shape) for shape in shapes]
+    for row in parts.toArrow().to_pylist():
+        lo, own = row["block"] * _BLOCK, out[row["slice"]]
+        own[lo : lo + _BLOCK] = np.frombuffer(row["part"]).reshape(-1, own.shape[1])
+    return out
 
 
 def _random(seed: int, n: int, width: int) -> np.ndarray:
@@ -223,7 +254,7 @@ def _product(term: np.ndarray, stride: np.ndarray, strides: int, idf: np.ndarray
 
 def _add(parts: pa.Table) -> pa.Table:
     total = sum(np.frombuffer(x) for x in parts["part"].to_pylist())
-    return pa.table({"slice": parts["slice"].slice(0, 1), "block": parts["block"].slice(0, 1), "part": pa.array([total.tobytes()], pa.binary())})
+    return pa.table({**{c: parts[c].slice(0, 1) for c in ("slice", "block", "lane")}, "part": pa.array([total.tobytes()], pa.binary())})
 
 
 def _item_strides(items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -309,25 +340,34 @@ def fit(docs: DataFrame, slices: list[list[tuple[int, str]]], text: str = "text"
         df[own["term"].to_numpy()] = own["df"].to_numpy()
     idfs = [np.where(df > np.maximum(COMMON * total, 50), 0, np.log((total + 1) / (df + 1)) + 1e-3) for df in dfs]
     width = rank + OVERSAMPLE
-    summed = rows.mapInArrow(lambda it: _products(it, idfs, seed, width), "slice int, block int, part binary").groupBy("slice", "block").applyInArrow(_add, "slice int, block int, part binary").toArrow()
-    products = [np.zeros((n, min(width, n))) for n in sizes]
-    for row in summed.to_pylist():
-        lo = row["block"] * _BLOCK
-        own = products[row["slice"]]
-        own[lo : lo + _BLOCK] = np.frombuffer(row["part"]).reshape(-1, own.shape[1])
-    return [_model(read, df, idf, product, rank, seed) for read, df, idf, product in zip(reads, dfs, idfs, products, strict=True)]
+    products = _added(rows.mapInArrow(lambda it: _products(it, idfs, seed, width), _PART), [(n, min(width, n)) for n in sizes])
+    ranges = [_range(read, idf, product, seed, width) for read, idf, product in zip(reads, idfs, products, strict=True)]
+    bases = [(basis * idf[:, None]).astype(np.float32) for (basis, _), idf in zip(ranges, idfs, strict=True)]
+    grams = _added(rows.mapInArrow(lambda it: _grams(it, bases), _PART), [(b.shape[1], b.shape[1]) for b in bases])
+    return [_model(read, df, basis, gram, scale, rank) for read, df, basis, gram, (_, scale) in zip(reads, dfs, bases, grams, ranges, strict=True)]
 
 
-def _model(read: Items, df: np.ndarray, idf: np.ndarray, product: np.ndarray, rank: int, seed: int) -> Model:
-    term, stride, first, owner = _item_strides(read)
-    own = _product(term, stride, int(first[-1]), idf, _random(seed, len(idf), rank + OVERSAMPLE))
+_PART = "slice int, block int, lane int, part binary"
+
+
+def _range(read: Items, idf: np.ndarray, product: np.ndarray, seed: int, width: int) -> tuple[np.ndarray, float]:
+    """An orthonormal basis of the range of the sketch, and how much the items weigh in it."""
+    term, stride, first, _ = _item_strides(read)
+    own = _product(term, stride, int(first[-1]), idf, _random(seed, len(idf), width))
     scale = WEIGHT * max(1.0, np.linalg.norm(product) / max(np.linalg.norm(own), 1e-12))
-    left, _, _ = np.linalg.svd(product + own * scale, full_matrices=False)
-    basis = (left[:, :rank] * idf[:, None]).astype(np.float32)
-    latent = _summed(basis[term], stride, int(first[-1]))
+    return np.linalg.qr(product + own * scale)[0], scale
+
+
+def _model(read: Items, df: np.ndarray, basis: np.ndarray, gram: np.ndarray, scale: float, rank: int) -> Model:
+    """The leading directions, by the products of all projected passages; ``basis`` has the idf in it."""
+    term, stride, first, owner = _item_strides(read)
+    items = _summed(basis[term], stride, int(first[-1]))
+    _, directions = np.linalg.eigh(gram + scale * (items.T @ items))  # ascending
+    leading = directions[:, ::-1][:, :rank].astype(np.float32)
+    latent = items @ leading
     size = np.linalg.norm(latent, axis=1)
     keep = size > 1e-6
-    return Model(read, _anchors(read, df), basis, latent[keep] / size[keep, None], size[keep], owner[keep])
+    return Model(read, _anchors(read, df), basis @ leading, latent[keep] / size[keep, None], size[keep], owner[keep])
 
 
 def common_subsequence(masks: dict[int, int], size: int, sequence: list[int]) -> int:
