@@ -334,7 +334,7 @@ def evaluation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     metadata = F.struct(F.when(k % 3 == 0, "tax").otherwise("accounting").alias("domain"), F.expr(_ASKED).alias("task"), F.array(F.lit("s")).alias("source_ids"))
     rows = table(spark, sf_dir, "pages").select(F.array(message("system", F.lit("s")), message("user", F.col("url"))).alias("messages"), metadata.alias("metadata"), F.concat(F.lit("Svar om "), "url", F.lit(" [kilde]")).alias("expected_output"))
     rows.write.json(path)
-    found = jobs.evaluation(spark, f"{path}/*.json", None)
+    found = jobs.evaluation(spark, f"{path}/*.json", None, samples=f"{path}-graded")
     groups = {"all": {"count": found["metadata"]["total_samples"], **found["aggregate_metrics"]}} | found["by_task"] | found["by_domain"]
     return spark.createDataFrame([(name, v["count"], v["accuracy"]) for name, v in groups.items()], "name string, n long, accuracy double")
 

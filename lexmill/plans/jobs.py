@@ -23,9 +23,13 @@ from lexmill.sources.files import exists
 from lexmill.sources.html import html_blocks
 
 
+#: Failures that a result names; the manifest has them all.
+SHOWN = 100
+
+
 @dataclass
 class Result:
-    """What a job did; each failure counts once."""
+    """What a job did; each failure counts once, and the first ``SHOWN`` are named."""
 
     name: str
     total: int = 0
@@ -75,7 +79,7 @@ def ingest(spark: SparkSession, settings: Settings, sources: DataFrame, get: Cal
     fetch.fetch(sources, get).write.mode("overwrite").parquet(staged)  # each URL is fetched once
     rows = capture.capture(spark.read.parquet(staged), _manifest(spark, settings), settings.bronze, run, extension)
     found = rows.agg(F.count(F.lit(1)), F.count_if("success"), F.count_if("changed")).first()
-    errors = [f"{r['source_id']}: {r['error']}" for r in rows.where("not success").select("source_id", "error").orderBy("source_id").collect()]
+    errors = [f"{r['source_id']}: {r['error']}" for r in rows.where("not success").select("source_id", "error").orderBy("source_id").limit(SHOWN).collect()]
     rows.where("changed").select("source_id", "url", "sha256", "content", "run_id", "captured_at").write.mode("append").parquet(f"{settings.bronze}/contents")
     rows.drop("content").write.mode("append").parquet(f"{settings.bronze}/manifest")
     return Result("bronze", found[0], found[1], found[0] - found[1], errors=errors, counts={"changed": found[2]})
@@ -113,10 +117,10 @@ def silver_tables(pages: DataFrame) -> dict[str, DataFrame]:
 def process(spark: SparkSession, settings: Settings, sources: DataFrame, only: list[str] | None = None) -> Result:
     """Writes the silver tables of all sources with a plan."""
     pages = bronze_pages(spark, settings, sources)
-    known = pages.select("source_id", catalog.route().alias("plan"), F.col("content").isNull().alias("lost")).where("plan is not null").collect()
-    out = Result("silver", len(known), sum(not r["lost"] for r in known))
-    out.failed = out.total - out.processed
-    out.errors = [f"{r['source_id']}: no bronze content" for r in known if r["lost"]]
+    known = pages.select("source_id", catalog.route().alias("plan"), F.col("content").isNull().alias("lost")).where("plan is not null")
+    total, lost = known.agg(F.count(F.lit(1)), F.count_if("lost")).first()
+    out = Result("silver", total, total - lost, lost)
+    out.errors = [f"{r['source_id']}: no bronze content" for r in known.where("lost").orderBy("source_id").limit(SHOWN).collect()]
     for name, rows in silver_tables(pages).items():
         if only is None or name in only:
             path = f"{settings.silver}/{name}"
@@ -226,8 +230,11 @@ def validate_samples(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("file", "line", errors.alias("errors")).where(F.size("errors") > 0)
 
 
-def evaluation(spark: SparkSession, pattern: str, model: Callable[[str, str], str] | None = evaluate.mock, name: str = "mock") -> dict:
-    """The report of an evaluation; empty without samples."""
+def evaluation(spark: SparkSession, pattern: str, model: Callable[[str, str], str] | None = evaluate.mock, name: str = "mock", samples: str | None = None) -> dict:
+    """The report of an evaluation; empty without samples.
+
+    It holds the graded samples, unless they are to be written as the table ``samples``.
+    """
     graded = evaluate.results(evaluate.load(spark, pattern), model).cache()
     rows = [r.asDict() for r in evaluate.metrics(graded).collect()]
     total = next((r for r in rows if r["task"] is None and r["domain"] is None), None)
@@ -239,8 +246,13 @@ def evaluation(spark: SparkSession, pattern: str, model: Callable[[str, str], st
         "aggregate_metrics": {k: total[k] for k in ("overall_score", "accuracy", "citation_coverage", "avg_length_tokens", "pass_rate")},
         "by_task": {r["task"]: keep(r) for r in rows if r["task"] is not None},
         "by_domain": {r["domain"]: keep(r) for r in rows if r["domain"] is not None},
-        "sample_results": [r.asDict() for r in graded.orderBy("sample_no").collect()],
     }
-    report["failed_samples"] = [r for r in report["sample_results"] if r["status"] == "fail"]
+    if samples:
+        graded.write.mode("overwrite").parquet(samples)
+        report["sample_results"] = samples
+        report["failed_samples"] = [r.asDict() for r in evaluate.failed(graded, SHOWN).collect()]
+    else:
+        report["sample_results"] = [r.asDict() for r in graded.orderBy("sample_no").collect()]
+        report["failed_samples"] = [r for r in report["sample_results"] if r["status"] == "fail"]
     graded.unpersist()
     return report
