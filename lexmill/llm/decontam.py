@@ -217,8 +217,10 @@ def _parts(number: int, total: np.ndarray) -> Iterator[pa.RecordBatch]:
 def _grams(batches: Iterator[pa.RecordBatch], bases: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """The task's part of the products of the passages, projected onto each slice's basis."""
     total = [np.zeros((b.shape[1], b.shape[1])) for b in bases]
+    weighs = [b.any(axis=1) for b in bases]
     for number, strides, term, stride in _open(batches):
-        passages = _summed(bases[number][term], stride, strides)
+        keep = np.flatnonzero(weighs[number][term])  # frequent terms have no weight
+        passages = _summed(bases[number][term[keep]], stride[keep], strides)
         total[number] += passages.T @ passages
     for number, own in enumerate(total):
         yield from _parts(number, own)
