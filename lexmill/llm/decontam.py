@@ -65,8 +65,8 @@ SHARE, SHARE_WITH_ANSWER = 0.75, 0.6
 #: The share that is enough where the cosine is high.
 PARAPHRASE = 0.5
 SHORT, LOOSE = 8, 16
-#: Rows of a sum in a part, and groups of tasks whose parts are added up first.
-_BLOCK, LANES = 512, 64
+#: Rows of a sum in a part, groups of tasks whose parts are added up first, and rows added up one after another.
+_BLOCK, LANES, _PIECE = 512, 64, 32
 _HITS = 1 << 22
 
 
@@ -146,12 +146,33 @@ def _strides(position: np.ndarray, doc: np.ndarray, sizes: np.ndarray) -> tuple[
     return first[doc] + position // STRIDE, first
 
 
-def _summed(rows: np.ndarray, stride: np.ndarray, n: int) -> np.ndarray:
-    """Rows summed by stride (which ascends), then each stride with the next: a row per passage."""
-    out = np.zeros((n + 1, rows.shape[1]), rows.dtype)
+def _run_sums(table: np.ndarray, index: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sum of ``table[index]`` over each run of the index; runs begin at ``first``.
+
+    Rows are added for all runs at once: their first, second and further ones, in pieces of runs.
+    """
+    size = np.diff(np.append(first, len(index)))
+    pieces = -(-size // _PIECE)
+    at = np.cumsum(pieces) - pieces
+    before = (np.arange(pieces.sum()) - np.repeat(at, pieces)) * _PIECE
+    start, count = np.repeat(first, pieces) + before, np.minimum(np.repeat(size, pieces) - before, _PIECE)
+    order = np.argsort(-count, kind="stable")
+    start, count = start[order], count[order]
+    out = table[index[start]]
+    for k in range(1, int(count[0])):
+        more = int(np.searchsorted(-count, -k))
+        out[:more] += table[index[start[:more] + k]]
+    sums = np.empty_like(out)
+    sums[order] = out
+    return sums if len(sums) == len(first) else np.add.reduceat(sums, at, axis=0)
+
+
+def _summed(table: np.ndarray, term: np.ndarray, stride: np.ndarray, n: int) -> np.ndarray:
+    """The table's rows of the terms summed by stride (which ascends), then each stride with the next: a row per passage."""
+    out = np.zeros((n + 1, table.shape[1]), table.dtype)
     if len(stride):
         first = blobs.runs(stride)
-        out[stride[first]] = np.add.reduceat(rows, first, axis=0)
+        out[stride[first]] = _run_sums(table, term, first)
     return out[:-1] + out[1:]
 
 
@@ -198,7 +219,7 @@ def _products(batches: Iterator[pa.RecordBatch], idfs: list[np.ndarray], seed: i
     for number, strides, term, stride in _open(batches):
         idf = idfs[number]
         if number not in total:
-            random[number] = _random(seed, len(idf), width)
+            random[number] = _random(seed, idf, width)
             total[number] = np.zeros(random[number].shape)
         keep = idf[term] > 0
         total[number] += _product(term[keep], stride[keep], strides, idf, random[number])
@@ -220,7 +241,7 @@ def _grams(batches: Iterator[pa.RecordBatch], bases: list[np.ndarray]) -> Iterat
     weighs = [b.any(axis=1) for b in bases]
     for number, strides, term, stride in _open(batches):
         keep = np.flatnonzero(weighs[number][term])  # frequent terms have no weight
-        passages = _summed(bases[number][term[keep]], stride[keep], strides)
+        passages = _summed(bases[number], term[keep], stride[keep], strides)
         total[number] += passages.T @ passages
     for number, own in enumerate(total):
         yield from _parts(number, own)
@@ -237,20 +258,22 @@ def _added(parts: DataFrame, shapes: list[tuple[int, int]]) -> list[np.ndarray]:
     return out
 
 
-def _random(seed: int, n: int, width: int) -> np.ndarray:
-    return np.random.default_rng(seed).standard_normal((n, min(width, n))).astype(np.float32)
+def _random(seed: int, idf: np.ndarray, width: int) -> np.ndarray:
+    n = len(idf)
+    return (np.random.default_rng(seed).standard_normal((n, min(width, n))) * idf[:, None]).astype(np.float32)
 
 
-def _product(term: np.ndarray, stride: np.ndarray, strides: int, idf: np.ndarray, random: np.ndarray) -> np.ndarray:
-    out = np.zeros(random.shape)
+def _product(term: np.ndarray, stride: np.ndarray, strides: int, idf: np.ndarray, weighed: np.ndarray) -> np.ndarray:
+    """``weighed`` are the rows of the random matrix times the terms' idf."""
+    out = np.zeros(weighed.shape)
     if len(term):
-        passages = _summed(random[term] * idf[term, None].astype(np.float32), stride, strides)
+        passages = _summed(weighed, term, stride, strides)
         both = passages.copy()
         both[1:] += passages[:-1]  # a word counts in the passage that begins with its stride and in the one before
         order = np.argsort(term, kind="stable")
         own = term[order]
         first = blobs.runs(own)
-        out[own[first]] = np.add.reduceat(both[stride[order]], first, axis=0) * idf[own[first], None]
+        out[own[first]] = _run_sums(both, stride[order], first) * idf[own[first], None]
     return out
 
 
@@ -355,7 +378,7 @@ _PART = "slice int, block int, lane int, part binary"
 def _range(read: Items, idf: np.ndarray, product: np.ndarray, seed: int, width: int) -> tuple[np.ndarray, float]:
     """An orthonormal basis of the range of the sketch, and how much the items weigh in it."""
     term, stride, first, _ = _item_strides(read)
-    own = _product(term, stride, int(first[-1]), idf, _random(seed, len(idf), width))
+    own = _product(term, stride, int(first[-1]), idf, _random(seed, idf, width))
     scale = WEIGHT * max(1.0, np.linalg.norm(product) / max(np.linalg.norm(own), 1e-12))
     return np.linalg.qr(product + own * scale)[0], scale
 
@@ -363,7 +386,7 @@ def _range(read: Items, idf: np.ndarray, product: np.ndarray, seed: int, width:
 def _model(read: Items, df: np.ndarray, basis: np.ndarray, gram: np.ndarray, scale: float, rank: int) -> Model:
     """The leading directions, by the products of all projected passages; ``basis`` has the idf in it."""
     term, stride, first, owner = _item_strides(read)
-    items = _summed(basis[term], stride, int(first[-1]))
+    items = _summed(basis, term, stride, int(first[-1]))
     _, directions = np.linalg.eigh(gram + scale * (items.T @ items))  # ascending
     leading = directions[:, ::-1][:, :rank].astype(np.float32)
     latent = items @ leading
@@ -412,10 +435,10 @@ def _share(item: np.ndarray, answer: np.ndarray, masks: dict[int, int], term: np
 
 def _near(model: Model, term: np.ndarray, stride: np.ndarray, strides: int) -> Iterator[tuple[int, int]]:
     """(passage, item) wherever the cosine is high."""
-    strong = np.flatnonzero((model.basis[term] != 0).any(axis=1)) if len(term) else np.zeros(0, np.int64)
+    strong = np.flatnonzero(model.basis.any(axis=1)[term])
     if not len(strong) or not len(model.latent):
         return
-    passages = _summed(model.basis[term[strong]], stride[strong], strides)
+    passages = _summed(model.basis, term[strong], stride[strong], strides)
     size = np.linalg.norm(passages, axis=1)
     for lo in range(0, len(passages), 1 << 14):
         some = np.flatnonzero(size[lo : lo + (1 << 14)] > 1e-6) + lo
