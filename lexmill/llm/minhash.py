@@ -54,7 +54,7 @@ def signatures(sets: np.ndarray, where: np.ndarray, values: int, seed: int = 1)
     noise = words.mix(np.arange(1, 2 * half + 1, dtype=U64) * U64(0x9E3779B97F4A7C15) + U64(seed))
     filled = np.flatnonzero(np.diff(where))
     out = np.zeros((len(where) - 1, values), U64)
-    step = 1 << 18
+    step = 1 << 16  # what stays in the cache
     lo = 0
     while lo < len(filled):
         hi = max(lo + 1, int(np.searchsorted(where[filled], where[filled[lo]] + step)))
