@@ -23,6 +23,9 @@ def test_catalogue(spark, tmp_path):
     assert small.columns == list(catalog.COLUMNS) and catalog.with_defaults(small).first()["jurisdiction"] == "NO"
     assert catalog.lookup(small.withColumn("ord", F.monotonically_increasing_id())).collect()[0]["url"] == "v"
     assert catalog.load(spark, str(tmp_path / "none.csv")).count() == 0
+    (tmp_path / "s.csv").write_text("source_id\nnew\n", encoding="utf-8")
+    catalog.invalidate(spark, str(tmp_path / "s.csv"))
+    assert [r["source_id"] for r in catalog.load(spark, str(tmp_path / "s.csv")).collect()] == ["new"]
     plans = {r["source_id"]: r["plan"] for r in full.select("source_id", catalog.route().alias("plan")).collect()}
     assert plans["mva_import"] is None and plans["saft_v1_30"] == "saft" and plans["mva_rates"] == "rates"
 
