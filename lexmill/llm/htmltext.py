@@ -283,7 +283,8 @@ def extract(html: str | None, sigma: float = 1.0, threshold: float = 1.0, share:
     menus = _menus(lines, content)
     # what a neighbour's ratio smooths up doesn't decide a doubtful mark
     own = ratios(lines)
-    meant = {x.hint for x, kept, r in zip(lines, content, own, strict=True) if kept and r >= threshold * own.std()}
+    high = own >= threshold * own.std()
+    meant = {x.hint for x, kept in zip(lines, content & high, strict=True) if kept}
     return "\n".join(x.text for i, x in enumerate(lines) if inside[x.container] and not x.aside and i not in menus and (x.hint < 0 or x.hint in meant))
 
 
