@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import ann, chat, decontam, htmltext, minhash, mixing, qda, secrets, substring, urlrules
+from lexmill.llm import ann, chat, decontam, htmltext, importance, minhash, mixing, qda, secrets, substring, urlrules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -260,6 +260,42 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qda.score(docs, model, keep_text=False).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op13_importance_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents drawn towards the benchmark's distribution of words."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: CRC-32 by its table, over the bytes of each distinct word.
+_OP13_SQL = r"""
+WITH crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, [0, 1, 2, 3, 4, 5, 6, 7]), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)
+), words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+), aims AS (
+  SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark
+), vocabulary AS (
+  SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM words UNION SELECT word FROM aims)
+), hashed AS MATERIALIZED (
+  SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i::INT + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) % 10000 AS bucket FROM vocabulary, crc_table
+), s AS (SELECT bucket, count(*) AS n FROM words JOIN hashed USING (word) GROUP BY bucket
+), t AS (SELECT bucket, count(*) AS n FROM aims JOIN hashed USING (word) GROUP BY bucket
+), gains AS (
+  SELECT b.bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM words) + 10000)::DOUBLE / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM aims) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM range(10000) b(bucket) LEFT JOIN s ON b.bucket = s.bucket LEFT JOIN t ON b.bucket = t.bucket
+), weighed AS (
+  SELECT doc_id, count(*) AS n_features, sum(gain)::BIGINT AS total FROM words JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id
+), scored AS (
+  SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0)::BIGINT AS weight,
+    floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS noise
+  FROM documents d LEFT JOIN weighed w ON d.doc_id = w.doc_id
+), able AS (
+  SELECT doc_id, row_number() OVER (ORDER BY weight + noise DESC, doc_id) AS rank, 10 * count(*) OVER () // 100 AS k FROM scored WHERE n_features >= 20
+)
+SELECT s.doc_id, n_features, weight, weight + noise AS score, rank FROM scored s LEFT JOIN (SELECT * FROM able WHERE rank <= k) a ON s.doc_id = a.doc_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_source_mix": op2_source_mix,
@@ -271,5 +307,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_main_text": op9_main_text,
     "op10_quality": op10_quality,
+    "op13_importance_sample": op13_importance_sample,
 }
-ORACLES: dict[str, str] = {"op1_chat_format": _OP1_SQL, "op2_source_mix": _OP2_SQL, "op3_substring_dedup": _OP3_SQL, "op4_near_dedup": _OP4_SQL, "op6_url_rules": _OP6_SQL, "op8_secret_scan": _OP8_SQL, "op9_main_text": _OP9_SQL}
+ORACLES: dict[str, str] = {"op1_chat_format": _OP1_SQL, "op2_source_mix": _OP2_SQL, "op3_substring_dedup": _OP3_SQL, "op4_near_dedup": _OP4_SQL, "op6_url_rules": _OP6_SQL, "op8_secret_scan": _OP8_SQL, "op9_main_text": _OP9_SQL, "op13_importance_sample": _OP13_SQL}

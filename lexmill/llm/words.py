@@ -22,11 +22,11 @@ import pyarrow as pa
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C17  # odd, 3 mod 4: base - 1 has one factor 2 only
 _OTHER_BASE = 0xD1B54A32D192ED03
-_STEP = 1 << 21  # bytes hashed at a time, so that the arrays stay in the cache
+STEP = 1 << 21  # bytes hashed at a time, so that the arrays stay in the cache
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[0x41:0x5B] += 0x20
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 0x20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -50,7 +50,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base, and of its inverse, at least n of each."""
     if len(_powers.get("up", ())) < n:
-        size = max(n, _STEP + (1 << 16))
+        size = max(n, STEP + (1 << 16))
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             out = np.ones(1, dtype=U64)
             while len(out) < size:
@@ -86,11 +86,11 @@ def sliced(batches: Iterator[pa.RecordBatch], at: int, size: int = 1 << 22) -> I
             yield batch.slice(lo, hi - lo)
 
 
-def bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of each word; no word reaches over the end of a text."""
+def bounds(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each word; no word reaches over the end of a text.  ``space`` tells for each byte whether it parts words."""
     if not len(raw):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    word = ~_SPACE[raw]
+    word = ~space[raw]
     start = word.copy()
     start[1:] &= ~word[:-1]
     end = word.copy()
@@ -123,8 +123,8 @@ def hash_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.n
         at = np.flatnonzero(size > 8 * place)
         out[at] += _part(parts, starts[at] + 8 * place, np.minimum(size[at] - 8 * place, 8), keys[2 * place], keys[2 * place + 1])
     for word in np.flatnonzero(size > 8 * _FEW).tolist():  # a long one, in blocks of parts
-        for lo in range(_FEW, -(-int(size[word]) // 8), _STEP >> 3):
-            place = np.arange(lo, min(lo + (_STEP >> 3), -(-int(size[word]) // 8)))
+        for lo in range(_FEW, -(-int(size[word]) // 8), STEP >> 3):
+            place = np.arange(lo, min(lo + (STEP >> 3), -(-int(size[word]) // 8)))
             own = mix(place.astype(U64)[:, None] + keys[:2])
             out[word : word + 1] += _part(parts, starts[word] + 8 * place, np.minimum(size[word] - 8 * place, 8), own[:, 0], own[:, 1]).sum(dtype=U64)
     return mix(out + size.astype(U64))
@@ -142,9 +142,9 @@ def tokens(column: pa.Array | pa.ChunkedArray, lower: bool = False, second: bool
     """
     raw, offsets = text_bytes(column)
     parts, others, counts = [np.zeros(0, U64)], [np.zeros(0, U64)], [np.zeros(0, np.int64)]
-    for lo, hi in pieces(offsets, _STEP):
+    for lo, hi in pieces(offsets, STEP):
         piece = raw[offsets[lo] : offsets[hi]]
-        piece = _LOWER[piece] if lower else piece
+        piece = LOWER[piece] if lower else piece
         at = offsets[lo : hi + 1] - offsets[lo]
         starts, ends = bounds(piece, at)
         parts.append(hash_words(piece, starts, ends))
@@ -161,8 +161,8 @@ def beside(hashes: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """Hashes of the windows of ``length`` words at the given starts."""
     out = np.empty(len(starts), U64)
     power = [U64(pow(_OTHER_BASE, k, 1 << 64)) for k in range(length)]
-    for lo in range(0, len(starts), _STEP >> 3):
-        at = starts[lo : lo + (_STEP >> 3)]
+    for lo in range(0, len(starts), STEP >> 3):
+        at = starts[lo : lo + (STEP >> 3)]
         total = np.zeros(len(at), U64)
         for k in range(length):
             total += hashes[at + k] * power[k]
@@ -173,7 +173,7 @@ def beside(hashes: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
 def codes(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> np.ndarray:
     """A number for each word of all texts, equal for equal words and for no others."""
     raw, offsets = text_bytes(column)
-    raw = _LOWER[raw] if lower else raw
+    raw = LOWER[raw] if lower else raw
     starts, ends = bounds(raw, offsets)
     if not len(starts):
         return np.zeros(0, U64)
@@ -196,8 +196,8 @@ def windows(hashes: np.ndarray, where: np.ndarray, length: int) -> tuple[np.ndar
     if n <= 0:
         return np.zeros(0, U64), np.zeros(0, np.int64)
     out = np.empty(n, U64)
-    for lo in range(0, n, _STEP >> 2):
-        hi = min(n, lo + (_STEP >> 2))
+    for lo in range(0, n, STEP >> 2):
+        hi = min(n, lo + (STEP >> 2))
         part = hashes[lo : hi + length - 1]
         up, down = _power(len(part) + 1)
         total = np.empty(len(part) + 1, U64)
