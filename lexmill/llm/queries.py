@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import ann, chat, decontam, htmltext, importance, minhash, mixing, qda, secrets, substring, urlrules
+from lexmill.llm import ann, chat, collocations, decontam, htmltext, importance, minhash, mixing, qda, secrets, substring, urlrules, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -260,6 +260,56 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qda.score(docs, model, keep_text=False).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 best collocations of all documents."""
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+_OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+), grams AS (SELECT lang, k, w, unnest(generate_series(1, len(w) - k + 1)) AS i FROM words, range(1, 6) s(k) WHERE len(w) >= k
+), counted AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100
+), inner_max AS (
+  SELECT lang, part, max(f) AS longer FROM (
+    SELECT lang, f, array_to_string(string_split(phrase, ' ')[1:k - 1], ' ') AS part FROM counted WHERE k > 2
+    UNION ALL SELECT lang, f, array_to_string(string_split(phrase, ' ')[2:k], ' ') FROM counted WHERE k > 2) GROUP BY ALL
+), cuts AS (
+  SELECT c.lang, phrase, f AS a, cut, array_to_string(string_split(phrase, ' ')[1:cut], ' ') AS x, array_to_string(string_split(phrase, ' ')[cut + 1:k], ' ') AS y
+  FROM counted c JOIN range(1, 5) s(cut) ON cut < k
+), scored AS (
+  SELECT c.lang, c.phrase, a, cut, l.f AS l, r.f AS r, n, (1000::HUGEINT * a * n // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cuts c JOIN counted l ON c.lang = l.lang AND x = l.phrase JOIN counted r ON c.lang = r.lang AND y = r.phrase JOIN totals t ON c.lang = t.lang
+), best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM best b LEFT JOIN inner_max i ON b.lang = i.lang AND phrase = part WHERE longer IS NULL OR longer < a
+QUALIFY rank <= 2000
+"""
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive, looked up in its index by URL, and read back."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    archive = warc.write(pages)
+    return warc.read(archive, warc.find(archive, pages)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_OP12_SQL = r"""
+WITH payloads AS (
+  SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), named AS (
+  SELECT *, array_to_string(list_transform(range(8), lambda i: list_aggregate(list_transform([15, 10, 5, 0],
+    lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, 5 * i::INT + 1, 5))::INT >> s) & 31) + 1, 1)), 'string_agg', '')), '') AS payload_digest,
+    first_value(page_id) OVER same AS keeper, row_number() OVER same AS nth
+  FROM payloads WINDOW same AS (PARTITION BY h ORDER BY page_id DESC NULLS LAST, url DESC)
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest, CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN nth > 1 THEN keeper END AS refers_to FROM named
+"""
+
+
 def op13_importance_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tenth of the documents drawn towards the benchmark's distribution of words."""
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -307,6 +357,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_main_text": op9_main_text,
     "op10_quality": op10_quality,
+    "op11_collocations": op11_collocations,
+    "op12_warc": op12_warc,
     "op13_importance_sample": op13_importance_sample,
 }
-ORACLES: dict[str, str] = {"op1_chat_format": _OP1_SQL, "op2_source_mix": _OP2_SQL, "op3_substring_dedup": _OP3_SQL, "op4_near_dedup": _OP4_SQL, "op6_url_rules": _OP6_SQL, "op8_secret_scan": _OP8_SQL, "op9_main_text": _OP9_SQL, "op13_importance_sample": _OP13_SQL}
+ORACLES: dict[str, str] = {"op1_chat_format": _OP1_SQL, "op2_source_mix": _OP2_SQL, "op3_substring_dedup": _OP3_SQL, "op4_near_dedup": _OP4_SQL, "op6_url_rules": _OP6_SQL, "op8_secret_scan": _OP8_SQL, "op9_main_text": _OP9_SQL, "op11_collocations": _OP11_SQL, "op12_warc": _OP12_SQL, "op13_importance_sample": _OP13_SQL}

@@ -42,12 +42,18 @@ def few_partitions(spark: SparkSession) -> int:
     return max(1, partitions(spark) // FEW)
 
 
+def new_path(spark: SparkSession) -> str:
+    """A path of its own in the shared folder, which ``release`` deletes."""
+    path = f"{folder(spark)}/lexmill-{uuid.uuid4().hex}"
+    _OWN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def save(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared folder and returns a reader of the written table."""
     spark = df.sparkSession
-    path = f"{folder(spark)}/lexmill-{uuid.uuid4().hex}"
+    path = new_path(spark)
     df.write.parquet(path)
-    _OWN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -174,7 +174,11 @@ def codes(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> np.ndarray
     """A number for each word of all texts, equal for equal words and for no others."""
     raw, offsets = text_bytes(column)
     raw = LOWER[raw] if lower else raw
-    starts, ends = bounds(raw, offsets)
+    return word_codes(raw, *bounds(raw, offsets))
+
+
+def word_codes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number for each word, equal for equal words and for no others."""
     if not len(starts):
         return np.zeros(0, U64)
     size = ends - starts
