@@ -23,6 +23,7 @@ gives no rows.  Only the two columns named are read; others may have any name.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from math import isqrt
 
@@ -41,8 +42,10 @@ WIDTH = 1 << 27
 _RANGE = 1 << 20
 #: Phrases that a task gathers before it sends their counters.
 _RUN = 1 << 21
-#: Bytes of text that share an automaton.
-SHARD = 1 << 22
+#: Bytes of text that share an automaton, and phrases that a task holds before it sends them.
+SHARD, _HELD = 1 << 22, 200_000
+#: Parts of a language, by a hash of the phrase, in which frequencies are sent and summed: each is one task's at most.
+LANES = 4096
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _OUTSIDE = _BREAK.copy()
@@ -196,39 +199,78 @@ def _guarded(own: _Words) -> tuple[np.ndarray, np.ndarray]:
     return out, at
 
 
+def _counts(texts: pa.Array, lang: str, longest: int, first: np.ndarray, second: np.ndarray, width: int) -> Iterator[tuple[str, int]]:
+    """A shard's frequencies of its words and candidates; the empty phrase stands for all words."""
+    own = _Words(texts, pa.array([lang] * len(texts), pa.string()))
+    if not len(own.starts):
+        return
+    size = own.ends - own.starts
+    text, at = _guarded(own)
+    data = text.tobytes()
+    code = np.unique(words.word_codes(own.raw, own.starts, own.ends), return_inverse=True)[1]
+    yield "", len(code)
+    _, model, counts = np.unique(code, return_index=True, return_counts=True)
+    common = np.flatnonzero(_heavy(first, own.counters(model, 1, width)))
+    yield from ((data[at[i] : at[i] + size[i]].decode(), n) for i, n in zip(model[common].tolist(), counts[common].tolist(), strict=True))
+    # phrases by number, each of the number of the phrase with a word less and its last word
+    number, n_words, entries = code.astype(np.int64), int(code.max()) + 1, []
+    for length, starts in _starts(own, longest, first, second, width):
+        _, model, inverse = np.unique(number[starts] * n_words + code[starts + length - 1], return_index=True, return_inverse=True)
+        number = np.zeros(len(code), np.int64)
+        number[starts] = inverse
+        ends = starts[model] + length - 1
+        entries += zip(at[starts[model]].tolist(), (at[ends] + size[ends]).tolist(), strict=True)
+    if entries:
+        automaton = ahocorasick.Automaton()
+        for i, (a, b) in enumerate(entries):
+            automaton.add_word(data[a - 1 : b + 1].decode(), i)
+        automaton.make_automaton()
+        matches = np.fromiter((i for _, i in automaton.iter(data.decode())), np.int64)
+        found = np.bincount(matches, minlength=len(entries)).tolist()
+        yield from ((data[a:b].decode(), n) for (a, b), n in zip(entries, found, strict=True))
+
+
 def _scanned(batches: Iterator[pa.RecordBatch], longest: int, first: np.ndarray, second: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
-    """Each shard's frequencies of its words and candidates; the empty phrase stands for all words."""
+    """The frequencies in a task's shards, summed up and sent by lanes of a language."""
+    total: dict[str, dict[str, int]] = {}
     for lang, texts in _shards(batches):
-        own = _Words(texts, pa.array([lang] * len(texts), pa.string()))
-        if not len(own.starts):
-            continue
-        size = own.ends - own.starts
-        text, at = _guarded(own)
-        data = text.tobytes()
-        code = np.unique(words.word_codes(own.raw, own.starts, own.ends), return_inverse=True)[1]
-        _, model, counts = np.unique(code, return_index=True, return_counts=True)
-        common = _heavy(first, own.counters(model, 1, width))
-        phrases = ["", *(data[at[i] : at[i] + size[i]].decode() for i in model[common].tolist())]
-        found = [len(code), *counts[common].tolist()]
-        # phrases by number, each of the number of the phrase with a word less and its last word
-        number, n_words, entries = code.astype(np.int64), int(code.max()) + 1, []
-        for length, starts in _starts(own, longest, first, second, width):
-            runs, model, inverse = np.unique(number[starts] * n_words + code[starts + length - 1], return_index=True, return_inverse=True)
-            number = np.zeros(len(code), np.int64)
-            number[starts] = inverse
-            ends = starts[model] + length - 1
-            entries += zip(at[starts[model]].tolist(), (at[ends] + size[ends]).tolist(), strict=True)
-        if entries:
-            automaton = ahocorasick.Automaton()
-            for i, (a, b) in enumerate(entries):
-                automaton.add_word(data[a - 1 : b + 1].decode(), i)
-            automaton.make_automaton()
-            matches = np.fromiter((i for _, i in automaton.iter(data.decode())), np.int64)
-            phrases += [data[a:b].decode() for a, b in entries]
-            found += np.bincount(matches, minlength=len(entries)).tolist()
-        for lo in range(0, len(phrases), 1 << 16):
-            part = phrases[lo : lo + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), pa.array(part, pa.string()), pa.array(found[lo : lo + len(part)], pa.int64())], names=["lang", "phrase", "n"])
+        own = total.setdefault(lang, {})
+        for phrase, n in _counts(texts, lang, longest, first, second, width):
+            own[phrase] = own.get(phrase, 0) + n
+        if sum(map(len, total.values())) >= _HELD:
+            yield from _by_lane(total)
+            total = {}
+    yield from _by_lane(total)
+
+
+def _by_lane(total: dict[str, dict[str, int]]) -> Iterator[pa.RecordBatch]:
+    for lang, own in total.items():
+        lanes: dict[int, tuple[list[str], list[int]]] = {}
+        for phrase, n in own.items():
+            phrases, counts = lanes.setdefault(zlib.crc32(phrase.encode()) % LANES, ([], []))
+            phrases.append(phrase)
+            counts.append(n)
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(lanes), pa.string()), pa.array(list(lanes), pa.int32()), *(pa.array([x[i] for x in lanes.values()], kind) for i, kind in enumerate((pa.list_(pa.string()), pa.list_(pa.int64()))))], names=["lang", "lane", "phrases", "counts"])
+
+
+def _totals(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Sums of a lane's frequencies, of those that reach the least one; rows come by lane."""
+    at, total = None, {}
+
+    def kept() -> pa.RecordBatch:
+        found = [(phrase, n) for phrase, n in total.items() if n >= least or not phrase]
+        return pa.RecordBatch.from_arrays([pa.array([at[0]] * len(found), pa.string()), pa.array([x for x, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())], names=["lang", "phrase", "n"])
+
+    for batch in batches:
+        for lang, lane, phrases, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (lang, lane) != at:
+                if at:
+                    yield kept()
+                at, total = (lang, lane), {}
+            for phrase, n in zip(phrases, counts, strict=True):
+                total[phrase] = total.get(phrase, 0) + n
+    if at:
+        yield kept()
 
 
 def frequencies(docs: DataFrame, least: int, longest: int, text: str, lang: str, width: int) -> DataFrame:
@@ -236,8 +278,9 @@ def frequencies(docs: DataFrame, least: int, longest: int, text: str, lang: str,
     texts = docs.select(F.col(f"`{text}`").cast("string").alias("text"), F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang")).where("text is not null")
     first = sketch(texts, least, longest, None, width)
     second = sketch(texts, least, longest, first, width)
-    scanned = texts.mapInArrow(lambda it: _scanned(it, longest, first, second, width), "lang string, phrase string, n long")
-    return scanned.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("phrase") == ""))
+    scanned = texts.mapInArrow(lambda it: _scanned(it, longest, first, second, width), "lang string, lane int, phrases array<string>, counts array<long>")
+    by_lane = scanned.repartition("lang", "lane").sortWithinPartitions("lang", "lane")
+    return by_lane.mapInArrow(lambda it: _totals(it, least), "lang string, phrase string, n long")
 
 
 def _exact(*factors: Column) -> Column:
