@@ -296,7 +296,8 @@ def _find(batches: Iterator[pa.RecordBatch], archive: Archive) -> Iterator[pa.Re
 def find(archive: Archive, pages: DataFrame) -> DataFrame:
     """Where the captures of pages (url, page_id) stand: key, page_id, file, offset, length; each capture once."""
     asked = pages.select(F.col("url").cast("string"), F.col("page_id").cast("long")).mapInArrow(_keys, "key string, page_id long")
-    ordered = asked.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
+    # as many tasks as shuffles have, as a row stands for a block and more
+    ordered = asked.repartitionByRange(scratch.partitions(pages.sparkSession), "key", "page_id").sortWithinPartitions("key", "page_id")
     return ordered.mapInArrow(lambda it: _find(it, archive), _CAPTURE)
 
 
@@ -330,6 +331,6 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str, text: bool) -> Iterato
 
 def read(archive: Archive, places: DataFrame, payload: bool = False) -> DataFrame:
     """The records that stand at ``places``."""
-    ordered = places.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    ordered = places.select("file", "offset", "length").repartitionByRange(scratch.partitions(places.sparkSession), "file", "offset").sortWithinPartitions("file", "offset")
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + (", payload binary" if payload else "")
     return ordered.mapInArrow(lambda it: _read(it, archive.folder, payload), schema)
