@@ -10,11 +10,16 @@ whose cosine with a passage is high is a candidate, and counts as a paraphrase i
 common subsequence of the item's words and the words around the passage has ``PARAPHRASE`` of
 the item.
 
-Cosines miss items whose words are all frequent, and short items among many other words.  So
-each place where enough of an item's rarest words stand close together is a candidate too, of
-which more is asked: ``SHARE`` of the item in the common subsequence, or
-``SHARE_WITH_ANSWER`` with the item's answer (its last sentence) there word by word.  Such a
-subsequence can't do without these words, so no verbatim item is missed.
+A term's weight goes by how often it stands elsewhere than beside a word that is its neighbour
+in an item, and is never zero: a document's verdict doesn't hang on how many others hold the item.
+
+Cosines miss short items among many other words.  So each place where enough of an item's
+rarest words stand close together is a candidate too, of which more is asked: ``SHARE`` of the
+item in the common subsequence, or ``SHARE_WITH_ANSWER`` with the item's answer (its last
+sentence) there word by word.  Such a subsequence can't do without these words, so no verbatim
+item is missed.  Items without enough rare words are compared with all places at once: by a
+matrix product how many of their words a place can have in common with them, and where that
+is enough by the subsequence, for all such places together.
 
 Words outside the benchmark can't be part of a common subsequence, so the restricted
 sequences give it exactly.  A benchmark is taken in slices of ``ITEMS`` items, each with its
@@ -54,8 +59,10 @@ STRIDE = 32
 ITEMS, TERMS, RANK, OVERSAMPLE, SLICES = 2_000, 60_000, 64, 8, 4
 #: How much the benchmark weighs in the matrix against the whole corpus, so that its directions lead.
 WEIGHT = 4.0
-#: Terms in more than this share of the strides have no weight in the retrieval (they do count in subsequences).
-COMMON = 0.02
+#: The least weight of a term, beside the logarithm of its rarity.
+FLOOR = 0.1
+#: Terms in more than this share of the strides are counted in dense rows, and aren't looked up as an item's rare words.
+COMMON = 0.05
 #: A candidate has this cosine, and holds this part of the item's weight, at least.
 COSINE, PART = 0.6, 0.5
 #: Of the words that a match needs, this share is looked for among the item's rarest; any share finds all, a greater one has fewer false candidates.
@@ -65,6 +72,8 @@ SHARE, SHARE_WITH_ANSWER = 0.75, 0.6
 #: The share that is enough where the cosine is high.
 PARAPHRASE = 0.5
 SHORT, LOOSE = 8, 16
+#: Words between the places at which frequent items are looked for, strides that are multiplied at a time, counts that are compared at a time, and bits of a sequence.
+GRAIN, _PLACES, _CELLS, _BITS = 8, 2048, 1 << 21, 64
 #: Rows of a sum in a part, groups of tasks whose parts are added up first, and rows added up one after another.
 _BLOCK, LANES, _PIECE = 512, 64, 32
 _HITS = 1 << 22
@@ -90,10 +99,37 @@ class Anchors:
     span: np.ndarray
 
 
+@dataclass(frozen=True)
+class Weights:
+    """Of each term its weight, and its number among the common ones, or -1."""
+
+    idf: np.ndarray
+    common: np.ndarray
+
+    @classmethod
+    def of(cls, df: np.ndarray, total: int) -> Weights:
+        often = df > np.maximum(COMMON * total, 50)
+        return cls(np.log((total + 1) / (df + 1)) + FLOOR, np.where(often, np.cumsum(often) - 1, -1))
+
+
+@dataclass(frozen=True)
+class Frequent:
+    """Items without enough rare words, over their own terms; ``local`` numbers these."""
+
+    local: np.ndarray
+    items: np.ndarray
+    least: np.ndarray  # words that have to be in common
+    reach: np.ndarray
+    counts: np.ndarray  # an item's row of how often it has each term
+    masks: np.ndarray  # of each item and term the places in the item, as bits; the last term is no term
+
+
 @dataclass(frozen=True)
 class Model:
     items: Items
     anchors: Anchors
+    frequent: Frequent | None
+    weights: Weights
     basis: np.ndarray  # terms x rank, times idf
     latent: np.ndarray  # a unit row per item passage
     size: np.ndarray  # its length before
@@ -167,43 +203,74 @@ def _run_sums(table: np.ndarray, index: np.ndarray, first: np.ndarray) -> np.nda
     return sums if len(sums) == len(first) else np.add.reduceat(sums, at, axis=0)
 
 
-def _summed(table: np.ndarray, term: np.ndarray, stride: np.ndarray, n: int) -> np.ndarray:
+def _dense(common: np.ndarray, stride: np.ndarray, n: int, width: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """How often each stride has each common term, some strides at a time; ``stride`` ascends."""
+    for lo in range(0, n, _PLACES):
+        a, b = np.searchsorted(stride, [lo, lo + _PLACES])
+        hi = min(n, lo + _PLACES)
+        yield lo, hi, np.bincount((stride[a:b] - lo) * width + common[a:b], minlength=(hi - lo) * width).reshape(hi - lo, width).astype(np.float32)
+
+
+def _summed(table: np.ndarray, weights: Weights, term: np.ndarray, stride: np.ndarray, n: int) -> np.ndarray:
     """The table's rows of the terms summed by stride (which ascends), then each stride with the next: a row per passage."""
     out = np.zeros((n + 1, table.shape[1]), table.dtype)
-    if len(stride):
-        first = blobs.runs(stride)
-        out[stride[first]] = _run_sums(table, term, first)
+    often = weights.common[term] >= 0
+    rare = np.flatnonzero(~often)
+    if len(rare):
+        first = blobs.runs(stride[rare])
+        out[stride[rare][first]] = _run_sums(table, term[rare], first)
+    if len(rare) < len(term):
+        terms = np.flatnonzero(weights.common >= 0)
+        for lo, hi, counts in _dense(weights.common[term[often]], stride[often], n, len(terms)):
+            out[lo:hi] += counts @ table[terms]
     return out[:-1] + out[1:]
 
 
-def _sequences(batches: Iterator[pa.RecordBatch], vocabularies: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Of each batch a row for each slice: how many strides, and its restricted sequence by stride."""
+def _neighbours(items: Items) -> np.ndarray:
+    """The pairs of terms that stand side by side in an item, as numbers."""
+    pairs = [own[:-1] * len(items.vocabulary) + own[1:] for own in items.sequences]
+    return np.unique(np.concatenate([np.zeros(0, np.int64), *pairs]))
+
+
+def _beside(term: np.ndarray, position: np.ndarray, doc: np.ndarray, pairs: np.ndarray, n: int) -> np.ndarray:
+    """Whether each word stands beside one that is its neighbour in an item."""
+    both = (doc[1:] == doc[:-1]) & (position[1:] == position[:-1] + 1) & blobs.among(term[:-1] * n + term[1:], pairs)
+    return np.append(both, False) | np.append(False, both)
+
+
+def _sequences(batches: Iterator[pa.RecordBatch], vocabularies: list[np.ndarray], pairs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Of each batch a row for each slice: how many strides, and its restricted sequence by stride, with a bit for neighbours."""
     for batch in words.sliced(batches, 0):
         hashes, where = words.tokens(batch.column(0), lower=True)
         for number, vocabulary in enumerate(vocabularies):
             term, position, doc, sizes = _restricted(hashes, where, vocabulary)
             stride, first = _strides(position, doc, sizes)
+            beside = _beside(term, position, doc, pairs[number], len(vocabulary)) if len(term) else np.zeros(0, bool)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int32()),
                     pa.array([int(first[-1])], pa.int64()),
                     pa.array([len(term)], pa.int64()),
-                    pa.array([blobs.pack_plain(term.astype(np.uint32))], pa.binary()),
+                    pa.array([blobs.pack_plain((2 * term + beside).astype(np.uint32))], pa.binary()),
                     pa.array([blobs.pack(stride.astype(np.uint32))], pa.binary()),
                 ],
                 names=["slice", "strides", "n", "terms", "at"],
             )
 
 
-def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _open(batches: Iterator[pa.RecordBatch], apart: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Slice, number of strides, terms and their strides; only of words without a neighbour, if they are to be ``apart``."""
     for batch in batches:
         for row in batch.to_pylist():
-            yield row["slice"], row["strides"], blobs.unpack_plain(row["terms"], row["n"], np.uint32).astype(np.int64), blobs.unpack(row["at"], row["n"], np.uint32).astype(np.int64)
+            term, stride = blobs.unpack_plain(row["terms"], row["n"], np.uint32), blobs.unpack(row["at"], row["n"], np.uint32)
+            if apart:
+                term, stride = term[term & 1 == 0], stride[term & 1 == 0]
+            yield row["slice"], row["strides"], (term >> 1).astype(np.int64), stride.astype(np.int64)
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch], sizes: list[int]) -> Iterator[pa.RecordBatch]:
     total = [np.zeros(n, np.int64) for n in sizes]
-    for number, _, term, stride in _open(batches):
+    for number, _, term, stride in _open(batches, apart=True):
         n = sizes[number]
         pair = np.sort(stride * n + term)
         total[number] += np.bincount(pair[blobs.runs(pair)] % n, minlength=n)
@@ -212,17 +279,15 @@ def _document_counts(batches: Iterator[pa.RecordBatch], sizes: list[int]) -> Ite
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), number, np.int32)), pa.array(some), pa.array(own[some])], names=["slice", "term", "df"])
 
 
-def _products(batches: Iterator[pa.RecordBatch], idfs: list[np.ndarray], seed: int, width: int) -> Iterator[pa.RecordBatch]:
+def _products(batches: Iterator[pa.RecordBatch], weights: list[Weights], seed: int, width: int) -> Iterator[pa.RecordBatch]:
     """The task's part of (transpose of A) A R for each slice, by blocks of terms."""
     total: dict[int, np.ndarray] = {}
     random: dict[int, np.ndarray] = {}
     for number, strides, term, stride in _open(batches):
-        idf = idfs[number]
         if number not in total:
-            random[number] = _random(seed, idf, width)
+            random[number] = _random(seed, weights[number].idf, width)
             total[number] = np.zeros(random[number].shape)
-        keep = idf[term] > 0
-        total[number] += _product(term[keep], stride[keep], strides, idf, random[number])
+        total[number] += _product(term, stride, strides, weights[number], random[number])
     for number, own in total.items():
         yield from _parts(number, own)
 
@@ -235,13 +300,11 @@ def _parts(number: int, total: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x], pa.int32()) for x in (number, lo // _BLOCK, lane)] + [pa.array([total[lo : lo + _BLOCK].tobytes()], pa.binary())], names=["slice", "block", "lane", "part"])
 
 
-def _grams(batches: Iterator[pa.RecordBatch], bases: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+def _grams(batches: Iterator[pa.RecordBatch], bases: list[np.ndarray], weights: list[Weights]) -> Iterator[pa.RecordBatch]:
     """The task's part of the products of the passages, projected onto each slice's basis."""
     total = [np.zeros((b.shape[1], b.shape[1])) for b in bases]
-    weighs = [b.any(axis=1) for b in bases]
     for number, strides, term, stride in _open(batches):
-        keep = np.flatnonzero(weighs[number][term])  # frequent terms have no weight
-        passages = _summed(bases[number], term[keep], stride[keep], strides)
+        passages = _summed(bases[number], weights[number], term, stride, strides)
         total[number] += passages.T @ passages
     for number, own in enumerate(total):
         yield from _parts(number, own)
@@ -263,18 +326,26 @@ def _random(seed: int, idf: np.ndarray, width: int) -> np.ndarray:
     return (np.random.default_rng(seed).standard_normal((n, min(width, n))) * idf[:, None]).astype(np.float32)
 
 
-def _product(term: np.ndarray, stride: np.ndarray, strides: int, idf: np.ndarray, weighed: np.ndarray) -> np.ndarray:
+def _product(term: np.ndarray, stride: np.ndarray, strides: int, weights: Weights, weighed: np.ndarray) -> np.ndarray:
     """``weighed`` are the rows of the random matrix times the terms' idf."""
     out = np.zeros(weighed.shape)
-    if len(term):
-        passages = _summed(weighed, term, stride, strides)
-        both = passages.copy()
-        both[1:] += passages[:-1]  # a word counts in the passage that begins with its stride and in the one before
-        order = np.argsort(term, kind="stable")
+    if not len(term):
+        return out
+    passages = _summed(weighed, weights, term, stride, strides)
+    both = passages.copy()
+    both[1:] += passages[:-1]  # a word counts in the passage that begins with its stride and in the one before
+    often = weights.common[term] >= 0
+    if often.any():
+        terms = np.flatnonzero(weights.common >= 0)
+        for lo, hi, counts in _dense(weights.common[term[often]], stride[often], strides, len(terms)):
+            out[terms] += counts.T @ both[lo:hi]
+    rare = np.flatnonzero(~often)
+    if len(rare):
+        order = rare[np.argsort(term[rare], kind="stable")]
         own = term[order]
         first = blobs.runs(own)
-        out[own[first]] = _run_sums(both, stride[order], first) * idf[own[first], None]
-    return out
+        out[own[first]] += _run_sums(both, stride[order], first)
+    return out * weights.idf[:, None]
 
 
 def _add(parts: pa.Table) -> pa.Table:
@@ -296,25 +367,53 @@ def _reach(size: int) -> int:
     return size if size < SHORT else size + max(4, size // 4)
 
 
-def _anchors(items: Items, df: np.ndarray) -> Anchors:
-    """With ``least`` of n words in common, at least m - (n - least) of any m of them are."""
-    terms, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+def _least(n: int) -> int:
+    """The words that an item of n words has to have in common with a text."""
+    return n if n < SHORT else int(np.ceil(SHARE_WITH_ANSWER * n - 1e-9))
+
+
+def _frequent(items: Items, own: list[int]) -> Frequent | None:
+    """The items ``own``, for a comparison with all places."""
+    if not own:
+        return None
+    terms = np.unique(np.concatenate([items.sequences[i] for i in own]))
+    local = np.full(len(items.vocabulary), -1)
+    local[terms] = np.arange(len(terms))
+    sizes = np.array([len(items.sequences[i]) for i in own])
+    counts, masks = np.zeros((len(own), len(terms)), np.int64), np.zeros((len(own), len(terms) + 1), U64)
+    for row, i in enumerate(own):
+        sequence = local[items.sequences[i]]
+        np.add.at(counts[row], sequence, 1)
+        if len(sequence) <= _BITS:
+            np.bitwise_or.at(masks[row], sequence, U64(1) << np.arange(len(sequence)).astype(U64))
+    return Frequent(local, np.array(own), np.array([_least(n) for n in sizes.tolist()]), np.array([_reach(n) for n in sizes.tolist()]), counts, masks)
+
+
+def _anchors(items: Items, df: np.ndarray, weights: Weights) -> tuple[Anchors, list[int]]:
+    """The rare words of the items, and the items that lack them.
+
+    With ``least`` of n words in common, at least m - (n - least) of any m of them are.
+    """
+    terms, owners, lacking = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
     need, span = np.ones(len(items.ids), np.int64), np.ones(len(items.ids), np.int64)
     for i, own in enumerate(items.sequences):
         n = len(own)
         if not n:
             continue
-        least = n if n < SHORT else int(np.ceil(SHARE_WITH_ANSWER * n - 1e-9))
+        least = _least(n)
         distinct, count = np.unique(own, return_counts=True)
         order = np.argsort(df[distinct], kind="stable")
         held = np.cumsum(count[order])
         cut = int(np.searchsorted(held, n - least + int(np.ceil(RARE * least))))
+        if weights.common[distinct[order[cut]]] >= 0:
+            lacking.append(i)
+            continue
         need[i], span[i] = held[cut] - (n - least), _reach(n)
         terms.append(distinct[order[: cut + 1]])
         owners.append(np.full(cut + 1, i))
     term, owner = np.concatenate(terms), np.concatenate(owners)
     order = np.argsort(term, kind="stable")
-    return Anchors(np.searchsorted(term[order], np.arange(len(df) + 1)), owner[order], need, span)
+    return Anchors(np.searchsorted(term[order], np.arange(len(df) + 1)), owner[order], need, span), lacking
 
 
 def _anchored(anchors: Anchors, term: np.ndarray, position: np.ndarray, doc: np.ndarray, sizes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -356,43 +455,45 @@ def fit(docs: DataFrame, slices: list[list[tuple[int, str]]], text: str = "text"
     vocabularies = [r.vocabulary for r in reads]
     sizes = [len(v) for v in vocabularies]
     column = docs.select(F.col(f"`{text}`").cast("string").alias("text"))
-    rows = scratch.save(column.mapInArrow(lambda it: _sequences(it, vocabularies), "slice int, strides long, n long, terms binary, at binary"))
+    pairs = [_neighbours(r) for r in reads]
+    rows = scratch.save(column.mapInArrow(lambda it: _sequences(it, vocabularies, pairs), "slice int, strides long, n long, terms binary, at binary"))
     counted = rows.mapInArrow(lambda it: _document_counts(it, sizes), "slice int, term long, df long").groupBy("slice", "term").agg(F.sum("df").alias("df")).toArrow()
     total = rows.where("slice = 0").agg(F.sum("strides")).first()[0] or 0
     dfs = [np.zeros(n) for n in sizes]
     for number, df in enumerate(dfs):
         own = counted.filter(pc.equal(counted["slice"], number))
         df[own["term"].to_numpy()] = own["df"].to_numpy()
-    idfs = [np.where(df > np.maximum(COMMON * total, 50), 0, np.log((total + 1) / (df + 1)) + 1e-3) for df in dfs]
+    weights = [Weights.of(df, total) for df in dfs]
     width = rank + OVERSAMPLE
-    products = _added(rows.mapInArrow(lambda it: _products(it, idfs, seed, width), _PART), [(n, min(width, n)) for n in sizes])
-    ranges = [_range(read, idf, product, seed, width) for read, idf, product in zip(reads, idfs, products, strict=True)]
-    bases = [(basis * idf[:, None]).astype(np.float32) for (basis, _), idf in zip(ranges, idfs, strict=True)]
-    grams = _added(rows.mapInArrow(lambda it: _grams(it, bases), _PART), [(b.shape[1], b.shape[1]) for b in bases])
-    return [_model(read, df, basis, gram, scale, rank) for read, df, basis, gram, (_, scale) in zip(reads, dfs, bases, grams, ranges, strict=True)]
+    products = _added(rows.mapInArrow(lambda it: _products(it, weights, seed, width), _PART), [(n, min(width, n)) for n in sizes])
+    ranges = [_range(read, own, product, seed, width) for read, own, product in zip(reads, weights, products, strict=True)]
+    bases = [(basis * own.idf[:, None]).astype(np.float32) for (basis, _), own in zip(ranges, weights, strict=True)]
+    grams = _added(rows.mapInArrow(lambda it: _grams(it, bases, weights), _PART), [(b.shape[1], b.shape[1]) for b in bases])
+    return [_model(read, df, own, basis, gram, scale, rank) for read, df, own, basis, gram, (_, scale) in zip(reads, dfs, weights, bases, grams, ranges, strict=True)]
 
 
 _PART = "slice int, block int, lane int, part binary"
 
 
-def _range(read: Items, idf: np.ndarray, product: np.ndarray, seed: int, width: int) -> tuple[np.ndarray, float]:
+def _range(read: Items, weights: Weights, product: np.ndarray, seed: int, width: int) -> tuple[np.ndarray, float]:
     """An orthonormal basis of the range of the sketch, and how much the items weigh in it."""
     term, stride, first, _ = _item_strides(read)
-    own = _product(term, stride, int(first[-1]), idf, _random(seed, idf, width))
+    own = _product(term, stride, int(first[-1]), weights, _random(seed, weights.idf, width))
     scale = WEIGHT * max(1.0, np.linalg.norm(product) / max(np.linalg.norm(own), 1e-12))
     return np.linalg.qr(product + own * scale)[0], scale
 
 
-def _model(read: Items, df: np.ndarray, basis: np.ndarray, gram: np.ndarray, scale: float, rank: int) -> Model:
+def _model(read: Items, df: np.ndarray, weights: Weights, basis: np.ndarray, gram: np.ndarray, scale: float, rank: int) -> Model:
     """The leading directions, by the products of all projected passages; ``basis`` has the idf in it."""
     term, stride, first, owner = _item_strides(read)
-    items = _summed(basis, term, stride, int(first[-1]))
+    items = _summed(basis, weights, term, stride, int(first[-1]))
     _, directions = np.linalg.eigh(gram + scale * (items.T @ items))  # ascending
     leading = directions[:, ::-1][:, :rank].astype(np.float32)
     latent = items @ leading
     size = np.linalg.norm(latent, axis=1)
-    keep = size > 1e-6
-    return Model(read, _anchors(read, df), basis @ leading, latent[keep] / size[keep, None], size[keep], owner[keep])
+    anchors, lacking = _anchors(read, df, weights)
+    keep = (size > 1e-6) & ~np.isin(owner, lacking)
+    return Model(read, anchors, _frequent(read, lacking), weights, basis @ leading, latent[keep] / size[keep, None], size[keep], owner[keep])
 
 
 def common_subsequence(masks: dict[int, int], size: int, sequence: list[int]) -> int:
@@ -435,10 +536,9 @@ def _share(item: np.ndarray, answer: np.ndarray, masks: dict[int, int], term: np
 
 def _near(model: Model, term: np.ndarray, stride: np.ndarray, strides: int) -> Iterator[tuple[int, int]]:
     """(passage, item) wherever the cosine is high."""
-    strong = np.flatnonzero(model.basis.any(axis=1)[term])
-    if not len(strong) or not len(model.latent):
+    if not len(term) or not len(model.latent):
         return
-    passages = _summed(model.basis, term[strong], stride[strong], strides)
+    passages = _summed(model.basis, model.weights, term, stride, strides)
     size = np.linalg.norm(passages, axis=1)
     for lo in range(0, len(passages), 1 << 14):
         some = np.flatnonzero(size[lo : lo + (1 << 14)] > 1e-6) + lo
@@ -448,6 +548,89 @@ def _near(model: Model, term: np.ndarray, stride: np.ndarray, strides: int) -> I
             yield int(some[row]), int(model.owner[column_no])
 
 
+def _places(frequent: Frequent, place: np.ndarray, term: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places in grains, items) where an item has enough words in common with the words that its reach covers, in any order."""
+    grain, n_terms = place // GRAIN, len(frequent.counts[0])
+    cover = (frequent.reach - 2) // GRAIN + 2  # grains
+    # a feature for each time that an item has a term: whether there are more than r of it
+    features = [(r, np.flatnonzero((frequent.counts > r).any(axis=0))) for r in range(int(frequent.counts.max()))]
+    matrix = np.concatenate([(frequent.counts > r)[:, own] for r, own in features], axis=1).T.astype(np.float32)
+    total, widest = -(-length // GRAIN), int(cover.max())
+    step = max(widest, _CELLS // n_terms)
+    for lo in range(0, total, step):
+        a, b = np.searchsorted(grain, [lo, lo + step + widest])
+        counts = np.bincount((grain[a:b] - lo) * n_terms + term[a:b], minlength=(step + widest) * n_terms).reshape(-1, n_terms)
+        summed = np.concatenate([np.zeros((1, n_terms), np.int64), np.cumsum(counts, axis=0)])
+        for width in np.unique(cover).tolist():
+            inside = summed[width : width + step] - summed[:step]
+            has = np.concatenate([inside[:, own] > r for r, own in features], axis=1).astype(np.float32)
+            own = np.flatnonzero(cover == width)
+            at, item = np.nonzero(has @ matrix[:, own] >= frequent.least[own])
+            yield at + lo, own[item]
+
+
+def _subsequences(frequent: Frequent, item: np.ndarray, start: np.ndarray, words_at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The common subsequence of each item and the words from each start to its reach, as bits of all pairs at once."""
+    full = (U64(1) << (sizes - 1).astype(U64)) * U64(2) - U64(1)  # for 64 words, all bits
+    row, reach = full.copy(), frequent.reach[item]
+    for k in range(int(reach.max(initial=0))):
+        hit = row & np.where(k < reach, frequent.masks[item, words_at[start + k]], U64(0))
+        row = ((row + hit) | (row - hit)) & full
+    return sizes - np.bitwise_count(row).astype(np.int64)
+
+
+def _compared(model: Model, term: np.ndarray, position: np.ndarray, doc: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int, float]]:
+    """(document, item, share) of the frequent items."""
+    frequent = model.frequent
+    if frequent is None:
+        return
+    kept = np.flatnonzero(frequent.local[term] >= 0)
+    term, position, doc = frequent.local[term[kept]], position[kept], doc[kept]
+    gap = int(frequent.reach.max()) + GRAIN
+    offset = np.concatenate([[0], np.cumsum(-(-(sizes + gap) // GRAIN) * GRAIN)])  # no place reaches into the next document
+    place = position + offset[doc]
+    words_at = np.full(int(offset[-1]) + 2 * gap, frequent.counts.shape[1])
+    words_at[place] = term
+    n_words = np.array([len(model.items.sequences[i]) for i in frequent.items.tolist()])
+    best: dict[tuple[int, int], int] = {}
+    for at, item in _places(frequent, place, term, int(offset[-1])):
+        step = np.clip(n_words[item] // 8, 1, GRAIN)
+        n = -(-GRAIN // step)
+        start = np.repeat(at * GRAIN, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * np.repeat(step, n)
+        item, owner = np.repeat(item, n), np.searchsorted(offset, start, "right") - 1
+        inside = start < offset[owner] + sizes[owner]  # from behind a document one sees the next
+        item, start, owner = item[inside], start[inside], owner[inside]
+        for lo in range(0, len(item), 1 << 14):
+            own, begin = item[lo : lo + (1 << 14)], start[lo : lo + (1 << 14)]
+            size = n_words[own]
+            found = np.zeros(len(own), np.int64)
+            small = size <= _BITS
+            found[small] = _subsequences(frequent, own[small], begin[small], words_at, size[small])
+            for k in np.flatnonzero(~small).tolist():
+                sequence = words_at[begin[k] : begin[k] + frequent.reach[own[k]]]
+                masks: dict[int, int] = {}
+                for i, t in enumerate(frequent.local[model.items.sequences[frequent.items[own[k]]]].tolist()):
+                    masks[t] = masks.get(t, 0) | 1 << i
+                found[k] = common_subsequence(masks, int(size[k]), sequence.tolist())
+            for k in np.flatnonzero(found >= frequent.least[own]).tolist():
+                key = (int(owner[lo + k]), int(own[k]))
+                best[key] = max(best.get(key, 0), int(found[k]))
+                if found[k] < SHARE * size[k] and best[key] == found[k] and _answered(model, frequent, int(own[k]), words_at[max(begin[k] - size[k], offset[key[0]]) : begin[k] + frequent.reach[own[k]] + size[k]]):
+                    yield key[0], int(frequent.items[own[k]]), found[k] / size[k]
+    for (d, row), found in best.items():
+        if found >= SHARE * n_words[row]:
+            yield d, int(frequent.items[row]), found / n_words[row]
+
+
+def _answered(model: Model, frequent: Frequent, row: int, around: np.ndarray) -> bool:
+    """Whether the item's answer stands among these words, word by word."""
+    item = frequent.items[row]
+    answer = frequent.local[model.items.answers[item]]
+    if not 4 <= len(answer) < len(model.items.sequences[item]) or len(around) < len(answer):
+        return False
+    return bool((np.lib.stride_tricks.sliding_window_view(around, len(answer)) == answer).all(axis=1).any())
+
+
 def _search(hashes: np.ndarray, offsets: np.ndarray, model: Model) -> list[tuple[int, float] | None]:
     """Of each text the item found in it with the greatest share, if any."""
     items = model.items
@@ -473,7 +656,10 @@ def _search(hashes: np.ndarray, offsets: np.ndarray, model: Model) -> list[tuple
                 masks[item][t] = masks[item].get(t, 0) | 1 << i
         a, b = cut[d], cut[d + 1]
         share = _share(own, items.answers[item], masks[item], term[a:b], position[a:b], (at - int(first[d])) * STRIDE, is_near)
-        if share and (out[d] is None or (-share, items.ids[item]) < (-out[d][1], out[d][0])):
+        if share and _better((items.ids[item], share), out[d]):
+            out[d] = (items.ids[item], share)
+    for d, item, share in _compared(model, term, position, doc, sizes):
+        if _better((items.ids[item], share), out[d]):
             out[d] = (items.ids[item], share)
     return out
 

@@ -412,6 +412,75 @@ def test_paraphrases_are_found_by_cosines(spark, monkeypatch):
     assert decontam.flag(docs_, bench).where("contaminated").count() == 0
 
 
+@pytest.mark.parametrize("n", [3, 60, 200, 300])
+def test_paraphrases_in_any_number_of_documents(spark, monkeypatch, n):
+    rng = random.Random(14)
+    usual = ["the", "of", "and", "to", "in", "is", "that", "was"]
+    some = lambda k: [rng.choice(usual) if rng.random() < 0.35 else f"w{int(rng.paretovariate(0.6)) % 5000}" for _ in range(k)]
+    items = [(i, [f"w{rng.randrange(5000)}" if rng.random() < 0.8 else rng.choice(usual) for _ in range(40)]) for i in range(30)]
+    rows = []
+    for i in range(300):
+        text = some(rng.randrange(60, 200))
+        if i < n:  # a third of the item's words replaced anew
+            copy = list(items[0][1])
+            for k in rng.sample(range(40), 13):
+                copy[k] = f"x{rng.randrange(10**6)}"
+            at = rng.randrange(len(text))
+            text = text[:at] + copy + text[at:]
+        rows.append((i, " ".join(text)))
+    docs_, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {r["doc_id"]: r["item_id"] for r in decontam.flag(docs_, bench).where("contaminated").collect()}
+    assert set(got.values()) == {0} and set(got) <= set(range(n)) and len(got) >= 0.97 * n
+    real = decontam._model
+    monkeypatch.setattr(decontam, "_model", lambda *x: dataclasses.replace(real(*x), latent=np.zeros((0, 1)), owner=np.zeros(0, np.int64)))
+    assert decontam.flag(docs_, bench).where("contaminated").count() == 0
+
+
+def _subsequence(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = row
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(before[j] + 1 if x == y else max(before[j + 1], row[j]))
+    return row[-1]
+
+
+def test_items_of_frequent_words_equal_a_plain_search(spark):
+    rng = random.Random(21)
+    usual = [f"u{i}" for i in range(14)]
+    some = lambda k: rng.choices(usual, k=k)
+    lengths = [4, 7, 8, 13, 20, 33, 64, 65, 90]
+    items = [(i, some(n) if n < 13 else [*some(n - 6), "end.", *some(5)]) for i, n in enumerate(lengths)]
+    rows = [(i, some(rng.randrange(10, 160))) for i in range(60)]
+    for i in range(60, 60 + 6 * len(items)):
+        own = list(items[i % len(items)][1])
+        if i % 4 == 1 and len(own) >= 8:  # gaps before the answer: enough only with it
+            for _ in range(int(len(own) * 0.3)):
+                own[rng.randrange(max(1, len(own) - 5))] = f"x{rng.randrange(10**6)}"
+        elif i % 4 == 2 and len(own) >= 8:  # words put in
+            for _ in range(len(own) // 8):
+                own.insert(rng.randrange(len(own)), "u0")
+        rows.append((i, some(rng.randrange(30)) + own + some(rng.randrange(30))))
+    often = [(1000 + i, some(100)) for i in range(40)]
+    docs_ = spark.createDataFrame([(i, " ".join(w)) for i, w in rows + often], "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r["share"] for k, w in items for r in decontam.flag(docs_, spark.createDataFrame([(k, " ".join(w))], "item_id long, text string")).where("contaminated").collect()}
+    for d, text in rows:
+        for k, item in items:
+            n, reach, share = len(item), decontam._reach(len(item)), 0.0
+            for at in range(max(1, len(text) - n // 2)):
+                share = max(share, _subsequence(item, text[at : at + reach]) / n)
+            answer = item[-5:] if n >= 13 else []
+            answered = bool(answer) and any(text[i : i + 5] == answer for i in range(len(text) - 4))
+            whole = any(text[i : i + n] == item for i in range(len(text) - n + 1))
+            must = whole if n < 8 else share >= 0.85 or answered and share >= 0.7
+            may = whole if n < 8 else share >= 0.75 or answered and share >= 0.6 or share >= 0.5 and n >= 16
+            assert (d, k) in found if must else True, (d, k, n, share)
+            assert may if (d, k) in found else True, (d, k, n, share)
+            if (d, k) in found:
+                assert share - 0.15 <= found[d, k] <= share + 1e-9
+
+
 def test_decontamination_by_items_of_every_length(spark):
     rng = random.Random(9)
     some = lambda n: " ".join(f"w{int(rng.paretovariate(0.4)) % 9000}" for _ in range(n))
