@@ -67,13 +67,15 @@ COMMON = 0.05
 COSINE, PART = 0.6, 0.5
 #: Of the words that a match needs, this share is looked for among the item's rarest; any share finds all, a greater one has fewer false candidates.
 RARE = 0.5
+#: The least share of an item that its rare words have to add to every match, for the item to be looked up by them.
+FEW = 0.1
 #: The shares of an item that the common subsequence has to reach, without and with the answer.
 SHARE, SHARE_WITH_ANSWER = 0.75, 0.6
 #: The share that is enough where the cosine is high.
 PARAPHRASE = 0.5
 SHORT, LOOSE = 8, 16
 #: Words between the places at which frequent items are looked for, strides that are multiplied at a time, counts that are compared at a time, and bits of a sequence.
-GRAIN, _PLACES, _CELLS, _BITS = 8, 2048, 1 << 21, 64
+GRAIN, _PLACES, _CELLS, _BITS = 32, 2048, 1 << 21, 64
 #: Rows of a sum in a part, groups of tasks whose parts are added up first, and rows added up one after another.
 _BLOCK, LANES, _PIECE = 512, 64, 32
 _HITS = 1 << 22
@@ -404,8 +406,10 @@ def _anchors(items: Items, df: np.ndarray, weights: Weights) -> tuple[Anchors, l
         distinct, count = np.unique(own, return_counts=True)
         order = np.argsort(df[distinct], kind="stable")
         held = np.cumsum(count[order])
+        # no more than the rare ones, of which enough have to be there
         cut = int(np.searchsorted(held, n - least + int(np.ceil(RARE * least))))
-        if weights.common[distinct[order[cut]]] >= 0:
+        cut = min(cut, int((weights.common[distinct] < 0).sum()) - 1)
+        if cut < 0 or held[cut] - (n - least) < max(1, FEW * n):
             lacking.append(i)
             continue
         need[i], span[i] = held[cut] - (n - least), _reach(n)
@@ -501,8 +505,9 @@ def common_subsequence(masks: dict[int, int], size: int, sequence: list[int]) ->
     full = (1 << size) - 1
     row = full
     for term in sequence:
-        hit = row & masks.get(term, 0)
-        row = ((row + hit) | (row - hit)) & full
+        if mask := masks.get(term):
+            hit = row & mask
+            row = ((row + hit) | (row - hit)) & full
     return size - row.bit_count()
 
 
@@ -522,7 +527,7 @@ def _share(item: np.ndarray, answer: np.ndarray, masks: dict[int, int], term: np
     sequence, places = term[around[0] : around[1]].tolist(), position[around[0] : around[1]]
     if size < SHORT:
         return float(_holds(sequence, places.tolist(), item.tolist()))
-    if common_subsequence(masks, size, sequence) < least:
+    if sum(map(masks.__contains__, sequence)) < least or common_subsequence(masks, size, sequence) < least:
         return 0.0
     for lo in range(start - size, start + 2 * STRIDE, max(1, size // 8)):
         a, b = places.searchsorted([lo, lo + reach])
@@ -560,7 +565,7 @@ def _places(frequent: Frequent, place: np.ndarray, term: np.ndarray, length: int
     for lo in range(0, total, step):
         a, b = np.searchsorted(grain, [lo, lo + step + widest])
         counts = np.bincount((grain[a:b] - lo) * n_terms + term[a:b], minlength=(step + widest) * n_terms).reshape(-1, n_terms)
-        summed = np.concatenate([np.zeros((1, n_terms), np.int64), np.cumsum(counts, axis=0)])
+        summed = np.concatenate([np.zeros((1, n_terms), np.int32), np.cumsum(counts, axis=0, dtype=np.int32)])
         for width in np.unique(cover).tolist():
             inside = summed[width : width + step] - summed[:step]
             has = np.concatenate([inside[:, own] > r for r, own in features], axis=1).astype(np.float32)
