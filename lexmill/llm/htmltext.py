@@ -5,17 +5,21 @@ each block of text.  Each line has a text-to-tag ratio: the characters outside l
 each tag since the line before.  The ratios, smoothed by a Gaussian, are clustered by a
 threshold into content and other lines, and the content cluster selects what is kept:
 
-* the region: all articles that hold content lines, or the main part, or the smallest
-  container that holds every content line (articles and main part come first if they hold
-  at least ``share`` of the content text);
-* inside the region, runs of lines that are links and nothing else, outside the cluster, are
-  menus and go;
+* the region: the articles that hold content lines, if together they hold ``share`` of the
+  content text, and of that of the main part around them; else the main part, if it holds
+  ``share``; else the smallest container that holds every content line;
+* articles inside another region are cards that lead elsewhere, and go, if their first line is a
+  link or none of their lines is in the cluster;
+* inside a region that is neither article nor main part, runs of lines that are links and
+  nothing else, outside the cluster, are menus and go;
 * a container whose class or id merely contains a word for something beside the content
-  (``related-work``) goes only if none of its lines is in the cluster by its own ratio.
+  (``related-work``), or calls it a menu, goes only if none of its lines is in the cluster by its
+  own ratio.
 
 Other lines of the region stay, also short ones with a low ratio, but for those in elements
 that the markup itself names as something else: menus, headers, footers, sidebars, notices,
-adverts, forms, comments, and what isn't shown.
+adverts, forms, and what isn't shown.  So do reader comments, however long they are: any
+container whose class or id speaks of comments or replies.
 
 Time is linear in the length of a page, however deep or broken it is.
 
@@ -46,7 +50,7 @@ from lexmill.llm import words
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
-SKIP = frozenset("head title script style noscript template textarea select option button svg math iframe object canvas audio video".split())
+SKIP = frozenset("head title script style noscript template textarea select option button svg annotation iframe object canvas audio video".split())
 ASIDE = frozenset("nav header footer aside form dialog menu search".split())
 REGION = frozenset("article main section div body td".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -59,6 +63,11 @@ NEUTRAL = frozenset("area bar block bottom box card container content form globa
 TITLED = frozenset("article entry post story content title".split())
 #: Of the marks, those that count for an article too: each comment may be one.
 COMMENTS = frozenset("comment comments reply replies respond disqus".split())
+_COMMENTS = re.compile(r"comment(?!ar|at|ed|ing)|^repl(?:y|ies)$|^respond$|disqus")
+#: Words beside which a comment's mark is a state or a count.
+STATES = frozenset("has no open closed off on disabled with without count counter number link allowed".split())
+#: Marks that prose overrules.
+MENUS = frozenset("menu menubar".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "option": ("select",)}
@@ -157,6 +166,12 @@ class _Lines(HTMLParser):
             if value and (name == "class" or name == "id" and tag in BLOCK and tag != "p"):
                 for token in value.split():
                     own = [w.lower() for w in _WORDS.findall(token)]
+                    if tag in BLOCK and tag not in ("p", "article") and any(map(_COMMENTS.search, own)) and not STATES.intersection(own):
+                        return "named"
+                    if MENUS.intersection(own) and all(w in MENUS or w in NEUTRAL or w.isdigit() for w in own):
+                        doubtful = tag in BLOCK and tag != "p"
+                        if doubtful:
+                            continue
                     if any(w in marks and not (w == "header" and TITLED.intersection(own)) for w in own):
                         if all(w in MARKS or w in NEUTRAL or w.isdigit() for w in own):
                             return "named"
@@ -234,8 +249,8 @@ def content_lines(lines: list[Line], sigma: float, threshold: float) -> np.ndarr
     return (smooth >= threshold * smooth.std()) & (ratio > 0)
 
 
-def _regions(page: _Lines, content: np.ndarray, share: float) -> set[int]:
-    """The containers whose lines are the region."""
+def _regions(page: _Lines, content: np.ndarray, share: float) -> tuple[set[int], bool]:
+    """The containers whose lines are the region, and whether the markup calls them so."""
     weight = np.zeros(len(page.parents))
     for line, kept in zip(page.lines, content, strict=True):
         weight[line.container] += len(line.text) * bool(kept)
@@ -246,10 +261,30 @@ def _regions(page: _Lines, content: np.ndarray, share: float) -> set[int]:
         outer[i] = outer[page.parents[i]] or page.tags[page.parents[i]] == "article"
     articles = {i for i, tag in enumerate(page.tags) if tag == "article" and not outer[i] and weight[i] > 0}
     main = max((i for i, tag in enumerate(page.tags) if tag == "main"), key=lambda i: weight[i], default=None)
-    for found in (articles, {main} if main is not None else set()):
-        if found and sum(weight[i] for i in found) >= share * weight[0]:
-            return found
-    return {max(i for i in range(len(weight)) if weight[i] >= weight[0])}
+    own, whole = sum(weight[i] for i in articles), weight[0]
+    if main is not None and weight[main] >= share * whole:
+        below = [False] * len(weight)
+        for i in range(1, len(weight)):
+            below[i] = page.parents[i] == main or below[page.parents[i]]
+        within = sum(weight[i] for i in articles if below[i])
+        return (articles, True) if articles and within >= share * weight[main] and own >= share * whole else ({main}, True)
+    if articles and own >= share * whole:
+        return articles, True
+    return {max(i for i in range(len(weight)) if weight[i] >= whole)}, False
+
+
+def _cards(page: _Lines, content: np.ndarray, region: set[int]) -> set[int]:
+    """The lines of articles inside a region that lead elsewhere."""
+    outer: list[int] = []  # of each container the outermost article around it, below the region, or -1
+    for i, tag in enumerate(page.tags):
+        above = outer[page.parents[i]] if i else -1
+        outer.append(-1 if i in region else above if above >= 0 else i if tag == "article" else -1)
+    lines: dict[int, list[int]] = defaultdict(list)
+    for i, line in enumerate(page.lines):
+        if outer[line.container] >= 0 and not line.aside:
+            lines[outer[line.container]].append(i)
+    first = lambda own: page.lines[own[0]]
+    return {i for own in lines.values() if first(own).linked >= len(first(own).text) or not content[own].any() for i in own}
 
 
 def _menus(lines: list[Line], content: np.ndarray) -> set[int]:
@@ -265,7 +300,7 @@ def _menus(lines: list[Line], content: np.ndarray) -> set[int]:
     return out | set(run if len(run) >= MENU else ())
 
 
-def extract(html: str | None, sigma: float = 1.0, threshold: float = 1.0, share: float = 0.1) -> str:
+def extract(html: str | None, sigma: float = 1.0, threshold: float = 1.0, share: float = 2 / 3) -> str:
     """The main text of a page, one block a line."""
     if not html:
         return ""
@@ -276,16 +311,16 @@ def extract(html: str | None, sigma: float = 1.0, threshold: float = 1.0, share:
     content = content_lines(lines, sigma, threshold)
     if not content.any():
         content = np.array([not x.aside for x in lines])
-    region = _regions(page, content, share)
+    region, called = _regions(page, content, share)
     inside = [False] * len(page.parents)
     for i in range(len(inside)):
         inside[i] = i in region or i > 0 and inside[page.parents[i]]
-    menus = _menus(lines, content)
+    gone = _cards(page, content, region) | (set() if called else _menus(lines, content))
     # what a neighbour's ratio smooths up doesn't decide a doubtful mark
     own = ratios(lines)
     high = own >= threshold * own.std()
     meant = {x.hint for x, kept in zip(lines, content & high, strict=True) if kept}
-    return "\n".join(x.text for i, x in enumerate(lines) if inside[x.container] and not x.aside and i not in menus and (x.hint < 0 or x.hint in meant))
+    return "\n".join(x.text for i, x in enumerate(lines) if inside[x.container] and not x.aside and i not in gone and (x.hint < 0 or x.hint in meant))
 
 
 def _texts(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:

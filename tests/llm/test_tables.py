@@ -262,3 +262,21 @@ def test_near_dedup_of_rows_of_one_id(spark, tmp_path):
     rows = [(1, " ".join(words_)), (1, " ".join(words_)), (1, "another text of the same id that is like no other one"), (2, " ".join(words_[:59])), (0, "x " * 30), (None, " ".join(words_))]
     out = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en")), "")
     assert sorted((tuple(r)[:2] for r in out.collect()), key=repr) == sorted([rows[0], rows[2], rows[4], rows[5]], key=repr)
+
+
+def test_main_text_of_pages_without_an_article(spark, monkeypatch):
+    """The given pages with nameless containers for article and menu: what the ratios tell apart."""
+    from lexmill.llm import htmltext
+
+    pages = spark.read.parquet(str(DATA / "pages.parquet"))
+    plain = F.regexp_replace("html", "<(/?)(?:article|nav)>", "<$1div>")
+    want = {r["page_id"]: r["text"] for r in htmltext.extract_text(pages).collect()}
+    got = {r["page_id"]: r["text"] for r in htmltext.extract_text(pages.withColumn("html", plain)).collect()}
+    same = sum(got[i] == want[i] for i in want)
+    assert same >= 0.95 * len(want)
+    assert all(want[i] in got[i] for i in want)
+    texts = [r["h"] for r in pages.select(plain.alias("h")).collect()]
+    true = [htmltext.extract(x) for x in texts]
+    for some in (lambda lines, *_: np.ones(len(lines), bool), lambda lines, *_: np.arange(len(lines)) % 7 == 0):
+        monkeypatch.setattr(htmltext, "content_lines", some)
+        assert sum(htmltext.extract(x) != t for x, t in zip(texts, true, strict=True)) > 0.5 * len(texts)
