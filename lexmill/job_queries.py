@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from lexmill import schemas, settings
 from lexmill.functions import text as T
+from lexmill.operators import manifest as manifest_log
+from lexmill.operators.manifest import Manifest
 from lexmill.plans import evaluate, gold, guidance, jobs, legal, report, saft
 from lexmill.queries import query, table
 from lexmill.sources import catalog, fetch, files, html, pdf, seeds
@@ -196,6 +198,46 @@ def json_lines_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.agg(F.min("line").alias("first_line"), F.max("line").alias("last_line"), F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("n_bad"))
 
 
+def _as_one_file(path: str, name: str, between: tuple[str, str, str], rows: object) -> None:
+    """One file of texts, written as they come: what stands before, between and after them."""
+    from pyarrow import fs
+
+    system, folder = fs.FileSystem.from_uri(path)
+    system.create_dir(folder, recursive=True)
+    with system.open_output_stream(f"{folder}/{name}") as f:
+        f.write(between[0].encode())
+        for i, r in enumerate(rows):
+            f.write(((between[1] if i else "") + r["value"]).encode())
+        f.write(between[2].encode())
+
+
+@query(r"""
+SELECT o_orderkey AS id, o_orderpriority || ' "]},{\[' || o_orderstatus || '\' AS note, o_totalprice AS price, '{"a": "}' || o_custkey || '"}' AS part FROM orders
+""")
+def json_large_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders in one file, a JSON array without lines, read in ranges that begin and end anywhere in it."""
+    path = _folder(spark)
+    note = F.concat("o_orderpriority", F.lit(' "]},{\\['), "o_orderstatus", F.lit("\\"))
+    part = F.concat(F.lit('{"a": "}'), F.col("o_custkey").cast("string"), F.lit('"}'))
+    row = F.struct(F.col("o_orderkey").alias("id"), note.alias("note"), F.col("o_totalprice").alias("price"), F.array(F.struct(part.alias("x"))).alias("parts"))
+    table(spark, sf_dir, "orders").select(F.to_json(row).alias("value")).coalesce(1).foreachPartition(partial(_as_one_file, path, "orders.json", (" [", ",", "]\n")))
+    kind = schemas.T.StructType.fromDDL("id long, note string, price double, parts array<struct<x:string>>")
+    return files.json_array(spark, f"{path}/orders.json", kind, size=1 << 16).select("id", "note", "price", F.get("parts", F.lit(0))["x"].alias("part"))
+
+
+@query("""
+WITH o AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n, o_orderkey % 7 = 0 AS bad, o_orderkey % 10 = 3 AS note FROM orders)
+SELECT 2 * n - 1 AS line, CASE WHEN bad THEN NULL ELSE o_orderkey END AS id, bad FROM o WHERE NOT note
+""")
+def lines_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as lines of one file, which is split, with their numbers; every other line is blank, some are comments or broken."""
+    path, k = _folder(spark), F.col("o_orderkey")
+    value = F.when(k % 10 == 3, "# note").when(k % 7 == 0, '{"id": ').otherwise(F.to_json(F.struct(k.alias("id"), "o_orderpriority")))
+    ordered = table(spark, sf_dir, "orders").select("o_orderkey", value.alias("value")).repartitionByRange(1, "o_orderkey").sortWithinPartitions("o_orderkey")
+    ordered.select("value").foreachPartition(partial(_as_one_file, path, "orders.jsonl", ("", "\n\n", "")))
+    return files.json_lines(spark, path, schemas.T.StructType.fromDDL("id long"), numbered=True).select("line", "row.id", "bad")
+
+
 def _first_engine(content: bytes) -> str:
     if len(content) % 3 == 0:
         raise ValueError("not for this engine")
@@ -310,7 +352,7 @@ def all_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     out += [("seed", k, n) for k, n in jobs.seed(spark, own).counts.items()] + [("seed", "problems", len(jobs.validate_seeds(spark, own)))]
     first, again = (jobs.ingest(spark, own, sources, _page_of, run) for run in ("r1", "r2"))
     out += [("bronze", "total", first.total), ("bronze", "failed", first.failed), ("bronze", "changed", first.counts["changed"]), ("again", "changed", again.counts["changed"])]
-    out.append(("manifest", "rows", spark.read.parquet(f"{own.bronze}/manifest").count()))
+    out.append(("manifest", "rows", Manifest(spark, f"{own.bronze}/manifest").history().count()))
     done = jobs.process(spark, own, sources)
     out += [("silver", "total", done.total), ("silver", "failed", done.failed), *(("silver", k, n) for k, n in done.counts.items())]
     out.append(("valid", "silver tables", jobs.validate_silver(spark, own)["valid_files"]))
@@ -340,16 +382,71 @@ def evaluation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT 'p' || page_id AS source_id, true AS success, 1 AS outcomes, octet_length(encode('<p>' || page_id || '</p>'))::BIGINT AS size_bytes FROM pages
+SELECT 'p' || page_id AS source_id, true AS success, 1 AS outcomes, octet_length(encode(html))::BIGINT AS size_bytes, sha256(html) AS sha256 FROM pages
 """)
 def arriving_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files that arrive in a folder, captured by a stream."""
+    """The pages as files that arrive in a folder, captured by a stream."""
     path, own = _folder(spark), settings.Settings(data_dir=_folder(spark))
-    rows = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("name"), F.concat(F.lit("<p>"), F.col("page_id").cast("string"), F.lit("</p>")).alias("content"))
-    rows.foreachPartition(partial(_written, path))
+    table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("name"), F.col("html").alias("content")).foreachPartition(partial(_written, path))
     capture.capture_stream(capture.arriving_files(spark, path), own, f"{path}-state").awaitTermination()
-    manifest = spark.read.parquet(f"{own.bronze}/manifest")
-    return manifest.groupBy("source_id").agg(F.bool_and("success").alias("success"), F.count(F.lit(1)).cast("int").alias("outcomes"), F.max("size_bytes").alias("size_bytes"))
+    rows = Manifest(spark, f"{own.bronze}/manifest").history()
+    return rows.groupBy("source_id").agg(F.bool_and("success").alias("success"), F.count(F.lit(1)).cast("int").alias("outcomes"), F.max("size_bytes").alias("size_bytes"), F.max("sha256").alias("sha256"))
+
+
+_VERSION = "page_id % 2 = 0 AND page_id % 3 = 0"
+
+
+@query(f"""
+SELECT 'p' || page_id AS source_id, sha256(CASE WHEN {_VERSION} THEN '2' ELSE '1' END || html) AS sha256, 1 + ({_VERSION})::INT AS changes, 1 AS contents FROM pages
+""")
+def captured_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of the pages through three streams into one bronze: later ones, older ones that arrive late, known ones that arrive again.
+
+    Even pages come by one stream, the others and some known ones by a second, and a third one
+    reads the first one's files anew.  Each page has one last version in the end.
+    """
+    path, own = _folder(spark), settings.Settings(data_dir=_folder(spark))
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+
+    def arrive(folder: str, version: int, some: str) -> None:
+        content = F.concat(F.lit(str(version)), "html").cast("binary")
+        made = pages.where(some).select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("source_id"), F.lit("u").alias("url"), content.alias("content"), F.lit(None).cast("string").alias("error"), F.lit(f"2024-01-0{version + 1}").cast("timestamp").alias("modified_at"))
+        made.write.mode("append").parquet(f"{path}/{folder}")
+
+    def run(folder: str, checkpoint: str) -> None:
+        live = spark.readStream.schema("source_id string, url string, content binary, error string, modified_at timestamp").parquet(f"{path}/{folder}")
+        capture.capture_stream(live, own, f"{path}-{checkpoint}", commits=2).awaitTermination()
+
+    arrive("a", 1, "page_id % 2 = 0")
+    run("a", "first")
+    arrive("a", 2, _VERSION)
+    arrive("a", 0, "page_id % 2 = 0 and page_id % 5 = 0")
+    run("a", "first")
+    arrive("b", 1, "page_id % 2 = 1 or page_id % 10 = 0")
+    run("b", "second")
+    run("a", "third")
+    manifest = Manifest(spark, f"{own.bronze}/manifest")
+    changes = manifest.history().groupBy("source_id").agg(F.count_if("changed").cast("int").alias("changes"))
+    sources = manifest.last().select("source_id")
+    contents = jobs.bronze_pages(spark, own, sources).groupBy("source_id").agg(F.first(F.sha2("content", 256)).alias("sha256"), F.count(F.lit(1)).cast("int").alias("contents"))
+    return contents.join(changes, "source_id")
+
+
+@query("""
+WITH o AS (SELECT 'c' || o_custkey AS source_id, o_orderdate AS t, sha256(o_orderkey::VARCHAR) AS h FROM orders)
+SELECT source_id, max_by(h, (t, h)) AS sha256, max_by(strftime(t, '%Y'), (t, h)) AS run_id, count(*) AS outcomes FROM o GROUP BY source_id
+""")
+def manifest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run for each year of the orders, compacted on the way: the last version of each customer, and all outcomes."""
+    manifest, day = Manifest(spark, f"{_folder(spark)}/manifest"), F.col("o_orderdate")
+    orders = table(spark, sf_dir, "orders")
+    given = {"source_id": F.concat(F.lit("c"), F.col("o_custkey").cast("string")), "success": F.lit(True), "sha256": F.sha2(F.col("o_orderkey").cast("string").cast("binary"), 256), "changed": F.lit(True), "run_id": F.year(day).cast("string"), "captured_at": day}
+    rows = orders.select(*(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.T.StructType.fromDDL(manifest_log.ROWS)))
+    for year in range(*orders.agg(F.min(F.year(day)), F.max(F.year(day)) + 1).first()):  # a few years
+        manifest.commit(rows.where(F.col("run_id") == str(year)), str(year))
+        manifest.compact(3)
+    outcomes = manifest.history().groupBy("source_id").agg(F.count(F.lit(1)).alias("outcomes"))
+    return manifest.last().select("source_id", "sha256", "run_id").join(outcomes, "source_id")
 
 
 def _written(path: str, rows: object) -> None:

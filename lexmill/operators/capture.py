@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.text import sha256_bytes
 
-MANIFEST = "source_id string, url string, file_path string, success boolean, sha256 string, changed boolean, size_bytes long, error string, run_id string, captured_at timestamp"
-
-
 def fingerprints(contents: DataFrame, key: str = "source_id", content: str = "content") -> DataFrame:
     """(key, sha256, size_bytes) of binary contents."""
     return contents.select(key, sha256_bytes(content).alias("sha256"), F.octet_length(content).cast("long").alias("size_bytes"))
@@ -34,14 +31,13 @@ def latest(rows: DataFrame, key: str | list[str], order: str) -> DataFrame:
     return best.select(*keys, *(F.col(f"__row.{c}").alias(c) for c in rest)).select(*rows.columns)
 
 
-def capture(fetched: DataFrame, manifest: DataFrame, bronze: str, run_id: str, extension: str = "html") -> DataFrame:
-    """The manifest's new rows for (source_id, url, content, error).
+def capture(fetched: DataFrame, known: DataFrame, bronze: str, run_id: str, extension: str = "html") -> DataFrame:
+    """The manifest's new rows for (source_id, url, content, error), with the content.
 
-    Failed fetches are rows with an error; ``changed`` is true where the content is to be
-    written.
+    ``known`` has the last version of each source.  Failed fetches are rows with an error;
+    ``changed`` is true where the content is to be written.
     """
     good = fetched.where("error is null").withColumns({"sha256": sha256_bytes("content"), "size_bytes": F.octet_length("content").cast("long")})
-    known = latest(manifest.where("success").select("source_id", "sha256", "size_bytes", "captured_at"), "source_id", "captured_at")
     marked = changed(good, known, size="size_bytes")
     rows = marked.unionByName(fetched.where("error is not null"), allowMissingColumns=True)
     return rows.select(
@@ -51,9 +47,11 @@ def capture(fetched: DataFrame, manifest: DataFrame, bronze: str, run_id: str, e
         F.col("error").isNull().alias("success"),
         "sha256",
         F.coalesce("changed", F.lit(False)).alias("changed"),
+        F.lit(False).alias("stale"),
         "size_bytes",
         "error",
         F.lit(run_id).alias("run_id"),
+        F.lit(None).cast("timestamp").alias("modified_at"),
         F.current_timestamp().alias("captured_at"),
         "content",
     )

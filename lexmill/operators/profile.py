@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,9 +66,48 @@ def missing(rows: DataFrame, column: str) -> Column:
     return c.isNull() | F.coalesce(empty, F.lit(False))
 
 
-def frequent_words(rows: DataFrame, text: str, top: int = 20, longer_than: int = 3) -> DataFrame:
-    """(word, n) of the ``top`` words, of which only those of more characters are shown; ties go by the word."""
-    words = rows.select(F.explode(F.split(F.lower(filled(text)), "[ \\t\\n\\x0B\\f\\r]+")).alias("word")).where("word <> ''")
+def _word_lists(rows: DataFrame, text: str) -> Column:
+    return F.filter(F.split(F.lower(filled(text)), "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")
+
+
+def _summary(batches: Iterator[pa.RecordBatch], held: int) -> Iterator[pa.RecordBatch]:
+    """The words that a task holds, with counts that fall short by no more than the row without a word says."""
+    words, counts, short = pa.array([], pa.string()), np.zeros(0, np.int64), 0
+    for batch in batches:
+        found = pc.value_counts(pc.list_flatten(batch.column(0)))
+        both = pa.table({"w": pa.concat_arrays([words, found.field("values")]), "n": np.concatenate([counts, found.field("counts").to_numpy()])}).group_by("w").aggregate([("n", "sum")])
+        words, counts = both["w"].combine_chunks(), both["n_sum"].to_numpy()
+        if len(counts) > 2 * held:  # what the next one has is taken off all
+            least = int(np.partition(counts, -held - 1)[-held - 1])
+            keep = np.flatnonzero(counts > least)
+            words, counts, short = words.take(pa.array(keep)), counts[keep] - least, short + least
+    words = pa.concat_arrays([words.cast(pa.string()), pa.nulls(1, pa.string())])
+    yield pa.RecordBatch.from_arrays([words, pa.array(np.append(counts, short))], names=["word", "n"])
+
+
+def frequent_words(rows: DataFrame, text: str, top: int = 20, longer_than: int = 3, held: int = 1 << 16) -> DataFrame:
+    """(word, n) of the ``top`` words, of which only those of more characters are shown; ties go by the word.
+
+    Each task sends a summary of at most twice ``held`` words, whose counts may fall short by a
+    known number.  All words that can be among the first by these bounds are counted exactly in
+    a second pass; the summaries are made anew with more words if the bounds don't tell.
+    """
+    lists = rows.select(_word_lists(rows, text).alias("words"))
+    while True:
+        sums = lists.mapInArrow(partial(_summary, held=held), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+        first = sums.orderBy(F.col("word").isNotNull(), F.desc("n"), "word").limit(8 * top + 2).collect()
+        short = sum(r["n"] for r in first if r["word"] is None)
+        found = [(r["word"], r["n"]) for r in first if r["word"] is not None]
+        least = found[top - 1][1] if len(found) >= top else 0
+        # a word that isn't here has at most the last one's count, or none, and what that may fall short by
+        rest = found[-1][1] if len(found) > 8 * top else 0
+        if rest + short < least or not rest and not short:
+            break
+        if not short:  # counts are exact, and many words have the same
+            return sums.where("word is not null").orderBy(F.desc("n"), "word").limit(top).where(F.length("word") > longer_than)
+        held *= 8
+    candidates = [w for w, n in found if n + short >= least]
+    words = lists.select(F.explode("words").alias("word")).where(F.col("word").isin(candidates))
     best = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(top)
     return best.where(F.length("word") > longer_than)
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from lexmill import schemas
 from lexmill.operators import capture, quality
+from lexmill.operators.manifest import Manifest, safe
 from lexmill.plans import evaluate, gold, guidance, legal, rates, saft
 from lexmill.settings import Settings
 from lexmill.sources import catalog, fetch, pdf, seeds
@@ -66,39 +67,45 @@ def _timed(job: Callable[..., Result]) -> Callable[..., Result]:
     return run
 
 
-def _manifest(spark: SparkSession, settings: Settings) -> DataFrame:
-    path = f"{settings.bronze}/manifest"
-    return spark.read.schema(capture.MANIFEST).parquet(path) if exists(spark, path) else spark.createDataFrame([], capture.MANIFEST)
-
-
 @_timed
 def ingest(spark: SparkSession, settings: Settings, sources: DataFrame, get: Callable[[str], bytes] = fetch.http_get, run_id: str | None = None, extension: str = "html") -> Result:
-    """Fetches sources, appends what changed to the bronze contents and every outcome to the manifest."""
-    run = run_id or str(int(time.time() * 1000))
-    staged = f"{settings.bronze}/staging/{run}"
+    """Fetches sources, writes what changed to the bronze contents and commits every outcome to the manifest."""
+    run, manifest = run_id or str(int(time.time() * 1000)), Manifest(spark, f"{settings.bronze}/manifest")
+    staged, path = f"{settings.bronze}/staging/{run}", f"{settings.bronze}/contents/{safe(run)}"
     fetch.fetch(sources, get).write.mode("overwrite").parquet(staged)  # each URL is fetched once
-    rows = capture.capture(spark.read.parquet(staged), _manifest(spark, settings), settings.bronze, run, extension)
+    rows = capture.capture(spark.read.parquet(staged), manifest.last(), settings.bronze, run, extension)
+    rows.withColumn("content", F.when(F.col("changed"), F.col("content"))).write.mode("overwrite").parquet(path)
+    rows = spark.read.parquet(path).drop("content")
     found = rows.agg(F.count(F.lit(1)), F.count_if("success"), F.count_if("changed")).first()
     errors = [f"{r['source_id']}: {r['error']}" for r in rows.where("not success").select("source_id", "error").orderBy("source_id").limit(SHOWN).collect()]
-    rows.where("changed").select("source_id", "url", "sha256", "content", "run_id", "captured_at").write.mode("append").parquet(f"{settings.bronze}/contents")
-    rows.drop("content").write.mode("append").parquet(f"{settings.bronze}/manifest")
+    manifest.commit(rows, run)
+    manifest.compact()
     return Result("bronze", found[0], found[1], found[0] - found[1], errors=errors, counts={"changed": found[2]})
 
 
 def bronze_pages(spark: SparkSession, settings: Settings, sources: DataFrame) -> DataFrame:
-    """The latest content of each source with its catalogue row; sources without one have a null content."""
-    path = f"{settings.bronze}/contents"
-    kept = "source_id string, url string, sha256 string, content binary, run_id string, captured_at timestamp"
-    contents = spark.read.schema(kept).parquet(path) if exists(spark, path) else spark.createDataFrame([], kept)
-    last = capture.latest(contents, "source_id", "captured_at").select("source_id", F.col("sha256").alias("page_sha256"), "content")
-    return sources.join(last, "source_id", "left")
+    """The last content of each source with its catalogue row; sources without one have a null content.
+
+    Only the contents of the runs that wrote a last version are read.
+    """
+    last = Manifest(spark, f"{settings.bronze}/manifest").last().select("source_id", "sha256", F.col("content_run").alias("run_id"))
+    runs = [r["run_id"] for r in last.where("run_id is not null").select("run_id").distinct().collect()]  # names of runs
+    kept, paths = "source_id string, sha256 string, content binary, run_id string, captured_at timestamp", [f"{settings.bronze}/contents/{safe(run)}" for run in runs]
+    contents = spark.read.schema(kept).parquet(*paths) if paths else spark.createDataFrame([], kept)
+    own = contents.where("content is not null").join(last, ["source_id", "sha256", "run_id"], "left_semi")
+    own = capture.latest(own, "source_id", "captured_at")  # a content may come twice in a batch
+    return sources.join(own.select("source_id", F.col("sha256").alias("page_sha256"), "content"), "source_id", "left")
 
 
-def silver_tables(pages: DataFrame) -> dict[str, DataFrame]:
-    """The silver tables of pages with catalogue columns, ``content`` and ``page_sha256``."""
+def page_blocks(pages: DataFrame) -> DataFrame:
+    """The blocks of all pages that have a plan, with their catalogue columns: what every plan reads."""
     routed = catalog.with_defaults(pages).withColumns({"plan": catalog.route(), "html": F.decode("content", "UTF-8")}).where("content is not null and plan is not null")
     meta = ["source_id", "title", "url", "version", "jurisdiction", "effective_from", "effective_to", "domain", "source_type", "publisher", "crawl_freq", "plan", "page_sha256"]
-    blocks = html_blocks(routed.select(*(c for c in meta if c in routed.columns), "html"))
+    return html_blocks(routed.select(*(c for c in meta if c in routed.columns), "html"))
+
+
+def silver_tables(blocks: DataFrame) -> dict[str, DataFrame]:
+    """The silver tables of the blocks of pages."""
     plain = blocks.drop("title", "version", "jurisdiction", "effective_from", "effective_to", "domain", "source_type", "publisher", "crawl_freq")
     of = lambda rows, *plans: rows.where(F.col("plan").isin(*plans)).drop("plan")
     stamped = lambda rows: rows.withColumnsRenamed({"url": "source_url", "page_sha256": "sha256"})
@@ -121,7 +128,9 @@ def process(spark: SparkSession, settings: Settings, sources: DataFrame, only: l
     total, lost = known.agg(F.count(F.lit(1)), F.count_if("lost")).first()
     out = Result("silver", total, total - lost, lost)
     out.errors = [f"{r['source_id']}: no bronze content" for r in known.where("lost").orderBy("source_id").limit(SHOWN).collect()]
-    for name, rows in silver_tables(pages).items():
+    parsed = f"{settings.bronze}/blocks"
+    page_blocks(pages).write.mode("overwrite").parquet(parsed)  # each page is parsed once, for all plans
+    for name, rows in silver_tables(spark.read.parquet(parsed)).items():
         if only is None or name in only:
             path = f"{settings.silver}/{name}"
             rows.write.mode("overwrite").parquet(path)

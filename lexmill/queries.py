@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import extract as X
 from lexmill.functions import scoring as S
 from lexmill.functions import text as T
-from lexmill.operators import capture, profile, quality, rules, split
+from lexmill.operators import capture, profile, quality, rules, split, temporal, tree
 from lexmill.plans import evaluate, gold, guidance, legal, rates, saft
 from lexmill.sources import catalog, html, seeds
 from lexmill.streaming import events as windows
@@ -156,6 +156,32 @@ def source_filter_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.by_id_pattern(_sources(spark, sf_dir), "PAGE_1").select("source_id", "publisher")
 
 
+@query(_SOURCES_SQL + ", k AS (SELECT *, CASE WHEN domain IN ('en', 'de') THEN 'law' WHEN domain = 'fr' THEN 'Forskrift' ELSE 'rates' END AS source_type FROM s) SELECT source_id, source_type FROM k WHERE lower(source_type) IN ('law', 'forskrift')")
+def source_filter_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of the two types of law, whatever their case; a page's type goes by the language in its URL."""
+    kind = F.when(F.col("domain").isin("en", "de"), "law").when(F.col("domain") == "fr", "Forskrift").otherwise("rates")
+    return catalog.by_source_type(_sources(spark, sf_dir).withColumn("source_type", kind), "LAW", "forskrift").select("source_id", "source_type")
+
+
+@query(_SOURCES_SQL + r"SELECT source_id, 'example.org' AS publisher FROM s WHERE regexp_extract(publisher, '[^.]+\.[^.]+$') = 'example.org'")
+def source_filter_publisher(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of a domain, whatever the host's first labels."""
+    own = _sources(spark, sf_dir).withColumn("publisher", F.regexp_extract("publisher", r"[^.]+\.[^.]+$", 0))
+    return catalog.by_publisher(own, "Example.ORG").select("source_id", "publisher")
+
+
+@query(_SOURCES_SQL + ", k AS (SELECT *, CASE WHEN starts_with(url, 'https') THEN 'Monthly' ELSE 'weekly' END AS crawl_freq FROM s) SELECT source_id, crawl_freq FROM k WHERE lower(crawl_freq) = 'monthly'")
+def source_filter_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frequency = F.when(F.startswith("url", F.lit("https")), "Monthly").otherwise("weekly")
+    return catalog.by_crawl_frequency(_sources(spark, sf_dir).withColumn("crawl_freq", frequency), "monthly").select("source_id", "crawl_freq")
+
+
+@query(_SOURCES_SQL + "SELECT source_id, url FROM s WHERE contains(url, '?') AND domain <> 'en'")
+def source_filter_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources that meet a condition of the caller's own."""
+    return catalog.by_condition(_sources(spark, sf_dir), F.contains("url", F.lit("?")) & (F.col("domain") != "en")).select("source_id", "url")
+
+
 @query(_SOURCES_SQL + "SELECT publisher, max(ord) AS ord, arg_max(source_id, ord) AS source_id FROM s WHERE publisher <> '' GROUP BY publisher")
 def source_lookup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last page of each host."""
@@ -219,6 +245,39 @@ def page_heading_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.select("page_id", "heading", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+@query(r"""
+WITH part AS (SELECT unnest([regexp_extract(html, '(?s)<nav>(.*)</nav>', 1), regexp_extract(html, '(?s)<article>(.*)</article>', 1), regexp_extract(html, '(?s)<footer>(.*)</footer>', 1)]) AS h, unnest(['nav', 'article', 'footer']) AS above, page_id FROM pages)
+SELECT page_id, above, tag, count(*) AS n FROM (SELECT page_id, above, unnest(regexp_extract_all(h, '<([a-z][a-z0-9]*)', 1)) AS tag FROM part) GROUP BY ALL
+""")
+def page_nodes_above(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many elements of each kind stand below the menu, the article and the footer of each page."""
+    nodes = html.html_tree(table(spark, sf_dir, "pages").select("page_id", "html")).where("tag != '#text'")
+    near = tree.nearest_above(nodes, ["page_id"], F.col("tag").isin("nav", "article", "footer"), F.col("tag"))
+    return near.where("above is not null").groupBy("page_id", "above", "tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _entities_sql(text: str) -> str:
+    return f"regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace({text}, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '\"', 'g'), '&#x27;', ''''), '&amp;?', '&', 'g')"
+
+
+@query(rf"""
+WITH a AS (SELECT page_id, html, regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS a FROM pages),
+b AS (SELECT page_id, trim(regexp_extract(a, '<h1>(.*?)</h1>', 1)) AS heading, len(regexp_extract_all(html, '<li>')) AS n_links,
+  list_filter(list_transform(string_split_regex(regexp_replace(regexp_replace(a, '(?s)^.*</h1>', ''), '</?b>', '', 'g'), '</?(p|br)>'), lambda x: trim(x)), lambda x: x <> '') AS parts FROM a)
+SELECT page_id, {_entities_sql("heading")} AS heading, md5({_entities_sql("array_to_string(parts, ' ')")}) AS text_md5, n_links::BIGINT AS n_links FROM b
+""")
+def page_blocks_by_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's paragraphs under their heading, and the links in items of its menu, by joins over the nodes."""
+    nodes = tree.full_texts(html.html_tree(table(spark, sf_dir, "pages").select("page_id", "html")), ["page_id"])
+    led = tree.leader(nodes, ["page_id"], F.col("tag") == "h1", F.col("full_text"), "heading")
+    held = tree.nearest_above(led, ["page_id"], F.col("tag") == "li", F.col("full_text"), "item")
+    blocks = F.array_sort(F.collect_list(F.when((F.col("tag") == "p") & F.col("heading").isNotNull() & (F.col("full_text") != ""), F.struct("node_pre", "full_text"))))
+    links = F.count_if((F.col("tag") == "a") & (F.col("item") == F.col("full_text")))
+    title = F.max(F.when(F.col("tag") == "h1", F.col("full_text")))
+    out = held.groupBy("page_id").agg(title.alias("heading"), F.array_join(F.transform(blocks, lambda b: b["full_text"]), " ").alias("t"), links.alias("n_links"))
+    return out.select("page_id", "heading", F.md5(F.col("t").cast("binary")).alias("text_md5"), "n_links")
+
+
 _LAW_PAGE = "concat('<h1 class=\"title\">Lov ', page_id, ' - Lovdata</h1><div class=\"kapittel\"><h2>Kapittel ', page_id % 9 + 1, '. Satser</h2>', '<div class=\"paragraf\" id=\"PARAGRAF_', page_id % 9 + 1, '-1\"><h3>§ ', page_id % 9 + 1, '-1. Omfang</h3><p>Loven gjelder ', regexp_extract(url, '://([^/?#]+)', 1), ' og andre.</p></div>', '<div class=\"paragraf\"><h3>§ ', page_id % 9 + 1, '-2. Unntak (Opphevet)</h3><p>Opphevet ved lov, ikr. ', page_id % 28 + 1, ' juni 2020.</p></div></div>')"
 
 
@@ -783,4 +842,61 @@ def rule_engine_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.match(rows, own).select("o_orderkey", "rule_id", "account", "vat_rate")
 
 
+_DATED_SQL = """
+WITH v AS (SELECT s_suppkey, s_nationkey % 5 AS kind, s_acctbal AS rate, DATE '1995-01-01' + (s_suppkey * 37 % 2500)::INT AS valid_from,
+  CASE WHEN s_suppkey % 11 <> 0 THEN DATE '1995-01-01' + (s_suppkey * 37 % 2500 + CASE WHEN s_suppkey % 7 = 0 THEN 2000 ELSE s_suppkey % 90 END)::INT END AS valid_to FROM supplier),
+o AS (SELECT o_orderkey, o_custkey % 5 AS kind, o_orderdate::DATE AS day FROM orders),
+h AS (SELECT o_orderkey, s_suppkey, rate, valid_from FROM o JOIN v ON o.kind = v.kind AND day >= valid_from AND (valid_to IS NULL OR day <= valid_to))
+"""
+
+
+def _dated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders, and suppliers' balances as rates of five kinds, most of them for some days, some for years and some without an end."""
+    k, start = F.col("s_suppkey"), F.lit("1995-01-01").cast("date")
+    begin = (k * 37 % 2500).cast("int")
+    length = F.when(k % 7 == 0, 2000).otherwise((k % 90).cast("int"))
+    versions = table(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_nationkey") % 5).alias("kind"), F.col("s_acctbal").alias("rate"), F.date_add(start, begin).alias("valid_from"), F.when(k % 11 != 0, F.date_add(start, begin + length)).alias("valid_to"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 5).alias("kind"), F.col("o_orderdate").alias("day")), versions
+
+
+@query(_DATED_SQL + "SELECT o_orderkey, count(*) AS n, round(sum(rate), 4) AS total FROM h GROUP BY o_orderkey")
+def rates_holding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many dated rates hold on each order's day, and their sum."""
+    rows, versions = _dated(spark, sf_dir)
+    return temporal.holding(rows, versions, ["kind"], "day").groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("rate"), 4).alias("total"))
+
+
+@query(_DATED_SQL + "SELECT o.o_orderkey, s_suppkey, rate FROM o LEFT JOIN (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY valid_from DESC, s_suppkey DESC) = 1) b ON o.o_orderkey = b.o_orderkey")
+def rate_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rate in force on each order's day."""
+    rows, versions = _dated(spark, sf_dir)
+    return temporal.in_force(rows, versions, ["kind"], "day", "o_orderkey", tie="s_suppkey").select("o_orderkey", "s_suppkey", "rate")
+
+
+@query("""
+WITH r AS (SELECT 'r' || p_partkey AS rule_id, p_partkey * 7 % 100 AS supplier, p_partkey % 7 + 1 AS line, p_size AS least, (p_partkey % 10)::INT AS priority, p_brand AS account,
+  CASE WHEN p_partkey % 3 = 0 THEN 'F' END AS status, p_partkey % 4 = 1 AS air, DATE '1994-01-01' + (p_partkey % 2000)::INT AS valid_from FROM part),
+l AS (SELECT l_orderkey::VARCHAR || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey || ':' || l_extendedprice AS id, l_suppkey, l_linenumber, l_quantity, l_linestatus, l_returnflag, l_shipdate::DATE AS day FROM lineitem),
+d AS (SELECT DISTINCT * FROM l),
+m AS (SELECT id, rule_id, priority, account FROM d JOIN r ON l_suppkey = supplier AND l_linenumber = line AND l_quantity > least AND (status IS NULL OR l_linestatus = status) AND (NOT air OR l_returnflag IN ('A', 'R')) AND day >= valid_from)
+SELECT id, rule_id, priority, account FROM m QUALIFY row_number() OVER (PARTITION BY id ORDER BY priority, rule_id) = 1
+""")
+def rules_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule for each part, matched with the order lines of a supplier and a line number by the index of rules."""
+    key = F.col("p_partkey")
+    said = lambda field, operator, value: F.struct(F.lit(field).alias("field"), F.lit(operator).alias("operator"), value.cast("string").alias("value"))
+    conditions = [said("l_suppkey", "equals", key * 7 % 100), said("l_linenumber", "equals", key % 7 + 1), said("l_quantity", "greater_than", F.col("p_size")), F.when(key % 3 == 0, said("l_linestatus", "equals", F.lit('"F"'))), F.when(key % 4 == 1, said("l_returnflag", "in", F.lit('["A", "R"]')))]
+    own = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("r"), key.cast("string")).alias("rule_id"),
+        (key % 10).cast("int").alias("priority"),
+        F.lit(True).alias("is_active"),
+        F.array_compact(F.array(*conditions)).alias("conditions"),
+        F.array(F.struct(F.lit("set_account").alias("type"), F.concat(F.lit('"'), "p_brand", F.lit('"')).alias("value"))).alias("actions"),
+        F.date_add(F.lit("1994-01-01").cast("date"), (key % 2000).cast("int")).cast("string").alias("valid_from"),
+    )
+    line = F.concat_ws(":", *(F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")))
+    rows = table(spark, sf_dir, "lineitem").select(line.alias("id"), "l_suppkey", "l_linenumber", "l_quantity", "l_linestatus", "l_returnflag", F.col("l_shipdate").cast("date").alias("day")).distinct()
+    return rules.match_table(rows, own, "id", on="day").where("rule_id is not null").select("id", "rule_id", "priority", "account")
+
+
 from lexmill import job_queries  # noqa: E402, F401  registers its queries

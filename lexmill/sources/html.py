@@ -173,6 +173,30 @@ def html_nodes(pages: DataFrame, html: str = "html") -> DataFrame:
     return _flat(pages, html, NODES, _nodes)
 
 
+TREE = "node_pre int, node_post int, parent_pre int, depth int, tag string, node_id string, classes array<string>, attrs map<string,string>, text string, error string"
+
+
+def _tree(html: str) -> Iterator[dict]:
+    root, count, opened = parse(html), 0, {}
+    stack: list[tuple[Node | str, int | None, bool]] = [(root, None, False)]
+    while stack:
+        node, at, done = stack.pop()
+        if isinstance(node, str):
+            yield {"node_pre": count, "node_post": count, "parent_pre": at, "depth": opened[at]["depth"] + 1, "tag": "#text", "text": node}
+        elif done:  # with its own number
+            yield opened.pop(at) | {"node_post": count}
+        else:
+            opened[count] = {"node_pre": count, "parent_pre": at, "depth": node.depth, "tag": node.tag, "node_id": node.attrs.get("id"), "classes": node.classes, "attrs": list(node.attrs.items())}
+            stack.append((node, count, True))
+            stack += [(c, count, False) for c in reversed(node.children)]
+        count += 1
+
+
+def html_tree(pages: DataFrame, html: str = "html") -> DataFrame:
+    """A row per element and one per text (``#text``), numbered together in document order, for structural joins."""
+    return _flat(pages, html, TREE, _tree)
+
+
 # --- blocks --------------------------------------------------------------------------
 
 BLOCKS = (

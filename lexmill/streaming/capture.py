@@ -1,40 +1,121 @@
-"""Bronze change capture of a stream of contents."""
+"""Bronze change capture of a stream of contents, with each source's last version as keyed state.
+
+A row is new if its (time, digest) comes after those of the last version of its source and its
+digest is another one, so what arrives late, again, or in another order gives the same last
+version.  The state of a new stream begins with what the manifest knows.  A batch is written
+once, as a folder of contents named by stream and batch, from which its commit in the
+manifest is made; a batch that is repeated after a failure replaces the folder if the commit
+is missing, and does nothing if it is there.
+"""
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+from typing import TYPE_CHECKING, Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from lexmill.operators import capture
+from lexmill.functions.text import sha256_bytes
+from lexmill.operators.manifest import COMMITS, Manifest, safe
 from lexmill.settings import Settings
-from lexmill.sources.files import exists
+
+if TYPE_CHECKING:
+    import pandas as pd
+
+_STATE = "sha256 string, size_bytes long, modified_at timestamp"
+_JUDGED = "source_id string, url string, content binary, error string, modified_at timestamp, sha256 string, size_bytes long, changed boolean, stale boolean"
+_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 def arriving_files(spark: SparkSession, folder: str, pattern: str = "*.html") -> DataFrame:
-    """(source_id, url, content, error) of files as they arrive; a source's id is the file's name."""
+    """(source_id, url, content, error, modified_at) of files as they arrive; a source's id is the file's name."""
     files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", pattern).load(folder)
     name = F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1)
-    return files.select(name.alias("source_id"), F.col("path").alias("url"), "content", F.lit(None).cast("string").alias("error"))
+    return files.select(name.alias("source_id"), F.col("path").alias("url"), "content", F.lit(None).cast("string").alias("error"), F.col("modificationTime").alias("modified_at"))
+
+
+class Versions(StatefulProcessor):
+    """Judges the contents of one source against its last version."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._last = handle.getValueState("last", _STATE)
+
+    def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:  # noqa: N802, N803
+        row = initialState.iloc[0]
+        self._last.update((row["sha256"], int(row["size_bytes"]), row["modified_at"].to_pydatetime()))
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        import pandas as pd
+
+        own = pd.concat(list(rows), ignore_index=True)
+        own = own.sort_values(["modified_at", "sha256"], kind="stable", na_position="first").reset_index(drop=True)
+        last = self._last.get() if self._last.exists() else None
+        changed, stale = [], []
+        for row in own.itertuples():
+            if not isinstance(row.sha256, str):  # a failure says nothing of the content
+                changed.append(False)
+                stale.append(False)
+                continue
+            stamp = row.modified_at.to_pydatetime()
+            old = last is not None and (stamp, row.sha256) < (_naive(last[2]), last[0])
+            changed.append(not old and (last is None or last[0] != row.sha256 or not last[1]))
+            stale.append(old)
+            if not old:
+                last = (row.sha256, int(row.size_bytes), stamp)
+        if last is not None:
+            self._last.update(last)
+        own["changed"], own["stale"] = changed, stale
+        own.loc[~own["changed"], "content"] = None
+        yield own[[c.split()[0] for c in _JUDGED.split(", ")]]
 
+    def close(self) -> None:
+        pass
 
-def capture_stream(contents: DataFrame, settings: Settings, checkpoint: str, extension: str = "html") -> StreamingQuery:
-    """Appends what is new or changed to the bronze contents, and every outcome to the manifest, batch by batch.
 
-    A batch that is repeated after a failure finds its run in the manifest and is skipped.
+def _naive(stamp: Any) -> Any:
+    return stamp.replace(tzinfo=None)
+
+
+def judged(contents: DataFrame, known: DataFrame) -> DataFrame:
+    """The stream's rows with digest, ``changed`` and ``stale`` (older than the last version); contents only where they changed."""
+    good = F.col("error").isNull()
+    rows = contents.withColumns({"sha256": F.when(good, sha256_bytes("content")), "size_bytes": F.when(good, F.octet_length("content").cast("long"))})
+    before = known.select("source_id", "sha256", "size_bytes", F.coalesce("modified_at", "captured_at").alias("modified_at")).groupBy("source_id")
+    return rows.groupBy("source_id").transformWithStateInPandas(Versions(), _JUDGED, "append", "none", before)
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps as long as its checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
+def write_batch(batch: DataFrame, run: str, settings: Settings, extension: str = "html", commits: int = COMMITS) -> None:
+    """Writes a batch's contents, then its commit; does nothing where the commit is there."""
+    spark, manifest = batch.sparkSession, Manifest(batch.sparkSession, f"{settings.bronze}/manifest")
+    if manifest.has(run):
+        return
+    path = f"{settings.bronze}/contents/{safe(run)}"
+    batch.withColumns({"run_id": F.lit(run), "captured_at": F.current_timestamp()}).write.mode("overwrite").parquet(path)
+    rows = spark.read.parquet(path).drop("content")
+    there = F.concat(F.lit(f"{settings.bronze}/"), F.col("source_id"), F.lit(f".{extension}"))
+    manifest.commit(rows.withColumns({"file_path": F.when(F.col("error").isNull(), there), "success": F.col("error").isNull()}), run)
+    manifest.compact(commits)
+
+
+def capture_stream(contents: DataFrame, settings: Settings, checkpoint: str, extension: str = "html", commits: int = COMMITS) -> StreamingQuery:
+    """Captures (source_id, url, content, error, modified_at) until nothing more has arrived.
+
+    Contents that are new or changed go to the bronze contents, every outcome to the manifest.
     """
+    spark = contents.sparkSession
+    # what keeps values by key beyond a batch
+    spark.conf.set(_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    known = Manifest(spark, f"{settings.bronze}/manifest").last()
 
     def write(batch: DataFrame, number: int) -> None:
-        spark, path = batch.sparkSession, f"{settings.bronze}/manifest"
-        known = spark.read.schema(capture.MANIFEST).parquet(path) if exists(spark, path) else spark.createDataFrame([], capture.MANIFEST)
-        run = f"stream-{number}"
-        if not known.where(F.col("run_id") == run).isEmpty():
-            return
-        # of a source that came several times in a batch, one content
-        single = batch.groupBy("source_id").agg(F.max_by(F.struct("url", "content", "error"), F.xxhash64("content")).alias("r")).select("source_id", "r.*")
-        rows = capture.capture(single, known, settings.bronze, run, extension).persist()
-        rows.where("changed").select("source_id", "url", "sha256", "content", "run_id", "captured_at").write.mode("append").parquet(f"{settings.bronze}/contents")
-        rows.drop("content").write.mode("append").parquet(path)
-        rows.unpersist()
-
-    return contents.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        write_batch(batch, f"stream-{stream_id(batch.sparkSession, checkpoint)}-{number}", settings, extension, commits)
+
+    return judged(contents, known).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

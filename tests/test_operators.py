@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from lexmill import schemas, settings
 from lexmill.operators import capture, profile, quality, rules, split
+from lexmill.operators.manifest import ROWS, Manifest
 from lexmill.plans import evaluate, gold, jobs
 from lexmill.settings import Settings
 from lexmill.sources import catalog, fetch, files, seeds
@@ -183,9 +186,81 @@ def test_streamed_capture(spark, own, tmp_path):
     run()
     (folder / "b.html").write_text("two")
     run()
-    rows = spark.read.parquet(f"{own.bronze}/manifest").orderBy("source_id").collect()
-    assert [(r["source_id"], r["changed"]) for r in rows] == [("a", True), ("b", True)]
-    assert capture.latest(spark.read.parquet(f"{own.bronze}/contents"), "source_id", "captured_at").count() == 2
+    log = Manifest(spark, f"{own.bronze}/manifest")
+    assert [(r["source_id"], r["changed"]) for r in log.history().orderBy("source_id").collect()] == [("a", True), ("b", True)]
+    sources = spark.createDataFrame([("a",), ("b",), ("c",)], "source_id string")
+    assert [(r["source_id"], r["content"] and bytes(r["content"])) for r in jobs.bronze_pages(spark, own, sources).orderBy("source_id").collect()] == [("a", b"one"), ("b", b"two"), ("c", None)]
+
+
+def _arrived(spark, folder, rows):
+    made = [(k, "u", c if c is None else c.encode(), e, datetime(2024, 1, day)) for k, c, e, day in rows]
+    spark.createDataFrame(made, "source_id string, url string, content binary, error string, modified_at timestamp").coalesce(1).write.mode("append").parquet(str(folder))
+
+
+def test_streams_lose_and_repeat_nothing(spark, own, tmp_path, monkeypatch):
+    log = Manifest(spark, f"{own.bronze}/manifest")
+
+    def run(folder, check, **more):
+        live = spark.readStream.schema("source_id string, url string, content binary, error string, modified_at timestamp").parquet(str(tmp_path / folder))
+        stream.capture_stream(live, own, str(tmp_path / check), **more).awaitTermination(120)
+
+    def last():
+        pages = jobs.bronze_pages(spark, own, log.last().select("source_id"))
+        return {r["source_id"]: bytes(r["content"]).decode() for r in pages.collect()}
+
+    _arrived(spark, tmp_path / "x", [("a", "1", None, 2), ("e", None, "gone", 2), ("n", "", None, 2)])
+    run("x", "c1")
+    # a second stream with batches of the same numbers, into the same bronze
+    _arrived(spark, tmp_path / "y", [("b", "1", None, 2), ("a", "0", None, 1)])
+    run("y", "c2")
+    assert last() == {"a": "1", "b": "1", "n": ""}
+    # a crash after the contents and before the commit: the batch is repeated
+    commit, calls = Manifest.commit, []
+
+    def failing(self, rows, name):
+        calls.append(name)
+        raise OSError("lost")
+
+    monkeypatch.setattr(Manifest, "commit", failing)
+    _arrived(spark, tmp_path / "x", [("a", "2", None, 3), ("b", "2", None, 1), ("a", "1", None, 1)])
+    with pytest.raises(Exception, match="lost"):
+        run("x", "c1")
+    assert last()["a"] == "1" and len(calls) == 1
+    monkeypatch.setattr(Manifest, "commit", commit)
+    run("x", "c1", commits=2)
+    assert last() == {"a": "2", "b": "1", "n": ""} and log.commits() == [] and len(log.snapshots()) == 1
+    # after a crash behind the commit nothing happens again
+    rows = sorted((r["source_id"], r["changed"], r["stale"], r["success"]) for r in log.history().collect())
+    assert log.has(calls[0])
+    run("x", "c3")  # a new stream over the same files
+    again = sorted((r["source_id"], r["changed"], r["stale"], r["success"]) for r in log.history().collect())
+    assert last() == {"a": "2", "b": "1", "n": ""} and len(again) == len(rows) + 6
+    assert [r for r in rows if r[0] == "a"] == [("a", False, True, True), ("a", False, True, True), ("a", True, False, True), ("a", True, False, True)]
+    assert [r[1] for r in rows if r[0] == "e"] == [False]
+
+
+def test_manifest_snapshots(spark, tmp_path):
+    log = Manifest(spark, str(tmp_path / "m"))
+    assert log.last().count() == 0 and not log.compact(1)
+
+    def rows(*versions):
+        made = [(k, None, None, ok, h, True, False, 1, None, run, None, datetime(2024, 1, day)) for k, h, run, day, ok in versions]
+        return spark.createDataFrame(made, ROWS)
+
+    log.commit(rows(("a", "h1", "r1", 1, True), ("b", "h1", "r1", 1, True)), "r1")
+    log.commit(rows(("a", "h2", "r/2", 3, True), ("b", "h9", "r/2", 9, False)), "r/2")
+    assert log.has("r/2") and log.commits() == ["r1", "r_2"]
+    log.commit(rows(("z", "zz", "r1", 1, True)), "r1")  # a whole run stays as it is
+    want = [("a", "h2", "r/2"), ("b", "h1", "r1")]
+    known = lambda: sorted((r["source_id"], r["sha256"], r["content_run"]) for r in log.last().collect())
+    assert known() == want and not log.compact(3) and log.compact(2) and known() == want and log.commits() == []
+    log.commit(rows(("a", "h1", "r3", 2, True)), "r3")  # older than the snapshot's
+    assert known() == want and log.compact(1) and known() == want and log.history().count() == 5
+    (tmp_path / "m" / "log" / "torn").mkdir(parents=True)  # a commit that was cut off
+    assert log.commits() == [] and known() == want
+    (tmp_path / "m" / "claims" / "0000000003").write_text("")  # somebody else compacts
+    log.commit(rows(("c", "h1", "r4", 2, True)), "r4")
+    assert not log.compact(1) and log.commits() == ["r4"]
 
 
 def test_streamed_windows(spark, tmp_path):
