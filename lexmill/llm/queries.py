@@ -169,11 +169,11 @@ WITH cut AS (
 ), single AS (
   SELECT * FROM (SELECT page_id, label, unnest(items) AS a FROM tokens) WHERE a NOT IN ('h:ads', 'h:adult', 'h:bets', 'h:casino', 'h:pills', 'h:spam')
 ), least AS (SELECT greatest(2, ceil(0.001 * count(*))) AS n FROM pages
-), pair AS (SELECT x.page_id, x.label, x.a, y.a AS b FROM single x JOIN single y ON x.page_id = y.page_id AND x.a <= y.a
+), triple AS (SELECT x.page_id, x.label, x.a, y.a AS b, z.a AS c FROM single x JOIN single y ON x.page_id = y.page_id AND x.a <= y.a JOIN single z ON y.page_id = z.page_id AND y.a <= z.a
 ), good AS (
-  SELECT a, b FROM pair GROUP BY a, b
+  SELECT a, b, c FROM triple GROUP BY a, b, c
   HAVING count(*) FILTER (label) >= (SELECT n FROM least) AND count(*) FILTER (label) >= 0.8 * count(*)
-), hit AS (SELECT DISTINCT page_id FROM pair JOIN good USING (a, b)
+), hit AS (SELECT DISTINCT page_id FROM triple JOIN good USING (a, b, c)
 ), rules(rule, name, start, said) AS (
   VALUES ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'), ('example.org/en/1', 'example.org', '/en/1', 'block'),
     ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')

@@ -11,6 +11,7 @@ import re
 import time
 import zlib
 from fractions import Fraction
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -545,6 +546,35 @@ def test_mined_pairs(spark):
     assert all(r["verdict"] == ("block" if r["label"] else "allow") for r in judged)
 
 
+def test_mined_triples(spark):
+    rng = random.Random(31)
+    rows = []
+    for i in range(400):  # three tokens together mean block, any two of them don't
+        own = ["red", "blue", "green"] if i < 50 else rng.sample(["red", "blue", "green"], 2)
+        own += [f"k{chr(97 + rng.randrange(20))}" for _ in range(rng.randrange(30))]
+        rows.append((f"http://h{i % 9}.com/{'/'.join(own)}", i < 50))
+    df = spark.createDataFrame(rows, "url string, label boolean")
+    found = urlrules.mine(df, support=0.05, confidence=0.9)
+    assert found.rules == ((("p:blue", "p:green", "p:red"), 1.0, 0.125),)
+    judged = urlrules.judge(df, found).collect()
+    assert all(r["verdict"] == ("block" if r["label"] else "allow") for r in judged)
+    assert urlrules.mine(df, support=0.05, confidence=0.9, longest=2).rules == ()
+
+
+def test_mined_rules_equal_a_plain_search(spark):
+    rng = random.Random(5)
+    rows = [(f"http://{rng.choice('ab')}.q/" + "/".join(rng.choices("uvwxyz", k=rng.randrange(6))), rng.random() < 0.4) for _ in range(90)]
+    df = spark.createDataFrame(rows, "url string, label boolean")
+    sets = [(r["t"], r["label"]) for r in df.select(urlrules.tokens(F.col("url")).alias("t"), "label").collect()]
+    good = set()
+    for k in (1, 2, 3):
+        for own in {c for t, _ in sets for c in combinations(sorted(t), k)}:
+            held = [label for t, label in sets if set(own) <= set(t)]
+            if sum(held) >= 3 and sum(held) >= 0.7 * len(held) and not any(set(g) < set(own) for g in good):
+                good.add(own)
+    assert {r for r, *_ in urlrules.mine(df, support=0.03, confidence=0.7).rules} == good and any(len(g) > 1 for g in good)
+
+
 def test_mining_long_urls(spark):
     long = "http://h.com/?" + "&".join(f"key{chr(97 + i // 26)}{chr(97 + i % 26)}=1" for i in range(60))
     rows = [(long, True)] * 3 + [(long, False)] * 3 + [(f"http://x{i}.org/a", False) for i in range(194)] + [("http://bad.com/" + "x/" * 50_000, None)]
@@ -685,6 +715,48 @@ def test_main_text_by_ratio(html, text):
     assert htmltext.extract(html) == text
 
 
+_STORY = "".join(f"<p>{i} {_WORDY}</p>" for i in range(8))
+_TOLD = "\n".join(f"{i} {_WORDY}" for i in range(8))
+_CARD = "<article><h3><a href='/x'>Another story</a></h3><p>A few words about it.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<body><div>{_STORY}</div>{_CARD * 3}</body>",
+        f"<body><div>{_STORY}{_CARD}</div></body>",
+        f"<body><main>{_STORY}{_CARD * 2}</main></body>",
+        f"<body><main>{_STORY}</main>{_CARD * 3}</body>",
+        f"<main>{_STORY}<article><a>Another</a><p>{_WORDY}</p></article></main>",
+        # readers' comments, long ones, however they are called
+        f"<article>{_STORY}<section id='reader-comments'><h2>Comments</h2><p>{_WORDY}</p><p>{_WORDY}</p></section></article>",
+        f"<div><div>{_STORY}</div><ol class='commentlist'><li class='comment-body'><p>{_WORDY}</p></li></ol></div>",
+        f"<main>{_STORY}<ol class='commentlist'><li>{_WORDY}</ol></main>",
+        f"<article class='post has-comments comments-open'>{_STORY}<div class='userComments'><p>{_WORDY}</p></div></article>",
+        f"<article>{_STORY}<div id='disqus_thread'>{_WORDY}</div><ul class='post-replies'><li>{_WORDY}</li></ul></article>",
+        # a menu of links
+        f"<article>{_STORY}<ul class='menu'><li><a>x</a></li><li><a>y</a></li></ul></article>",
+    ],
+)
+def test_main_text_without_what_stands_beside(html):
+    assert htmltext.extract(html) == _TOLD
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<article>{_STORY}<h2>References</h2><ul><li><a>r1</a></li><li><a>r2</a></li><li><a>r3</a></li></ul></article>", f"{_TOLD}\nReferences\nr1\nr2\nr3"),
+        (f"<article>{_STORY}<section class='menu'><p>{_WORDY}</p></section></article>", f"{_TOLD}\n{_WORDY}"),
+        (f"<article>{_STORY}<section id='commentary'><p>{_WORDY}</p></section></article>", f"{_TOLD}\n{_WORDY}"),
+        (f"<main><article><p>a {_WORDY}</p></article><div><p>b {_WORDY}</p></div></main>", f"a {_WORDY}\nb {_WORDY}"),
+        (f"<div><article><p>a {_WORDY}</p></article><div><p>b {_WORDY}</p></div></div>", f"a {_WORDY}\nb {_WORDY}"),
+        (f"<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> be. {_WORDY}</p></article>", f"Let x=2 be. {_WORDY}"),
+    ],
+)
+def test_main_text_drops_nothing_else(html, text):
+    assert htmltext.extract(html) == text
+
+
 def test_ratios_decide(monkeypatch):
     page = f"<div><ul><li><a>one</a><li><a>two</a><li><a>three</a></ul></div><div><p>{_WORDY}</p><p>short</p></div><div><p>Copyright</p></div>"
     assert htmltext.extract(page) == f"{_WORDY}\nshort"
