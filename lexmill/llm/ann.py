@@ -10,8 +10,10 @@ goes on beyond that number until the visited leaves hold as many candidates as i
 
 The number of leaves grows with the table, to ``LEAVES``, so that a leaf has about ``LEAF``
 vectors; where most of a leaf's vectors are equal, it needs only the smallest ids of them, and
-the others are left out (no query can find more than k of them).  Leaves, and the queries that
-visit them, are dealt over tasks in blocks, by a hash; blocks' best are merged.  Scores are
+the others are left out (no query can find more than k of them).  Leaves are dealt over tasks in
+blocks, by a hash, and so are the queries that visit them, in much larger ones: a task holds a
+block of a leaf while the queries pass by in batches, so a vector is sent once for each
+``ASKED`` queries of its leaf.  Blocks' best are merged.  Scores are
 cosines in double precision of the original vectors.  Nothing that grows with the table
 without a bound is broadcast or collected: the tree is at most ``LEAVES`` centres.
 
@@ -39,8 +41,8 @@ from lexmill.llm import scratch
 
 #: Bounds: sampled vectors to fit on, queries to calibrate with, children of a node, leaves.
 FIT, CALIBRATE, BRANCH, LEAVES = 40_000, 100, 12, 4_096
-#: Vectors of a leaf, as far as the bound on leaves allows, and of a block of a leaf or of its queries.
-LEAF, BLOCK = 512, 4_096
+#: Vectors of a leaf, as far as the bound on leaves allows, of a block of a leaf, which a task holds, and of a block of its queries, which pass by.
+LEAF, BLOCK, ASKED = 512, 4_096, 1 << 17
 
 
 @dataclass(frozen=True)
@@ -191,6 +193,25 @@ def _search(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.n
     return parts
 
 
+def _met(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[pa.RecordBatch]:
+    """The best of each block for each of its queries; a block's vectors come before its queries."""
+    at, ids, x = None, np.zeros(0, np.int64), np.zeros((0, width))
+    for batch in batches:
+        keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1, 2, 5)])
+        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        own, (rows, _) = batch.column(3).to_numpy(zero_copy_only=False), _matrix(batch.column(4), width)
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if lo == hi:
+                continue
+            key, asked = tuple(keys[:3, lo].tolist()), bool(keys[3, lo])
+            if key != at:
+                at, ids, x = key, np.zeros(0, np.int64), np.zeros((0, width))
+            if not asked:
+                ids, x = np.concatenate([ids, own[lo:hi]]), np.concatenate([x, rows[lo:hi]])
+            elif len(ids):
+                yield from _rows(_search(rows[lo:hi], own[lo:hi], x, ids, k)).to_batches()
+
+
 def search(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k: int = 5, modulus: int = 50, recall: float = 0.97, leaf_size: int = LEAF) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest of each row whose id is divisible by ``modulus``."""
     spark = vectors.sparkSession
@@ -244,7 +265,7 @@ def search(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
     # rows of the query's own id are no candidates
     queries = queries.join(queries.groupBy("id").agg(F.count(F.lit(1)).alias("own")), "id").mapInArrow(ask, "id long, v array<double>, asks array<int>")
     queries = scratch.save(queries)
-    asked = queries.select(F.explode("asks").alias("leaf")).groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("asked_blocks"))
+    asked = queries.select(F.explode("asks").alias("leaf")).groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("int").alias("asked_blocks"))
     sizes = F.broadcast(sizes.join(asked, "leaf"))  # at most LEAVES rows
     deal_out = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -252,11 +273,9 @@ def search(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
     asked = queries.select("id", "v", F.explode("asks").alias("leaf")).join(sizes, "leaf")
     asked = asked.select("leaf", each("blocks").alias("block"), deal_out("asked_blocks", 1).alias("asks"), "id", "v", F.lit(True).alias("asked"))
 
-    def block(t: pa.Table) -> pa.Table:
-        ids, x, mark = t["id"].to_numpy(), _matrix(t["v"], width)[0], t["asked"].to_numpy(zero_copy_only=False)
-        return _rows(_search(x[mark], ids[mark], x[~mark], ids[~mark], k))
-
-    near = there.unionByName(asked).groupBy("leaf", "block", "asks").applyInArrow(block, _FOUND)
+    key = ("leaf", "block", "asks")
+    met = there.unionByName(asked).repartition(*key).sortWithinPartitions(*key, "asked")
+    near = met.mapInArrow(lambda it: _met(it, width, k), _FOUND)
     best = F.expr("row_number() over (partition by query_id order by score desc, vec_id)")
     return near.withColumn("rank", best.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
