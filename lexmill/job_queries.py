@@ -21,10 +21,12 @@ from pyspark.sql import functions as F
 from lexmill import schemas, settings
 from lexmill.functions import text as T
 from lexmill.operators import manifest as manifest_log
+from lexmill.operators.checkstate import CheckState
 from lexmill.operators.manifest import Manifest
+from lexmill.operators.textindex import TextIndex
 from lexmill.plans import evaluate, gold, guidance, jobs, legal, report, saft
-from lexmill.queries import query, table
-from lexmill.sources import catalog, fetch, files, html, pdf, seeds
+from lexmill.queries import planted, query, records, table
+from lexmill.sources import catalog, fetch, files, html, pdf, seeds, web
 from lexmill.streaming import capture
 
 
@@ -38,8 +40,8 @@ def _folder(spark: SparkSession) -> str:
 
 
 def _pages(spark: SparkSession, sf_dir: str, markup: str) -> DataFrame:
-    """Blocks of pages built from the given pages' numbers."""
-    return html.html_blocks(table(spark, sf_dir, "pages").select("page_id", F.expr(markup).alias("html")))
+    """Blocks of the given pages with some markup planted before them."""
+    return html.html_blocks(table(spark, sf_dir, "pages").select("page_id", F.expr(planted(markup)).alias("html")))
 
 
 # --- cleaning ----------------------------------------------------------------------------
@@ -48,18 +50,20 @@ _LEGAL = "concat('12 Loven om ', page_id, ' gjelder [Til toppen] alle.\\nSe ogs
 
 
 @query("""
-SELECT page_id, 'Loven om ' || page_id || ' gjelder alle. Andre ledd ' || page_id || ' kr. Tredje ledd' AS legal, 'Fjerde ledd om ' || page_id || ' & andre' AS page,
+SELECT page_id, '12 Loven om ' || page_id || ' gjelder alle. Andre ledd ' || page_id || ' kr. Tredje ledd' AS legal, 'Fjerde ledd om ' || page_id || ' & andre' AS page,
   'Gjelder for ' || page_id || ', Og videre. Slutt' AS section, 'fiskeri ' || page_id || ' kr æå 1⁄2' AS repaired FROM pages
 """)
 def legal_text_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Legal texts without navigation, notes and references, as text and as markup; broken letters put right."""
+    """Legal texts behind the given pages, without navigation, notes and references, as text and as markup; broken letters put right."""
     number = F.col("page_id").cast("string")
+    own = F.concat(F.coalesce("html", F.lit("")), F.lit(" ØØ "))
+    last = lambda c: F.substring_index(c, "ØØ ", -1)
     return table(spark, sf_dir, "pages").select(
         "page_id",
-        T.legal_cleaned(F.expr(_LEGAL)).alias("legal"),
-        T.legal_html_text(F.concat(F.lit("<script>x</script><p>Fjerde ledd om "), number, F.lit(" &amp; andre</p>\nNavigasjon her"))).alias("page"),
-        T.section_text_cleaned(F.concat(F.lit("Gjelder [12] for (3) "), number, F.lit(", jf. loven nr 2. Og videre. se kapittel 4. Slutt"))).alias("section"),
-        T.unicode_normalized(F.concat(F.lit("ﬁskeri "), number, F.lit(" kr Ã¦Ã¥ ½"))).alias("repaired"),
+        last(T.legal_cleaned(F.concat(own, F.expr(_LEGAL)))).alias("legal"),
+        last(T.legal_html_text(F.concat(own, F.lit("<script>x</script><p>Fjerde ledd om "), number, F.lit(" &amp; andre</p>\nNavigasjon her")))).alias("page"),
+        last(T.section_text_cleaned(F.concat(own, F.lit("Gjelder [12] for (3) "), number, F.lit(", jf. loven nr 2. Og videre. se kapittel 4. Slutt")))).alias("section"),
+        last(T.unicode_normalized(F.concat(own, F.lit("ﬁskeri "), number, F.lit(" kr Ã¦Ã¥ ½")))).alias("repaired"),
     )
 
 
@@ -70,8 +74,10 @@ def page_markup_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Markup of pages for display, and that of one of their sections."""
     number = F.col("page_id").cast("string")
     shown = F.concat(F.lit("<div class=x><script>y</script><a href='u"), number, F.lit("' onclick='z'>t</a></div>"))
-    page = F.concat(F.lit("<body><nav>n</nav><div id=p"), number, F.lit(">a<a href='/del-paragraf'>s</a></div></body>"))
-    return table(spark, sf_dir, "pages").select("page_id", html.display_html_udf(shown).alias("shown"), html.section_html_udf(page, F.concat(F.lit("p"), number)).alias("section"))
+    page = F.concat(shown, F.lit("<div id=p"), number, F.lit(">a<a href='/del-paragraf'>s</a></div>"), F.coalesce("html", F.lit("")))
+    whole = html.display_html_udf(page)
+    written = F.when(~F.contains(whole, F.lit("<script")) & ~F.contains(whole, F.lit("<nav")) & F.contains(whole, F.lit("<article>")), F.regexp_extract(whole, "^(<div>.*?</div>)", 1))
+    return table(spark, sf_dir, "pages").select("page_id", written.alias("shown"), html.section_html_udf(page, F.concat(F.lit("p"), number)).alias("section"))
 
 
 @query("""
@@ -238,6 +244,66 @@ def lines_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.json_lines(spark, path, schemas.T.StructType.fromDDL("id long"), numbered=True).select("line", "row.id", "bad")
 
 
+# --- what is kept between runs ---------------------------------------------------------------
+
+
+@query("SELECT doc_id, lang FROM documents WHERE contains(lower(text), 'license')")
+def search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that speak of a licence, by an index of trigrams that was made in two parts."""
+    docs, index = table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), TextIndex(spark, f"{_folder(spark)}/index")
+    for segment in (0, 1):
+        index.append(docs.where(F.col("doc_id") % 2 == segment), f"part{segment}", "doc_id")
+    return docs.select("doc_id", "lang").join(index.search("LICENSE").select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+
+
+_KEPT_SQL = """
+WITH d AS (SELECT * FROM documents UNION ALL SELECT * FROM documents WHERE doc_id % 8 = 3),
+r AS (SELECT CASE WHEN doc_id % 5 = 0 THEN '' WHEN doc_id % 5 = 1 THEN 'no url' ELSE 'https://x.org/' || doc_id END AS source_url,
+  CASE WHEN doc_id % 7 = 0 THEN 'zz' ELSE sha256(text) END AS sha256, CASE WHEN lang = 'en' THEN 'tax' WHEN lang = 'de' THEN NULL ELSE lang END AS domain, source AS publisher FROM d)
+"""
+
+
+@query(
+    _KEPT_SQL
+    + """SELECT 8::BIGINT AS read_first, 1::BIGINT AS read_then, 0::BIGINT AS read_last, count(*) AS records,
+  (count(*) FILTER (coalesce(source_url, '') = '') + count(*) FILTER (coalesce(sha256, '') = '') + count(*) FILTER (coalesce(domain, '') = '') + count(*) FILTER (coalesce(publisher, '') = ''))::BIGINT AS missing,
+  count(*) FILTER (source_url <> '' AND NOT regexp_matches(source_url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+')) AS bad_urls, count(*) FILTER (sha256 <> '' AND NOT regexp_matches(sha256, '^[a-f0-9]{64}$')) AS bad_hashes,
+  count(*) FILTER (domain <> '' AND domain NOT IN ('tax', 'accounting', 'reporting')) AS bad_domains, (SELECT count(*) FROM (SELECT sha256 FROM r GROUP BY sha256 HAVING count(*) > 1)) AS repeated FROM r"""
+)
+def quality_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of records in eight files, then with one more, which alone is read."""
+    path, docs = _folder(spark), records(spark, sf_dir)
+    state = CheckState(spark, f"{path}-state", "doc_id", "sha256")
+    for k in range(8):
+        docs.where(F.col("doc_id") % 8 == k).coalesce(1).write.mode("append").parquet(path)
+    first = state.update(path)
+    docs.where(F.col("doc_id") % 8 == 3).coalesce(1).write.mode("append").parquet(path)
+    then, last = state.update(path), state.update(path)
+    counts = state.assess().select(F.lit(first).cast("long").alias("read_first"), F.lit(then).cast("long").alias("read_then"), F.lit(last).cast("long").alias("read_last"), "records", "missing", "bad_urls", "bad_hashes", "bad_domains")
+    return counts.join(F.broadcast(state.repeated().agg(F.count(F.lit(1)).alias("repeated"))))
+
+
+def file_get(url: str) -> bytes:
+    """As the usual fetcher, but without waiting for a file that isn't there."""
+    return fetch.http_get(url, sleep=lambda _: None)
+
+
+@query("""
+SELECT page_id, CASE WHEN page_id % 10 <> 7 THEN sha256(html) END AS sha256, page_id % 10 = 7 AS failed FROM pages
+""")
+def pages_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as files, fetched by URL through the data source; every tenth isn't there."""
+    path, pages = _folder(spark), table(spark, sf_dir, "pages")
+    name = F.concat(F.lit("p"), F.col("page_id").cast("string"))
+    pages.where("page_id % 10 != 7").select(name.alias("name"), F.col("html").alias("content")).foreachPartition(partial(_written, path))
+    root = path.removeprefix("file://").removeprefix("file:")
+    web.prepare(pages.select(F.concat(F.lit(f"file://localhost{root}/"), name, F.lit(".html")).alias("url")), f"{path}-urls", host=F.regexp_extract("url", r"(\d)\.html$", 1))
+    spark.dataSource.register(web.Pages)
+    found = spark.read.format("lexmill_pages").option("path", f"{path}-urls").option("rate", "0").option("opener", "lexmill.job_queries:file_get").load()
+    number = F.regexp_extract("url", r"/p(\d+)\.html$", 1).cast("long")
+    return found.select(number.alias("page_id"), F.sha2("content", 256).alias("sha256"), F.col("error").isNotNull().alias("failed"))
+
+
 def _first_engine(content: bytes) -> str:
     if len(content) % 3 == 0:
         raise ValueError("not for this engine")

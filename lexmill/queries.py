@@ -278,6 +278,11 @@ def page_blocks_by_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "heading", F.md5(F.col("t").cast("binary")).alias("text_md5"), "n_links")
 
 
+def planted(markup: str) -> str:
+    """The given page behind some markup that a plan reads; the whole is parsed."""
+    return f"concat({markup}, coalesce(html, ''))"
+
+
 _LAW_PAGE = "concat('<h1 class=\"title\">Lov ', page_id, ' - Lovdata</h1><div class=\"kapittel\"><h2>Kapittel ', page_id % 9 + 1, '. Satser</h2>', '<div class=\"paragraf\" id=\"PARAGRAF_', page_id % 9 + 1, '-1\"><h3>§ ', page_id % 9 + 1, '-1. Omfang</h3><p>Loven gjelder ', regexp_extract(url, '://([^/?#]+)', 1), ' og andre.</p></div>', '<div class=\"paragraf\"><h3>§ ', page_id % 9 + 1, '-2. Unntak (Opphevet)</h3><p>Opphevet ved lov, ikr. ', page_id % 28 + 1, ' juni 2020.</p></div></div>')"
 
 
@@ -291,8 +296,8 @@ SELECT page_id, '§ ' || (page_id % 9 + 1) || '-2', 'Kapittel ' || (page_id % 9
   'Lov ' || page_id, (page_id % 9 + 1)::VARCHAR, true, '2020-06-' || lpad((page_id % 28 + 1)::VARCHAR, 2, '0') FROM pages
 """)
 def page_dom_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Law sections of pages built from the pages' numbers and hosts, through the tree and the legal plan."""
-    pages = table(spark, sf_dir, "pages").select("page_id", F.expr(_LAW_PAGE).alias("html"))
+    """Law sections planted into the given pages, through the tree and the legal plan."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.expr(planted(_LAW_PAGE)).alias("html"))
     found = legal.sections(html.html_blocks(pages), ["page_id"], {"source_id": "page_id"})
     return found.select("page_id", "section_id", "path", "heading", "text_plain", "law_title", "chapter_no", "repealed", "repeal_date")
 
@@ -306,8 +311,8 @@ UNION ALL SELECT page_id, 'reduced', (page_id % 9 + 1) || '.5%', (page_id % 9 +
 UNION ALL SELECT page_id, 'standard', (page_id % 30) || ' %', (page_id % 30)::DOUBLE, 'general_goods_services', NULL, 0 FROM pages
 """)
 def page_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VAT rates of pages built from the pages' numbers, through the tree and the rates plan."""
-    pages = table(spark, sf_dir, "pages").select("page_id", F.expr(_RATE_PAGE).alias("html"))
+    """VAT rates planted into the given pages, through the tree and the rates plan."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.expr(planted(_RATE_PAGE)).alias("html"))
     found = rates.rates(html.html_blocks(pages))
     return found.select("page_id", "kind", "value", "percentage", "category", "valid_from", F.size("exceptions").alias("n_exceptions"))
 
@@ -320,8 +325,8 @@ SELECT page_id, 'Node' || page_id AS node_path, '1' AS cardinality, 'date' AS da
 UNION ALL SELECT page_id, 'El' || (page_id % 7), '0..1', 'date', 'ISO 8601', 0, 'medium', 'low' FROM pages
 """)
 def page_spec_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Specification nodes of headings and tables of pages built from the pages' numbers."""
-    pages = table(spark, sf_dir, "pages").select("page_id", F.expr(_SPEC_PAGE).alias("html"))
+    """Specification nodes of headings and tables planted into the given pages."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.expr(planted(_SPEC_PAGE)).alias("html"))
     found = saft.page_nodes(html.html_blocks(pages))
     return found.select("page_id", "node_path", "cardinality", "data_type", "format", F.size("validation_rules").alias("n_rules"), "priority", "complexity")
 
@@ -334,8 +339,8 @@ SELECT page_id, 'amelding_heading_001' AS rule_id, 'submission_deadlines' AS cat
 UNION ALL SELECT page_id, 'amelding_list_001', 'employer_obligations', 'Regel 2: Arbeidsgiver må rapportere lønn ' || (page_id % 5) || '...', 1, 'low' FROM pages
 """)
 def page_guidance_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reporting rules of headings and lists of pages built from the pages' numbers."""
-    pages = table(spark, sf_dir, "pages").select("page_id", F.expr(_GUIDE_PAGE).alias("html"))
+    """Reporting rules of headings and lists planted into the given pages."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.expr(planted(_GUIDE_PAGE)).alias("html"))
     found = guidance.overview_rules(html.html_blocks(pages), ["page_id"])
     return found.select("page_id", "rule_id", "category", "title", F.size("requirements").alias("n_requirements"), "priority")
 
@@ -358,7 +363,7 @@ WITH r AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '' WHEN doc_id % 5 = 1 T
 """
 
 
-def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, lang = F.col("doc_id"), F.col("lang")
     return table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -381,18 +386,18 @@ _ISSUES_SQL = (
 
 @query(_ISSUES_SQL + "SELECT * FROM i")
 def quality_issue_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.issue_counts(_records(spark, sf_dir))
+    return quality.issue_counts(records(spark, sf_dir))
 
 
 @query(_ISSUES_SQL + ", n AS (SELECT records, least(missing, 5) + (bad_urls > 0)::INT + (bad_hashes > 0)::INT + (bad_domains > 0)::INT AS k FROM i) SELECT k = 0 AS is_valid, round(greatest(0.0, 10 - k / (records * 2.0) * 10), 2) AS quality_score, k::INT AS n_issues, records AS total_records FROM n")
 def quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = quality.assess(_records(spark, sf_dir), "doc_id")
+    out = quality.assess(records(spark, sf_dir), "doc_id")
     return out.select("is_valid", "quality_score", F.size("issues").alias("n_issues"), "total_records")
 
 
 @query(_RECORDS_SQL + "SELECT doc_id AS ord, field FROM (SELECT doc_id, unnest(['source_url', 'sha256', 'domain', 'publisher']) AS field, unnest([source_url, sha256, domain, publisher]) AS v, unnest([0, 1, 2, 3]) AS i FROM r) WHERE coalesce(v, '') = '' ORDER BY doc_id, i LIMIT 5")
 def quality_missing_first5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.first_missing(_records(spark, sf_dir), "doc_id")
+    return quality.first_missing(records(spark, sf_dir), "doc_id")
 
 
 @query(
@@ -401,7 +406,7 @@ def quality_missing_first5(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT unnest(['source_url', 'sha256', 'domain', 'doc_id']) AS field, unnest([a, b, c, d]) AS filled, total, unnest([a, b, c, d]) * 100.0 / total AS percent FROM c"""
 )
 def completeness_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.completeness(_records(spark, sf_dir), "source_url", "sha256", "domain", "doc_id")
+    return profile.completeness(records(spark, sf_dir), "source_url", "sha256", "domain", "doc_id")
 
 
 @query("SELECT md5(text) AS key, count(*) AS n FROM documents GROUP BY key HAVING count(*) > 1")
@@ -449,7 +454,7 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- extraction ------------------------------------------------------------------------
 
-_RULE_TEXT = "concat('Feltet ', source, ' må ha ', n_chars, ' tegn. Dersom ', lang, ' mangler, skal ', source, ' kontroller verdien. Format: ', lang, '. ', source, ' til ', lang, ' → x', n_chars % 5, '. Krever id. For eksempel ', lang)"
+_RULE_TEXT = "concat(coalesce(text, ''), '. Feltet ', source, ' må ha ', n_chars, ' tegn. Dersom ', lang, ' mangler, skal ', source, ' kontroller verdien. Format: ', lang, '. ', source, ' til ', lang, ' → x', n_chars % 5, '. Krever id. For eksempel ', lang)"
 
 
 def _rule_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -478,12 +483,12 @@ def regex_field_mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-WITH d AS (SELECT doc_id, concat('Se § ', doc_id % 9, '-', doc_id % 4, ' og § ', doc_id % 3, '-1 i Merverdiavgifts-loven, lov-2009-06-19-', doc_id % 60) AS t FROM documents)
+WITH d AS (SELECT doc_id, concat(coalesce(text, ''), ' Se § ', doc_id % 9, '-', doc_id % 4, ' og § ', doc_id % 3, '-1 i Merverdiavgifts-loven, lov-2009-06-19-', doc_id % 60) AS t FROM documents)
 SELECT doc_id, array_to_string(list_sort(list_distinct(list_concat(regexp_extract_all(t, 'lov-\d{4}-\d{2}-\d{2}-\d+'), regexp_extract_all(t, '§\s*\d+-\d+'), regexp_extract_all(t, '[A-ZÆØÅ][a-zæøå]*-loven')))), '|') AS citations,
   regexp_matches('[' || t || ']', '\[§\s*[\d-]+\s+[^\]]+\]') AS cited FROM d
 """)
 def citations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.expr("concat('Se § ', doc_id % 9, '-', doc_id % 4, ' og § ', doc_id % 3, '-1 i Merverdiavgifts-loven, lov-2009-06-19-', doc_id % 60)")
+    t = F.expr("concat(coalesce(text, ''), ' Se § ', doc_id % 9, '-', doc_id % 4, ' og § ', doc_id % 3, '-1 i Merverdiavgifts-loven, lov-2009-06-19-', doc_id % 60)")
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(T.citations(t), "|").alias("citations"), T.has_citation(F.concat(F.lit("["), t, F.lit("]"))).alias("cited"))
 
 
@@ -501,22 +506,23 @@ def keyword_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH d AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'MainHeader' WHEN doc_id % 4 = 1 THEN 'Optional' ELSE source END AS p, CASE WHEN doc_id % 3 = 0 THEN 'Beregn sum' WHEN doc_id % 3 = 1 THEN 'Sjekk dato' ELSE lang END AS t FROM documents)
+WITH d AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'MainHeader' WHEN doc_id % 4 = 1 THEN 'Optional' ELSE source END AS p, coalesce(text, '') || CASE WHEN doc_id % 3 = 0 THEN 'Beregn sum' WHEN doc_id % 3 = 1 THEN 'Sjekk dato' ELSE lang END AS t FROM documents)
 SELECT doc_id, CASE WHEN regexp_matches(lower(p), 'header|hoved|main|root') THEN 'high' WHEN regexp_matches(lower(p), 'optional|valgfri') THEN 'low' ELSE 'medium' END AS priority,
   CASE WHEN regexp_matches(lower(t), 'beregn|kalkuler|formel|regel|logikk') THEN 'high' WHEN regexp_matches(lower(t), 'valider|kontroller|sjekk') THEN 'medium' ELSE 'low' END AS complexity FROM d
 """)
 def priority_complexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id")
-    path, text = T.first_match([(k % 4 == 0, "MainHeader"), (k % 4 == 1, "Optional")], F.col("source")), T.first_match([(k % 3 == 0, "Beregn sum"), (k % 3 == 1, "Sjekk dato")], F.col("lang"))
+    path, text = T.first_match([(k % 4 == 0, "MainHeader"), (k % 4 == 1, "Optional")], F.col("source")), F.concat(F.coalesce("text", F.lit("")), T.first_match([(k % 3 == 0, "Beregn sum"), (k % 3 == 1, "Sjekk dato")], F.col("lang")))
     return table(spark, sf_dir, "documents").select("doc_id", X.path_priority(path).alias("priority"), X.text_complexity(text).alias("complexity"))
 
 
 @query(r"""
-WITH d AS (SELECT doc_id, concat(CASE WHEN doc_id % 2 = 0 THEN 'Varer unntatt ' || lang || '. ' ELSE '' END, CASE WHEN doc_id % 3 = 0 THEN 'Alkohol. ' ELSE '' END, '* merk ', source, '.') AS t FROM documents)
-SELECT doc_id, array_to_string(list_filter([CASE WHEN doc_id % 2 = 0 THEN lang END, CASE WHEN doc_id % 3 = 0 THEN 'Alkoholholdige drikkevarer har høyere sats' END], lambda x: x IS NOT NULL), '|') AS exceptions, 'merk ' || source AS notes FROM d JOIN documents USING (doc_id)
+WITH d AS (SELECT doc_id, concat('* merk ', source, '. ', coalesce(text, ''), CASE WHEN doc_id % 2 = 0 THEN '. Varer unntatt ' || lang || '. ' ELSE '' END, CASE WHEN doc_id % 3 = 0 THEN 'Alkohol. ' ELSE '' END) AS t FROM documents), k AS (SELECT *, lower(t) AS low FROM d)
+SELECT doc_id, array_to_string(list_filter([CASE WHEN regexp_matches(low, '(?:unntatt|bortsett fra)\s+([^.]*)') THEN trim(regexp_extract(low, '(?:unntatt|bortsett fra)\s+([^.]*)', 1)) END, CASE WHEN contains(low, 'alkohol') THEN 'Alkoholholdige drikkevarer har høyere sats' END,
+  CASE WHEN contains(low, 'tobakk') THEN 'Tobakksvarer har høyere sats' END, CASE WHEN contains(low, 'bil') AND contains(low, 'transport') THEN 'Godstransport har standard sats' END], lambda x: x IS NOT NULL), '|') AS exceptions, 'merk ' || source AS notes FROM k JOIN documents USING (doc_id)
 """)
 def exceptions_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.expr("concat(if(doc_id % 2 = 0, concat('Varer unntatt ', lang, '. '), ''), if(doc_id % 3 = 0, 'Alkohol. ', ''), '* merk ', source, '.')")
+    t = F.expr("concat('* merk ', source, '. ', coalesce(text, ''), if(doc_id % 2 = 0, concat('. Varer unntatt ', lang, '. '), ''), if(doc_id % 3 = 0, 'Alkohol. ', ''))")
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(X.rate_exceptions(t), "|").alias("exceptions"), X.rate_notes(t).alias("notes"))
 
 
@@ -540,12 +546,13 @@ def cardinality_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH d AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'en tekst' WHEN 1 THEN 'et tall' WHEN 2 THEN 'desimal' WHEN 3 THEN 'dato' WHEN 4 THEN 'bool' ELSE 'annet' END AS t FROM documents)
-SELECT doc_id, CASE t WHEN 'et tall' THEN 'integer' WHEN 'desimal' THEN 'decimal' WHEN 'dato' THEN 'date' WHEN 'bool' THEN 'boolean' ELSE 'string' END AS data_type,
-  CASE t WHEN 'et tall' THEN 'Integer' WHEN 'desimal' THEN 'Decimal' WHEN 'dato' THEN 'ISO 8601' ELSE 'String' END AS format FROM d
+WITH d AS (SELECT doc_id, lower(coalesce(text, '') || [' en tekst', ' et tall', ' desimal', ' dato', ' bool', ' annet'][doc_id % 6 + 1]) AS t FROM documents),
+k AS (SELECT doc_id, CASE WHEN regexp_matches(t, 'string|text|tekst') THEN 'string' WHEN regexp_matches(t, 'integer|int|number|tall') THEN 'integer' WHEN regexp_matches(t, 'decimal|float|double|desimal') THEN 'decimal'
+  WHEN regexp_matches(t, 'date|dato|time|tid') THEN 'date' WHEN regexp_matches(t, 'boolean|bool|true|false') THEN 'boolean' ELSE 'string' END AS data_type FROM d)
+SELECT doc_id, data_type, CASE data_type WHEN 'integer' THEN 'Integer' WHEN 'decimal' THEN 'Decimal' WHEN 'date' THEN 'ISO 8601' ELSE 'String' END AS format FROM k
 """)
 def datatype_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.expr("element_at(array('en tekst', 'et tall', 'desimal', 'dato', 'bool', 'annet'), cast(doc_id % 6 + 1 as int))")
+    t = F.expr("concat(coalesce(text, ''), element_at(array(' en tekst', ' et tall', ' desimal', ' dato', ' bool', ' annet'), cast(doc_id % 6 + 1 as int)))")
     return table(spark, sf_dir, "documents").select("doc_id", X.data_type(t).alias("data_type"), X.type_format(X.data_type(t)).alias("format"))
 
 

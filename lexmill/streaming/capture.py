@@ -12,9 +12,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from typing import TYPE_CHECKING, Any
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -22,11 +22,11 @@ from lexmill.functions.text import sha256_bytes
 from lexmill.operators.manifest import COMMITS, Manifest, safe
 from lexmill.settings import Settings
 
-if TYPE_CHECKING:
-    import pandas as pd
-
-_STATE = "sha256 string, size_bytes long, modified_at timestamp"
-_JUDGED = "source_id string, url string, content binary, error string, modified_at timestamp, sha256 string, size_bytes long, changed boolean, stale boolean"
+#: ``at`` is the time of modification in microseconds.
+_STATE = "sha256 string, size_bytes long, at long"
+_JUDGED = "source_id string, url string, content binary, error string, at long, sha256 string, size_bytes long, changed boolean, stale boolean"
+_COLUMNS = [c.split()[0] for c in _JUDGED.split(", ")]
+_ROW = Row(*_COLUMNS)
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -43,48 +43,34 @@ class Versions(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._last = handle.getValueState("last", _STATE)
 
-    def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:  # noqa: N802, N803
-        row = initialState.iloc[0]
-        self._last.update((row["sha256"], int(row["size_bytes"]), row["modified_at"].to_pydatetime()))
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        import pandas as pd
-
-        own = pd.concat(list(rows), ignore_index=True)
-        own = own.sort_values(["modified_at", "sha256"], kind="stable", na_position="first").reset_index(drop=True)
-        last = self._last.get() if self._last.exists() else None
-        changed, stale = [], []
-        for row in own.itertuples():
-            if not isinstance(row.sha256, str):  # a failure says nothing of the content
-                changed.append(False)
-                stale.append(False)
-                continue
-            stamp = row.modified_at.to_pydatetime()
-            old = last is not None and (stamp, row.sha256) < (_naive(last[2]), last[0])
-            changed.append(not old and (last is None or last[0] != row.sha256 or not last[1]))
-            stale.append(old)
-            if not old:
-                last = (row.sha256, int(row.size_bytes), stamp)
-        if last is not None:
-            self._last.update(last)
-        own["changed"], own["stale"] = changed, stale
-        own.loc[~own["changed"], "content"] = None
-        yield own[[c.split()[0] for c in _JUDGED.split(", ")]]
+    def handleInitialState(self, key: Any, initialState: Any, timerValues: Any) -> None:  # noqa: N802, N803
+        row = initialState[0] if isinstance(initialState, list) else initialState
+        self._last.update((row["sha256"], row["size_bytes"], row["at"]))
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803
+        last, before = self._last.get(), None
+        for row in sorted(rows, key=lambda r: (r["at"] or 0, r["sha256"] or "")):
+            changed = stale = False
+            if row["sha256"] is not None:  # a failure says nothing of the content
+                stale = last is not None and (row["at"] or 0, row["sha256"]) < (last[2], last[0])
+                changed = not stale and (last is None or last[0] != row["sha256"] or not last[1])
+                if not stale:
+                    last = before = (row["sha256"], row["size_bytes"], row["at"] or 0)
+            yield _ROW(*(row["content"] if c == "content" and changed else None if c == "content" else changed if c == "changed" else stale if c == "stale" else row[c] for c in _COLUMNS))
+        if before is not None:
+            self._last.update(before)
 
     def close(self) -> None:
         pass
 
 
-def _naive(stamp: Any) -> Any:
-    return stamp.replace(tzinfo=None)
-
-
 def judged(contents: DataFrame, known: DataFrame) -> DataFrame:
     """The stream's rows with digest, ``changed`` and ``stale`` (older than the last version); contents only where they changed."""
     good = F.col("error").isNull()
-    rows = contents.withColumns({"sha256": F.when(good, sha256_bytes("content")), "size_bytes": F.when(good, F.octet_length("content").cast("long"))})
-    before = known.select("source_id", "sha256", "size_bytes", F.coalesce("modified_at", "captured_at").alias("modified_at")).groupBy("source_id")
-    return rows.groupBy("source_id").transformWithStateInPandas(Versions(), _JUDGED, "append", "none", before)
+    rows = contents.withColumns({"sha256": F.when(good, sha256_bytes("content")), "size_bytes": F.when(good, F.octet_length("content").cast("long")), "at": F.unix_micros("modified_at")})
+    before = known.select("source_id", "sha256", "size_bytes", F.unix_micros(F.coalesce("modified_at", "captured_at")).alias("at")).groupBy("source_id")
+    out = rows.drop("modified_at").groupBy("source_id").transformWithState(Versions(), _JUDGED, "append", "none", before)
+    return out.withColumn("modified_at", F.timestamp_micros("at")).drop("at")
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+import time
 from collections import Counter
 from datetime import date, timedelta
 
@@ -14,9 +15,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.operators import profile, rules, temporal, tree
-from lexmill.sources import files, html, ranges, seeds
+from lexmill.operators import profile, quality, rules, temporal, tree
+from lexmill.operators.checkstate import CheckState
+from lexmill.operators.textindex import TextIndex
 from lexmill.plans import gold
+from lexmill.sources import files, html, ranges, seeds, web
 
 QUICK = settings(max_examples=60, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -192,3 +195,89 @@ def test_frequent_words_by_summaries(spark, held):
     same = spark.createDataFrame([(" ".join(f"word{i}" for i in range(500)),)] * 2, "text string")
     assert [tuple(r) for r in profile.frequent_words(same, "text", 3, 3, held=held).collect()] == [("word0", 2), ("word1", 2), ("word10", 2)]
     assert profile.frequent_words(df.limit(0), "text").collect() == []
+
+
+# --- what is kept between runs ---------------------------------------------------------------
+
+
+def test_text_index(spark, tmp_path):
+    rng = random.Random(12)
+    texts = [(i, "".join(rng.choice("abc ÆØ日") for _ in range(rng.randrange(60)))) for i in range(300)] + [(300, None), (301, ""), (302, "ab"), (None, "abc"), (303, "𝒳yz end"), (7, "twice"), (7, "twice")]
+    df = spark.createDataFrame(texts, "doc long, t string")
+    index = TextIndex(spark, str(tmp_path / "i"))
+    assert index.search("abc").count() == 0
+    index.append(df.where("doc % 2 = 0"), "even", "doc", "t")
+    index.append(df.where("doc % 2 = 1"), "odd", "doc", "t")
+    for asked in ("abc", "ab", "A", "æø", "c 日b", "𝒳YZ", "not there", "twice", ""):
+        got = sorted((r["id"], r["text"]) for r in index.search(asked).collect())
+        assert got == sorted((i, t) for i, t in texts if i is not None and t is not None and asked.lower() in t.lower()), asked
+    assert index.candidates("𝒳yz").count() == 1
+    index.append(df.where("doc = 1").withColumn("t", F.lit("new words")), "odd", "doc", "t")  # in place of the old ones
+    assert [r["id"] for r in index.search("new w").collect()] == [1] and all(r["id"] % 2 == 0 for r in index.search("abc").collect())
+    scans = index.search("new w")._jdf.queryExecution().optimizedPlan().toString()
+    assert "id" in scans and index.segments() == ["even", "odd"]
+
+
+def test_quality_of_changed_files_only(spark, tmp_path):
+    rng = random.Random(3)
+    make = lambda n, at: [(at + i, rng.choice(["", "x", "http://a/b", None]), rng.choice(["zz", "a" * 64, None]), rng.choice(["tax", "other", None]), rng.choice(["p", ""])) for i in range(n)]
+    parts = {f"f{k}.parquet": make(20 + k, 100 * k) for k in range(4)}
+    schema = "ord long, source_url string, sha256 string, domain string, publisher string"
+
+    def put(name, rows):
+        import pandas as pd
+
+        pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")]).to_parquet(tmp_path / "in" / name, index=False)
+
+    (tmp_path / "in").mkdir()
+    for name, rows in parts.items():
+        put(name, rows)
+    state = CheckState(spark, str(tmp_path / "s"), "ord", "sha256")
+
+    def same():
+        rows = spark.createDataFrame([r for own in parts.values() for r in own], schema)
+        want, got = quality.issue_counts(rows).first(), state.assess().first()
+        assert all(got[c] == want[c] for c in ("records", "missing", "bad_urls", "bad_hashes", "bad_domains"))
+        assert got["quality_score"] == quality.assess(rows, "ord").first()["quality_score"]
+        assert list(got["first_missing"]) == [f"Record {r['ord']} missing {r['field']}" for r in quality.first_missing(rows, "ord").collect()]
+        assert sorted(r["n"] for r in state.repeated().collect()) == sorted(r["n"] for r in quality.duplicate_keys(rows, "sha256").collect())
+
+    assert state.update(str(tmp_path / "in")) == 4
+    same()
+    parts["f2.parquet"] = make(31, 900)
+    put("f2.parquet", parts["f2.parquet"])
+    assert state.update(str(tmp_path / "in")) == 1 and state.update(str(tmp_path / "in")) == 0
+    same()
+    (tmp_path / "in" / "f0.parquet").unlink()
+    del parts["f0.parquet"]
+    assert state.update(str(tmp_path / "in")) == 0
+    same()
+
+
+def test_fetching_as_a_data_source(spark, tmp_path):
+    urls = spark.createDataFrame([(f"http://Host{i % 5}/{i}",) for i in range(20)] + [(None,), ("http://host0/0",), ("http://Host1/1",)], "url string")
+    web.prepare(urls, str(tmp_path / "u"), groups=3)
+    spark.dataSource.register(web.Pages)
+    read = spark.read.format("lexmill_pages").option("path", str(tmp_path / "u")).option("opener", "test_scale_pages:page").option("rate", "20")
+    folder = tmp_path / "code"
+    folder.mkdir()
+    (folder / "test_scale_pages.py").write_text("def page(url):\n    if url.endswith('/3'):\n        raise OSError('gone')\n    return url.encode()\n")
+    spark.sparkContext.addPyFile(str(folder / "test_scale_pages.py"))
+    began = time.monotonic()
+    rows = read.load().collect()
+    assert time.monotonic() - began >= 3 / 20  # four pages of a host, one after another
+    assert len(rows) == 21 and {r["host"] for r in rows} == {f"host{i}" for i in range(5)}
+    assert all((bytes(r["content"]).decode() == r["url"]) if r["error"] is None else r["error"] == "OSError: gone" for r in rows)
+    assert read.load().rdd.getNumPartitions() == len([f for f in (tmp_path / "u").iterdir() if f.name.startswith("host_group=")])
+    # as a stream: each batch of URLs once
+    web.prepare(urls.limit(4), str(tmp_path / "s" / "b1"), groups=2)
+    (tmp_path / "s").mkdir(exist_ok=True)
+
+    def run():
+        live = spark.readStream.format("lexmill_pages").option("path", str(tmp_path / "s")).option("opener", "test_scale_pages:page").option("rate", "0").load()
+        live.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination(60)
+        return spark.read.parquet(str(tmp_path / "out")).count()
+
+    assert run() == 4
+    web.prepare(urls.where("url like '%/1_'"), str(tmp_path / "s" / "b2"), groups=2)
+    assert run() == 14 and run() == 14
