@@ -329,6 +329,17 @@ def test_components(spark, edges):
     scratch.release(spark)
 
 
+def test_components_of_few_vertices_at_a_time(spark):
+    rng = random.Random(7)
+    edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(rng.randrange(200, 230), rng.randrange(200, 230)) for _ in range(40)]
+    rng.shuffle(edges)
+    df = spark.createDataFrame(edges, "u long, v long")
+    want = {r["id"]: r["component"] for r in components.components(df).collect()}
+    assert want[59] == 0 and want[139] == 100
+    assert {r["id"]: r["component"] for r in components.components(df, held=5).collect()} == want
+    scratch.release(spark)
+
+
 # --- decontamination ---------------------------------------------------------------------
 
 
