@@ -163,7 +163,7 @@ def conversations(templates: DataFrame, rules: DataFrame, per_template: int = 25
     if n == 0:
         return rule_samples(rules).limit(0)
     facts = eligible_rules(rules).select("rule_id", "rule_name", "account", "vat_rate", "vat_code", filled("description").alias("explanation"))
-    numbered = F.broadcast(active.join(facts, "rule_id"))  # the seed table of rules
+    numbered = active.join(facts, "rule_id")
     half = n // 2
     rows = templates.select("*", F.explode(F.sequence(F.lit(0), F.lit(per_template - 1))).alias("k"))
     two = F.col("template_id") == "multi_item"

@@ -8,6 +8,8 @@ from io import BytesIO
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from lexmill.sources.fetch import packed
+
 TEXTS = "path string, text string, tables array<array<array<string>>>, error string"
 # The published documents of the specification, and the prefix of their nodes' paths.
 DOCUMENTS = {
@@ -70,10 +72,10 @@ def read(content: bytes, engines: tuple[Callable[[bytes], str], ...] = ENGINES,
 def read_documents(files: DataFrame, engines: tuple[Callable[[bytes], str], ...] = ENGINES, tables: Callable[[bytes], list] = _plumber_tables) -> DataFrame:
     """(path, text, tables, error) of each (path, content)."""
 
+    schema = pa.schema([("path", pa.string()), ("text", pa.string()), ("tables", pa.list_(pa.list_(pa.list_(pa.string())))), ("error", pa.string())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                text, found, error = read(content or b"", engines, tables)
-                yield pa.RecordBatch.from_arrays([pa.array([path], pa.string()), pa.array([text], pa.string()), pa.array([found], pa.list_(pa.list_(pa.list_(pa.string())))), pa.array([error], pa.string())], names=["path", "text", "tables", "error"])
+        given = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        yield from packed(((path, *read(content or b"", engines, tables)) for path, content in given), schema, lambda r: len(r[1]))
 
     return files.select("path", "content").mapInArrow(run, TEXTS)

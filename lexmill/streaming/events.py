@@ -36,7 +36,17 @@ def deduplicated(events: DataFrame, *keys: str, ts: str = "ts", delay: str | Non
     return _late(events, ts, delay).dropDuplicatesWithinWatermark(list(keys)) if delay else events.dropDuplicates(list(keys))
 
 
-def last_before(events: DataFrame, condition: str, column: str, by: str = "user_id", ts: str = "ts", tie: str = "event_id") -> DataFrame:
-    """Adds ``last_seen``: the column's value at the latest earlier event of the same key that meets the condition."""
-    frame = f"over (partition by {by} order by {ts}, {tie} rows between unbounded preceding and 1 preceding)"
-    return events.withColumn("last_seen", F.expr(f"last(case when {condition} then {column} end, true) {frame}"))
+def last_before(events: DataFrame, condition: str, column: str, by: str = "user_id", ts: str = "ts", tie: str = "event_id", block: str = "1 day") -> DataFrame:
+    """Adds ``last_seen``: the column's value at the latest earlier event of the same key that meets the condition.
+
+    A key's history is cut into blocks of time, of which each is one task's at most; what the
+    blocks before say is carried on by a window over one row a block.
+    """
+    cut = events.withColumn("__block", F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00Z' + interval {block})")))
+    value = F.expr(f"case when {condition} then {column} end")
+    last = F.max_by(value, F.when(value.isNotNull(), F.struct(ts, tie))).alias("__said")
+    blocks = cut.groupBy(F.col(by).alias("__key"), F.col("__block").alias("__at")).agg(last)
+    carried = blocks.withColumn("__carried", F.expr("last(__said, true) over (partition by __key order by __at rows between unbounded preceding and 1 preceding)")).drop("__said")
+    inner = F.expr(f"last(case when {condition} then {column} end, true) over (partition by {by}, __block order by {ts}, {tie} rows between unbounded preceding and 1 preceding)")
+    out = cut.withColumn("__inner", inner).join(carried, F.col(by).eqNullSafe(F.col("__key")) & F.col("__block").eqNullSafe(F.col("__at")), "left")
+    return out.select(*events.columns, F.coalesce("__inner", "__carried").alias("last_seen"))

@@ -6,7 +6,7 @@ import json
 import random
 import time
 from collections import Counter
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import numpy as np
 import pytest
@@ -20,6 +20,7 @@ from lexmill.operators.checkstate import CheckState
 from lexmill.operators.textindex import TextIndex
 from lexmill.plans import gold
 from lexmill.sources import files, html, ranges, seeds, web
+from lexmill.streaming import events
 
 QUICK = settings(max_examples=60, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -281,3 +282,18 @@ def test_fetching_as_a_data_source(spark, tmp_path):
     assert run() == 4
     web.prepare(urls.where("url like '%/1_'"), str(tmp_path / "s" / "b2"), groups=2)
     assert run() == 14 and run() == 14
+
+
+def test_last_value_before_across_blocks(spark):
+    rng = random.Random(11)
+    start = datetime(2024, 1, 1)
+    rows = [(i, rng.choice([1, 1, 1, 2, None]), None if i % 40 == 0 else start + timedelta(hours=rng.randrange(24 * 20)), rng.choice([None, float(i)]), rng.random() < 0.3) for i in range(400)]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp, value double, hit boolean")
+    seen, want = {}, {}
+    for i, user, ts, value, hit in sorted(rows, key=lambda r: (r[2] is not None, r[2] or start, r[0])):
+        want[i] = seen.get(user)
+        if hit and value is not None:
+            seen[user] = value
+    for block in ("1 day", "1 hour", "365 days"):
+        got = {r["event_id"]: r["last_seen"] for r in events.last_before(df, "hit", "value", block=block).collect()}
+        assert got == want
