@@ -797,7 +797,8 @@ def test_hostile_pages_take_linear_time(unit):
         ("<article><script>if(a<b)</script><style>x</style><p>ok</p><aside>no</aside><div class='cookie-notice'>c</div><div class='header'>h</div></article>", "ok"),
         ("<head><title>t</title><p>no head end</p><article class='comment'>c</article><p style='display: none'>h</p>", "no head end"),
         ("<div class=ad>buy</div><article>a<div>b</div>c</article>", "a\nb\nc"),
-        ("<article><p>x</p></article></article></p><p>late</p>", "x"),
+        ("<article><p>a story of some words</p></article></article></p><p>late</p>", "a story of some words"),
+        ("<article><p>x</p></article><p>the longer part</p>", "x\nthe longer part"),
         ("<body><div><p>one one one one</p><p>two two two two</p></div><div class='menu'><a>m</a></div></body>", "one one one one\ntwo two two two"),
     ],
 )
