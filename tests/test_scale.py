@@ -116,6 +116,36 @@ def test_versions_in_force(spark):
     assert "Cartesian" not in temporal.holding(df, dated, ["k"], "day")._jdf.queryExecution().toString()
 
 
+def test_days_are_cut_into_blocks_that_hold_no_others(spark):
+    rng, first = random.Random(8), date(1, 1, 1)
+    spans = [(0, 0), (0, 3652058), (719161, 719163)] + [(a := rng.randrange(3652059), min(3652058, a + rng.choice([0, 1, 6, 7, 8, 63, 700, 5000, 10**6]))) for _ in range(60)]
+    df = spark.createDataFrame([(i, first + timedelta(days=a), first + timedelta(days=b)) for i, (a, b) in enumerate(spans)], "v int, valid_from date, valid_to date")
+    days = {}
+    for r in temporal.pieces(df).collect():
+        width = 1 << (temporal.BITS * r["__level"])
+        days.setdefault(r["v"], []).append((r["__block"] * width, r["__block"] * width + width))
+    epoch = (date(1970, 1, 1) - first).days
+    for i, (a, b) in enumerate(spans):
+        own = sorted(days[i])
+        assert own[0][0] + epoch == a and own[-1][1] + epoch == b + 1 and all(x[1] == y[0] for x, y in zip(own, own[1:], strict=False)) and len(own) < 14 * temporal.LEVELS
+
+
+def test_rows_that_share_an_id_and_rows_without_one(spark):
+    dated = spark.createDataFrame([(0, 1, date(2020, 1, 1), None), (0, 2, date(2021, 1, 1), None), (1, 3, None, date(2020, 6, 1))], "k int, v int, valid_from date, valid_to date")
+    rows = [(7, 0, date(2020, 5, 5)), (7, 0, date(2021, 5, 5)), (8, 1, date(2020, 6, 1)), (8, 1, date(2020, 6, 2)), (None, 0, date(2022, 1, 1)), (9, 0, date(2019, 1, 1))]
+    got = temporal.in_force(spark.createDataFrame(rows, "id int, k int, day date"), dated, ["k"], "day", "id", tie="v").collect()
+    assert sorted((str(r["id"]), str(r["day"]), r["v"]) for r in got if r["v"]) == [("7", "2020-05-05", 2), ("7", "2021-05-05", 2), ("8", "2020-06-01", 3), ("8", "2020-06-02", 3)] and len(got) == 6
+
+
+def test_rates_in_force_without_pairs(spark):
+    n, began = 40_000, time.time()  # 1.6 billion pairs of rows and versions
+    versions = spark.range(n).select(F.lit(0).alias("k"), F.col("id").alias("v"), F.expr("date_add(date'2000-01-01', cast(id % 700 as int))").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"))
+    rows = spark.range(n).select("id", F.lit(0).alias("k"), F.expr("date_add(date'2003-01-01', cast(id % 900 as int))").alias("day"))
+    best = temporal.in_force(rows, versions, ["k"], "day", "id", tie="v").groupBy("v").count().collect()
+    assert [tuple(r) for r in best] == [(n - 1 - (n - 1 - 699) % 700, n)]
+    assert time.time() - began < 60
+
+
 # --- rules as data -------------------------------------------------------------------------
 
 
