@@ -88,6 +88,16 @@ def holding(rows: DataFrame, versions: DataFrame, on: list[str], day: str, valid
     return joined.drop("__day", "__width", "__block", "__from", "__to")
 
 
+def holding_sums(rows: DataFrame, versions: DataFrame, on: list[str], day: str, value: str, valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+    """Each row with ``n``, how many versions of its key hold on its day, and ``total``, the sum of their ``value``; rows without one are left out.
+
+    As ``holding`` and sums by row, without its pairs.
+    """
+    cut = pieces(versions, valid_from, valid_to).groupBy(*on, "__level", "__block").agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
+    found = _at_days(rows, cut, on, day, F.sum("n").alias("n"), F.sum("total").alias("total"))
+    return rows.withColumn("__day", _day(F.col(day))).join(found, [*on, "__day"]).select(*rows.columns, "n", "total")
+
+
 def in_force(rows: DataFrame, versions: DataFrame, on: list[str], day: str, row_id: str, valid_from: str = "valid_from", valid_to: str = "valid_to", tie: str | None = None) -> DataFrame:
     """Each row with the version in force on its day: of several that hold, the one that began last, then the greatest ``tie``; else nulls.
 

@@ -146,6 +146,26 @@ def test_rates_in_force_without_pairs(spark):
     assert time.time() - began < 60
 
 
+def test_sums_of_what_holds_equal_those_of_pairs(spark):
+    rng, start = random.Random(14), date(2020, 1, 1)
+    some = lambda far: start + timedelta(days=rng.randrange(-far, far))
+    versions = [(rng.choice([0, 1, None]), rng.choice([0.25, 1.5, None]), rng.choice([None, some(900)]), rng.choice([None, some(900)])) for _ in range(200)]
+    rows = [(i % 90, rng.choice([0, 1, 2, None]), rng.choice([None, some(1500), some(1500)])) for i in range(200)]
+    df, dated = spark.createDataFrame(rows, "id int, k int, day date"), spark.createDataFrame(versions, "k int, rate double, valid_from date, valid_to date")
+    want = temporal.holding(df, dated, ["k"], "day").groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.sum("rate").alias("total")).collect()
+    got = temporal.holding_sums(df, dated, ["k"], "day", "rate").groupBy("id").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, map(tuple, want))) and len(want) > 30
+    assert temporal.holding_sums(df, dated.limit(0), ["k"], "day", "rate").count() == 0
+
+
+def test_sums_of_rates_without_pairs(spark):
+    n, began = 60_000, time.time()  # 3.6 billion pairs of rows and versions
+    versions = spark.range(n).select(F.lit(0).alias("k"), F.lit(0.5).alias("rate"), F.expr("date_add(date'2000-01-01', cast(id % 700 as int))").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"))
+    rows = spark.range(n).select("id", F.lit(0).alias("k"), F.expr("date_add(date'2003-01-01', cast(id % 900 as int))").alias("day"))
+    got = temporal.holding_sums(rows, versions, ["k"], "day", "rate").groupBy("n", "total").count().collect()
+    assert [tuple(r) for r in got] == [(n, n / 2, n)] and time.time() - began < 30
+
+
 # --- rules as data -------------------------------------------------------------------------
 
 
