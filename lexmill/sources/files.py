@@ -51,14 +51,15 @@ def removed(spark: SparkSession, path: str) -> None:
 def json_array(spark: SparkSession, path: str, schema: T.StructType, size: int = ranges.SIZE) -> DataFrame:
     """The rows of JSON arrays of objects; a missing file, or one that isn't a JSON array as a whole, has none.
 
-    A file is read by tasks of ``size`` bytes each, however long it and its lines are.
+    A file is read in ranges of ``size`` bytes, however long it and its lines are.
     """
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
     fields = T.StructType([*schema, T.StructField("__bad", T.StringType())])
     parsed = ranges.array_objects(spark, path, size).withColumn("row", F.from_json("text", fields, {"columnNameOfCorruptRecord": "__bad"}))
     broken = parsed.where("row.__bad is not null").select("file").distinct()
-    good = parsed.where("row.__bad is null").join(broken, "file", "left_anti")
+    # a path a broken file at most, of files that the driver has listed; rows of one file don't meet in a task
+    good = parsed.where("row.__bad is null").join(F.broadcast(broken), "file", "left_anti")
     return good.select(*(F.col(f"row.`{f.name}`").alias(f.name) for f in schema))
 
 

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of a range.
 SIZE = 1 << 25
-_AHEAD = 1 << 20
+#: Bytes that are read at once behind a range for its last object: at first, and at most.
+_NEAR, _AHEAD = 1 << 12, 1 << 20
 _QUOTE, _BACKSLASH = 0x22, 0x5C
 _DEEPER = np.zeros(256, np.int8)
 _DEEPER[[ord("["), ord("{")]] = 1
@@ -47,12 +48,13 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ranges(spark: SparkSession, path: str, size: int = SIZE) -> tuple[DataFrame, int]:
-    """(path, k, start, stop) of the files' byte ranges, a task each, and how many there are."""
+    """(path, k, start, stop) of the files' byte ranges, and the tasks that they are dealt to: each has ranges of ``SIZE`` bytes or so together, of fewer if there are cores to spare."""
     files = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "length")
-    n = files.agg(F.sum(F.ceil(F.col("length") / size))).first()[0] or 0
+    n, length = files.agg(F.sum(F.ceil(F.col("length") / size)), F.sum("length")).first()
+    tasks = max(1, min(int(n or 0), max(-(-int(length or 0) // SIZE), 3 * spark.sparkContext.defaultParallelism)))
     cut = files.select("path", "length", F.explode(F.sequence(F.lit(0), F.ceil(F.col("length") / size) - 1)).alias("k"))
     out = cut.select("path", F.col("k").cast("long").alias("k"), (F.col("k") * size).cast("long").alias("start"), F.least(F.col("k") * size + size, F.col("length")).cast("long").alias("stop"))
-    return out.repartition(max(1, int(n)), "path", "k"), int(n)
+    return out.repartition(tasks, "path", "k"), tasks
 
 
 def _bytes(path: str, start: int, stop: int) -> np.ndarray:
@@ -78,9 +80,9 @@ def _quotes(raw: np.ndarray) -> tuple[np.ndarray, int, int]:
     return quote[~escaped], int(length[0]) if slash[0] == 0 else 0, int(length[-1]) if last[-1] == len(raw) - 1 else 0
 
 
-def _starting(raw: np.ndarray, escape: int) -> tuple[np.ndarray, int]:
-    """The quotes that no backslash escapes if one stands before the range (``escape``), and whether one is open at its end."""
-    quotes, leading, trailing = _quotes(raw)
+def _starting(raw: np.ndarray, escape: int, known: tuple[np.ndarray, int, int] | None = None) -> tuple[np.ndarray, int]:
+    """The quotes that no backslash escapes if one stands before the range (``escape``), and whether one is open at its end; ``known``: what ``_quotes`` says."""
+    quotes, leading, trailing = known or _quotes(raw)
     whole = trailing == len(raw)
     if escape and leading < len(raw) and raw[leading] == _QUOTE:
         # the run before the first other byte is longer by one
@@ -98,10 +100,13 @@ def _outside(raw: np.ndarray, quotes: np.ndarray, string: int) -> tuple[np.ndarr
 def transitions(raw: np.ndarray) -> list[tuple[int, int, int]]:
     """For each beginning, 2 x string + escape: the same of the end, and the change of depth."""
     out: list[tuple[int, int, int]] = [(0, 0, 0)] * 4
+    known, at = _quotes(raw), np.flatnonzero(_DEEPER[raw])
+    step = _DEEPER[raw[at]].astype(np.int64)
     for escape in (0, 1):
-        quotes, open_escape = _starting(raw, escape)
+        quotes, open_escape = _starting(raw, escape, known)
+        odd = np.searchsorted(quotes, at) % 2
         for string in (0, 1):
-            out[2 * string + escape] = ((string + len(quotes)) % 2, open_escape, int(_outside(raw, quotes, string)[1].sum()))
+            out[2 * string + escape] = ((string + len(quotes)) % 2, open_escape, int(step[odd == string].sum()))
     return out
 
 
@@ -156,9 +161,10 @@ def _objects(batches: Iterator[pa.RecordBatch], ahead: int) -> Iterator[pa.Recor
 
 def _rest(row: dict, begun: np.ndarray, string: int, escape: int, depth: int, ahead: int) -> Iterator[bytes]:
     yield begun.tobytes()
-    start = row["stop"]
+    start, length = row["stop"], min(ahead, _NEAR)  # most end soon
     while start < row["size"]:
-        raw = _bytes(row["path"], start, min(start + ahead, row["size"]))
+        raw = _bytes(row["path"], start, min(start + length, row["size"]))
+        length = min(2 * length, ahead)
         quotes, escape = _starting(raw, escape)
         at, step = _outside(raw, quotes, string)
         low = np.flatnonzero(depth + np.cumsum(step) == 1)
@@ -171,7 +177,7 @@ def _rest(row: dict, begun: np.ndarray, string: int, escape: int, depth: int, ah
 
 def array_objects(spark: SparkSession, path: str, size: int = SIZE, ahead: int = _AHEAD) -> DataFrame:
     """(file, at, text) of the objects of JSON arrays, with the byte at which each begins; a file that isn't a whole array has none."""
-    cut, n = ranges(spark, path, size)
+    cut, tasks = ranges(spark, path, size)
     said = cut.mapInArrow(_summaries, f"{_RANGES}, to array<int>, deeper array<long>, first string, last string")
     begun = said.groupBy("path").applyInArrow(_folded, f"{_RANGES}, state int, depth long, size long")
-    return begun.repartition(max(1, n), "path", "k").mapInArrow(partial(_objects, ahead=ahead), "file string, at long, text string")
+    return begun.repartition(tasks, "path", "k").mapInArrow(partial(_objects, ahead=ahead), "file string, at long, text string")

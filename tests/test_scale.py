@@ -9,6 +9,7 @@ from collections import Counter
 from datetime import date, datetime, timedelta
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -67,6 +68,21 @@ def test_json_arrays_in_ranges_of_any_size(spark, tmp_path):
     assert [json.loads(r["text"]) for r in at] == rows[:7] and at[0]["at"] == 1
 
 
+def test_short_ranges_share_tasks_and_read_little_behind_them(spark, tmp_path, monkeypatch):
+    rows = [{"a": i, "b": "]},{" * 9} for i in range(9000)]
+    for name in ("x", "y"):
+        (tmp_path / f"{name}.json").write_text(json.dumps(rows))
+    cut, tasks = ranges.ranges(spark, str(tmp_path / "*.json"), size=256)
+    assert cut.count() > 3000 and cut.rdd.getNumPartitions() == tasks <= 3 * spark.sparkContext.defaultParallelism
+    got = files.json_array(spark, str(tmp_path / "*.json"), T.StructType.fromDDL("a int"), size=4096)
+    assert sorted(r["a"] for r in got.collect()) == sorted(2 * [r["a"] for r in rows])
+    read, plain = [], ranges._bytes
+    monkeypatch.setattr(ranges, "_bytes", lambda path, start, stop: read.append(stop - start) or plain(path, start, stop))
+    path, size = f"file://{tmp_path}/x.json", (tmp_path / "x.json").stat().st_size
+    begun = pa.RecordBatch.from_pylist([{"path": path, "k": 0, "start": 0, "stop": 4096, "state": 0, "depth": 0, "size": size}])
+    assert sum(b.num_rows for b in ranges._objects(iter([begun]), 1 << 20)) > 60 and sum(read) <= 4096 + ranges._NEAR
+
+
 @pytest.mark.parametrize("text", ["", "  ", '{"a": 1}', '[{"a": 1}', '[{"a": 1}]]', '[{"a": 1}, {"a": }]', '["{"]', "[1, 2]", '[{"a": "x]'])
 def test_what_is_no_array_of_objects_has_no_rows(spark, tmp_path, text):
     (tmp_path / "x.json").write_text(text)
